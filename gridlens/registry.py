@@ -38,7 +38,8 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
-            out.append(F.round(F.col(f.name), places).alias(f.name))
+            # + 0.0 turns a rounded -0.0 into 0.0 on both engines
+            out.append((F.round(F.col(f.name), places) + F.lit(0.0)).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
@@ -89,7 +90,7 @@ def r6(sql: str, cols) -> str:
     """Wrap a query so the listed double columns are rounded to 6 places."""
     if not cols:
         return sql
-    rep = ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+    rep = ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) q"
 
 
@@ -236,3 +237,353 @@ def q_hourly_rollup(spark, sf_dir):
 @register("daily_rollup", r6(with_ctes(DAILY_SQL), DAILY_DOUBLES))
 def q_daily_rollup(spark, sf_dir):
     return round_doubles(R.daily_rollup(C.clean_readings(_raw(spark, sf_dir))))
+
+
+# --------------------------------------------------------------------------
+# Quality reports and gates
+# --------------------------------------------------------------------------
+from gridlens.operators import quality as Q  # noqa: E402
+
+QUALITY_SQL = """
+  SELECT coalesce(rc.reading_date, cc.reading_date) AS reading_date,
+         coalesce(raw_count, 0) AS raw_count, coalesce(clean_count, 0) AS clean_count,
+         round((1.0 - coalesce(clean_count, 0) / greatest(coalesce(raw_count, 0), 1)) * 100.0, 2)
+           AS dropped_pct
+  FROM (SELECT CAST(reading_timestamp AS DATE) AS reading_date, count(*) AS raw_count
+        FROM raw GROUP BY 1) rc
+  FULL OUTER JOIN (SELECT reading_date, count(*) AS clean_count FROM clean GROUP BY 1) cc
+    ON rc.reading_date = cc.reading_date"""
+
+_STATUS = ("CASE WHEN dropped_pct > 10 THEN 'FAIL' WHEN dropped_pct > 5 THEN 'WARN' "
+           "ELSE 'OK' END AS status")
+
+
+def _quality_by_day(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return Q.quality_report(raw, C.clean_readings(raw), by="reading_date")
+
+
+@register("quality_report", with_ctes(f"SELECT *, {_STATUS} FROM ({QUALITY_SQL}) q"))
+def q_quality_report(spark, sf_dir):
+    return _quality_by_day(spark, sf_dir)
+
+
+@register("quality_gate", with_ctes(
+    f"SELECT *, {_STATUS}, dropped_pct <= 10.0 AS passed FROM ({QUALITY_SQL}) q"))
+def q_quality_gate(spark, sf_dir):
+    return Q.with_gate(_quality_by_day(spark, sf_dir))
+
+
+@register("null_profile", with_ctes(
+    """SELECT CAST(reading_timestamp AS DATE) AS reading_date,
+              count(*) FILTER (WHERE kwh_consumed IS NULL) AS null_kwh_consumed,
+              count(*) FILTER (WHERE voltage IS NULL) AS null_voltage,
+              count(*) FILTER (WHERE meter_id IS NULL) AS null_meter_id,
+              count(*) FILTER (WHERE current_amps IS NULL) AS null_current_amps,
+              count(*) FILTER (WHERE utility_zone IS NULL) AS null_utility_zone
+       FROM raw GROUP BY 1"""))
+def q_null_profile(spark, sf_dir):
+    raw = _raw(spark, sf_dir).withColumn("reading_date", D.reading_date())
+    return Q.null_profile(raw, ["kwh_consumed", "voltage", "meter_id", "current_amps",
+                                "utility_zone"], by="reading_date")
+
+
+@register("load_row_count", with_ctes(
+    f"SELECT reading_date, count(*) AS row_count FROM ({HOURLY_SQL}) h GROUP BY reading_date"))
+def q_load_row_count(spark, sf_dir):
+    hourly = R.hourly_rollup(C.clean_readings(_raw(spark, sf_dir)))
+    return Q.load_row_count(hourly)
+
+
+# A table loaded twice for the first ten days (an appended re-run).
+_RELOADED_SQL = f"""
+  SELECT * FROM ({HOURLY_SQL}) h1
+  UNION ALL
+  SELECT * FROM ({HOURLY_SQL}) h2 WHERE reading_date <= DATE '2024-01-10'"""
+
+
+def _reloaded_hourly(spark, sf_dir):
+    hourly = R.hourly_rollup(C.clean_readings(_raw(spark, sf_dir)))
+    return hourly.unionByName(hourly.filter(F.col("reading_date") <= F.lit("2024-01-10").cast("date")))
+
+
+@register("duplicate_keys", with_ctes(
+    f"""SELECT reading_date, count(*) FILTER (WHERE n > 1) AS duplicate_keys FROM (
+          SELECT meter_id, reading_date, reading_hour, count(*) AS n
+          FROM ({_RELOADED_SQL}) t GROUP BY 1, 2, 3) k
+        GROUP BY reading_date"""))
+def q_duplicate_keys(spark, sf_dir):
+    return Q.duplicate_keys(_reloaded_hourly(spark, sf_dir))
+
+
+# Given scores (FIXTURES.md s.3) on the raw readings, reference cut-offs.
+GIVEN_SCORED_CTE = """
+given AS (
+  SELECT meter_id, reading_timestamp, kwh_consumed, voltage, power_factor,
+         utility_zone, customer_type, is_true_anomaly,
+         -0.05 - (kwh_consumed - floor(kwh_consumed)) * 0.45 AS anomaly_score,
+         CAST(reading_timestamp AS DATE) AS scoring_date
+  FROM adapted),
+given_scored AS (
+  SELECT *, anomaly_score < -0.15 AS is_anomaly,
+         CASE WHEN anomaly_score < -0.30 THEN 'HIGH'
+              WHEN anomaly_score < -0.20 THEN 'MEDIUM'
+              WHEN anomaly_score < -0.15 THEN 'LOW' ELSE 'NORMAL' END AS anomaly_severity
+  FROM given)
+"""
+
+
+def _given_scored(spark, sf_dir):
+    from gridlens.operators import scoring as S
+    a = fixtures.readings(spark, sf_dir, with_label=True).select(
+        "meter_id", "reading_timestamp", "kwh_consumed", "voltage", "power_factor",
+        "utility_zone", "customer_type", "is_true_anomaly")
+    a = fixtures.given_scores(a).withColumn("scoring_date", D.reading_date())
+    return S.flag_and_grade(a, mode="raw")
+
+
+RATE_SQL = """
+  SELECT scoring_date, count(*) AS total,
+         CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS anomalies,
+         round(100.0E0 * sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END)
+               / nullif(count(*), 0), 2) AS anomaly_rate_pct
+  FROM given_scored GROUP BY scoring_date"""
+
+
+@register("anomaly_rate", with_ctes(RATE_SQL, GIVEN_SCORED_CTE))
+def q_anomaly_rate(spark, sf_dir):
+    return Q.anomaly_rate(_given_scored(spark, sf_dir))
+
+
+@register("anomaly_rate_gate", with_ctes(
+    f"SELECT *, coalesce(anomaly_rate_pct > 5.0, false) AS alert FROM ({RATE_SQL}) r",
+    GIVEN_SCORED_CTE))
+def q_anomaly_rate_gate(spark, sf_dir):
+    return Q.with_rate_alert(Q.anomaly_rate(_given_scored(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------
+# W1-W3 rolling frames, D7-D12 and D17 features, F7, A13
+# --------------------------------------------------------------------------
+from gridlens.operators import features as FE  # noqa: E402
+from gridlens.operators import rolling as W  # noqa: E402
+from gridlens.schemas import FEATURE_COLS  # noqa: E402
+
+
+def _frame(rows: int) -> str:
+    return (f"OVER (PARTITION BY meter_id ORDER BY reading_timestamp "
+            f"ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)")
+
+
+@register("rolling_mean", r6(with_ctes(
+    f"""SELECT meter_id, reading_timestamp, kwh_consumed,
+               avg(kwh_consumed) {_frame(168)} AS rolling_7d_mean_kwh FROM clean"""),
+    ["kwh_consumed", "rolling_7d_mean_kwh"]))
+def q_rolling_mean(spark, sf_dir):
+    c = C.clean_readings(_raw(spark, sf_dir)).select("meter_id", "reading_timestamp", "kwh_consumed")
+    return round_doubles(W.rolling_stats(c).drop(W.STD_COL))
+
+
+@register("rolling_std", r6(with_ctes(
+    f"""SELECT meter_id, reading_timestamp, kwh_consumed,
+               coalesce(stddev_samp(kwh_consumed) {_frame(168)}, 0.0) AS rolling_7d_std_kwh
+        FROM clean"""), ["kwh_consumed", "rolling_7d_std_kwh"]))
+def q_rolling_std(spark, sf_dir):
+    c = C.clean_readings(_raw(spark, sf_dir)).select("meter_id", "reading_timestamp", "kwh_consumed")
+    return round_doubles(W.rolling_stats(c).drop(W.MEAN_COL))
+
+
+@register("rolling_scoring_frame", r6(with_ctes(
+    f"""SELECT meter_id, reading_timestamp, kwh_consumed,
+               avg(kwh_consumed) {_frame(169)} AS rolling_7d_mean_kwh,
+               stddev_samp(kwh_consumed) {_frame(169)} AS rolling_7d_std_kwh
+        FROM clean"""), ["kwh_consumed", "rolling_7d_mean_kwh", "rolling_7d_std_kwh"]))
+def q_rolling_scoring_frame(spark, sf_dir):
+    c = C.clean_readings(_raw(spark, sf_dir)).select("meter_id", "reading_timestamp", "kwh_consumed")
+    return round_doubles(W.rolling_stats(c, frame_rows=W.SCORE_FRAME_ROWS, std_null_to_zero=False))
+
+
+@register("derive_weekday", with_ctes(
+    "SELECT meter_id, reading_timestamp, CAST(isodow(reading_timestamp) - 1 AS INTEGER) AS day_of_week FROM raw"))
+def q_derive_weekday(spark, sf_dir):
+    return _raw(spark, sf_dir).select("meter_id", "reading_timestamp", D.weekday().alias("day_of_week"))
+
+
+@register("cyclic_hour", r6(with_ctes(
+    """SELECT meter_id, reading_timestamp,
+              sin(2 * pi() * hour(reading_timestamp) / 24) AS reading_hour_sin,
+              cos(2 * pi() * hour(reading_timestamp) / 24) AS reading_hour_cos FROM raw"""),
+    ["reading_hour_sin", "reading_hour_cos"]))
+def q_cyclic_hour(spark, sf_dir):
+    h = D.reading_hour()
+    return round_doubles(_raw(spark, sf_dir).select(
+        "meter_id", "reading_timestamp", D.cyclic_sin(h, 24).alias("reading_hour_sin"),
+        D.cyclic_cos(h, 24).alias("reading_hour_cos")))
+
+
+@register("cyclic_weekday", r6(with_ctes(
+    """SELECT meter_id, reading_timestamp,
+              sin(2 * pi() * (isodow(reading_timestamp) - 1) / 7) AS day_of_week_sin,
+              cos(2 * pi() * (isodow(reading_timestamp) - 1) / 7) AS day_of_week_cos FROM raw"""),
+    ["day_of_week_sin", "day_of_week_cos"]))
+def q_cyclic_weekday(spark, sf_dir):
+    d = D.weekday()
+    return round_doubles(_raw(spark, sf_dir).select(
+        "meter_id", "reading_timestamp", D.cyclic_sin(d, 7).alias("day_of_week_sin"),
+        D.cyclic_cos(d, 7).alias("day_of_week_cos")))
+
+
+_TRAIN_STATS = f"""
+train_stats AS (
+  SELECT *, avg(kwh_consumed) {_frame(168)} AS rolling_7d_mean_kwh,
+         coalesce(stddev_samp(kwh_consumed) {_frame(168)}, 0.0) AS rolling_7d_std_kwh
+  FROM clean),
+score_stats AS (
+  SELECT *, avg(kwh_consumed) {_frame(169)} AS rolling_7d_mean_kwh,
+         stddev_samp(kwh_consumed) {_frame(169)} AS rolling_7d_std_kwh
+  FROM clean),
+feats AS (
+  SELECT meter_id, reading_timestamp, kwh_consumed, voltage, current_amps, power_factor,
+         reactive_power_kvar, apparent_power_kva,
+         sin(2 * pi() * reading_hour / 24) AS reading_hour_sin,
+         cos(2 * pi() * reading_hour / 24) AS reading_hour_cos,
+         sin(2 * pi() * (isodow(reading_timestamp) - 1) / 7) AS day_of_week_sin,
+         cos(2 * pi() * (isodow(reading_timestamp) - 1) / 7) AS day_of_week_cos,
+         rolling_7d_mean_kwh, rolling_7d_std_kwh,
+         (kwh_consumed - rolling_7d_mean_kwh)
+           / CASE WHEN rolling_7d_std_kwh = 0 THEN 1.0 ELSE rolling_7d_std_kwh END AS kwh_z_score
+  FROM train_stats)
+"""
+
+
+@register("kwh_z_score", r6(with_ctes(
+    """SELECT meter_id, reading_timestamp, kwh_z_score FROM feats""", _TRAIN_STATS),
+    ["kwh_z_score"]))
+def q_kwh_z_score(spark, sf_dir):
+    f = FE.engineer_features(C.clean_readings(_raw(spark, sf_dir)))
+    return round_doubles(f.select("meter_id", "reading_timestamp", "kwh_z_score"))
+
+
+@register("kwh_z_score_floor", r6(with_ctes(
+    """SELECT meter_id, reading_timestamp,
+              (kwh_consumed - rolling_7d_mean_kwh) / greatest(rolling_7d_std_kwh, 1e-9) AS kwh_z_score
+       FROM score_stats""", _TRAIN_STATS), ["kwh_z_score"]))
+def q_kwh_z_score_floor(spark, sf_dir):
+    f = FE.engineer_features(C.clean_readings(_raw(spark, sf_dir)),
+                             frame_rows=W.SCORE_FRAME_ROWS, scoring_variant=True)
+    return round_doubles(f.select("meter_id", "reading_timestamp", "kwh_z_score"))
+
+
+@register("impute_zero", r6(with_ctes(
+    """SELECT meter_id, reading_timestamp, coalesce(current_amps, 0.0) AS current_amps,
+              coalesce(kwh_consumed, 0.0) AS kwh_consumed FROM raw"""),
+    ["current_amps", "kwh_consumed"]))
+def q_impute_zero(spark, sf_dir):
+    r = _raw(spark, sf_dir).select("meter_id", "reading_timestamp", "current_amps", "kwh_consumed")
+    return round_doubles(FE.impute_features(r, ["current_amps", "kwh_consumed"]))
+
+
+@register("engineer_features", r6(with_ctes("SELECT * FROM feats", _TRAIN_STATS), FEATURE_COLS))
+def q_engineer_features(spark, sf_dir):
+    f = FE.engineer_features(C.clean_readings(_raw(spark, sf_dir)))
+    return round_doubles(f.select("meter_id", "reading_timestamp", *FEATURE_COLS))
+
+
+_NOT_NULL_FEATS = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in FEATURE_COLS)
+
+
+@register("drop_null_features", r6(with_ctes(
+    f"SELECT * FROM feats WHERE {_NOT_NULL_FEATS}", _TRAIN_STATS), FEATURE_COLS))
+def q_drop_null_features(spark, sf_dir):
+    f = FE.engineer_features(C.clean_readings(_raw(spark, sf_dir)))
+    return round_doubles(C.drop_null_features(f.select("meter_id", "reading_timestamp", *FEATURE_COLS)))
+
+
+_STATS_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {i} AS ordinal, avg({c}) AS mean, stddev_pop({c}) AS std FROM ok"
+    for i, c in enumerate(FEATURE_COLS))
+
+
+@register("feature_scaler", r6(with_ctes(
+    _STATS_SQL, _TRAIN_STATS, f"ok AS (SELECT * FROM feats WHERE {_NOT_NULL_FEATS})"),
+    ["mean", "std"]))
+def q_feature_scaler(spark, sf_dir):
+    f = FE.engineer_features(C.clean_readings(_raw(spark, sf_dir)))
+    return round_doubles(FE.feature_stats(C.drop_null_features(f)))
+
+
+# --------------------------------------------------------------------------
+# D13, D14, F8, A10-A12, M4 on given scores
+# --------------------------------------------------------------------------
+from gridlens.operators import scoring as S  # noqa: E402
+
+_GIVEN_OUT = ("meter_id, reading_timestamp, kwh_consumed, voltage, power_factor, utility_zone, "
+              "customer_type, anomaly_score, is_anomaly, anomaly_severity, scoring_date")
+_GIVEN_DOUBLES = ["kwh_consumed", "voltage", "power_factor", "anomaly_score"]
+
+
+def _given_out(df):
+    return round_doubles(df.select(*[c.strip() for c in _GIVEN_OUT.split(",")]))
+
+
+@register("flag_anomaly", r6(with_ctes(
+    "SELECT meter_id, reading_timestamp, anomaly_score, is_anomaly FROM given_scored",
+    GIVEN_SCORED_CTE), ["anomaly_score"]))
+def q_flag_anomaly(spark, sf_dir):
+    return round_doubles(_given_scored(spark, sf_dir).select(
+        "meter_id", "reading_timestamp", "anomaly_score", "is_anomaly"))
+
+
+@register("severity_ladder", with_ctes(
+    """SELECT scoring_date, anomaly_severity, count(*) AS n_readings
+       FROM given_scored GROUP BY 1, 2""", GIVEN_SCORED_CTE))
+def q_severity_ladder(spark, sf_dir):
+    return (_given_scored(spark, sf_dir).groupBy("scoring_date", "anomaly_severity")
+            .agg(F.count(F.lit(1)).alias("n_readings")))
+
+
+@register("filter_anomalies", r6(with_ctes(
+    f"SELECT {_GIVEN_OUT} FROM given_scored WHERE is_anomaly", GIVEN_SCORED_CTE), _GIVEN_DOUBLES))
+def q_filter_anomalies(spark, sf_dir):
+    return _given_out(S.filter_anomalies(_given_scored(spark, sf_dir)))
+
+
+@register("score_stats", r6(with_ctes(
+    """SELECT avg(anomaly_score) AS score_mean, stddev_pop(anomaly_score) AS score_std,
+              min(anomaly_score) AS score_min, max(anomaly_score) AS score_max
+       FROM given_scored""", GIVEN_SCORED_CTE),
+    ["score_mean", "score_std", "score_min", "score_max"]))
+def q_score_stats(spark, sf_dir):
+    return round_doubles(S.score_stats(_given_scored(spark, sf_dir)))
+
+
+@register("evaluate_scores", with_ctes(
+    """SELECT round(coalesce(tp / nullif(tp + fp, 0), 0.0), 4) AS precision,
+              round(coalesce(tp / nullif(tp + fn, 0), 0.0), 4) AS recall,
+              round(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0.0), 4) AS f1_score,
+              -0.15E0 AS threshold, 0.02E0 AS contamination,
+              n AS n_val_samples, tp + fp AS n_anomalies_detected, tp + fn AS n_true_anomalies
+       FROM (SELECT count(*) FILTER (WHERE is_true_anomaly = 1 AND coalesce(is_anomaly, false)) AS tp,
+                    count(*) FILTER (WHERE is_true_anomaly <> 1 AND coalesce(is_anomaly, false)) AS fp,
+                    count(*) FILTER (WHERE is_true_anomaly = 1 AND NOT coalesce(is_anomaly, false)) AS fn,
+                    count(*) AS n FROM given_scored) c""", GIVEN_SCORED_CTE))
+def q_evaluate_scores(spark, sf_dir):
+    return S.evaluate_scores(_given_scored(spark, sf_dir))
+
+
+@register("scoring_summary", with_ctes(
+    """SELECT count(*) AS total_scored,
+              count(*) FILTER (WHERE coalesce(is_anomaly, false)) AS total_anomalies,
+              round(count(*) FILTER (WHERE coalesce(is_anomaly, false))
+                    / greatest(count(*), 1) * 100.0, 2) AS anomaly_rate_pct
+       FROM given_scored""", GIVEN_SCORED_CTE))
+def q_scoring_summary(spark, sf_dir):
+    return S.scoring_summary(_given_scored(spark, sf_dir))
+
+
+@register("contamination_offset", r6(with_ctes(
+    "SELECT quantile_cont(anomaly_score, 0.02) AS offset_score FROM given_scored",
+    GIVEN_SCORED_CTE), ["offset_score"]))
+def q_contamination_offset(spark, sf_dir):
+    v = S.contamination_offset(_given_scored(spark, sf_dir))
+    return round_doubles(spark.createDataFrame([(v,)], "offset_score double"))
