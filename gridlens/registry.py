@@ -587,3 +587,266 @@ def q_scoring_summary(spark, sf_dir):
 def q_contamination_offset(spark, sf_dir):
     v = S.contamination_offset(_given_scored(spark, sf_dir))
     return round_doubles(spark.createDataFrame([(v,)], "offset_score double"))
+
+
+# --------------------------------------------------------------------------
+# Scans of the partitioned layouts
+# --------------------------------------------------------------------------
+import datetime as dt  # noqa: E402
+
+from gridlens.schemas import (HOURLY_SCHEMA, DAILY_SCHEMA, clean_schema,  # noqa: E402
+                              scored_schema)
+from gridlens.sources import scans as SC  # noqa: E402
+from gridlens.sources import sinks as SK  # noqa: E402
+from gridlens.session import table_path  # noqa: E402
+
+TS = fixtures.FIXTURE_TS
+_DIR_DATE = ("CASE WHEN minute(reading_timestamp) % 20 = 0 THEN CAST(reading_timestamp AS DATE) - 1 "
+             "ELSE CAST(reading_timestamp AS DATE) END")
+LAYOUT_CTE = f"""
+layout AS (
+  SELECT *, CAST(year(dir) AS INTEGER) AS year, CAST(month(dir) AS INTEGER) AS month,
+         CAST(day(dir) AS INTEGER) AS day
+  FROM (SELECT *, {_DIR_DATE} AS dir FROM raw) x)
+"""
+_LAYOUT_COLS = _RAW_LIST + ", year, month, day"
+_CLEAN_OUT = [f.name for f in clean_schema().fields if f.name != "_processed_at"]
+
+
+@register("scan_day_partitions", r6(with_ctes(
+    f"SELECT {_LAYOUT_COLS} FROM layout WHERE dir BETWEEN DATE '2023-12-31' AND DATE '2024-01-30'",
+    LAYOUT_CTE), RAW_DOUBLES))
+def q_scan_day_partitions(spark, sf_dir):
+    root = fixtures.raw_layout(spark, sf_dir)
+    return round_doubles(SC.scan_day_partitions(spark, root, "2024-01-30", 30, ts_type=TS))
+
+
+@register("scan_fixed_schema", r6(with_ctes("SELECT * FROM raw"), RAW_DOUBLES))
+def q_scan_fixed_schema(spark, sf_dir):
+    root = fixtures.raw_layout(spark, sf_dir)
+    return round_doubles(SC.scan_day_partitions(spark, root, "2024-01-30", 30, ts_type=TS)
+                         .select(*RAW_COLS))
+
+
+@register("filter_exact_date", r6(with_ctes(
+    f"""SELECT {_RAW_LIST} FROM layout
+        WHERE dir BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
+          AND reading_timestamp >= TIMESTAMP '2024-01-02 00:00:00'
+          AND reading_timestamp < TIMESTAMP '2024-01-31 00:00:00'""", LAYOUT_CTE), RAW_DOUBLES))
+def q_filter_exact_date(spark, sf_dir):
+    root = fixtures.raw_layout(spark, sf_dir)
+    return round_doubles(SC.read_raw(spark, root, "2024-01-02", 1, "2024-01-30", ts_type=TS))
+
+
+def _clean_readback(df):
+    return round_doubles(df.select(*_CLEAN_OUT))
+
+
+@register("scan_processed_day", r6(with_ctes(
+    f"SELECT {', '.join(_CLEAN_OUT)} FROM clean"), CLEAN_DOUBLES))
+def q_scan_processed_day(spark, sf_dir):
+    root = fixtures.processed_layout(spark, sf_dir)
+    return _clean_readback(SC.scan_processed_days(spark, f"{root}/readings", "2024-01-01",
+                                                  "2024-01-30", ts_type=TS))
+
+
+@register("scan_training_window", r6(with_ctes(
+    f"SELECT {', '.join(_CLEAN_OUT)} FROM clean"), CLEAN_DOUBLES))
+def q_scan_training_window(spark, sf_dir):
+    root = fixtures.processed_layout(spark, sf_dir)
+    return _clean_readback(SC.scan_training_window(spark, f"{root}/readings", "2024-01-31",
+                                                   30, ts_type=TS))
+
+
+QUERIES["union_days"] = QUERIES["scan_training_window"]
+SQL["union_days"] = SQL["scan_training_window"]
+
+
+# --------------------------------------------------------------------------
+# K1-K8: writes, read back
+# --------------------------------------------------------------------------
+def _run_dir(spark, sf_dir, key):
+    return table_path(spark, "runs", fixtures._tag(sf_dir), key)
+
+
+@register("sink_clustered_parquet", r6(with_ctes(
+    f"SELECT {', '.join(_CLEAN_OUT)} FROM clean"), CLEAN_DOUBLES))
+def q_sink_clustered_parquet(spark, sf_dir):
+    path = _run_dir(spark, sf_dir, "clustered")
+    c = C.clean_readings(_raw(spark, sf_dir), fixtures.FIXTURE_AS_OF)
+    SK.write_clustered(c, path, ["utility_zone", "customer_type"])
+    s = clean_schema(TS)
+    fields = [f for f in s.fields if f.name not in ("utility_zone", "customer_type")]
+    back = spark.read.schema(T.StructType(fields + [s["utility_zone"], s["customer_type"]])).parquet(path)
+    return _clean_readback(back)
+
+
+@register("sink_clean_readings", r6(with_ctes(
+    f"SELECT {', '.join(_CLEAN_OUT)} FROM clean"), CLEAN_DOUBLES))
+def q_sink_clean_readings(spark, sf_dir):
+    path = _run_dir(spark, sf_dir, "readings")
+    SK.write_clean_readings(C.clean_readings(_raw(spark, sf_dir), fixtures.FIXTURE_AS_OF), path)
+    return _clean_readback(SC.scan_processed_days(spark, path, "2024-01-01", "2024-01-30", TS))
+
+
+def _hourly_written(spark, sf_dir):
+    path = _run_dir(spark, sf_dir, "hourly")
+    SK.write_hourly(R.hourly_rollup(C.clean_readings(_raw(spark, sf_dir))), path)
+    return path
+
+
+@register("sink_hourly", r6(with_ctes(HOURLY_SQL), HOURLY_DOUBLES))
+def q_sink_hourly(spark, sf_dir):
+    path = _hourly_written(spark, sf_dir)
+    return round_doubles(spark.read.schema(HOURLY_SCHEMA).parquet(path).select(*HOURLY_SCHEMA.names))
+
+
+@register("sink_daily", r6(with_ctes(DAILY_SQL), DAILY_DOUBLES))
+def q_sink_daily(spark, sf_dir):
+    path = _run_dir(spark, sf_dir, "daily")
+    SK.write_daily(R.daily_rollup(C.clean_readings(_raw(spark, sf_dir))), path)
+    return round_doubles(spark.read.schema(DAILY_SCHEMA).parquet(path).select(*DAILY_SCHEMA.names))
+
+
+def _scored_written(spark, sf_dir):
+    path = _run_dir(spark, sf_dir, "anomaly_scores")
+    g = _given_scored(spark, sf_dir).withColumn("scored_at", F.lit(fixtures.FIXTURE_AS_OF).cast("timestamp"))
+    SK.write_scored(g, path)
+    return path
+
+
+_SCORED_BACK = [f.name for f in scored_schema().fields if f.name != "scored_at"]
+
+
+@register("sink_scored", r6(with_ctes(
+    f"SELECT {', '.join(_SCORED_BACK)} FROM given_scored", GIVEN_SCORED_CTE), _GIVEN_DOUBLES))
+def q_sink_scored(spark, sf_dir):
+    path = _scored_written(spark, sf_dir)
+    return round_doubles(spark.read.schema(scored_schema(TS)).parquet(path).select(*_SCORED_BACK))
+
+
+@register("load_hourly_table", r6(with_ctes(HOURLY_SQL), HOURLY_DOUBLES))
+def q_load_hourly_table(spark, sf_dir):
+    src = _hourly_written(spark, sf_dir)
+    wh = _run_dir(spark, sf_dir, "warehouse/hourly_readings")
+    for _ in range(2):  # a re-run replaces the days, it does not add rows
+        t = SK.load_table(spark, src, wh, HOURLY_SCHEMA, "reading_date", "2024-01-01", "2024-01-30")
+    return round_doubles(t.select(*HOURLY_SCHEMA.names))
+
+
+@register("load_scored_table", r6(with_ctes(
+    f"SELECT {', '.join(_SCORED_BACK)} FROM given_scored", GIVEN_SCORED_CTE), _GIVEN_DOUBLES))
+def q_load_scored_table(spark, sf_dir):
+    src = _scored_written(spark, sf_dir)
+    wh = _run_dir(spark, sf_dir, "warehouse/anomaly_scores")
+    for _ in range(2):
+        t = SK.load_table(spark, src, wh, scored_schema(TS), "scoring_date", "2024-01-01", "2024-01-30")
+    return round_doubles(t.select(*_SCORED_BACK))
+
+
+# --------------------------------------------------------------------------
+# The model (rows-only: no SQL engine grows these trees)
+# --------------------------------------------------------------------------
+from gridlens.operators import forest as FO  # noqa: E402
+from gridlens.plans import jobs as J  # noqa: E402
+
+
+def _train_features(spark, sf_dir):
+    root = fixtures.processed_layout(spark, sf_dir)
+    w = SC.scan_training_window(spark, f"{root}/readings", "2024-01-31", 30, TS)
+    return C.drop_null_features(FE.engineer_features(w)).select(
+        "meter_id", "reading_timestamp", *FEATURE_COLS)
+
+
+@register("forest_sample")
+def q_forest_sample(spark, sf_dir):
+    sample, _ = FO.forest_sample(_train_features(spark, sf_dir))
+    return sample.select("tree_id", "meter_id", "reading_timestamp")
+
+
+@register("forest_fit")
+def q_forest_fit(spark, sf_dir):
+    feats = _train_features(spark, sf_dir)
+    sample, psi = FO.forest_sample(feats)
+    return FO.forest_fit(sample, psi)
+
+
+def _saved_model(spark, sf_dir):
+    root = fixtures.model_layout(spark, sf_dir)
+    nodes, metrics = SK.load_model_tables(spark, root)
+    return nodes, metrics
+
+
+@register("model_save_load")
+def q_model_save_load(spark, sf_dir):
+    return _saved_model(spark, sf_dir)[0]
+
+
+def _forest_scores(spark, sf_dir):
+    nodes, metrics = _saved_model(spark, sf_dir)
+    model = FO.load_model(nodes, int(metrics["max_samples"]))
+    feats = FE.impute_features(_train_features(spark, sf_dir))
+    return FO.score_readings(spark, feats, model).select(
+        "meter_id", "reading_timestamp", "anomaly_score")
+
+
+@register("score_readings")
+def q_score_readings(spark, sf_dir):
+    return _forest_scores(spark, sf_dir)
+
+
+@register("forest_score")
+def q_forest_score(spark, sf_dir):
+    nodes, metrics = _saved_model(spark, sf_dir)
+    return S.flag_and_grade(_forest_scores(spark, sf_dir), mode="offset",
+                            offset=metrics["offset"])
+
+
+@register("training_metrics")
+def q_training_metrics(spark, sf_dir):
+    return J.training_metrics_frame(spark, _saved_model(spark, sf_dir)[1])
+
+
+# --------------------------------------------------------------------------
+# Composed jobs
+# --------------------------------------------------------------------------
+@register("process_day", with_ctes(
+    f"""SELECT reading_date AS process_date, raw_count AS raw_rows, clean_count AS clean_rows,
+               dropped_pct AS drop_pct, {_STATUS} FROM ({QUALITY_SQL}) q"""))
+def q_process_day(spark, sf_dir):
+    out = _run_dir(spark, sf_dir, "p1")
+    return J.process_days(spark, fixtures.raw_layout(spark, sf_dir), out, "2024-01-01",
+                          "2024-01-30", lookback_days=1, enforce=False,
+                          as_of=fixtures.FIXTURE_AS_OF, ts_type=TS)
+
+
+@register("train_model")
+def q_train_model(spark, sf_dir):
+    out = _run_dir(spark, sf_dir, "p2")
+    return J.train_model(spark, fixtures.processed_layout(spark, sf_dir), out,
+                         "2024-01-31", 30, TS)
+
+
+@register("score_day")
+def q_score_day(spark, sf_dir):
+    out = _run_dir(spark, sf_dir, "p3")
+    return J.score_days(spark, fixtures.processed_layout(spark, sf_dir),
+                        fixtures.model_layout(spark, sf_dir), out, "2024-01-01", "2024-01-30",
+                        history_days=0, as_of=fixtures.FIXTURE_AS_OF, ts_type=TS)
+
+
+@register("validate_day", r6(with_ctes(
+    f"""SELECT h.reading_date, h.row_count, h.duplicate_keys, r.total, r.anomalies,
+               r.anomaly_rate_pct, coalesce(r.anomaly_rate_pct > 5.0, false) AS alert
+        FROM (SELECT reading_date, count(*) AS row_count,
+                     count(*) - count(DISTINCT (meter_id, reading_hour)) AS duplicate_keys
+              FROM ({HOURLY_SQL}) x GROUP BY reading_date) h
+        LEFT JOIN ({RATE_SQL}) r ON r.scoring_date = h.reading_date""", GIVEN_SCORED_CTE),
+    ["anomaly_rate_pct"]))
+def q_validate_day(spark, sf_dir):
+    out = _run_dir(spark, sf_dir, "p4")
+    SK.write_hourly(R.hourly_rollup(C.clean_readings(_raw(spark, sf_dir))), f"{out}/hourly")
+    g = _given_scored(spark, sf_dir).withColumn("scored_at", F.lit(fixtures.FIXTURE_AS_OF).cast("timestamp"))
+    SK.write_scored(g, f"{out}/anomaly_scores")
+    return round_doubles(J.validate_days(spark, out, f"{out}/warehouse", "2024-01-01",
+                                         "2024-01-30", enforce=False, ts_type=TS))

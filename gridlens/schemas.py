@@ -90,3 +90,45 @@ FOREST_NODE_SCHEMA = T.StructType([
     T.StructField("n_rows", T.IntegerType(), False),
     T.StructField("path_len", T.DoubleType(), False),
 ])
+
+
+_SIMPLE = {"string": T.StringType(), "date": T.DateType(), "int": T.IntegerType(),
+           "bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+
+
+def _fields(spec: str) -> T.StructType:
+    """``"name type, ..."`` with simple types (no session needed)."""
+    pairs = [p.split() for p in spec.split(",")]
+    return T.StructType([T.StructField(n, _SIMPLE[t], True) for n, t in pairs])
+
+
+HOURLY_SCHEMA = _fields(
+    "meter_id string, reading_date date, reading_hour int, utility_zone string, "
+    "customer_type string, total_kwh double, avg_kwh double, max_kwh double, min_kwh double, "
+    "std_kwh double, avg_voltage double, min_voltage double, max_voltage double, "
+    "avg_power_factor double, avg_current double, avg_temp_c double, reading_count bigint, "
+    "peak_hour_readings bigint")
+
+DAILY_SCHEMA = _fields(
+    "meter_id string, reading_date date, utility_zone string, customer_type string, "
+    "daily_kwh double, avg_hourly_kwh double, peak_kwh double, avg_voltage double, "
+    "avg_power_factor double, total_readings bigint, peak_readings bigint, "
+    "off_peak_readings bigint")
+
+
+def scored_schema(ts_type: T.DataType | None = None) -> T.StructType:
+    ts = ts_type or T.TimestampType()
+    return T.StructType([
+        T.StructField("meter_id", T.StringType()),
+        T.StructField("reading_timestamp", ts),
+        T.StructField("kwh_consumed", T.DoubleType()),
+        T.StructField("voltage", T.DoubleType()),
+        T.StructField("power_factor", T.DoubleType()),
+        T.StructField("utility_zone", T.StringType()),
+        T.StructField("customer_type", T.StringType()),
+        T.StructField("anomaly_score", T.DoubleType()),
+        T.StructField("is_anomaly", T.BooleanType()),
+        T.StructField("anomaly_severity", T.StringType()),
+        T.StructField("scored_at", T.TimestampType()),
+        T.StructField("scoring_date", T.DateType()),
+    ])

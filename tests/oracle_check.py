@@ -47,7 +47,7 @@ def compare(spark, con, sf_dir, key, fn, sql):
     stypes = [SPARK2DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
               for f in sdf.schema.fields]
     if sql is None:
-        return f"{key}: rows={len(srows)} (no oracle) spark={t1 - t0:.1f}s"
+        return f"OK  {key}: rows={len(srows)} (rows-only, no oracle) spark={t1 - t0:.1f}s"
     rel = con.sql(sql)
     dcols = rel.columns
     dtypes = [str(t) for t in rel.types]
