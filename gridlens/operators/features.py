@@ -15,7 +15,7 @@ from gridlens.schemas import FEATURE_COLS
 
 
 def engineer_features(df: DataFrame, frame_rows: int = rolling.TRAIN_FRAME_ROWS,
-                      scoring_variant: bool = False, split_long_series: bool = False,
+                      scoring_variant: bool = False, split_long_series: bool = True,
                       rows_per_task: int | None = None) -> DataFrame:
     """hour/weekday cyclic encodings, apparent power, rolling mean and
     std per meter, z-score. Input: cleaned readings (or raw ones).

@@ -60,7 +60,7 @@ def process_days(spark: SparkSession, raw_root: str, out_root: str, first_day,
 
 def train_model(spark: SparkSession, processed_root: str, model_root: str, process_date,
                 lookback_days: int = 30, ts_type: T.DataType | None = None,
-                split_long_series: bool = False) -> DataFrame:
+                split_long_series: bool = True) -> DataFrame:
     """Training window -> features -> drop incomplete rows -> forest
     -> training scores -> offset and metrics -> saved model.
 
@@ -102,7 +102,7 @@ def training_metrics_frame(spark: SparkSession, m: dict) -> DataFrame:
 def score_days(spark: SparkSession, processed_root: str, model_root: str, out_root: str,
                process_date, last_day=None, history_days: int = 7, mode: str = "offset",
                reference_scoring: bool = False, as_of: dt.datetime | None = None,
-               ts_type: T.DataType | None = None, split_long_series: bool = False) -> DataFrame:
+               ts_type: T.DataType | None = None, split_long_series: bool = True) -> DataFrame:
     """Saved model + cleaned day(s) -> features -> impute -> score ->
     flag/severity -> write; returns the A12 summary row.
 
