@@ -1,0 +1,8 @@
+"""Streaming: nothing to build.
+
+The reference is a daily batch pipeline; it has no stream source, sink,
+watermark, windowed or stateful operator, so this package holds no
+operators. The batch operators are plain ``DataFrame -> DataFrame``
+functions; only the dedup (F5, an aggregate) and the rolling frames
+(W1-W3, row windows) would need a stateful rewrite to run on a stream.
+"""
