@@ -850,3 +850,55 @@ def q_validate_day(spark, sf_dir):
     SK.write_scored(g, f"{out}/anomaly_scores")
     return round_doubles(J.validate_days(spark, out, f"{out}/warehouse", "2024-01-01",
                                          "2024-01-30", enforce=False, ts_type=TS))
+
+
+# --------------------------------------------------------------------------
+# Processing stamp and the native replacement of the
+# reference's struct-returning pandas UDF
+# --------------------------------------------------------------------------
+@register("stamp_processing_time", with_ctes(
+    """SELECT meter_id, reading_timestamp, TIMESTAMP '2024-02-01 00:00:00' AS _processed_at
+       FROM clean"""))
+def q_stamp_processing_time(spark, sf_dir):
+    c = C.clean_readings(_raw(spark, sf_dir), as_of=fixtures.FIXTURE_AS_OF)
+    return c.select("meter_id", "reading_timestamp",
+                    F.col("_processed_at").cast("timestamp_ntz").alias("_processed_at"))
+
+
+_CYCLIC_SQL = """
+  SELECT meter_id, reading_timestamp,
+         sin(2 * pi() * hour(reading_timestamp) / 24) AS reading_hour_sin,
+         cos(2 * pi() * hour(reading_timestamp) / 24) AS reading_hour_cos,
+         sin(2 * pi() * (isodow(reading_timestamp) - 1) / 7) AS day_of_week_sin,
+         cos(2 * pi() * (isodow(reading_timestamp) - 1) / 7) AS day_of_week_cos,
+         CASE WHEN power_factor > 0 THEN kwh_consumed / power_factor END AS apparent_power_kva
+  FROM raw"""
+_CYCLIC_DOUBLES = ["reading_hour_sin", "reading_hour_cos", "day_of_week_sin",
+                   "day_of_week_cos", "apparent_power_kva"]
+
+
+def _cyclic_struct(df):
+    h, d = D.reading_hour(), D.weekday()
+    return F.struct(D.cyclic_sin(h, 24).alias("reading_hour_sin"),
+                    D.cyclic_cos(h, 24).alias("reading_hour_cos"),
+                    D.cyclic_sin(d, 7).alias("day_of_week_sin"),
+                    D.cyclic_cos(d, 7).alias("day_of_week_cos"),
+                    D.apparent_power().alias("apparent_power_kva"))
+
+
+@register("cyclic_features_udf", r6(with_ctes(_CYCLIC_SQL), _CYCLIC_DOUBLES))
+def q_cyclic_features_udf(spark, sf_dir):
+    r = _raw(spark, sf_dir)
+    return round_doubles(r.select("meter_id", "reading_timestamp",
+                                  D.cyclic_sin(D.reading_hour(), 24).alias("reading_hour_sin"),
+                                  D.cyclic_cos(D.reading_hour(), 24).alias("reading_hour_cos"),
+                                  D.cyclic_sin(D.weekday(), 7).alias("day_of_week_sin"),
+                                  D.cyclic_cos(D.weekday(), 7).alias("day_of_week_cos"),
+                                  D.apparent_power().alias("apparent_power_kva")))
+
+
+@register("unpack_struct", r6(with_ctes(_CYCLIC_SQL), _CYCLIC_DOUBLES))
+def q_unpack_struct(spark, sf_dir):
+    r = _raw(spark, sf_dir)
+    return round_doubles(r.select("meter_id", "reading_timestamp", _cyclic_struct(r).alias("s"))
+                         .select("meter_id", "reading_timestamp", "s.*"))
