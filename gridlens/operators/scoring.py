@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from gridlens.functions import derive as D
 
 CONTAMINATION = 0.02  # fixed value: expected share of anomalies
+MAX_ACCURACY = 10_000_000
 
 
 def flag_and_grade(df: DataFrame, mode: str = "offset", offset: float | None = None,
@@ -109,36 +110,45 @@ def exact_quantile(df: DataFrame, col: str, q: float, max_collect: int = 20000,
         lo, hi, below = None, None, 0
         cand = x
         m = n
+        margin = 2.0
         for _ in range(32):
             if m <= max_collect:
-                vals = sorted(r["x"] for r in cand.collect())
-                v = [vals[r - below] for r in ranks]
-                return v[0] if len(v) == 1 else v[0] + (v[1] - v[0]) * frac
+                hist = [(r["x"], 1) for r in cand.collect()]
+                return _pick(hist, [r - below for r in ranks], frac)
             # local ranks of the targets inside the current candidates
             t_lo = (ranks[0] - below) / m
             t_hi = (ranks[-1] - below) / m
-            eps = 2.0 / accuracy
+            eps = margin / accuracy
             qs = [max(0.0, t_lo - eps), min(1.0, t_hi + eps)]
             b = cand.agg(F.percentile_approx("x", qs, accuracy).alias("b")).first()["b"]
-            new_lo, new_hi = b[0], b[1]
-            if t_lo - eps <= 0:
-                new_lo = lo
-            if t_hi + eps >= 1:
-                new_hi = hi
+            new_lo = lo if t_lo - eps <= 0 else b[0]
+            new_hi = hi if t_hi + eps >= 1 else b[1]
             cond = F.lit(True)
             if new_lo is not None:
                 cond = cond & (F.col("x") >= F.lit(new_lo))
             if new_hi is not None:
                 cond = cond & (F.col("x") <= F.lit(new_hi))
-            cnt = cand.agg(
-                F.count_if(cond).alias("inside"),
-                F.count_if(F.col("x") < F.lit(new_lo)) .alias("under") if new_lo is not None
-                else F.lit(0).alias("under")).first()
-            if cnt["inside"] >= m:  # no progress (ties): tighten the sketch
-                accuracy *= 10
+            under = (F.count_if(F.col("x") < F.lit(new_lo)) if new_lo is not None
+                     else F.lit(0))
+            cnt = cand.agg(F.count_if(cond).alias("inside"), under.alias("under")).first()
+            if cnt["inside"] >= m:
+                # No progress: the bracket is held by repeated values. A
+                # histogram of the distinct values settles it when small.
+                hist = cand.groupBy("x").count()
+                if hist.limit(max_collect + 1).count() <= max_collect:
+                    pairs = [(r["x"], int(r["count"])) for r in hist.collect()]
+                    return _pick(pairs, [r - below for r in ranks], frac)
+                if accuracy >= MAX_ACCURACY:
+                    raise RuntimeError("quantile bracket did not narrow")
+                accuracy = min(accuracy * 10, MAX_ACCURACY)
+                continue
+            new_below = below + int(cnt["under"])
+            if not (new_below <= ranks[0] and ranks[-1] < new_below + int(cnt["inside"])):
+                # the sketch missed its error bound: widen the margin
+                margin *= 4
                 continue
             lo, hi = new_lo, new_hi
-            below += int(cnt["under"])
+            below = new_below
             cand = cand.filter(cond)
             m = int(cnt["inside"])
         raise RuntimeError("quantile bracket did not converge")
@@ -146,6 +156,20 @@ def exact_quantile(df: DataFrame, col: str, q: float, max_collect: int = 20000,
         x.unpersist()
 
 
+def _pick(hist, local_ranks, frac):
+    """Values at 0-based ranks of a (value, count) histogram, interpolated."""
+    hist = sorted(hist)
+    vals = []
+    for r in local_ranks:
+        seen = 0
+        for v, c in hist:
+            seen += c
+            if r < seen:
+                vals.append(v)
+                break
+    return vals[0] if len(vals) == 1 else vals[0] + (vals[1] - vals[0]) * frac
+
+
 def contamination_offset(train_scores: DataFrame, contamination: float = CONTAMINATION,
                          score: str = "anomaly_score") -> float | None:
     """M4: the score below which ``contamination`` of training rows lie."""

@@ -119,3 +119,11 @@ def test_exact_quantile_brackets(spark, q):
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     got = S.exact_quantile(df, "x", q, max_collect=100, accuracy=100)
     assert got == pytest.approx(float(np.quantile(vals, q)))
+
+
+def test_exact_quantile_constant_and_empty(spark):
+    df = spark.createDataFrame([(2.5,)] * 3000 + [(None,)], "x double")
+    assert S.exact_quantile(df, "x", 0.02, max_collect=100) == 2.5
+    assert S.exact_quantile(df.filter("x < 0"), "x", 0.5) is None
+    two = spark.createDataFrame([(1.0,)] * 1500 + [(2.0,)] * 1500, "x double")
+    assert S.exact_quantile(two, "x", 0.5, max_collect=100) == pytest.approx(1.5)
