@@ -45,23 +45,24 @@ def quality_report(raw: DataFrame, clean: DataFrame, by: str | Sequence[str] | N
 
     ``dropped_pct = round((1 - clean / max(raw, 1)) * 100, 2)``; status is
     WARN above 5 %, FAIL above 10 % (the reference raises there), else OK.
-    With ``by`` (e.g. ``reading_date``) there is one row per group, from
-    two partial aggregates joined on the group key (one row per day each
-    side). ``raw`` gets ``day_col`` derived from its timestamp if absent.
+    With ``by`` (e.g. ``reading_date``) there is one row per group. Both
+    inputs are tagged and stacked, then counted in one aggregate (partial
+    aggregation, no join); a group present on one side only counts 0 on
+    the other. ``raw`` gets ``day_col`` derived from its timestamp if absent.
     """
     keys = _by(by)
     if day_col in keys and day_col not in raw.columns:
         raw = raw.withColumn(day_col, F.to_date("reading_timestamp"))
-    rc = _counts(raw, keys, "raw_count")
-    cc = _counts(clean, keys, "clean_count")
-    if keys:
-        rep = rc.join(cc, on=keys, how="full_outer")
-    else:
-        rep = rc.crossJoin(cc)  # two one-row aggregates
-    rep = (rep.fillna(0, subset=["raw_count", "clean_count"])
-              .withColumn("dropped_pct", F.round(
-                  (F.lit(1.0) - F.col("clean_count") / F.greatest(F.col("raw_count"), F.lit(1)))
-                  * F.lit(100.0), 2)))
+    tagged = (raw.select(*keys, F.lit(1).alias("_raw"))
+                 .unionByName(clean.select(*keys, F.lit(0).alias("_raw"))))
+    rep = tagged.groupBy(*keys).agg(
+        F.count_if(F.col("_raw") == 1).alias("raw_count"),
+        F.count_if(F.col("_raw") == 0).alias("clean_count"))
+    if not keys:  # an empty input still yields its one report row
+        rep = rep.fillna(0, subset=["raw_count", "clean_count"])
+    rep = rep.withColumn("dropped_pct", F.round(
+        (F.lit(1.0) - F.col("clean_count") / F.greatest(F.col("raw_count"), F.lit(1)))
+        * F.lit(100.0), 2))
     return rep.withColumn("status", drop_status("dropped_pct")).select(
         *keys, "raw_count", "clean_count", "dropped_pct", "status")
 
