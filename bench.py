@@ -79,6 +79,13 @@ def main():
         spark, raw_root, out, "2024-01-01", "2024-01-30", lookback_days=1, enforce=False,
         ts_type=fixtures.FIXTURE_TS).count())
 
+    model_root = f"{out}/model"
+    timed("train_model", lambda: J.train_model(
+        spark, out, model_root, "2024-01-31", 30, fixtures.FIXTURE_TS).count())
+    timed("score_days", lambda: J.score_days(
+        spark, out, model_root, out, "2024-01-01", "2024-01-30", history_days=0,
+        ts_type=fixtures.FIXTURE_TS).count())
+
     total = round(sum(v for k, v in times.items() if k != "write_raw_layout"), 3)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec",

@@ -180,22 +180,32 @@ class ForestModel:
 
     def score(self, X: np.ndarray) -> np.ndarray:
         """Negated anomaly score of each row: -2^(-E[h(x)] / c(psi));
-        lower = more anomalous, range [-1, 0)."""
+        lower = more anomalous, range [-1, 0).
+
+        All trees descend together, one level per step, on flat
+        (tree * width + node) indices into the raveled node arrays.
+        """
         n = X.shape[0]
         if n == 0:
             return np.zeros(0)
-        t = np.arange(self.n_trees)[None, :]
-        rows = np.arange(n)[:, None]
-        node = np.zeros((n, self.n_trees), dtype=np.int32)
+        width = self.feature.shape[1]
+        feat = self.feature.ravel()
+        thr = self.threshold.ravel()
+        off = (np.arange(self.n_trees, dtype=np.int32) * width)[None, :]
+        left = self.left.ravel() + np.repeat(off.ravel(), width)
+        right = self.right.ravel() + np.repeat(off.ravel(), width)
+        Xf = np.ascontiguousarray(X, dtype=float).ravel()
+        row_off = (np.arange(n, dtype=np.int64) * X.shape[1])[:, None]
+        cur = np.repeat(off, n, axis=0)
         for _ in range(self.depth):
-            f = self.feature[t, node]
+            f = feat[cur]
             inner = f >= 0
             if not inner.any():
                 break
-            xv = X[rows, np.where(inner, f, 0)]
-            nxt = np.where(xv < self.threshold[t, node], self.left[t, node], self.right[t, node])
-            node = np.where(inner, nxt, node)
-        mean_path = self.path_len[t, node].mean(axis=1)
+            xv = Xf[row_off + np.maximum(f, 0)]
+            nxt = np.where(xv < thr[cur], left[cur], right[cur])
+            cur = np.where(inner, nxt, cur)
+        mean_path = self.path_len.ravel()[cur].mean(axis=1)
         return -np.power(2.0, -mean_path / float(average_path_length([self.psi])[0]))
 
 
