@@ -127,7 +127,8 @@ def _grow_tree(X: np.ndarray, rng: np.random.Generator, limit: int) -> list[tupl
 
 
 def forest_fit(sample: DataFrame, psi: int, seed: int = SEED,
-               feature_cols=FEATURE_COLS) -> DataFrame:
+               feature_cols=FEATURE_COLS, n_trees: int = N_TREES,
+               tree_tasks: int | None = None) -> DataFrame:
     """M2: one tree per ``tree_id`` group, grown in pandas on <= 256 rows.
 
     Rows are ordered by their rank hash before growing and the generator
@@ -149,7 +150,12 @@ def forest_fit(sample: DataFrame, psi: int, seed: int = SEED,
         return out.astype({"tree_id": "int32", "node_id": "int32", "feature": "int32",
                            "left": "int32", "right": "int32", "n_rows": "int32"})
 
-    return sample.groupBy("tree_id").applyInPandas(grow, FOREST_NODE_SCHEMA)
+    # The groups are small in bytes but costly in Python, so AQE would
+    # coalesce them into a few tasks; a fixed hash partitioning on tree_id
+    # spreads the trees (groupBy reuses it, no second shuffle).
+    tasks = tree_tasks or max(1, min(n_trees, 2 * sample.sparkSession.sparkContext.defaultParallelism))
+    return (sample.repartition(tasks, "tree_id")
+                  .groupBy("tree_id").applyInPandas(grow, FOREST_NODE_SCHEMA))
 
 
 class ForestModel:
@@ -250,5 +256,5 @@ def train(spark: SparkSession, features: DataFrame, n_trees: int = N_TREES,
     shared_dir(spark)  # checkpoint folder of the session (set in local mode)
     n = features.count()
     sample, psi = forest_sample(features, n, n_trees, max_samples, seed)
-    nodes = forest_fit(sample, psi, seed).checkpoint(eager=True)
+    nodes = forest_fit(sample, psi, seed, n_trees=n_trees).checkpoint(eager=True)
     return nodes, psi, n
