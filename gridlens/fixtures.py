@@ -168,3 +168,19 @@ def model_layout(spark: SparkSession, sf_dir: str) -> str:
         jobs.train_model(spark, processed_layout(spark, sf_dir), root,
                          FIXTURE_LAST_DAY + _dt.timedelta(days=1), 30, FIXTURE_TS)
     return root
+
+
+def train_features_layout(spark: SparkSession, sf_dir: str) -> str:
+    """Model features of the 30-day training window (S5 -> D17 -> F7),
+    written once so the model queries do not rebuild them."""
+    from gridlens.operators import clean, features
+    from gridlens.schemas import FEATURE_COLS
+    from gridlens.session import path_exists
+    from gridlens.sources import scans
+    root = fixture_root(spark, sf_dir, "train_features")
+    if not path_exists(spark, root + "/_SUCCESS"):
+        w = scans.scan_training_window(spark, f"{processed_layout(spark, sf_dir)}/readings",
+                                       FIXTURE_LAST_DAY + _dt.timedelta(days=1), 30, FIXTURE_TS)
+        f = clean.drop_null_features(features.engineer_features(w))
+        f.select("meter_id", "reading_timestamp", *FEATURE_COLS).write.mode("overwrite").parquet(root)
+    return root

@@ -752,10 +752,7 @@ from gridlens.plans import jobs as J  # noqa: E402
 
 
 def _train_features(spark, sf_dir):
-    root = fixtures.processed_layout(spark, sf_dir)
-    w = SC.scan_training_window(spark, f"{root}/readings", "2024-01-31", 30, TS)
-    return C.drop_null_features(FE.engineer_features(w)).select(
-        "meter_id", "reading_timestamp", *FEATURE_COLS)
+    return spark.read.parquet(fixtures.train_features_layout(spark, sf_dir))
 
 
 @register("forest_sample")

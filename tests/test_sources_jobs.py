@@ -104,3 +104,15 @@ def test_train_score_validate_chain(spark):
                        f"{out}/hourly")
     v = J.validate_days(spark, out, table_path(spark, "test-wh2"), "2024-01-25", ts_type=TS).first()
     assert v["row_count"] > 0 and v["duplicate_keys"] == 0 and v["alert"] is False
+
+
+def test_write_clustered_with_partition_count(spark):
+    df = spark.createDataFrame([(i % 3, f"Z{i % 2}", float(i)) for i in range(60)],
+                               "d int, zone string, v double")
+    path = table_path(spark, "test-k1")
+    sinks.write_clustered(df, path, ["d", "zone"], num_partitions=5)
+    back = spark.read.parquet(path)
+    assert back.count() == 60
+    assert back.groupBy("d", "zone").count().count() == 6
+    sinks.write_clustered(df.filter("d = 0"), path, ["d", "zone"])   # rewrite one day only
+    assert spark.read.parquet(path).count() == 60                    # dynamic overwrite
