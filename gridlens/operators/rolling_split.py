@@ -102,20 +102,26 @@ def _hot_path(hot: DataFrame, n_hot: int, frame_rows: int, std_null_to_zero: boo
     tails = ranged.select("_pid", key, order, value).mapInPandas(
         _tails_fn(key, order, value, frame_rows), tail_schema).checkpoint(eager=True)
 
-    summary = tails.groupBy("_pid").agg(
+    # One row per non-empty partition (metadata: grows with the number of
+    # partitions, not with any meter). ``_seq`` numbers the non-empty
+    # partitions, so a partition links to its true predecessor even if a
+    # range partition came out empty.
+    by_pid = Window.orderBy("_pid")
+    summary = (tails.groupBy("_pid").agg(
         F.first("_first_key").alias("first_key"), F.first(key).alias("last_key"),
         F.first("_n_last").alias("n_last"))
-    prev = summary.select((F.col("_pid") + 1).alias("_pid"),
-                          F.col("first_key").alias("prev_first"),
-                          F.col("last_key").alias("prev_last"),
-                          F.col("n_last").alias("prev_n"))
-    targets = (summary.join(prev, "_pid", "inner")
-               .filter(F.col("prev_last") == F.col("first_key"))
+        .withColumn("_seq", F.row_number().over(by_pid))
+        .withColumn("prev_first", F.lag("first_key").over(by_pid))
+        .withColumn("prev_last", F.lag("last_key").over(by_pid))
+        .withColumn("prev_n", F.lag("n_last").over(by_pid))).checkpoint(eager=True)
+    seq_pid = summary.select(F.col("_seq").alias("_src_seq"), F.col("_pid").alias("_src_pid"))
+    targets = (summary.filter(F.col("prev_last") == F.col("first_key"))
                .withColumn("span", F.when((F.col("prev_first") == F.col("first_key"))
                                           & (F.col("prev_n") < L), F.lit(L)).otherwise(F.lit(1)))
                .select(F.col("_pid").alias("_target"), F.col("first_key").alias(key),
-                       F.explode(F.sequence(F.col("_pid") - F.col("span"),
-                                            F.col("_pid") - 1)).alias("_pid")))
+                       F.explode(F.sequence(F.greatest(F.col("_seq") - F.col("span"), F.lit(1)),
+                                            F.col("_seq") - 1)).alias("_src_seq"))
+               .join(seq_pid, "_src_seq").select("_target", key, F.col("_src_pid").alias("_pid")))
     halo = (targets.join(tails.select("_pid", key, order, value), ["_pid", key], "inner")
             .withColumn("_r", F.row_number().over(
                 Window.partitionBy("_target").orderBy(F.col(order).desc())))
