@@ -116,3 +116,13 @@ def test_write_clustered_with_partition_count(spark):
     assert back.groupBy("d", "zone").count().count() == 6
     sinks.write_clustered(df.filter("d = 0"), path, ["d", "zone"])   # rewrite one day only
     assert spark.read.parquet(path).count() == 60                    # dynamic overwrite
+
+
+def test_cli_process(spark, capsys):
+    from gridlens.plans import cli
+    raw_root = fixtures.raw_layout(spark, SF)
+    out = table_path(spark, "test-cli")
+    cli.main(["process", "--date", "2024-01-25", "--lookback-days", "1", "--no-gate",
+              "--raw-root", raw_root, "--out-root", out])
+    printed = capsys.readouterr().out
+    assert '"process_date": "2024-01-25"' in printed
