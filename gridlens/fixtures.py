@@ -136,37 +136,40 @@ def fixture_root(spark: SparkSession, sf_dir: str, *parts: str) -> str:
 def raw_layout(spark: SparkSession, sf_dir: str) -> str:
     """Adapter rows under ``year=/month=/day=`` of their directory date
     (FIXTURES.md s.3: every reading with minute % 20 = 0 one day early)."""
-    from gridlens.session import path_exists
+    from gridlens.session import is_done, mark_done
     from gridlens.sources.sinks import write_clustered
     root = fixture_root(spark, sf_dir, "raw_readings")
-    if not path_exists(spark, root + "/_SUCCESS"):
+    if not is_done(spark, root):
         d = readings(spark, sf_dir).withColumn("_dir", misplaced_day())
         d = (d.withColumn("year", F.year("_dir")).withColumn("month", F.month("_dir"))
               .withColumn("day", F.dayofmonth("_dir")).drop("_dir"))
         write_clustered(d, root, ["year", "month", "day"])
+        mark_done(spark, root)
     return root
 
 
 def processed_layout(spark: SparkSession, sf_dir: str) -> str:
     """P1 over every fixture day (gate reported, not enforced)."""
     from gridlens.plans import jobs
-    from gridlens.session import path_exists
+    from gridlens.session import is_done, mark_done
     root = fixture_root(spark, sf_dir, "processed")
-    if not path_exists(spark, root + "/daily/_SUCCESS"):
+    if not is_done(spark, root):
         jobs.process_days(spark, raw_layout(spark, sf_dir), root, FIXTURE_FIRST_DAY,
                            FIXTURE_LAST_DAY, lookback_days=1, enforce=False,
                            as_of=FIXTURE_AS_OF, ts_type=FIXTURE_TS)
+        mark_done(spark, root)
     return root
 
 
 def model_layout(spark: SparkSession, sf_dir: str) -> str:
     """P2 for 2024-01-31 over the 30 fixture days."""
     from gridlens.plans import jobs
-    from gridlens.session import path_exists
+    from gridlens.session import is_done, mark_done
     root = fixture_root(spark, sf_dir, "model")
-    if not path_exists(spark, root + "/metrics/_SUCCESS"):
+    if not is_done(spark, root):
         jobs.train_model(spark, processed_layout(spark, sf_dir), root,
                          FIXTURE_LAST_DAY + _dt.timedelta(days=1), 30, FIXTURE_TS)
+        mark_done(spark, root)
     return root
 
 
@@ -175,12 +178,13 @@ def train_features_layout(spark: SparkSession, sf_dir: str) -> str:
     written once so the model queries do not rebuild them."""
     from gridlens.operators import clean, features
     from gridlens.schemas import FEATURE_COLS
-    from gridlens.session import path_exists
+    from gridlens.session import is_done, mark_done
     from gridlens.sources import scans
     root = fixture_root(spark, sf_dir, "train_features")
-    if not path_exists(spark, root + "/_SUCCESS"):
+    if not is_done(spark, root):
         w = scans.scan_training_window(spark, f"{processed_layout(spark, sf_dir)}/readings",
                                        FIXTURE_LAST_DAY + _dt.timedelta(days=1), 30, FIXTURE_TS)
         f = clean.drop_null_features(features.engineer_features(w))
         f.select("meter_id", "reading_timestamp", *FEATURE_COLS).write.mode("overwrite").parquet(root)
+        mark_done(spark, root)
     return root

@@ -85,3 +85,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(p)
+
+
+DONE_MARKER = "_GRIDLENS_DONE"
+
+
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def mark_done(spark: SparkSession, root: str) -> None:
+    """Record that the table under ``root`` is complete (dynamic partition
+    overwrite leaves no ``_SUCCESS`` file at the table root)."""
+    fs, p = _fs_path(spark, f"{root}/{DONE_MARKER}")
+    fs.create(p, True).close()
+
+
+def is_done(spark: SparkSession, root: str) -> bool:
+    fs, p = _fs_path(spark, f"{root}/{DONE_MARKER}")
+    return bool(fs.exists(p))
