@@ -54,6 +54,11 @@ def main():
     small = fixtures.readings(spark, "/root/testdata/sf0.001")
     _noop(R.hourly_rollup(C.clean_readings(small)))
     _noop(FE.engineer_features(C.clean_readings(small), split_long_series=False))
+    wf = C.drop_null_features(FE.engineer_features(C.clean_readings(small))).select(
+        "meter_id", "reading_timestamp", *FEATURE_COLS)
+    ws, wpsi = FO.forest_sample(wf, n_trees=16)
+    wm = FO.load_model(FO.forest_fit(ws, wpsi, n_trees=16), wpsi)
+    _noop(FO.score_readings(spark, wf, wm))
     _noop(raw)
 
     timed("clean_readings", lambda: _noop(C.clean_readings(raw)))
