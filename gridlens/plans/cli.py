@@ -4,7 +4,7 @@
         --raw-root s3://.../raw/meter_readings --out-root s3://.../processed
     ... train    --date 2024-01-15 --lookback-days 30 --out-root ... --model-root ...
     ... score    --date 2024-01-15 --out-root ... --model-root ... --scores-root ...
-    ... validate --date 2024-01-15 --scores-root ... --warehouse-root ...
+    ... validate --date 2024-01-15 --out-root ... --scores-root ... --warehouse-root ...
 
 ``--date`` defaults to today; ``--lookback-days`` to 0 for ``process``
 and 30 for ``train``. Each command prints its one-row (or per-day)
@@ -53,8 +53,8 @@ def _parser() -> argparse.ArgumentParser:
 
     sp = sub.add_parser("validate", help="P4: load tables and run the checks")
     common(sp)
-    sp.add_argument("--scores-root", required=True,
-                    help="folder holding hourly/ and anomaly_scores/")
+    sp.add_argument("--out-root", required=True, help="root written by 'process'")
+    sp.add_argument("--scores-root", required=True, help="root written by 'score'")
     sp.add_argument("--warehouse-root", required=True)
     sp.add_argument("--append", action="store_true", help="append instead of overwrite")
     return p
@@ -72,8 +72,9 @@ def main(argv=None) -> None:
         out = jobs.score_days(spark, a.out_root, a.model_root, a.scores_root, a.date,
                               a.end_date, a.history_days, a.mode, a.reference_scoring)
     else:
-        out = jobs.validate_days(spark, a.scores_root, a.warehouse_root, a.date, a.end_date,
-                                 mode="append" if a.append else "overwrite")
+        out = jobs.validate_days(spark, a.out_root, a.warehouse_root, a.date, a.end_date,
+                                 mode="append" if a.append else "overwrite",
+                                 scores_root=a.scores_root)
     for row in out.toJSON().collect():  # one row per processed day
         print(json.dumps(json.loads(row)))
 

@@ -21,8 +21,7 @@ from gridlens.operators import forest as FO
 from gridlens.operators import quality as Q
 from gridlens.operators import rollup as R
 from gridlens.operators import scoring as S
-from gridlens.schemas import (DAILY_SCHEMA, FEATURE_COLS, HOURLY_SCHEMA, SCORED_COLS,
-                              scored_schema)
+from gridlens.schemas import FEATURE_COLS, HOURLY_SCHEMA, SCORED_COLS, scored_schema
 from gridlens.session import shared_dir
 from gridlens.sources import scans, sinks
 
@@ -133,15 +132,18 @@ def score_days(spark: SparkSession, processed_root: str, model_root: str, out_ro
 
 def validate_days(spark: SparkSession, out_root: str, warehouse_root: str, first_day,
                   last_day=None, mode: str = "overwrite", enforce: bool = True,
-                  ts_type: T.DataType | None = None) -> DataFrame:
-    """Load hourly and scored files into the warehouse tables (K6, K7),
-    then row count (A6), duplicate meter-hours (A7) and anomaly rate (A8)
-    per day; with ``enforce`` the gates raise in that order."""
+                  ts_type: T.DataType | None = None, scores_root: str | None = None) -> DataFrame:
+    """Load hourly files (``out_root/hourly``, written by P1) and scored
+    files (``scores_root/anomaly_scores``, written by P3; defaults to
+    ``out_root``) into the warehouse tables (K6, K7), then row count (A6),
+    duplicate meter-hours (A7) and anomaly rate (A8) per day; with
+    ``enforce`` the gates raise in that order."""
     d0 = _d(first_day)
     d1 = _d(last_day) if last_day else d0
+    scores_root = scores_root or out_root
     hourly = sinks.load_table(spark, f"{out_root}/hourly", f"{warehouse_root}/hourly_readings",
                               HOURLY_SCHEMA, "reading_date", d0, d1, mode)
-    scored = sinks.load_table(spark, f"{out_root}/anomaly_scores",
+    scored = sinks.load_table(spark, f"{scores_root}/anomaly_scores",
                               f"{warehouse_root}/anomaly_scores", scored_schema(ts_type),
                               "scoring_date", d0, d1, mode)
     in_range = F.col("reading_date").between(F.lit(str(d0)).cast("date"), F.lit(str(d1)).cast("date"))

@@ -98,11 +98,8 @@ def test_train_score_validate_chain(spark):
     s = J.score_days(spark, processed, model_root, out, "2024-01-25", history_days=7,
                      ts_type=TS).first()
     assert s["total_scored"] > 0 and s["anomaly_rate_pct"] < 5.0
-    # hourly files for the day come from P1's output folder
-    hourly = spark.read.parquet(f"{processed}/hourly")
-    sinks.write_hourly(hourly.filter(F.col("reading_date") == F.lit("2024-01-25").cast("date")),
-                       f"{out}/hourly")
-    v = J.validate_days(spark, out, table_path(spark, "test-wh2"), "2024-01-25", ts_type=TS).first()
+    v = J.validate_days(spark, processed, table_path(spark, "test-wh2"), "2024-01-25",
+                        ts_type=TS, scores_root=out).first()
     assert v["row_count"] > 0 and v["duplicate_keys"] == 0 and v["alert"] is False
 
 
