@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,10 +73,15 @@ def train_model(spark: SparkSession, processed_root: str, model_root: str, proce
             "meter_id", "reading_timestamp", *FEATURE_COLS).checkpoint(eager=True)
     nodes, psi, n = FO.train(spark, feats)
     model = FO.load_model(nodes, psi)
+    # Reused by the stats and the quantile rounds only; the lineage is
+    # already cut at ``feats``, so a lost block is rescored, not rescanned.
     train_scores = FO.score_readings(spark, feats, model).select("anomaly_score") \
-        .checkpoint(eager=True)
-    offset = S.contamination_offset(train_scores)
-    st = S.score_stats(train_scores).first().asDict()
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        st = S.score_stats(train_scores).first().asDict()
+        offset = S.contamination_offset(train_scores)
+    finally:
+        train_scores.unpersist()
     metrics = {
         "train_date": d.isoformat(), "lookback_days": lookback_days,
         "n_train_samples": n, "feature_count": len(FEATURE_COLS),
