@@ -18,7 +18,20 @@ from pyspark.sql import types as T
 
 from gridlens import fixtures
 from gridlens.fixtures import ADAPTER_SQL
-from gridlens.schemas import RAW_COLS
+from gridlens.functions import derive as D
+from gridlens.operators import clean as C
+from gridlens.operators import features as FE
+from gridlens.operators import forest as FO
+from gridlens.operators import quality as Q
+from gridlens.operators import rolling as W
+from gridlens.operators import rollup as R
+from gridlens.operators import scoring as S
+from gridlens.plans import jobs as J
+from gridlens.schemas import (DAILY_SCHEMA, FEATURE_COLS, HOURLY_SCHEMA, RAW_COLS,
+                              clean_schema, scored_schema)
+from gridlens.session import table_path
+from gridlens.sources import scans as SC
+from gridlens.sources import sinks as SK
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -102,9 +115,6 @@ CLEAN_DOUBLES = RAW_DOUBLES + ["apparent_power_kva"]
 # --------------------------------------------------------------------------
 # F: filters and dedup
 # --------------------------------------------------------------------------
-from gridlens.functions import derive as D  # noqa: E402
-from gridlens.operators import clean as C  # noqa: E402
-from gridlens.operators import rollup as R  # noqa: E402
 
 
 @register("clean_not_null", r6(with_ctes(
@@ -242,7 +252,6 @@ def q_daily_rollup(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Quality reports and gates
 # --------------------------------------------------------------------------
-from gridlens.operators import quality as Q  # noqa: E402
 
 QUALITY_SQL = """
   SELECT coalesce(rc.reading_date, cc.reading_date) AS reading_date,
@@ -334,7 +343,6 @@ given_scored AS (
 
 
 def _given_scored(spark, sf_dir):
-    from gridlens.operators import scoring as S
     a = fixtures.readings(spark, sf_dir, with_label=True).select(
         "meter_id", "reading_timestamp", "kwh_consumed", "voltage", "power_factor",
         "utility_zone", "customer_type", "is_true_anomaly")
@@ -365,9 +373,6 @@ def q_anomaly_rate_gate(spark, sf_dir):
 # --------------------------------------------------------------------------
 # W1-W3 rolling frames, D7-D12 and D17 features, F7, A13
 # --------------------------------------------------------------------------
-from gridlens.operators import features as FE  # noqa: E402
-from gridlens.operators import rolling as W  # noqa: E402
-from gridlens.schemas import FEATURE_COLS  # noqa: E402
 
 
 def _frame(rows: int) -> str:
@@ -515,7 +520,6 @@ def q_feature_scaler(spark, sf_dir):
 # --------------------------------------------------------------------------
 # D13, D14, F8, A10-A12, M4 on given scores
 # --------------------------------------------------------------------------
-from gridlens.operators import scoring as S  # noqa: E402
 
 _GIVEN_OUT = ("meter_id, reading_timestamp, kwh_consumed, voltage, power_factor, utility_zone, "
               "customer_type, anomaly_score, is_anomaly, anomaly_severity, scoring_date")
@@ -592,13 +596,7 @@ def q_contamination_offset(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Scans of the partitioned layouts
 # --------------------------------------------------------------------------
-import datetime as dt  # noqa: E402
 
-from gridlens.schemas import (HOURLY_SCHEMA, DAILY_SCHEMA, clean_schema,  # noqa: E402
-                              scored_schema)
-from gridlens.sources import scans as SC  # noqa: E402
-from gridlens.sources import sinks as SK  # noqa: E402
-from gridlens.session import table_path  # noqa: E402
 
 TS = fixtures.FIXTURE_TS
 _DIR_DATE = ("CASE WHEN minute(reading_timestamp) % 20 = 0 THEN CAST(reading_timestamp AS DATE) - 1 "
@@ -747,8 +745,6 @@ def q_load_scored_table(spark, sf_dir):
 # --------------------------------------------------------------------------
 # The model (rows-only: no SQL engine grows these trees)
 # --------------------------------------------------------------------------
-from gridlens.operators import forest as FO  # noqa: E402
-from gridlens.plans import jobs as J  # noqa: E402
 
 
 def _train_features(spark, sf_dir):
