@@ -123,3 +123,10 @@ def test_cli_process(spark, capsys):
               "--raw-root", raw_root, "--out-root", out])
     printed = capsys.readouterr().out
     assert '"process_date": "2024-01-25"' in printed
+
+
+def test_run_concurrently_reraises(spark):
+    ok = J.run_concurrently(lambda: spark.range(10).count(), lambda: 2)
+    assert ok == [10, 2]
+    with pytest.raises(ZeroDivisionError):
+        J.run_concurrently(lambda: spark.range(3).count(), lambda: 1 / 0)
