@@ -16,7 +16,8 @@ from gridlens.schemas import FEATURE_COLS
 
 def engineer_features(df: DataFrame, frame_rows: int = rolling.TRAIN_FRAME_ROWS,
                       scoring_variant: bool = False, split_long_series: bool = True,
-                      rows_per_task: int | None = None) -> DataFrame:
+                      rows_per_task: int | None = None,
+                      meter_counts: DataFrame | None = None) -> DataFrame:
     """hour/weekday cyclic encodings, apparent power, rolling mean and
     std per meter, z-score. Input: cleaned readings (or raw ones).
 
@@ -24,7 +25,8 @@ def engineer_features(df: DataFrame, frame_rows: int = rolling.TRAIN_FRAME_ROWS,
     std left NULL on a meter's first row and z = (kwh - mean) /
     greatest(std, 1e-9). ``split_long_series`` computes the rolling frame
     on range partitions (see ``rolling_split``) so one meter's series can
-    span many tasks.
+    span many tasks; ``meter_counts`` (``meter_id, _n``) lets the caller
+    supply rows per meter from a smaller table than ``df``.
     """
     if "reading_hour" not in df.columns:
         df = df.withColumn("reading_hour", D.reading_hour())
@@ -40,7 +42,8 @@ def engineer_features(df: DataFrame, frame_rows: int = rolling.TRAIN_FRAME_ROWS,
         from gridlens.operators import rolling_split
         df = rolling_split.rolling_stats_split(df, frame_rows=frame_rows,
                                                std_null_to_zero=not keep_null,
-                                               rows_per_task=rows_per_task)
+                                               rows_per_task=rows_per_task,
+                                               key_counts=meter_counts)
     else:
         df = rolling.rolling_stats(df, frame_rows=frame_rows, std_null_to_zero=not keep_null)
     z = D.z_score_floor() if scoring_variant else D.z_score()

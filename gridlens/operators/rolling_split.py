@@ -43,8 +43,16 @@ DEFAULT_ROWS_PER_TASK = 2_000_000
 MAX_INLIST_KEYS = 10_000
 
 
-def _hot_keys(df: DataFrame, key: str, rows_per_task: int) -> tuple[list, int]:
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+def _hot_keys(df: DataFrame, key: str, rows_per_task: int,
+              key_counts: DataFrame | None = None) -> tuple[list, int]:
+    """Keys with more than ``rows_per_task`` rows and their row total.
+
+    ``key_counts`` (columns ``key, _n``) may supply the counts from a
+    smaller table (e.g. the daily rollup's reading counts) instead of a
+    pass over ``df``.
+    """
+    counts = key_counts if key_counts is not None else \
+        df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > rows_per_task)
     # At most total_rows / rows_per_task keys can exceed the threshold.
     rows = hot.collect()
@@ -144,11 +152,13 @@ def _hot_path(hot: DataFrame, n_hot: int, frame_rows: int, std_null_to_zero: boo
 def rolling_stats_split(df: DataFrame, frame_rows: int = rolling.TRAIN_FRAME_ROWS,
                         std_null_to_zero: bool = True, value: str = "kwh_consumed",
                         key: str = "meter_id", order: str = "reading_timestamp",
-                        rows_per_task: int | None = None) -> DataFrame:
+                        rows_per_task: int | None = None,
+                        key_counts: DataFrame | None = None) -> DataFrame:
     """W1-W3 with hot-meter splitting; same columns and values as
-    :func:`gridlens.operators.rolling.rolling_stats`."""
+    :func:`gridlens.operators.rolling.rolling_stats`. ``key_counts``: see
+    :func:`_hot_keys` (rows per key of ``df``, from a smaller table)."""
     rows_per_task = int(rows_per_task or DEFAULT_ROWS_PER_TASK)
-    hot_keys, n_hot = _hot_keys(df, key, rows_per_task)
+    hot_keys, n_hot = _hot_keys(df, key, rows_per_task, key_counts)
     plain = lambda d: rolling.rolling_stats(d, frame_rows, std_null_to_zero, value, key, order)
     if not hot_keys:
         return plain(df)

@@ -22,7 +22,8 @@ from gridlens.operators import forest as FO
 from gridlens.operators import quality as Q
 from gridlens.operators import rollup as R
 from gridlens.operators import scoring as S
-from gridlens.schemas import FEATURE_COLS, HOURLY_SCHEMA, SCORED_COLS, scored_schema
+from gridlens.schemas import (DAILY_SCHEMA, FEATURE_COLS, HOURLY_SCHEMA, SCORED_COLS,
+                              scored_schema)
 from gridlens.session import shared_dir
 from gridlens.sources import scans, sinks
 
@@ -50,6 +51,16 @@ def run_concurrently(*actions) -> list:
     return results
 
 
+def meter_counts_from_daily(spark: SparkSession, processed_root: str, first_day,
+                            last_day) -> DataFrame:
+    """Cleaned rows per meter over [first_day, last_day], summed from P1's
+    daily rollup (one row per meter-day) instead of scanning readings."""
+    daily = (spark.read.schema(DAILY_SCHEMA).parquet(f"{processed_root}/daily")
+             .filter(F.col("reading_date").between(F.lit(str(_d(first_day))).cast("date"),
+                                                   F.lit(str(_d(last_day))).cast("date"))))
+    return daily.groupBy("meter_id").agg(F.sum("total_readings").alias("_n"))
+
+
 def _d(x) -> dt.date:
     return x if isinstance(x, dt.date) else dt.date.fromisoformat(str(x))
 
@@ -94,8 +105,10 @@ def train_model(spark: SparkSession, processed_root: str, model_root: str, proce
     d = _d(process_date)
     window = scans.scan_training_window(spark, f"{processed_root}/readings", d,
                                         lookback_days, ts_type)
+    counts = meter_counts_from_daily(spark, processed_root, d - dt.timedelta(days=lookback_days),
+                                     d - dt.timedelta(days=1))
     feats = C.drop_null_features(FE.engineer_features(
-        window, split_long_series=split_long_series)).select(
+        window, split_long_series=split_long_series, meter_counts=counts)).select(
             "meter_id", "reading_timestamp", *FEATURE_COLS).checkpoint(eager=True)
     nodes, psi, n = FO.train(spark, feats)
     model = FO.load_model(nodes, psi)
@@ -149,7 +162,10 @@ def score_days(spark: SparkSession, processed_root: str, model_root: str, out_ro
     days = scans.scan_processed_days(spark, f"{processed_root}/readings",
                                      d0 - dt.timedelta(days=history_days), d1, ts_type)
     kw = dict(frame_rows=169, scoring_variant=True) if reference_scoring else {}
-    feats = FE.engineer_features(days, split_long_series=split_long_series, **kw)
+    counts = meter_counts_from_daily(spark, processed_root,
+                                     d0 - dt.timedelta(days=history_days), d1)
+    feats = FE.engineer_features(days, split_long_series=split_long_series,
+                                 meter_counts=counts, **kw)
     feats = feats.filter(F.col("reading_date").between(F.lit(str(d0)).cast("date"),
                                                         F.lit(str(d1)).cast("date")))
     feats = FE.impute_features(feats)

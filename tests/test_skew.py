@@ -32,3 +32,15 @@ def test_rolling_with_one_meter_holding_a_third(spark):
     b = RS.rolling_stats_split(skewed, rows_per_task=1000)
     assert b.count() == a.count()
     assert a.exceptAll(b.select(*a.columns)).count() == 0
+
+
+def test_meter_counts_from_daily_match_readings(spark):
+    from gridlens.plans import jobs as J
+    from gridlens.sources import scans
+    root = fixtures.processed_layout(spark, "/root/testdata/sf0.01")
+    got = {r["meter_id"]: r["_n"] for r in
+           J.meter_counts_from_daily(spark, root, "2024-01-03", "2024-01-12").collect()}
+    rows = scans.scan_processed_days(spark, f"{root}/readings", "2024-01-03", "2024-01-12",
+                                     fixtures.FIXTURE_TS)
+    want = {r["meter_id"]: r["count"] for r in rows.groupBy("meter_id").count().collect()}
+    assert got == want
