@@ -62,7 +62,7 @@ def _key_hash(seed: int, *extra) -> F.Column:
 
 def forest_sample(features: DataFrame, n_rows: int | None = None, n_trees: int = N_TREES,
                   max_samples: int = MAX_SAMPLES, seed: int = SEED,
-                  feature_cols=FEATURE_COLS) -> tuple[DataFrame, int]:
+                  feature_cols=FEATURE_COLS, margin: float = DRAW_MARGIN) -> tuple[DataFrame, int]:
     """M1: per-tree subsamples without replacement, ``psi = min(256, n)``.
 
     Returns ``(rows with tree_id and _rank, psi)``. With many rows
@@ -79,12 +79,12 @@ def forest_sample(features: DataFrame, n_rows: int | None = None, n_trees: int =
     psi = min(max_samples, n)
     cols = [*KEY_COLS, *feature_cols]
     base = features.select(*cols)
-    if n >= DRAW_MARGIN * n_trees * psi:
-        keep = DRAW_MARGIN * n_trees * psi / n
+    if n >= margin * n_trees * psi:
+        keep = margin * n_trees * psi / n
         drawn = (base.filter(_unit(_key_hash(seed, F.lit(1))) < F.lit(keep))
                      .withColumn("tree_id", F.pmod(_key_hash(seed, F.lit(2)), F.lit(n_trees)).cast("int")))
     else:
-        p = min(1.0, DRAW_MARGIN * psi / n)
+        p = min(1.0, margin * psi / n)
         trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
                          lambda t: _unit(_key_hash(seed, F.lit(3), t)) < F.lit(p))
         drawn = base.withColumn("tree_id", F.explode(trees))
@@ -249,12 +249,19 @@ def score_readings(spark: SparkSession, df: DataFrame, model: ForestModel,
 
 
 def train(spark: SparkSession, features: DataFrame, n_trees: int = N_TREES,
-          max_samples: int = MAX_SAMPLES, seed: int = SEED):
+          max_samples: int = MAX_SAMPLES, seed: int = SEED, margin: float = DRAW_MARGIN):
     """M1 + M2: returns ``(node DataFrame, psi, n_rows)``; the node table
     is checkpointed so scoring and saving do not regrow it."""
     from gridlens.session import shared_dir
     shared_dir(spark)  # checkpoint folder of the session (set in local mode)
     n = features.count()
-    sample, psi = forest_sample(features, n, n_trees, max_samples, seed)
-    nodes = forest_fit(sample, psi, seed, n_trees=n_trees).checkpoint(eager=True)
-    return nodes, psi, n
+    for _ in range(4):
+        sample, psi = forest_sample(features, n, n_trees, max_samples, seed, margin=margin)
+        nodes = forest_fit(sample, psi, seed, n_trees=n_trees).checkpoint(eager=True)
+        # Every tree must hold exactly psi rows; a short draw (vanishingly
+        # rare at margin 1.5) is redrawn with a wider margin.
+        roots = nodes.filter(F.col("node_id") == 0)
+        if roots.filter(F.col("n_rows") < psi).isEmpty() and roots.count() == n_trees:
+            return nodes, psi, n
+        margin *= 2
+    raise RuntimeError("could not draw full subsamples for every tree")

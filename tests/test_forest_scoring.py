@@ -127,3 +127,13 @@ def test_exact_quantile_constant_and_empty(spark):
     assert S.exact_quantile(df.filter("x < 0"), "x", 0.5) is None
     two = spark.createDataFrame([(1.0,)] * 1500 + [(2.0,)] * 1500, "x double")
     assert S.exact_quantile(two, "x", 0.5, max_collect=100) == pytest.approx(1.5)
+
+
+def test_short_draw_is_redrawn(spark, feats):
+    base = feats.select("meter_id", "reading_timestamp", *FEATURE_COLS)
+    thin, psi = FO.forest_sample(base, n_trees=50, margin=0.5)      # too few candidates
+    sizes = [r[0] for r in thin.groupBy("tree_id").count().select("count").collect()]
+    assert min(sizes) < psi
+    nodes, psi, _ = FO.train(spark, base, n_trees=50, margin=0.5)    # redraws
+    roots = nodes.filter("node_id = 0").collect()
+    assert len(roots) == 50 and all(r["n_rows"] == psi for r in roots)
