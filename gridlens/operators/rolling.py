@@ -27,6 +27,14 @@ def series_window(frame_rows: int, key: str = "meter_id", order: str = "reading_
             .rowsBetween(-(frame_rows - 1), Window.currentRow))
 
 
+def series_position(df: DataFrame, key: str = "meter_id", order: str = "reading_timestamp",
+                    out_col: str = "series_pos") -> DataFrame:
+    """O1: 1-based position of each reading in its meter's time-ordered
+    series (the order the rolling frames run in; no global sort)."""
+    return df.withColumn(out_col, F.row_number().over(
+        Window.partitionBy(key).orderBy(order)))
+
+
 def rolling_stats(df: DataFrame, frame_rows: int = TRAIN_FRAME_ROWS,
                   std_null_to_zero: bool = True, value: str = "kwh_consumed",
                   key: str = "meter_id", order: str = "reading_timestamp",

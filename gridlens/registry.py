@@ -895,3 +895,13 @@ def q_unpack_struct(spark, sf_dir):
     r = _raw(spark, sf_dir)
     return round_doubles(r.select("meter_id", "reading_timestamp", _cyclic_struct(r).alias("s"))
                          .select("meter_id", "reading_timestamp", "s.*"))
+
+
+@register("sort_series", r6(with_ctes(
+    """SELECT meter_id, reading_timestamp, kwh_consumed,
+              CAST(row_number() OVER (PARTITION BY meter_id ORDER BY reading_timestamp)
+                   AS INTEGER) AS series_pos
+       FROM clean"""), ["kwh_consumed"]))
+def q_sort_series(spark, sf_dir):
+    c = C.clean_readings(_raw(spark, sf_dir)).select("meter_id", "reading_timestamp", "kwh_consumed")
+    return round_doubles(W.series_position(c))
