@@ -77,9 +77,16 @@ def compare(spark, con, sf_dir, key, fn, sql):
 
 def main():
     args = sys.argv[1:]
+    plain = "--plain" in args
+    args = [a for a in args if a != "--plain"]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     keys = [a for a in args if not a.startswith("/")]
-    spark = get_session(master="local[8]", shuffle_partitions=8)
+    if plain:  # a bare session, as a caller without our defaults would have
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        spark = get_session(master="local[8]", shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
