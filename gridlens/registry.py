@@ -3,8 +3,9 @@ SQL that computes the same rows.
 
 Every query reads the driver's ``events`` table through the readings
 adapter (``gridlens.fixtures``), over the whole table. Double outputs are
-rounded to 6 places on both sides so the two engines' last-bit summation
-differences do not count as mismatches; time stamps of processing
+rounded to 6 places on both sides with one binary formula (see
+``round_doubles``) so the two engines' last-bit summation differences do
+not count as mismatches; time stamps of processing
 (``_processed_at``, ``scored_at``) are left out of the compared columns.
 """
 
@@ -47,12 +48,24 @@ def register(key: str, sql: str | None = None):
 
 
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round every double column for the cross-engine comparison."""
+    """Round every double column for the cross-engine comparison.
+
+    Both sides use the same binary formula, half away from zero:
+    ``sign(x) * floor(|x| * 10^p + 0.5) / 10^p`` (the SQL wrapper ``r6``
+    writes the same expression). ``F.round`` rounds the shortest decimal
+    string while DuckDB's ``round`` works on the binary value, so the two
+    disagree on exact ties such as a mean of 32 power factors in steps of
+    0.05; with one formula, equal doubles always round alike.
+    """
+    scale = F.lit(float(10 ** places))
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
+            c = F.col(f.name)
+            half_up = F.signum(c) * F.floor(F.abs(c) * scale + F.lit(0.5)) / scale
             # + 0.0 turns a rounded -0.0 into 0.0 on both engines
-            out.append((F.round(F.col(f.name), places) + F.lit(0.0)).alias(f.name))
+            out.append(F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), c)
+                       .otherwise(half_up + F.lit(0.0)).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
@@ -103,7 +116,9 @@ def r6(sql: str, cols) -> str:
     """Wrap a query so the listed double columns are rounded to 6 places."""
     if not cols:
         return sql
-    rep = ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in cols)
+    rep = ", ".join(
+        f"CASE WHEN isnan({c}) OR isinf({c}) THEN {c} "
+        f"ELSE sign({c}) * floor(abs({c}) * 1e6 + 0.5) / 1e6 + 0.0 END AS {c}" for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) q"
 
 
