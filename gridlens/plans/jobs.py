@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridlens.functions.derive import ANOMALY_THRESHOLD
 from gridlens.operators import clean as C
 from gridlens.operators import features as FE
 from gridlens.operators import forest as FO
@@ -80,7 +81,15 @@ def process_days(spark: SparkSession, raw_root: str, out_root: str, first_day,
     d1 = _d(last_day) if last_day else d0
     raw = scans.read_raw(spark, raw_root, d0, lookback_days, d1, ts_type)
     cleaned = C.clean_readings(raw, as_of).checkpoint(eager=True)
-    report = Q.quality_report(raw, cleaned, by="reading_date").checkpoint(eager=True)
+    # Every day of the range gets a row: a day without raw rows counts as
+    # 100 % dropped (FAIL), as an empty single-day run does.
+    days = spark.range(1).select(F.explode(F.sequence(
+        F.lit(str(d0)).cast("date"), F.lit(str(d1)).cast("date"))).alias("reading_date"))
+    report = (days.join(Q.quality_report(raw, cleaned, by="reading_date"), "reading_date", "left")
+              .fillna(0, subset=["raw_count", "clean_count"])
+              .withColumn("dropped_pct", F.coalesce(F.col("dropped_pct"), F.lit(100.0)))
+              .withColumn("status", F.coalesce(F.col("status"), F.lit("FAIL")))
+              .checkpoint(eager=True))
     if enforce:
         Q.quality_gate(report)
     # Three independent writes of the same checkpointed rows: submitted
@@ -125,7 +134,7 @@ def train_model(spark: SparkSession, processed_root: str, model_root: str, proce
         "train_date": d.isoformat(), "lookback_days": lookback_days,
         "n_train_samples": n, "feature_count": len(FEATURE_COLS),
         "anomaly_score_mean": st["score_mean"], "anomaly_score_std": st["score_std"],
-        "anomaly_score_threshold": -0.15, "contamination": S.CONTAMINATION,
+        "anomaly_score_threshold": ANOMALY_THRESHOLD, "contamination": S.CONTAMINATION,
         "offset": offset, "max_samples": psi, "n_trees": FO.N_TREES,
         "note": "Precision/Recall require a labeled holdout set; see evaluate_scores.",
     }

@@ -130,3 +130,15 @@ def test_run_concurrently_reraises(spark):
     assert ok == [10, 2]
     with pytest.raises(ZeroDivisionError):
         J.run_concurrently(lambda: spark.range(3).count(), lambda: 1 / 0)
+
+
+def test_empty_day_in_range_fails(spark):
+    raw_root = fixtures.raw_layout(spark, SF)
+    rep = J.process_days(spark, raw_root, table_path(spark, "test-p1-empty"), "2024-01-29",
+                         "2024-02-02", lookback_days=0, enforce=False, ts_type=TS)
+    by_day = {r["process_date"].isoformat(): r for r in rep.collect()}
+    assert len(by_day) == 5
+    assert by_day["2024-02-01"]["raw_rows"] == 0 and by_day["2024-02-01"]["status"] == "FAIL"
+    with pytest.raises(Q.QualityError):
+        J.process_days(spark, raw_root, table_path(spark, "test-p1-empty2"), "2024-02-01",
+                       lookback_days=0, ts_type=TS)
