@@ -142,3 +142,15 @@ def test_empty_day_in_range_fails(spark):
     with pytest.raises(Q.QualityError):
         J.process_days(spark, raw_root, table_path(spark, "test-p1-empty2"), "2024-02-01",
                        lookback_days=0, ts_type=TS)
+
+
+def test_reference_scoring_flags_everything(spark):
+    processed = fixtures.processed_layout(spark, "/root/testdata/sf0.01")
+    model_root = fixtures.model_layout(spark, "/root/testdata/sf0.01")
+    out = table_path(spark, "test-ref-score")
+    s = J.score_days(spark, processed, model_root, out, "2024-01-25", history_days=0,
+                     mode="raw", reference_scoring=True, ts_type=TS).first()
+    assert s["total_scored"] > 0 and s["anomaly_rate_pct"] == 100.0    # SURVEY Q1
+    with pytest.raises(Q.QualityError):
+        J.validate_days(spark, processed, table_path(spark, "test-ref-wh"), "2024-01-25",
+                        ts_type=TS, scores_root=out)
