@@ -181,10 +181,15 @@ def score_days(spark: SparkSession, processed_root: str, model_root: str, out_ro
     scored = FO.score_readings(spark, feats, model)
     scored = S.flag_and_grade(scored, mode=mode, offset=metrics.get("offset"))
     stamp = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
-    scored = scored.withColumn("scored_at", stamp).select(*SCORED_COLS).checkpoint(eager=True)
-    sinks.write_scored(scored, f"{out_root}/anomaly_scores",
-                       scoring_date=None if last_day else d0)
-    return S.scoring_summary(scored)
+    scored = scored.withColumn("scored_at", stamp).select(*SCORED_COLS)
+    # The written table is the lineage cut: rows are scored once, during
+    # the write, and the summary reads back only the days just written.
+    path = sinks.write_scored(scored, f"{out_root}/anomaly_scores",
+                              scoring_date=None if last_day else d0)
+    written = (spark.read.schema(scored_schema(ts_type)).parquet(path)
+               .filter(F.col("scoring_date").between(F.lit(str(d0)).cast("date"),
+                                                     F.lit(str(d1)).cast("date"))))
+    return S.scoring_summary(written)
 
 
 def validate_days(spark: SparkSession, out_root: str, warehouse_root: str, first_day,
