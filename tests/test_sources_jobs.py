@@ -154,3 +154,20 @@ def test_reference_scoring_flags_everything(spark):
     with pytest.raises(Q.QualityError):
         J.validate_days(spark, processed, table_path(spark, "test-ref-wh"), "2024-01-25",
                         ts_type=TS, scores_root=out)
+
+
+def test_cli_train_score_validate(spark, capsys):
+    from gridlens.plans import cli
+    raw_root = fixtures.raw_layout(spark, "/root/testdata/sf0.01")
+    out = table_path(spark, "test-cli-chain")
+    cli.main(["process", "--date", "2024-01-21", "--end-date", "2024-01-30",
+              "--lookback-days", "1", "--raw-root", raw_root, "--out-root", out])
+    cli.main(["train", "--date", "2024-01-30", "--lookback-days", "9", "--out-root", out,
+              "--model-root", f"{out}/model"])
+    cli.main(["score", "--date", "2024-01-30", "--history-days", "7", "--out-root", out,
+              "--model-root", f"{out}/model", "--scores-root", f"{out}/scores"])
+    cli.main(["validate", "--date", "2024-01-30", "--out-root", out,
+              "--scores-root", f"{out}/scores", "--warehouse-root", f"{out}/wh"])
+    printed = capsys.readouterr().out
+    assert '"n_train_samples"' in printed and '"total_scored"' in printed
+    assert '"alert": false' in printed
