@@ -94,6 +94,17 @@ def _tails_fn(key: str, order: str, value: str, frame_rows: int):
     return tails
 
 
+def number_partitions(base: DataFrame) -> DataFrame:
+    """Add ``_seq`` = 1, 2, ... over the non-empty partition ids ``_pid``
+    of a per-partition summary (contiguous ids: arithmetic; a gap: a
+    window over the summary's rows)."""
+    shape = base.agg(F.count(F.lit(1)).alias("n"), F.min("_pid").alias("lo"),
+                     F.max("_pid").alias("hi")).first()
+    if shape["n"] == 0 or shape["n"] == shape["hi"] - shape["lo"] + 1:
+        return base.withColumn("_seq", F.col("_pid") - F.lit(shape["lo"] or 0) + 1)
+    return base.withColumn("_seq", F.row_number().over(Window.orderBy("_pid")))
+
+
 def _hot_path(hot: DataFrame, n_hot: int, frame_rows: int, std_null_to_zero: bool,
               value: str, key: str, order: str, rows_per_task: int) -> DataFrame:
     from gridlens.session import shared_dir
@@ -112,16 +123,19 @@ def _hot_path(hot: DataFrame, n_hot: int, frame_rows: int, std_null_to_zero: boo
 
     # One row per non-empty partition (metadata: grows with the number of
     # partitions, not with any meter). ``_seq`` numbers the non-empty
-    # partitions, so a partition links to its true predecessor even if a
-    # range partition came out empty.
-    by_pid = Window.orderBy("_pid")
-    summary = (tails.groupBy("_pid").agg(
+    # partitions so each links to its true predecessor. Range partitions
+    # bounded by sampled keys are non-empty, so ids are normally
+    # contiguous and the predecessor is a self-join on id - 1; only if a
+    # gap shows up is the numbering done by a window over this summary.
+    base = tails.groupBy("_pid").agg(
         F.first("_first_key").alias("first_key"), F.first(key).alias("last_key"),
-        F.first("_n_last").alias("n_last"))
-        .withColumn("_seq", F.row_number().over(by_pid))
-        .withColumn("prev_first", F.lag("first_key").over(by_pid))
-        .withColumn("prev_last", F.lag("last_key").over(by_pid))
-        .withColumn("prev_n", F.lag("n_last").over(by_pid))).checkpoint(eager=True)
+        F.first("_n_last").alias("n_last")).checkpoint(eager=True)
+    numbered = number_partitions(base)
+    prev = numbered.select((F.col("_seq") + 1).alias("_seq"),
+                           F.col("first_key").alias("prev_first"),
+                           F.col("last_key").alias("prev_last"),
+                           F.col("n_last").alias("prev_n"))
+    summary = numbered.join(prev, "_seq", "left")
     seq_pid = summary.select(F.col("_seq").alias("_src_seq"), F.col("_pid").alias("_src_pid"))
     targets = (summary.filter(F.col("prev_last") == F.col("first_key"))
                .withColumn("span", F.when((F.col("prev_first") == F.col("first_key"))

@@ -44,3 +44,10 @@ def test_meter_counts_from_daily_match_readings(spark):
                                      fixtures.FIXTURE_TS)
     want = {r["meter_id"]: r["count"] for r in rows.groupBy("meter_id").count().collect()}
     assert got == want
+
+
+def test_partition_numbering_with_and_without_gaps(spark):
+    full = spark.createDataFrame([(0,), (1,), (2,)], "_pid int")
+    assert [r["_seq"] for r in RS.number_partitions(full).orderBy("_pid").collect()] == [1, 2, 3]
+    gap = spark.createDataFrame([(0,), (1,), (3,)], "_pid int")
+    assert [r["_seq"] for r in RS.number_partitions(gap).orderBy("_pid").collect()] == [1, 2, 3]
