@@ -137,3 +137,30 @@ def test_short_draw_is_redrawn(spark, feats):
     nodes, psi, _ = FO.train(spark, base, n_trees=50, margin=0.5)    # redraws
     roots = nodes.filter("node_id = 0").collect()
     assert len(roots) == 50 and all(r["n_rows"] == psi for r in roots)
+
+
+def test_scorer_matches_brute_force_traversal(spark):
+    small = fixtures.readings(spark, "/root/testdata/sf0.001")
+    f = C.drop_null_features(FE.engineer_features(C.clean_readings(small))).select(
+        "meter_id", "reading_timestamp", *FEATURE_COLS).checkpoint(eager=True)
+    nodes, psi, _ = FO.train(spark, f, n_trees=25)
+    table = {(r["tree_id"], r["node_id"]): r for r in nodes.collect()}
+    trees = sorted({t for t, _ in table})
+
+    def path_len(tree, x, node=0):
+        r = table[(tree, node)]
+        if r["feature"] < 0:
+            return r["path_len"]
+        nxt = r["left"] if x[r["feature"]] < r["threshold"] else r["right"]
+        return path_len(tree, x, nxt)
+
+    c_psi = float(FO.average_path_length([psi])[0])
+    rows = f.orderBy("meter_id", "reading_timestamp").collect()
+    brute = [-2.0 ** (-np.mean([path_len(t, [r[c] for c in FEATURE_COLS]) for t in trees]) / c_psi)
+             for r in rows]
+    model = FO.load_model(nodes, psi)
+    fast = model.score(np.array([[r[c] for c in FEATURE_COLS] for r in rows], dtype=float))
+    assert np.allclose(brute, fast, rtol=0, atol=1e-12)
+    via_spark = [r["anomaly_score"] for r in FO.score_readings(spark, f, model)
+                 .orderBy("meter_id", "reading_timestamp").collect()]
+    assert np.allclose(brute, via_spark, rtol=0, atol=1e-12)
