@@ -74,7 +74,8 @@ def process_days(spark: SparkSession, raw_root: str, out_root: str, first_day,
     Processes one day (the reference) or a range of days in one job.
     Returns one summary row per day: process_date, raw_rows, clean_rows,
     drop_pct, status (the quality status; with ``enforce`` a day above
-    10 % raises before anything is written).
+    10 % raises before anything is written) and the NULL counts of
+    kwh_consumed, voltage and meter_id among the cleaned rows.
     """
     shared_dir(spark)
     d0 = _d(first_day)
@@ -85,8 +86,11 @@ def process_days(spark: SparkSession, raw_root: str, out_root: str, first_day,
     # 100 % dropped (FAIL), as an empty single-day run does.
     days = spark.range(1).select(F.explode(F.sequence(
         F.lit(str(d0)).cast("date"), F.lit(str(d1)).cast("date"))).alias("reading_date"))
+    nulls = Q.null_profile(cleaned, by="reading_date")   # A4 on the cleaned rows
     report = (days.join(Q.quality_report(raw, cleaned, by="reading_date"), "reading_date", "left")
-              .fillna(0, subset=["raw_count", "clean_count"])
+              .join(nulls, "reading_date", "left")
+              .fillna(0, subset=["raw_count", "clean_count", "null_kwh_consumed",
+                                 "null_voltage", "null_meter_id"])
               .withColumn("dropped_pct", F.coalesce(F.col("dropped_pct"), F.lit(100.0)))
               .withColumn("status", F.coalesce(F.col("status"), F.lit("FAIL")))
               .checkpoint(eager=True))
@@ -101,7 +105,8 @@ def process_days(spark: SparkSession, raw_root: str, out_root: str, first_day,
     return report.select(F.col("reading_date").alias("process_date"),
                          F.col("raw_count").alias("raw_rows"),
                          F.col("clean_count").alias("clean_rows"),
-                         F.col("dropped_pct").alias("drop_pct"), "status")
+                         F.col("dropped_pct").alias("drop_pct"), "status",
+                         "null_kwh_consumed", "null_voltage", "null_meter_id")
 
 
 def train_model(spark: SparkSession, processed_root: str, model_root: str, process_date,

@@ -819,8 +819,17 @@ def q_training_metrics(spark, sf_dir):
 # Composed jobs
 # --------------------------------------------------------------------------
 @register("process_day", with_ctes(
-    f"""SELECT reading_date AS process_date, raw_count AS raw_rows, clean_count AS clean_rows,
-               dropped_pct AS drop_pct, {_STATUS} FROM ({QUALITY_SQL}) q"""))
+    f"""SELECT q.reading_date AS process_date, raw_count AS raw_rows, clean_count AS clean_rows,
+               dropped_pct AS drop_pct, {_STATUS},
+               coalesce(n.null_kwh_consumed, 0) AS null_kwh_consumed,
+               coalesce(n.null_voltage, 0) AS null_voltage,
+               coalesce(n.null_meter_id, 0) AS null_meter_id
+        FROM ({QUALITY_SQL}) q
+        LEFT JOIN (SELECT reading_date,
+                          count(*) FILTER (WHERE kwh_consumed IS NULL) AS null_kwh_consumed,
+                          count(*) FILTER (WHERE voltage IS NULL) AS null_voltage,
+                          count(*) FILTER (WHERE meter_id IS NULL) AS null_meter_id
+                   FROM clean GROUP BY reading_date) n ON n.reading_date = q.reading_date"""))
 def q_process_day(spark, sf_dir):
     out = _run_dir(spark, sf_dir, "p1")
     return J.process_days(spark, fixtures.raw_layout(spark, sf_dir), out, "2024-01-01",
