@@ -78,13 +78,17 @@ def compare(spark, con, sf_dir, key, fn, sql):
 def main():
     args = sys.argv[1:]
     plain = "--plain" in args
-    args = [a for a in args if a != "--plain"]
+    no_aqe = "--no-aqe" in args
+    args = [a for a in args if a not in ("--plain", "--no-aqe")]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     keys = [a for a in args if not a.startswith("/")]
     if plain:  # a bare session, as a caller without our defaults would have
         from pyspark.sql import SparkSession
         spark = (SparkSession.builder.master("local[*]")
                  .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    elif no_aqe:  # static plans, many shuffle partitions (cluster-like)
+        spark = get_session(master="local[8]", shuffle_partitions=200,
+                            extra={"spark.sql.adaptive.enabled": "false"})
     else:
         spark = get_session(master="local[8]", shuffle_partitions=8)
     con = duckdb.connect()
