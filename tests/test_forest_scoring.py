@@ -164,3 +164,16 @@ def test_scorer_matches_brute_force_traversal(spark):
     via_spark = [r["anomaly_score"] for r in FO.score_readings(spark, f, model)
                  .orderBy("meter_id", "reading_timestamp").collect()]
     assert np.allclose(brute, via_spark, rtol=0, atol=1e-12)
+
+
+def test_model_save_load_round_trip(spark, trained):
+    from gridlens.session import table_path
+    from gridlens.sources import sinks
+    nodes, psi, n = trained
+    metrics = {"max_samples": psi, "n_train_samples": n, "offset": -0.61, "note": "x"}
+    root = table_path(spark, "test-k8")
+    sinks.save_model(spark, nodes, metrics, root)
+    back, m2 = sinks.load_model_tables(spark, root)
+    assert m2 == metrics
+    assert back.count() == nodes.count()
+    assert nodes.exceptAll(back).count() == 0 and back.exceptAll(nodes).count() == 0
