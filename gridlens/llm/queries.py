@@ -8,17 +8,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlens.llm import language_id as LI
+from gridlens.llm import lm_scoring as LM
 from gridlens.llm import mixing as MI
+from gridlens.llm import quality_classifier as QC
+from gridlens.llm import quality_rules as QR
 from gridlens.llm import sharding as SH
-from gridlens.llm.common import documents
+from gridlens.llm import suffix_dedup as SD
+from gridlens.llm import token_output as TO
+from gridlens.llm.common import documents, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 N_SHARDS = 40
+END_ID = 2
+
+
+def fold(doc_id: Column, n: int) -> Column:
+    """crc32(doc_id as text) mod n."""
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n)).cast("int")
+
+
+def vocabulary_file(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def query(fn):
@@ -39,6 +58,51 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"), "source", "lang")
 
 
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and cross-document line frequency per host."""
+    out = QR.quality_rules(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "words_removed", "depleted")
+
+
+SQL["op2_quality_rules"] = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, source, row_number() OVER () AS rid FROM documents),
+w AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM docs),
+win AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+        FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM win) WHERE n > 1),
+cov AS (SELECT rid, count(*) AS n FROM (SELECT DISTINCT rid, i + j AS p FROM rep, (VALUES (0), (1), (2)) o(j)) GROUP BY rid),
+ln AS (SELECT rid, source, text, l, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS ws
+       FROM (SELECT rid, source, text, unnest(string_split(text, chr(10))) AS l FROM docs)),
+lines AS (SELECT rid, source, text, l, len(ws) AS nw, regexp_replace(regexp_replace(translate(trim(l, ' ' || chr(9) || chr(10)
+           || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM ln WHERE len(ws) > 0),
+dup AS (SELECT rid, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY rid),
+hosts AS (SELECT source, count(DISTINCT text) AS texts FROM docs GROUP BY source),
+bad AS (SELECT x.source, x.norm FROM (SELECT source, norm, count(DISTINCT text) AS n FROM lines GROUP BY source, norm) x
+        JOIN hosts h ON x.source IS NOT DISTINCT FROM h.source WHERE x.n > 20 AND x.n > 0.002 * h.texts),
+gone AS (SELECT l.rid, sum(l.nw) AS n FROM lines l JOIN bad b ON l.source IS NOT DISTINCT FROM b.source AND l.norm = b.norm
+         GROUP BY l.rid),
+base AS (SELECT d.doc_id, len(w.ws)::BIGINT AS n_words, length(array_to_string(w.ws, ''))::BIGINT AS word_chars,
+           length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+           coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
+           coalesce(gone.n, 0)::BIGINT AS words_removed
+         FROM docs d JOIN w USING (rid) LEFT JOIN cov USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN gone USING (rid)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             n_words - words_removed < 0.5 * n_words AS depleted FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT depleted AS kept, words_removed, depleted FROM judged
+"""
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each text left when 50-byte strings of smaller documents go."""
+    out = SD.remove_repeats(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to a mix of 150 % of all sizes."""
@@ -46,3 +110,43 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
                       F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"), "source",
                       F.col("_copies").alias("copies"))
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text, learned from four fifths of the labels."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold(F.col("doc_id"), 5) != 0)
+    model = QC.fit(labels.select("doc_id", F.col("quality").alias("label")).join(docs, "doc_id"))
+    out = QC.score(docs, model)
+    return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                      F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"))
+
+
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text, learned from six sevenths of them."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    rest = fold(F.col("doc_id"), 7)
+    lane = F.when(rest == 2, LM.SCORED).when(rest == 3, LM.WEIGHTS).otherwise(LM.TRAIN)
+    return LM.score_texts(docs, lane).select(
+        "doc_id", (F.col("lane") == LM.SCORED).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score", "vocabulary")
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from two thirds of them."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = LI.fit(docs.where(fold(F.col("doc_id"), 3) != 1))
+    return LI.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "confident")
+
+
+@query
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text written as Huffman blocks and read back."""
+    tokens = TO.token_table(documents(spark, sf_dir), vocabulary_file("word_bpe_49k.json"), END_ID)
+    path = scratch_path(spark, "token-files")
+    TO.write_tokens(tokens, path)
+    return TO.ids_crc32(TO.read_tokens(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
