@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlens.llm import decontamination as DC
 from gridlens.llm import language_id as LI
 from gridlens.llm import lm_scoring as LM
 from gridlens.llm import mixing as MI
+from gridlens.llm import ngram_join as NJ
 from gridlens.llm import quality_classifier as QC
 from gridlens.llm import quality_rules as QR
 from gridlens.llm import sharding as SH
@@ -103,6 +105,12 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the documents whose 3-word shingles have Jaccard 0.9 or more."""
+    return NJ.join_components(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to a mix of 150 % of all sizes."""
@@ -112,6 +120,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("_copies").alias("copies"))
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, whole or paraphrased."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return DC.find_leaks(documents(spark, sf_dir), benchmark)
+
+
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every text, learned from four fifths of the labels."""
