@@ -11,9 +11,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.llm import common, mixing, sharding
+from gridlens.llm import common, decontamination, mixing, ngram_join, quality_rules, sharding
 
 N_SHARDS = 40
+SHINGLE, SIMILARITY = 5, 80
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage: documents the quality rules keep, without the lines they
+    remove; ``n_chars`` follows the text."""
+    kept = quality_rules.quality_rules(docs, clean_text=True).where("kept")
+    kept = kept.withColumn("text", F.col("text_cleaned"))
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage: one document of each component, the one with the smallest
+    doc_id (of rows repeating a doc_id, one). Rows without a doc_id stay."""
+    parts = ngram_join.join_components(docs.select("doc_id", "text"), SHINGLE, SIMILARITY)
+    first = parts.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(first, "doc_id", "left_semi")
+    return named.select(*docs.columns).union(docs.where("doc_id is null").select(*docs.columns))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage: documents that hold no benchmark item."""
+    return decontamination.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,11 +54,15 @@ def sharding_by_kd_tree(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 STAGES = [
+    ("quality rules", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontaminated),
     ("mixing sources to target weights", mixing_to_weights),
     ("sharding", sharding_by_kd_tree),
 ]
 
-#: Pareto ranks and weighted medians have no SQL form; tested against brute force.
+#: Latent retrieval, Pareto ranks and k-d splits have no SQL form; the stages
+#: are tested against brute force.
 ORACLE_SQL = None
 
 
