@@ -1,9 +1,11 @@
 """Quality classifier: logistic regression on hashed word 1- and 2-grams,
 trained with follow-the-regularised-leader (FTRL-proximal) updates.
 
-A text's features are its distinct hashed n-grams (ASCII case folded), each
-with value 1 / sqrt(number of features), and a bias, so the length of a text
-does not drive its score. Training takes at most ``max_rows`` labelled rows,
+The n-grams are taken over the words as written and over their shapes (kind
+of the first and the last two bytes; a word equal to the one before it has a
+shape of its own, so repetition shows). A feature's value is 1 + ln(count);
+the values of a text have length 1 together, so the length of a text does
+not drive its score. A bias is added. Training takes at most ``max_rows`` labelled rows,
 those with the smallest hash of their id (a documented bound on the fit
 alone). ``shards`` tasks run FTRL over a share of them each; the model is the
 mean of their weights, one float per hash bucket, so what is broadcast has a
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import combine, hashed_words, sub_batches
+from gridlens.llm.common import combine, flat_text, mix64, span_hashes, sub_batches, word_spans
 
 
 @dataclass(frozen=True)
@@ -34,27 +36,40 @@ class FtrlParams:
     bits: int = 18
     max_rows: int = 24_000
     shards: int = 6
-    epochs: int = 3
-    alpha: float = 0.3
+    epochs: int = 4
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 0.02
-    l2: float = 0.5
+    l1: float = 0.001
+    l2: float = 0.01
 
 
-def features(col: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct feature buckets of each text, concatenated, and n+1 offsets."""
-    h, off = hashed_words(col, lower=True)
-    n = len(off) - 1
+_KIND = np.arange(256, dtype=np.uint64)  # punctuation stands for itself
+_KIND[48:58], _KIND[65:91], _KIND[97:123], _KIND[128:] = 48, 65, 97, 97
+_AGAIN = np.uint64(0x3C6EF372FE94F82B)
+
+
+def features(col: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct feature buckets of each text and their values, concatenated,
+    and n+1 offsets."""
+    data, off = flat_text(col)
+    starts, ends, off = word_spans(data, off)
+    h, n = span_hashes(data, starts, ends, lower=False), len(off) - 1
     doc = np.repeat(np.arange(n, dtype=np.int64), np.diff(off))
-    pair = combine(h[:-1], h[1:])[doc[:-1] == doc[1:]] if len(h) > 1 else h[:0]
-    pair_doc = doc[:-1][doc[:-1] == doc[1:]] if len(h) > 1 else doc[:0]
+    shape = mix64((_KIND[data[starts]] << np.uint64(16)) | (_KIND[data[ends - 1]] << np.uint64(8))
+                  | _KIND[data[np.maximum(starts, ends - 2)]])
+    if len(h) > 1:
+        shape[1:][(h[1:] == h[:-1]) & (doc[1:] == doc[:-1])] = _AGAIN
+    pair = np.flatnonzero(doc[:-1] == doc[1:])
+    grams = [(doc, h), (doc, shape), (doc[pair], combine(h[pair], h[pair + 1])), (doc[pair], combine(shape[pair], shape[pair + 1]))]
     mask = np.uint64((1 << bits) - 1)
-    key = np.concatenate([(doc << bits) | (h & mask).astype(np.int64), (pair_doc << bits) | (pair & mask).astype(np.int64)])
-    key = np.unique(key)
-    return (key & ((1 << bits) - 1)), np.searchsorted(key >> bits, np.arange(n + 1))
+    key, count = np.unique(np.concatenate([(d << bits) | (x & mask).astype(np.int64) for d, x in grams]), return_counts=True)
+    at, value = np.searchsorted(key >> bits, np.arange(n + 1)), 1 + np.log(count)
+    square = np.concatenate([[0.0], np.cumsum(value * value)])
+    norm = np.sqrt(np.maximum(square[at[1:]] - square[at[:-1]], 1e-12))
+    return key & ((1 << bits) - 1), value / np.repeat(norm, np.diff(at)), at
 
 
-def ftrl(samples: list[tuple[np.ndarray, float]], p: FtrlParams, seed: int) -> np.ndarray:
+def ftrl(samples: list[tuple[np.ndarray, np.ndarray, float]], p: FtrlParams, seed: int) -> np.ndarray:
     """Weights (bias last) after ``epochs`` passes over the samples."""
     size = (1 << p.bits) + 1
     z, n = np.zeros(size), np.zeros(size)
@@ -66,10 +81,8 @@ def ftrl(samples: list[tuple[np.ndarray, float]], p: FtrlParams, seed: int) -> n
 
     for _ in range(p.epochs):
         for k in order.permutation(len(samples)):
-            f, y = samples[k]
-            idx = np.append(f, size - 1)
-            x = np.full(len(idx), 1.0 / np.sqrt(max(1, len(f))))
-            x[-1] = 1.0
+            f, x, y = samples[k]
+            idx, x = np.append(f, size - 1), np.append(x, 1.0)
             w = weights(idx)
             g = (1.0 / (1.0 + np.exp(-np.clip(w @ x, -35, 35))) - y) * x
             sigma = (np.sqrt(n[idx] + g * g) - np.sqrt(n[idx])) / p.alpha
@@ -89,8 +102,8 @@ def fit(labelled: DataFrame, params: FtrlParams = FtrlParams(), id_col: str = "d
         samples = []
         for a in range(0, len(pdf), 200):
             part = pdf.iloc[a:a + 200]
-            f, off = features(pa.array(part["text"], pa.large_string()), params.bits)
-            samples += [(f[i:j], y) for i, j, y in zip(off[:-1], off[1:], part["y"])]
+            f, x, off = features(pa.array(part["text"], pa.large_string()), params.bits)
+            samples += [(f[i:j], x[i:j], y) for i, j, y in zip(off[:-1], off[1:], part["y"])]
         w = ftrl(samples, params, int(pdf["shard"].iloc[0])).astype(np.float32)
         return pd.DataFrame({"n": [len(pdf)], "w": [w.tobytes()]})
 
@@ -101,10 +114,9 @@ def fit(labelled: DataFrame, params: FtrlParams = FtrlParams(), id_col: str = "d
 
 
 def dot_products(col: pa.Array, w: np.ndarray, bits: int) -> np.ndarray:
-    f, off = features(col, bits)
-    total = np.concatenate([[0.0], np.cumsum(w[f].astype(np.float64))])
-    count = np.diff(off)
-    return (total[off[1:]] - total[off[:-1]]) / np.sqrt(np.maximum(1, count)) + float(w[-1])
+    f, x, off = features(col, bits)
+    total = np.concatenate([[0.0], np.cumsum(w[f] * x)])
+    return total[off[1:]] - total[off[:-1]] + float(w[-1])
 
 
 def score(docs: DataFrame, w: np.ndarray, params: FtrlParams = FtrlParams(), out_col: str = "score") -> DataFrame:
