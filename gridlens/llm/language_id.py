@@ -6,8 +6,8 @@ Subwords are the byte 1- to 4-grams of a text with A-Z lowered and white
 space as one mark, hashed to ``2^bits`` buckets; a text is the mean of its
 subwords' embeddings. As embedding and softmax are both linear, scoring uses
 their product, a table of 2^bits x languages of fixed size that is broadcast.
-Training takes at most ``max_rows`` rows with text and language, those with
-the smallest hash of their id (a documented bound on the fit alone), and of
+Training takes the rows with a language whose id has one of the ``max_rows``
+smallest hashes (a documented bound on the fit alone), and of
 each such row its subwords over the whole text.
 
 The best language is always given for a text with letters; ``und`` if the
@@ -148,11 +148,14 @@ def _calibrate(logits: np.ndarray, y: np.ndarray, precision: float) -> tuple[flo
 
 
 def fit(labelled: DataFrame, params: LangParams = LangParams(), id_col: str = "doc_id", label_col: str = "lang") -> LangModel:
-    rows = (labelled.where(F.col("text").rlike(LETTER) & F.col(label_col).isNotNull())
-            .select(F.col(label_col).cast("string").alias("y"), F.xxhash64(id_col).alias("k"), "text")
-            .orderBy("k", "y", "text").limit(params.max_rows).withColumn("g", F.lit(0)))
+    known = labelled.where(F.col(label_col).isNotNull()).withColumn("k", F.xxhash64(id_col))
+    # the texts are read only once the ids are chosen
+    upto = known.select("k").orderBy("k").limit(params.max_rows).agg(F.max("k")).first()[0]
+    rows = (known.where((F.col("k") <= F.lit(upto)) & F.col("text").rlike(LETTER))
+            .select(F.col(label_col).cast("string").alias("y"), "k", "text", F.lit(0).alias("g")))
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["k", "y", "text"]).head(params.max_rows)  # rows repeating an id tie
         labels = sorted(set(pdf["y"]))
         y = pdf["y"].map({v: i for i, v in enumerate(labels)}).to_numpy()
         texts = []

@@ -5,7 +5,7 @@ The n-grams are taken over the words as written and over their shapes (kind
 of the first and the last two bytes; a word equal to the one before it has a
 shape of its own, so repetition shows). A feature's value is 1 + ln(count);
 the values of a text have length 1 together, so the length of a text does
-not drive its score. A bias is added. Training takes at most ``max_rows`` labelled rows,
+not drive its score. A bias is added. Training takes at most ``max_rows`` labels,
 those with the smallest hash of their id (a documented bound on the fit
 alone). ``shards`` tasks run FTRL over a share of them each; the model is the
 mean of their weights, one float per hash bucket, so what is broadcast has a
@@ -34,7 +34,7 @@ from gridlens.llm.common import combine, flat_text, mix64, span_hashes, sub_batc
 @dataclass(frozen=True)
 class FtrlParams:
     bits: int = 18
-    max_rows: int = 24_000
+    max_rows: int = 12_000
     shards: int = 6
     epochs: int = 4
     alpha: float = 2.0
@@ -91,15 +91,19 @@ def ftrl(samples: list[tuple[np.ndarray, np.ndarray, float]], p: FtrlParams, see
     return weights(np.arange(size))
 
 
-def fit(labelled: DataFrame, params: FtrlParams = FtrlParams(), id_col: str = "doc_id", label_col: str = "label") -> np.ndarray:
-    """Mean of the shards' weights. ``labelled``: id, text and a 0/1 label."""
-    rows = (labelled.where(F.col("text").isNotNull() & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-            .select(F.col(label_col).cast("double").alias("y"), F.xxhash64(id_col).alias("k"), "text")
-            .orderBy("k", "y", "text").limit(params.max_rows)
-            .withColumn("shard", F.pmod(F.col("k"), F.lit(params.shards)).cast("int")))
+def fit(labels: DataFrame, docs: DataFrame, params: FtrlParams = FtrlParams(), label_col: str = "label") -> np.ndarray:
+    """Mean of the shards' weights. ``labels``: doc_id and a 0/1 label;
+    ``docs``: doc_id and text. The labels learned from are chosen before the
+    texts are read, so at most ``max_rows`` small rows are broadcast and only
+    their texts are shuffled."""
+    chosen = (labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
+              .select("doc_id", F.col(label_col).cast("double").alias("y"), F.xxhash64("doc_id").alias("k"))
+              .orderBy("k", "y").limit(params.max_rows))
+    rows = (docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+            .select("y", "k", "text", F.pmod(F.col("k"), F.lit(params.shards)).cast("int").alias("shard")))
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        samples = []
+        samples, pdf = [], pdf.sort_values(["k", "y", "text"])
         for a in range(0, len(pdf), 200):
             part = pdf.iloc[a:a + 200]
             f, x, off = features(pa.array(part["text"], pa.large_string()), params.bits)

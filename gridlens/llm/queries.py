@@ -132,7 +132,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every text, learned from four fifths of the labels."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold(F.col("doc_id"), 5) != 0)
-    model = QC.fit(labels.select("doc_id", F.col("quality").alias("label")).join(docs, "doc_id"))
+    model = QC.fit(labels.select("doc_id", F.col("quality").alias("label")), docs)
     out = QC.score(docs, model)
     return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                       F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"))
