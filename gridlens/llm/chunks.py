@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from gridlens.llm.common import flat_text, materialize, sub_batches
 
-CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 
 _CHUNK = "chunk long, lane int, ids array<bigint>, lens array<int>, n_bytes long, data binary"
 _ANSWER = "chunk long, kind int, bucket int, payload binary, s1 long, s2 long"

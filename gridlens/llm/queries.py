@@ -161,7 +161,6 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text written as Huffman blocks and read back."""
-    tokens = TO.token_table(documents(spark, sf_dir), vocabulary_file("word_bpe_49k.json"), END_ID)
-    path = scratch_path(spark, "token-files")
-    TO.write_tokens(tokens, path)
+    vocabulary, path = vocabulary_file("word_bpe_49k.json"), scratch_path(spark, "token-files")
+    TO.write_tokens(TO.token_table(documents(spark, sf_dir), vocabulary, END_ID), path, TO.id_width(vocabulary))
     return TO.ids_crc32(TO.read_tokens(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")

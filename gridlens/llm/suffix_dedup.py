@@ -48,7 +48,7 @@ WINDOW, LEAD = 50, 16
 MOST = WINDOW - LEAD + 1
 SPAN = MOST + WINDOW - 1
 HOT_LEADS = 20_000
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 #: Bounds the splitter table that tasks get (16 bytes each).
 MAX_BUCKETS = 1 << 18
 SAMPLES = 16

@@ -9,12 +9,14 @@ range-partitions the documents by doc_id and writes them as blocks;
 
 File format: ``<path>/codes`` (id int, bits int) and ``<path>/blocks``, both
 Parquet. Codes are canonical: ordered by (bits, id), the first is zero. A
-block is a row (part, block, n_tokens, doc_ids, doc_tokens, checkpoints,
-payload): whole documents in ascending doc_id order, ``payload`` big-endian
-64-bit words with the codes' high bits first, and the bit offset of every
-``STEP``-th token in ``checkpoints``. Blocks are independent, and all
-stretches of a block are decoded side by side through one table of
-2^(longest code) entries. ``part`` and ``block`` order the blocks.
+block is a row (part, block, before, n_tokens, doc_ids, doc_tokens,
+checkpoints, payload): whole documents in ascending doc_id order, ``payload``
+big-endian 64-bit words with the codes' high bits first, and the bit offset
+of every ``STEP``-th token in ``checkpoints``. Blocks are independent, and
+all stretches of a block are decoded side by side through one table of
+2^(longest code) entries. ``part`` and ``block`` order the blocks; ``before``
+counts the ids of the same part in earlier blocks. Between the steps ids are
+16 bits wide if the vocabulary allows it, else 32.
 
 Defined cases: a null or empty text is the end id alone; a null doc_id comes
 first; rows with equal doc_id are ordered by their ids; an empty table writes
@@ -24,13 +26,14 @@ no blocks; a code of a single id has one bit; other columns are not written.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlens.llm.common import (BLOCK_BYTES, flat_text, materialize, n_parts, ragged_arange, span_hashes, sub_batches, word_spans)
@@ -39,7 +42,7 @@ MAX_BITS = 20
 STEP = 64
 BLOCK_TOKENS = 1 << 20
 #: Words a worker keeps encoded before it starts afresh.
-CACHE_WORDS = 3 << 20
+CACHE_WORDS = 3 << 19
 
 
 class WordEncoder:
@@ -51,20 +54,21 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.forget()
 
     def forget(self) -> None:
         self.known = np.zeros(0, np.uint64)
-        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.ids = [np.zeros(0, np.uint32)]
+        self.first, self.count = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+        self.ids = [np.zeros(0, self.dtype)]
         self.n_ids = 0
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         """Take in words with ascending, unknown hashes."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        count = np.fromiter(map(len, found), np.int32, len(found))
-        first = self.n_ids + np.cumsum(count, dtype=np.int64) - count
-        self.ids.append(np.fromiter((i for x in found for i in x), np.uint32, int(count.sum())))
+        count = np.fromiter(map(len, found), np.uint32, len(found))
+        first = (self.n_ids + np.cumsum(count, dtype=np.int64) - count).astype(np.uint32)
+        self.ids.append(np.fromiter(itertools.chain.from_iterable(found), self.dtype, int(count.sum())))
         self.n_ids += int(count.sum())
         at = np.searchsorted(self.known, hashes)
         self.known, self.first, self.count = (
@@ -88,7 +92,7 @@ class WordEncoder:
         if len(self.ids) > 1:
             self.ids = [np.concatenate(self.ids)]
         slots = near[back]
-        n = self.count[slots]
+        n = self.count[slots].astype(np.int64)
         ids = self.ids[0][np.repeat(self.first[slots], n) + ragged_arange(n)]
         return ids, np.concatenate([[0], np.cumsum(n, dtype=np.int64)])[woff]
 
@@ -99,36 +103,44 @@ def encoder(vocabulary: str) -> WordEncoder:
     return WordEncoder(vocabulary)
 
 
+def _binary(ids: np.ndarray, off: np.ndarray) -> pa.Array:
+    """Rows of a binary column; ``off`` counts ids."""
+    return pa.Array.from_buffers(pa.binary(), len(off) - 1, [
+        None, pa.py_buffer((off * ids.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids))])
+
+
+def _ids(col: pa.Array, width: int) -> np.ndarray:
+    return flat_text(col)[0].view(f"<u{width}") if len(col) else np.zeros(0, f"<u{width}")
+
+
+def id_width(vocabulary: str) -> int:
+    """Bytes of an id between the steps."""
+    return encoder(vocabulary).dtype().itemsize
+
+
 def tokenize(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """(doc_id, n_tokens, ids) with ``ids`` little-endian uint32 and the end id last."""
+    """(doc_id, n_tokens, ids): little-endian ids, the end id last."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(vocabulary)
         for whole in batches:
-            for b in sub_batches(whole, "text", 2 * BLOCK_BYTES):
+            for b in sub_batches(whole, "text", BLOCK_BYTES // 2):
                 ids, off = words.encode(b.column("text"))
-                ids = np.insert(ids, off[1:], end_id).astype("<u4")
-                off = off + np.arange(len(off))
-                binary = pa.Array.from_buffers(pa.binary(), b.num_rows, [
-                    None, pa.py_buffer((off * 4).astype(np.int32)), pa.py_buffer(ids)])
+                ids, off = np.insert(ids, off[1:], end_id), off + np.arange(len(off))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array(np.diff(off)), binary], ["doc_id", "n_tokens", "ids"])
+                    [b.column("doc_id"), pa.array(np.diff(off)), _binary(ids, off)], ["doc_id", "n_tokens", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids binary")
 
 
-def _ids(col: pa.Array) -> np.ndarray:
-    return flat_text(col)[0].view("<u4") if len(col) else np.zeros(0, np.uint32)
-
-
-def count_ids(tokens: DataFrame) -> dict[int, int]:
+def count_ids(tokens: DataFrame, width: int) -> dict[int, int]:
     """Global count of each id: summed in each task first, so at most one row
     per id and task is shuffled; the result is bounded by the vocabulary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
             if b.num_rows:
-                c = np.bincount(_ids(b.column("ids")), minlength=len(total))
+                c = np.bincount(_ids(b.column("ids"), width), minlength=len(total))
                 c[:len(total)] += total
                 total = c
         at = np.flatnonzero(total)
@@ -215,32 +227,32 @@ class Decoder:
         return out.reshape(-1)[:n]
 
 
-_BLOCK = ("part int, block int, n_tokens long, doc_ids array<bigint>, doc_tokens array<bigint>, "
+_BLOCK = ("part int, block int, before long, n_tokens long, doc_ids array<bigint>, doc_tokens array<bigint>, "
           "checkpoints array<bigint>, payload binary")
 
 
-def write_tokens(tokens: DataFrame, path: str) -> None:
+def write_tokens(tokens: DataFrame, path: str, width: int) -> None:
     """Write (doc_id, n_tokens, ids) in ascending doc_id order. ``tokens`` is
     read three times (counts, range bounds, blocks): pass a written table."""
     spark = tokens.sparkSession
-    bits = code_lengths(count_ids(tokens))
+    bits = code_lengths(count_ids(tokens, width))
     spark.createDataFrame(list(bits.items()), "id int, bits int").coalesce(1).write.parquet(f"{path}/codes")
     shared = spark.sparkContext.broadcast(canonical_codes(bits))  # bounded by the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, length = shared.value
-        part, block = TaskContext.get().partitionId(), 0
+        part, block, before = TaskContext.get().partitionId(), 0, 0
         for whole in batches:
-            for b in sub_batches(whole, "ids", 4 * BLOCK_TOKENS):
-                ids = _ids(b.column("ids"))
+            for b in sub_batches(whole, "ids", width * BLOCK_TOKENS):
+                ids = _ids(b.column("ids"), width)
                 words, marks = pack(ids, code, length)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([len(ids)], pa.int64()),
+                    pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([before]), pa.array([len(ids)]),
                     pa.array([b.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                     pa.array([b.column("n_tokens").to_pylist()], pa.list_(pa.int64())),
                     pa.array([marks], pa.list_(pa.int64())), pa.array([words.tobytes()], pa.binary())],
                     [x.split()[0] for x in _BLOCK.split(", ")])
-                block += 1
+                block, before = block + 1, before + len(ids)
 
     ordered = (tokens.repartitionByRange(n_parts(spark), F.col("doc_id").asc_nulls_first())
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids"))
@@ -250,7 +262,7 @@ def write_tokens(tokens: DataFrame, path: str) -> None:
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) decoded from the files; ``start`` counts
-    the ids of all documents before."""
+    the ids of all documents before, ``ids`` are little-endian uint32."""
     bits = {r["id"]: r["bits"] for r in spark.read.parquet(f"{path}/codes").collect()}  # bounded by the vocabulary
     shared = spark.sparkContext.broadcast(canonical_codes(bits))
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks")
@@ -260,30 +272,22 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for r in range(b.num_rows):
                 decoder = decoder or Decoder(*shared.value)
-                part, block, n = (b.column(i)[r].as_py() for i in range(3))
-                counts = b.column(4)[r].values.to_numpy(zero_copy_only=False)
-                ids = decoder.unpack(b.column(6)[r].as_py(), b.column(5)[r].values.to_numpy(zero_copy_only=False), n)
-                ends = np.cumsum(counts)
-                off = np.concatenate([[0], ends])
-                binary = pa.Array.from_buffers(pa.binary(), len(counts), [
-                    None, pa.py_buffer((off * 4).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
+                part, _, before, n = (b.column(i)[r].as_py() for i in range(4))
+                counts = b.column("doc_tokens")[r].values
+                marks = b.column("checkpoints")[r].values.to_numpy(zero_copy_only=False)
+                ids = decoder.unpack(b.column("payload")[r].as_py(), marks, n)
+                off = np.concatenate([[0], np.cumsum(counts.to_numpy(zero_copy_only=False))])
                 yield pa.RecordBatch.from_arrays([
-                    b.column(3)[r].values, pa.array(np.full(len(counts), part, np.int32)),
-                    pa.array(np.full(len(counts), block, np.int32)), pa.array(off[:-1]), pa.array(counts), binary],
-                    ["doc_id", "part", "block", "within", "n_tokens", "ids"])
-
-    docs = blocks.mapInArrow(run, "doc_id long, part int, block int, within long, n_tokens long, ids binary")
-    sizes = blocks.select("part", "block", "n_tokens")
-    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()  # one row per partition
-    first, run_total = [], 0
-    for r in parts:
-        first.append((r["part"], run_total))
-        run_total += r["n"]
-    before = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (sizes.join(F.broadcast(spark.createDataFrame(first, "part int, _first long")), "part")
-              .select("part", "block", (F.col("_first") + F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).alias("_start")))
-    return docs.join(starts, ["part", "block"]).select(
-        "doc_id", (F.col("_start") + F.col("within")).alias("start"), "n_tokens", "ids")
+                    b.column("doc_ids")[r].values, pa.array(np.full(len(counts), part, np.int32)),
+                    pa.array(before + off[:-1]), counts, _binary(ids.astype("<u4"), off)],
+                    ["doc_id", "part", "within", "n_tokens", "ids"])
+
+    docs = blocks.mapInArrow(run, "doc_id long, part int, within long, n_tokens long, ids binary")
+    parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()  # one row per partition
+    first = list(zip([r["part"] for r in parts], itertools.accumulate([0] + [r["n"] for r in parts])))
+    firsts = spark.createDataFrame(first, "part int, _first long")
+    return docs.join(F.broadcast(firsts), "part").select(
+        "doc_id", (F.col("_first") + F.col("within")).alias("start"), "n_tokens", "ids")
 
 
 def ids_crc32(tokens: DataFrame) -> DataFrame:
