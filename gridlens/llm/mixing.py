@@ -13,7 +13,8 @@ without sorting a source.
 Defined cases: a null text has size 0 and is never counted; a null source is
 a source of its own, last in order; rows repeating a doc_id share one rank
 and are taken together; a source of size 0 has target 0; an empty table
-gives no rows; other columns pass through.
+gives no rows; other columns pass through, but for those named like a result
+(``RESULTS``).
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from gridlens.llm.cuts import Cut, weighted_cuts
 #: Most sources the driver shares the mix among.
 MAX_SOURCES = 1_000_000
 RANK_BITS, TIE_BITS = 52, 10
+RESULTS = ("_size", "_source_size", "_target", "_copies")
 
 
 def share_targets(sizes: Sequence[int], weights: Sequence[float], total: float, max_repeat: float) -> list[float]:
@@ -110,6 +112,7 @@ def mix(docs: DataFrame, cycle: Sequence[float] = (3, 1, 2), total_share: float
     cuts = {i: Cut(0, top, m, 0.0) for i, m in enumerate(missing) if m > 0}
     found = weighted_cuts(ranked(meta, scale, none).where("_size > 0"), "_i", "_rank", "_size", cuts) if cuts else {}
     cut = [found.get(i, -1) for i in range(len(per))]
-    out = ranked(docs.withColumn("_size", size), scale, cut)
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in RESULTS]).alias("_row")
+    out = ranked(docs.select(own, "doc_id", "source", size.alias("_size")), scale, cut)
     copies = F.col("_whole") + F.when(F.col("_rank") <= F.col("_cut"), 1).otherwise(0)
-    return out.withColumn("_copies", copies.cast("int")).drop("_i", "_whole", "_scale", "_cut", "_p", "_rank")
+    return out.withColumn("_copies", copies.cast("int")).select("_row.*", *RESULTS)

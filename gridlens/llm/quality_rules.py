@@ -15,7 +15,8 @@ sorted instead.
 
 Defined cases: a null or empty text has no words, fails the base rules and is
 rejected; a null source is a host of its own; repeated rows each get their
-own result; an empty table gives no rows; other columns pass through.
+own result; an empty table gives no rows; other columns pass through, but for
+those named like a result (``RESULTS``).
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from gridlens.llm.common import SPACE_RE, materialize, n_words
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 PACKED_WORDS = 1 << 18
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+           "words_removed", "depleted", "kept")
 
 
 @dataclass(frozen=True)
@@ -125,7 +128,7 @@ def quality_rules(docs: DataFrame, limits: LineLimits = LineLimits(), clean_text
     n_dup_lines, n_repeat_words, base_failed, words_removed, depleted and
     kept; with ``clean_text`` also text_cleaned, the text without the
     frequent lines. Without it the text itself is not carried along."""
-    keep = [c for c in docs.columns if clean_text or c != "text"]
+    keep = [c for c in docs.columns if c not in (*RESULTS, "text_cleaned") and (clean_text or c != "text")]
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), "text", F.col("source").alias("_host"))
     df = base_stats(df.withColumn("_text_hash", F.xxhash64("text"))).drop("text")
     df = materialize(df.withColumn("_rid", F.monotonically_increasing_id()), "quality-stats")
@@ -138,8 +141,7 @@ def quality_rules(docs: DataFrame, limits: LineLimits = LineLimits(), clean_text
     out = df.join(hits, "_rid", "left").withColumn("words_removed", F.coalesce("words_removed", F.lit(0).cast("long")))
     out = out.withColumn("depleted", (F.col("n_words") - F.col("words_removed")) < limits.min_left * F.col("n_words"))
     out = out.withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
-    stats = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-             "words_removed", "depleted", "kept"]
+    stats = list(RESULTS)
     if clean_text:
         left = F.array_join(F.filter(F.split(F.col("_row.text"), "\n"),
                                      lambda x: ~F.array_contains(F.col("_gone"), line_hash(x)) | (F.length(trimmed(x)) == 0)), "\n")
