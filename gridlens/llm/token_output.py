@@ -40,14 +40,17 @@ from gridlens.llm.common import (BLOCK_BYTES, flat_text, materialize, n_parts, r
 
 MAX_BITS = 20
 STEP = 64
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 17
 #: Words a worker keeps encoded before it starts afresh.
-CACHE_WORDS = 3 << 19
+CACHE_WORDS = 1 << 22
 
 
 class WordEncoder:
     """Encodes texts word by word and remembers the words it has seen, in
-    arrays ordered by the word's 64-bit hash (about 40 bytes a word)."""
+    arrays ordered by the word's 64-bit hash (about 36 bytes a word): a large
+    set, and a small one of the latest that is merged in from time to time."""
+
+    SMALL = 1 << 17
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,43 +61,51 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)
-        self.first, self.count = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
-        self.ids = [np.zeros(0, self.dtype)]
-        self.n_ids = 0
+        none = (np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32))
+        self.sets = [none, none]  # (hash, first id, number of ids) of the large and the small set
+        self.ids = np.zeros(0, self.dtype)
+
+    def _merge(self, into: int, more: tuple) -> None:
+        at = np.searchsorted(self.sets[into][0], more[0])
+        self.sets[into] = tuple(np.insert(a, at, b) for a, b in zip(self.sets[into], more))
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         """Take in words with ascending, unknown hashes."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         count = np.fromiter(map(len, found), np.uint32, len(found))
-        first = (self.n_ids + np.cumsum(count, dtype=np.int64) - count).astype(np.uint32)
-        self.ids.append(np.fromiter(itertools.chain.from_iterable(found), self.dtype, int(count.sum())))
-        self.n_ids += int(count.sum())
-        at = np.searchsorted(self.known, hashes)
-        self.known, self.first, self.count = (
-            np.insert(a, at, b) for a, b in ((self.known, hashes), (self.first, first), (self.count, count)))
+        first = (len(self.ids) + np.cumsum(count, dtype=np.int64) - count).astype(np.uint32)
+        self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(found), self.dtype, int(count.sum()))])
+        self._merge(1, (hashes, first, count))
+        if len(self.sets[1][0]) > self.SMALL:
+            self._merge(0, self.sets[1])
+            self.sets[1] = tuple(a[:0] for a in self.sets[1])
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First id and number of ids of each word, and which are known."""
+        first, count, known = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        for h, f, c in self.sets:
+            if len(h):
+                at = np.minimum(np.searchsorted(h, hashes), len(h) - 1)
+                hit = h[at] == hashes
+                first[hit], count[hit] = f[at[hit]], c[at[hit]]
+                known |= hit
+        return first, count, known
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and the n+1 offsets."""
         data, off = flat_text(col)
         starts, ends, woff = word_spans(data, off)
         distinct, at, back = np.unique(span_hashes(data, starts, ends, lower=False), return_index=True, return_inverse=True)
-        if len(self.known) > CACHE_WORDS:
+        if len(self.sets[0][0]) > CACHE_WORDS:
             self.forget()
-        near = np.searchsorted(self.known, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = near < len(self.known)
-        new[inside] = self.known[near[inside]] != distinct[inside]
-        if new.any():
-            raw = data.tobytes()
-            self._learn(distinct[new], [raw[a:z].decode("utf-8", "replace") for a, z in zip(starts[at[new]], ends[at[new]])])
-            near = np.searchsorted(self.known, distinct)
-        if len(self.ids) > 1:
-            self.ids = [np.concatenate(self.ids)]
-        slots = near[back]
-        n = self.count[slots].astype(np.int64)
-        ids = self.ids[0][np.repeat(self.first[slots], n) + ragged_arange(n)]
-        return ids, np.concatenate([[0], np.cumsum(n, dtype=np.int64)])[woff]
+        first, count, known = self._find(distinct)
+        if not known.all():
+            raw, new = data.tobytes(), at[~known]
+            self._learn(distinct[~known], [raw[a:z].decode("utf-8", "replace") for a, z in zip(starts[new], ends[new])])
+            first, count, known = self._find(distinct)
+        n = count[back]
+        ids = self.ids[np.repeat(first[back], n) + ragged_arange(n)]
+        return ids, np.concatenate([[0], np.cumsum(n)])[woff]
 
 
 @functools.lru_cache(maxsize=1)
@@ -189,13 +200,15 @@ def canonical_codes(bits: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
 def pack(ids: np.ndarray, code: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Big-endian words of the ids' codes, and the bit offset of every STEP-th id."""
     n = length[ids]
-    off = np.cumsum(n) - n
-    words = np.zeros((int(n.sum()) >> 6) + 2, np.uint64)
+    off = np.cumsum(n)
+    words = np.zeros((int(off[-1]) >> 6 if len(off) else 0) + 2, np.uint64)
+    off -= n
     if len(ids):
         c, word, shift = code[ids], off >> 6, 64 - (off & 63) - n
-        over = shift < 0
-        high = np.where(over, c >> np.where(over, -shift, 0).astype(np.uint64), c << np.where(over, 0, shift).astype(np.uint64))
-        first = np.flatnonzero(np.diff(word, prepend=-1))
+        over = np.flatnonzero(shift < 0)  # codes that go on in the next word
+        high = c << np.maximum(shift, 0).astype(np.uint64)
+        high[over] = c[over] >> (-shift[over]).astype(np.uint64)
+        first = np.concatenate([[0], np.flatnonzero(word[1:] != word[:-1]) + 1])
         words[word[first]] = np.add.reduceat(high, first)
         words[word[over] + 1] |= c[over] << (64 + shift[over]).astype(np.uint64)
     return words.astype(">u8"), off[::STEP]
@@ -219,8 +232,7 @@ class Decoder:
             if k == (n - 1) % STEP + 1:  # the last stretch ends here
                 pos = pos[:-1]
             word, bit = pos >> 6, (pos & 63).astype(np.uint64)
-            peek = words[word] << bit
-            peek |= np.where(bit > 0, words[word + 1] >> ((np.uint64(64) - bit) & np.uint64(63)), np.uint64(0))
+            peek = (words[word] << bit) | ((words[word + 1] >> np.uint64(1)) >> (np.uint64(63) - bit))
             entry = (peek >> rest).astype(np.int64)
             out[:len(pos), k] = self.id[entry]
             pos = pos + self.length[entry]
