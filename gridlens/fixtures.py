@@ -119,8 +119,6 @@ import hashlib  # noqa: E402
 from pyspark.sql import types as _T  # noqa: E402
 
 FIXTURE_TS = _T.TimestampNTZType()
-FIXTURE_FIRST_DAY = _dt.date(2024, 1, 1)
-FIXTURE_LAST_DAY = _dt.date(2024, 1, 30)
 FIXTURE_AS_OF = _dt.datetime(2024, 2, 1, 0, 0, 0)
 
 
@@ -128,6 +126,12 @@ def _tag(sf_dir: str) -> str:
     return hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
 
 
+def fixture_days(spark: SparkSession, sf_dir: str) -> tuple[_dt.date, _dt.date]:
+    """First and last day of the ``events`` table."""
+    d = load_table(spark, sf_dir, "events").agg(F.to_date(F.min("ts")).alias("a"), F.to_date(F.max("ts")).alias("b")).first()
+    return d["a"], d["b"]
+
+
 def fixture_root(spark: SparkSession, sf_dir: str, *parts: str) -> str:
     from gridlens.session import table_path
     return table_path(spark, "fixtures", _tag(sf_dir), *parts)
@@ -137,12 +141,11 @@ def raw_layout(spark: SparkSession, sf_dir: str) -> str:
     """Adapter rows under ``year=/month=/day=`` of their directory date
     (FIXTURES.md s.3: every reading with minute % 20 = 0 one day early)."""
     from gridlens.session import is_done, mark_done
+    from gridlens.sources.days import with_day_parts
     from gridlens.sources.sinks import write_clustered
     root = fixture_root(spark, sf_dir, "raw_readings")
     if not is_done(spark, root):
-        d = readings(spark, sf_dir).withColumn("_dir", misplaced_day())
-        d = (d.withColumn("year", F.year("_dir")).withColumn("month", F.month("_dir"))
-              .withColumn("day", F.dayofmonth("_dir")).drop("_dir"))
+        d = with_day_parts(readings(spark, sf_dir).withColumn("_dir", misplaced_day()), "_dir").drop("_dir")
         write_clustered(d, root, ["year", "month", "day"])
         mark_done(spark, root)
     return root
@@ -154,21 +157,26 @@ def processed_layout(spark: SparkSession, sf_dir: str) -> str:
     from gridlens.session import is_done, mark_done
     root = fixture_root(spark, sf_dir, "processed")
     if not is_done(spark, root):
-        jobs.process_days(spark, raw_layout(spark, sf_dir), root, FIXTURE_FIRST_DAY,
-                           FIXTURE_LAST_DAY, lookback_days=1, enforce=False,
+        jobs.process_days(spark, raw_layout(spark, sf_dir), root, *fixture_days(spark, sf_dir),
+                           lookback_days=1, enforce=False,
                            as_of=FIXTURE_AS_OF, ts_type=FIXTURE_TS)
         mark_done(spark, root)
     return root
 
 
+def training_window(spark: SparkSession, sf_dir: str) -> tuple[_dt.date, int]:
+    """Process date and lookback whose training window is the whole fixture."""
+    first, last = fixture_days(spark, sf_dir)
+    return last + _dt.timedelta(days=1), (last - first).days + 1
+
+
 def model_layout(spark: SparkSession, sf_dir: str) -> str:
-    """P2 for 2024-01-31 over the 30 fixture days."""
+    """P2 for the day after the fixture's last, over all its days."""
     from gridlens.plans import jobs
     from gridlens.session import is_done, mark_done
     root = fixture_root(spark, sf_dir, "model")
     if not is_done(spark, root):
-        jobs.train_model(spark, processed_layout(spark, sf_dir), root,
-                         FIXTURE_LAST_DAY + _dt.timedelta(days=1), 30, FIXTURE_TS)
+        jobs.train_model(spark, processed_layout(spark, sf_dir), root, *training_window(spark, sf_dir), FIXTURE_TS)
         mark_done(spark, root)
     return root
 
@@ -183,7 +191,7 @@ def train_features_layout(spark: SparkSession, sf_dir: str) -> str:
     root = fixture_root(spark, sf_dir, "train_features")
     if not is_done(spark, root):
         w = scans.scan_training_window(spark, f"{processed_layout(spark, sf_dir)}/readings",
-                                       FIXTURE_LAST_DAY + _dt.timedelta(days=1), 30, FIXTURE_TS)
+                                       *training_window(spark, sf_dir), FIXTURE_TS)
         f = clean.drop_null_features(features.engineer_features(w))
         f.select("meter_id", "reading_timestamp", *FEATURE_COLS).write.mode("overwrite").parquet(root)
         mark_done(spark, root)

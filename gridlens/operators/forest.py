@@ -4,9 +4,11 @@ Algorithm: Liu, Ting, Zhou, "Isolation Forest" (ICDM 2008). Parameters as
 in the reference: 200 trees, subsample size min(256, n) drawn without
 replacement, all 13 features, seed 42, height limit ceil(log2(psi)).
 
-* Sample (M1): every draw derives from ``xxhash64`` of the row key and the
-  seed, never from ``rand()`` or partition order, so the sample and the
-  grown trees do not depend on how the data is partitioned.
+* Sample (M1): every draw derives from ``md5`` of the row key, the seed and a
+  counter, never from ``rand()`` or partition order, so the sample and the
+  grown trees do not depend on how the data is partitioned, and any engine
+  with md5 draws the same rows. One rule holds at every size: each (row, tree)
+  pair is drawn on its own, by geometric skipping.
 * Fit (M2): ``groupBy(tree_id).applyInPandas`` grows one tree per group
   of at most 256 rows. The model is an ordinary table with at most
   ``trees * (2 * 256 - 1)`` rows.
@@ -33,6 +35,9 @@ MAX_SAMPLES = 256
 SEED = 42
 EULER_GAMMA = 0.5772156649015329
 
+# Rows scored at a time: SCORE_ROWS x trees index arrays.
+SCORE_ROWS = 2_048
+
 # Oversampling margin of the hash draw: each tree gets about
 # margin * psi candidates, of which the psi lowest-ranked are kept.
 DRAW_MARGIN = 1.5
@@ -51,13 +56,16 @@ def average_path_length(n):
     return out
 
 
-def _unit(h) -> F.Column:
-    """Map a 64-bit hash to a double in [0, 1)."""
-    return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(2 ** 53))
+def _draw(seed: int, *parts) -> F.Column:
+    """md5 of the row key, the seed and ``parts``, as hex."""
+    stamp = F.date_format(F.col(KEY_COLS[1]), "yyyyMMddHHmmssSSSSSS")
+    return F.md5(F.concat_ws("|", F.col(KEY_COLS[0]), stamp, F.lit(str(seed)),
+                             *[p if isinstance(p, str) else p.cast("string") for p in parts]).cast("binary"))
 
 
-def _key_hash(seed: int, *extra) -> F.Column:
-    return F.xxhash64(*[F.col(c) for c in KEY_COLS], F.lit(seed), *extra)
+def _unit(digest: F.Column) -> F.Column:
+    """The first 52 bits of a digest as a double inside (0, 1)."""
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(2 ** 52))
 
 
 def forest_sample(features: DataFrame, n_rows: int | None = None, n_trees: int = N_TREES,
@@ -65,36 +73,44 @@ def forest_sample(features: DataFrame, n_rows: int | None = None, n_trees: int =
                   feature_cols=FEATURE_COLS, margin: float = DRAW_MARGIN) -> tuple[DataFrame, int]:
     """M1: per-tree subsamples without replacement, ``psi = min(256, n)``.
 
-    Returns ``(rows with tree_id and _rank, psi)``. With many rows
-    (n >= margin * trees * psi) one hash keeps about margin * trees * psi
-    rows and a second spreads them over the trees, so only those rows
-    reach the shuffle. With fewer rows each row joins every tree whose
-    per-tree hash falls under margin * psi / n (array filter + explode;
-    never rows x trees materialised). Each tree then keeps the psi rows
+    Returns ``(rows with tree_id and _rank, psi)``. A row joins each tree with
+    probability ``margin * psi / n`` (at most one), independently, so it may
+    be in several. The trees of a row are found by skipping: the gap before
+    the next one is geometric, ``floor(ln(u) / ln(1 - p))``. The first gap
+    already rejects nearly all rows of a large table with one hash; further
+    gaps are drawn for the kept rows alone. Each tree then keeps the psi rows
     with the smallest rank hash (window over one tree: ~1.5 psi rows).
     """
     n = features.count() if n_rows is None else n_rows
     if n == 0:
         raise ValueError("no training rows")
     psi = min(max_samples, n)
-    cols = [*KEY_COLS, *feature_cols]
-    base = features.select(*cols)
-    if n >= margin * n_trees * psi:
-        keep = margin * n_trees * psi / n
-        drawn = (base.filter(_unit(_key_hash(seed, F.lit(1))) < F.lit(keep))
-                     .withColumn("tree_id", F.pmod(_key_hash(seed, F.lit(2)), F.lit(n_trees)).cast("int")))
-    else:
-        p = min(1.0, margin * psi / n)
-        trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                         lambda t: _unit(_key_hash(seed, F.lit(3), t)) < F.lit(p))
-        drawn = base.withColumn("tree_id", F.explode(trees))
-    drawn = drawn.withColumn("_rank", _key_hash(seed, F.lit(4), F.col("tree_id")))
+    log_miss = math.log1p(-min(margin * psi / n, 1 - 2.0 ** -52))  # p = 1 is met to the last bit
+
+    def gap(k) -> F.Column:
+        u = _unit(_draw(seed, F.lit("gap"), k))
+        return F.least(F.floor(F.log(u) / F.lit(log_miss)), F.lit(n_trees)).cast("int")
+
+    first = features.select(*KEY_COLS, *feature_cols).withColumn("_first", gap(F.lit(0))).filter(F.col("_first") < n_trees)
+    trees = F.aggregate(
+        F.sequence(F.lit(1), F.lit(n_trees)),
+        F.struct(F.array("_first").alias("hits"), F.col("_first").alias("at")),
+        lambda a, k: F.when(a["at"] >= n_trees, a).otherwise(_next_tree(a, gap(k), n_trees)),
+        lambda a: a["hits"])
+    drawn = first.withColumn("tree_id", F.explode(trees)).drop("_first")
+    drawn = drawn.withColumn("_rank", _draw(seed, F.lit("rank"), F.col("tree_id")))
     w = Window.partitionBy("tree_id").orderBy("_rank", *KEY_COLS)
     sample = (drawn.withColumn("_pos", F.row_number().over(w))
                    .filter(F.col("_pos") <= psi).drop("_pos"))
     return sample, psi
 
 
+def _next_tree(state: F.Column, gap: F.Column, n_trees: int) -> F.Column:
+    at = state["at"] + 1 + gap
+    hits = F.when(at < n_trees, F.concat(state["hits"], F.array(at))).otherwise(state["hits"])
+    return F.struct(hits.alias("hits"), at.alias("at"))
+
+
 def _grow_tree(X: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
     """Grow one isolation tree; returns node tuples
     (node_id, feature, threshold, left, right, n_rows, path_len)."""
@@ -183,42 +199,44 @@ class ForestModel:
         self.psi = int(psi)
         self.depth = int(math.ceil(math.log2(max(self.psi, 2))))
         self.n_features = n_features
+        # flat (tree * width + node) indices, built once
+        self._first = np.arange(self.n_trees, dtype=np.int32) * width
+        self._left = self.left.ravel() + np.repeat(self._first, width)
+        self._right = self.right.ravel() + np.repeat(self._first, width)
 
     def score(self, X: np.ndarray) -> np.ndarray:
         """Negated anomaly score of each row: -2^(-E[h(x)] / c(psi));
         lower = more anomalous, range [-1, 0).
 
         All trees descend together, one level per step, on flat
-        (tree * width + node) indices into the raveled node arrays.
+        (tree * width + node) indices into the raveled node arrays;
+        ``SCORE_ROWS`` rows at a time, which bounds the rows x trees arrays.
         """
-        n = X.shape[0]
-        if n == 0:
-            return np.zeros(0)
-        width = self.feature.shape[1]
-        feat = self.feature.ravel()
-        thr = self.threshold.ravel()
-        off = (np.arange(self.n_trees, dtype=np.int32) * width)[None, :]
-        left = self.left.ravel() + np.repeat(off.ravel(), width)
-        right = self.right.ravel() + np.repeat(off.ravel(), width)
+        parts = [self._score(X[a:a + SCORE_ROWS]) for a in range(0, len(X), SCORE_ROWS)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+    def _score(self, X: np.ndarray) -> np.ndarray:
+        n = len(X)
+        feat, thr = self.feature.ravel(), self.threshold.ravel()
         Xf = np.ascontiguousarray(X, dtype=float).ravel()
         row_off = (np.arange(n, dtype=np.int64) * X.shape[1])[:, None]
-        cur = np.repeat(off, n, axis=0)
+        cur = np.repeat(self._first[None, :], n, axis=0)
         for _ in range(self.depth):
             f = feat[cur]
             inner = f >= 0
             if not inner.any():
                 break
             xv = Xf[row_off + np.maximum(f, 0)]
-            nxt = np.where(xv < thr[cur], left[cur], right[cur])
+            nxt = np.where(xv < thr[cur], self._left[cur], self._right[cur])
             cur = np.where(inner, nxt, cur)
         mean_path = self.path_len.ravel()[cur].mean(axis=1)
         return -np.power(2.0, -mean_path / float(average_path_length([self.psi])[0]))
 
 
-def load_model(nodes: DataFrame, psi: int) -> ForestModel:
-    """Collect the node table (at most trees * (2 * 256 - 1) rows, a bound
-    fixed by the model parameters) into arrays."""
-    limit = N_TREES * (2 * MAX_SAMPLES - 1)
+def load_model(nodes: DataFrame, psi: int, n_trees: int = N_TREES) -> ForestModel:
+    """Collect the node table (at most n_trees * (2 * psi - 1) rows, a bound
+    fixed by the saved model's parameters) into arrays."""
+    limit = n_trees * (2 * psi - 1)
     pdf = nodes.limit(limit + 1).toPandas()
     if len(pdf) > limit:
         raise ValueError("node table larger than the model bound")

@@ -40,7 +40,7 @@ def drop_status(pct) -> F.Column:
 
 
 def quality_report(raw: DataFrame, clean: DataFrame, by: str | Sequence[str] | None = None,
-                   day_col: str = "reading_date") -> DataFrame:
+                   day_col: str = "reading_date", null_cols: Sequence[str] = ()) -> DataFrame:
     """A3: raw and clean counts, dropped %, status.
 
     ``dropped_pct = round((1 - clean / max(raw, 1)) * 100, 2)``; status is
@@ -49,22 +49,27 @@ def quality_report(raw: DataFrame, clean: DataFrame, by: str | Sequence[str] | N
     inputs are tagged and stacked, then counted in one aggregate (partial
     aggregation, no join); a group present on one side only counts 0 on
     the other. ``raw`` gets ``day_col`` derived from its timestamp if absent.
+    The NULLs of ``null_cols`` among the clean rows are counted in the same
+    aggregate, as ``null_<column>``.
     """
     keys = _by(by)
     if day_col in keys and day_col not in raw.columns:
         raw = raw.withColumn(day_col, F.to_date("reading_timestamp"))
-    tagged = (raw.select(*keys, F.lit(1).alias("_raw"))
-                 .unionByName(clean.select(*keys, F.lit(0).alias("_raw"))))
+    nulls = [f"null_{c}" for c in null_cols]
+    tagged = (raw.select(*keys, F.lit(1).alias("_raw"), *[F.lit(False).alias(n) for n in nulls])
+                 .unionByName(clean.select(*keys, F.lit(0).alias("_raw"),
+                                           *[F.col(c).isNull().alias(n) for c, n in zip(null_cols, nulls)])))
     rep = tagged.groupBy(*keys).agg(
         F.count_if(F.col("_raw") == 1).alias("raw_count"),
-        F.count_if(F.col("_raw") == 0).alias("clean_count"))
+        F.count_if(F.col("_raw") == 0).alias("clean_count"),
+        *[F.count_if(n).alias(n) for n in nulls])
     if not keys:  # an empty input still yields its one report row
-        rep = rep.fillna(0, subset=["raw_count", "clean_count"])
+        rep = rep.fillna(0, subset=["raw_count", "clean_count", *nulls])
     rep = rep.withColumn("dropped_pct", F.round(
         (F.lit(1.0) - F.col("clean_count") / F.greatest(F.col("raw_count"), F.lit(1)))
         * F.lit(100.0), 2))
     return rep.withColumn("status", drop_status("dropped_pct")).select(
-        *keys, "raw_count", "clean_count", "dropped_pct", "status")
+        *keys, "raw_count", "clean_count", "dropped_pct", "status", *nulls)
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] = ("kwh_consumed", "voltage", "meter_id"),
@@ -84,10 +89,10 @@ def quality_gate(report: DataFrame, fail_pct: float = FAIL_DROP_PCT) -> list[dic
     rows = [r.asDict() for r in report.collect()]
     bad = [r for r in rows if r["dropped_pct"] is not None and r["dropped_pct"] > fail_pct]
     if bad:
-        raise QualityError(f"DQ check FAILED: {bad[0]['dropped_pct']}% rows dropped "
-                           f"- exceeds {fail_pct}% threshold ({len(bad)} group(s))")
+        raise QualityError(f"cleaning removed {bad[0]['dropped_pct']} % of the raw rows in {len(bad)} group(s); "
+                           f"at most {fail_pct} % may go")
     if not rows:
-        raise QualityError("DQ check FAILED: no rows at all")
+        raise QualityError("the quality report is empty: nothing was processed")
     return rows
 
 
@@ -102,12 +107,11 @@ def load_row_count(table: DataFrame, date_col: str = "reading_date",
     return _counts(table, [date_col] if by_date else [], "row_count")
 
 
-def row_count_gate(table: DataFrame, day, date_col: str = "reading_date") -> int:
-    """A6 gate: zero rows loaded for ``day`` raises."""
-    n = table.filter(F.col(date_col) == F.lit(str(day)).cast("date")).count()
-    if n == 0:
-        raise QualityError(f"DQ FAILED: 0 rows loaded for {day}")
-    return n
+def row_count_gate(counts: DataFrame) -> None:
+    """A6 gate over per-day counts (``reading_date, row_count``; bounded: one
+    row per day): a day without loaded rows raises."""
+    for r in counts.filter(F.col("row_count") == 0).collect():
+        raise QualityError(f"the load of {r['reading_date']} brought no rows")
 
 
 def duplicate_keys(table: DataFrame,
@@ -123,14 +127,11 @@ def duplicate_keys(table: DataFrame,
         F.count_if(F.col("_n") > 1).alias("duplicate_keys"))
 
 
-def duplicate_gate(table: DataFrame, day, **kw) -> int:
-    """A7 gate for one day: any duplicate meter-hour key raises."""
-    one = table.filter(F.col("reading_date") == F.lit(str(day)).cast("date"))
-    row = duplicate_keys(one, by=None, **kw).first()
-    n = int(row["duplicate_keys"]) if row else 0
-    if n > 0:
-        raise QualityError(f"DQ FAILED: {n} duplicate meter-hour combos on {day}")
-    return n
+def duplicate_gate(duplicates: DataFrame) -> None:
+    """A7 gate over per-day counts (``reading_date, duplicate_keys``; bounded:
+    one row per day): a meter-hour held more than once raises."""
+    for r in duplicates.filter(F.col("duplicate_keys") > 0).collect():
+        raise QualityError(f"{r['duplicate_keys']} meter-hours of {r['reading_date']} were loaded more than once")
 
 
 def anomaly_rate(scored: DataFrame, by: str | Sequence[str] | None = "scoring_date",
@@ -156,6 +157,6 @@ def anomaly_rate_gate(rates: DataFrame, max_pct: float = MAX_ANOMALY_RATE_PCT) -
     hot = [r for r in rows if r["alert"]]
     if hot:
         r = hot[0]
-        raise QualityError(f"ALERT: Anomaly rate {r['anomaly_rate_pct']}% exceeds "
-                           f"{max_pct}% threshold ({r['anomalies']}/{r['total']})")
+        raise QualityError(f"{r['anomalies']} of {r['total']} readings are flagged "
+                           f"({r['anomaly_rate_pct']} %); more than {max_pct} % asks for a look")
     return rows

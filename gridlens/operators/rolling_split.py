@@ -38,25 +38,17 @@ from pyspark.sql import types as T
 from gridlens.operators import rolling
 
 DEFAULT_ROWS_PER_TASK = 2_000_000
-# Hot-key lists up to this size are applied as an IN filter; larger ones
-# (still bounded by total_rows / rows_per_task) as a broadcast join.
-MAX_INLIST_KEYS = 10_000
 
 
-def _hot_keys(df: DataFrame, key: str, rows_per_task: int,
-              key_counts: DataFrame | None = None) -> tuple[list, int]:
-    """Keys with more than ``rows_per_task`` rows and their row total.
-
-    ``key_counts`` (columns ``key, _n``) may supply the counts from a
-    smaller table (e.g. the daily rollup's reading counts) instead of a
-    pass over ``df``.
+def _hot_keys(df: DataFrame, key: str, rows_per_task: int, key_counts: DataFrame | None = None) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows (``key, _n``): a table, as
+    their number grows with the data. ``key_counts`` (columns ``key, _n``) may
+    supply the counts from a smaller table (e.g. the daily rollup's reading
+    counts) instead of a pass over ``df``.
     """
     counts = key_counts if key_counts is not None else \
         df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > rows_per_task)
-    # At most total_rows / rows_per_task keys can exceed the threshold.
-    rows = hot.collect()
-    return [r[key] for r in rows], sum(int(r["_n"]) for r in rows)
+    return counts.filter(F.col("_n") > rows_per_task)
 
 
 def _tails_fn(key: str, order: str, value: str, frame_rows: int):
@@ -105,14 +97,25 @@ def number_partitions(base: DataFrame) -> DataFrame:
     return base.withColumn("_seq", F.row_number().over(Window.orderBy("_pid")))
 
 
-def _hot_path(hot: DataFrame, n_hot: int, frame_rows: int, std_null_to_zero: bool,
-              value: str, key: str, order: str, rows_per_task: int) -> DataFrame:
+def _ranged(hot: DataFrame, n_hot: int, key: str, order: str, rows_per_task: int) -> DataFrame:
+    """Hot rows on range partitions of (key, order), with the partition's id."""
     from gridlens.session import shared_dir
     shared_dir(hot.sparkSession)
-    L = frame_rows - 1
     parts = max(1, math.ceil(n_hot / rows_per_task))
-    ranged = (hot.repartitionByRange(parts, key, order).sortWithinPartitions(key, order)
-                 .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    return (hot.repartitionByRange(parts, key, order).sortWithinPartitions(key, order)
+               .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+
+
+def _hot_and_cold(df: DataFrame, key: str, hot_keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the hot keys and all others (NULL keys too). The key table is
+    joined as it is: Spark broadcasts it when it is small enough."""
+    return df.join(hot_keys.select(key), key, "left_semi"), df.join(hot_keys.select(key), key, "left_anti")
+
+
+def _hot_path(hot: DataFrame, n_hot: int, frame_rows: int, std_null_to_zero: bool,
+              value: str, key: str, order: str, rows_per_task: int) -> DataFrame:
+    L = frame_rows - 1
+    ranged = _ranged(hot, n_hot, key, order, rows_per_task)
     fields = ranged.schema
     tail_schema = T.StructType([
         T.StructField("_pid", T.IntegerType()), fields[key], fields[order], fields[value],
@@ -172,19 +175,35 @@ def rolling_stats_split(df: DataFrame, frame_rows: int = rolling.TRAIN_FRAME_ROW
     :func:`gridlens.operators.rolling.rolling_stats`. ``key_counts``: see
     :func:`_hot_keys` (rows per key of ``df``, from a smaller table)."""
     rows_per_task = int(rows_per_task or DEFAULT_ROWS_PER_TASK)
-    hot_keys, n_hot = _hot_keys(df, key, rows_per_task, key_counts)
+    hot_keys = _hot_keys(df, key, rows_per_task, key_counts)
+    n_hot = hot_keys.agg(F.sum("_n")).first()[0]
     plain = lambda d: rolling.rolling_stats(d, frame_rows, std_null_to_zero, value, key, order)
-    if not hot_keys:
+    if not n_hot:
         return plain(df)
-    if len(hot_keys) <= MAX_INLIST_KEYS:
-        is_hot = F.col(key).isin(hot_keys)
-        cold, hot = df.filter(~is_hot | F.col(key).isNull()), df.filter(is_hot)
-    else:
-        spark = df.sparkSession
-        hk = F.broadcast(spark.createDataFrame([(k,) for k in hot_keys], [key]))
-        cold = df.join(hk, key, "left_anti")
-        hot = df.join(hk, key, "left_semi")
+    hot, cold = _hot_and_cold(df, key, hot_keys)
     cols = plain(cold).columns
     hot_out = _hot_path(hot, n_hot, frame_rows, std_null_to_zero, value, key, order,
                         rows_per_task)
     return plain(cold).unionByName(hot_out.select(*cols))
+
+
+def series_position_split(df: DataFrame, key: str = "meter_id", order: str = "reading_timestamp",
+                          out_col: str = "series_pos", rows_per_task: int | None = None) -> DataFrame:
+    """O1 with hot-meter splitting: a row's position is its position among
+    the meter's rows of its range partition, plus the meter's rows in all
+    partitions before. Same values as :func:`rolling.series_position`."""
+    rows_per_task = int(rows_per_task or DEFAULT_ROWS_PER_TASK)
+    hot_keys = _hot_keys(df, key, rows_per_task)
+    n_hot = hot_keys.agg(F.sum("_n")).first()[0]
+    if not n_hot:
+        return rolling.series_position(df, key, order, out_col)
+    hot, cold = _hot_and_cold(df, key, hot_keys)
+    ranged = _ranged(hot, n_hot, key, order, rows_per_task)
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    first = ranged.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_n")).select(
+        key, "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    here = F.row_number().over(Window.partitionBy("_pid", key).orderBy(order))
+    hot_out = ranged.withColumn("_here", here).join(first, [key, "_pid"]).withColumn(
+        out_col, (F.col("_here") + F.col("_before")).cast("int"))
+    plain = rolling.series_position(cold, key, order, out_col)
+    return plain.unionByName(hot_out.select(*plain.columns))

@@ -1,15 +1,17 @@
-"""The daily jobs: process (P1), train (P2), score (P3), validate.
+"""The daily jobs: process (P1), train (P2), score (P3), validate (P4) and
+evaluate.
 
 Each job is a function over DataFrames with thin arguments (dates, table
-roots). Intermediate results that several actions use are cut from their
-lineage with ``checkpoint()`` (reliable, in the session's shared
-checkpoint folder), so a lost executor never forces the scan and dedup
-to rerun, and every action sees the same rows.
+roots). What several actions use is written once as Parquet (the staged
+readings, the training features) and read back column by column, so a lost
+executor never forces the scan and dedup to rerun and every action sees the
+same rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark import InheritableThread, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +27,10 @@ from gridlens.operators import rollup as R
 from gridlens.operators import scoring as S
 from gridlens.schemas import (DAILY_SCHEMA, FEATURE_COLS, HOURLY_SCHEMA, SCORED_COLS,
                               scored_schema)
-from gridlens.session import shared_dir
+from gridlens.session import require_utc, table_path
 from gridlens.sources import scans, sinks
+from gridlens.sources.days import as_date as _d
+from gridlens.sources.days import date_dirs, read_days, with_day_parts, ymd_dirs
 
 
 def run_concurrently(*actions) -> list:
@@ -52,56 +56,58 @@ def run_concurrently(*actions) -> list:
     return results
 
 
-def meter_counts_from_daily(spark: SparkSession, processed_root: str, first_day,
-                            last_day) -> DataFrame:
-    """Cleaned rows per meter over [first_day, last_day], summed from P1's
-    daily rollup (one row per meter-day) instead of scanning readings."""
-    daily = (spark.read.schema(DAILY_SCHEMA).parquet(f"{processed_root}/daily")
-             .filter(F.col("reading_date").between(F.lit(str(_d(first_day))).cast("date"),
-                                                   F.lit(str(_d(last_day))).cast("date"))))
+def meter_counts(spark: SparkSession, processed_root: str, readings: DataFrame, first_day, last_day) -> DataFrame:
+    """Cleaned rows per meter over [first_day, last_day]: summed from P1's
+    daily rollup (one row per meter-day); where no day of it is there,
+    counted from the readings."""
+    daily = read_days(spark, f"{processed_root}/daily", DAILY_SCHEMA, first_day, last_day, date_dirs("reading_date"))
+    if not daily.inputFiles():
+        return readings.groupBy("meter_id").agg(F.count(F.lit(1)).alias("_n"))
     return daily.groupBy("meter_id").agg(F.sum("total_readings").alias("_n"))
 
 
-def _d(x) -> dt.date:
-    return x if isinstance(x, dt.date) else dt.date.fromisoformat(str(x))
-
-
 def process_days(spark: SparkSession, raw_root: str, out_root: str, first_day,
                  last_day=None, lookback_days: int = 0, enforce: bool = True,
                  as_of: dt.datetime | None = None, ts_type: T.DataType | None = None) -> DataFrame:
     """Raw -> clean -> quality gate -> hourly, daily -> three writes.
 
-    Processes one day (the reference) or a range of days in one job.
-    Returns one summary row per day: process_date, raw_rows, clean_rows,
-    drop_pct, status (the quality status; with ``enforce`` a day above
-    10 % raises before anything is written) and the NULL counts of
+    Processes one day (the reference) or a range of days in one job. The
+    cleaned rows are written once, to a staging folder; report and rollups
+    read them back, and the folder's days replace the table's only after the
+    gate passed. Returns one summary row per day: process_date, raw_rows,
+    clean_rows, drop_pct, status (the quality status; with ``enforce`` a day
+    above 10 % raises and no table changes) and the NULL counts of
     kwh_consumed, voltage and meter_id among the cleaned rows.
     """
-    shared_dir(spark)
+    require_utc(spark, ts_type)
     d0 = _d(first_day)
     d1 = _d(last_day) if last_day else d0
     raw = scans.read_raw(spark, raw_root, d0, lookback_days, d1, ts_type)
-    cleaned = C.clean_readings(raw, as_of).checkpoint(eager=True)
-    # Every day of the range gets a row: a day without raw rows counts as
-    # 100 % dropped (FAIL), as an empty single-day run does.
-    days = spark.range(1).select(F.explode(F.sequence(
-        F.lit(str(d0)).cast("date"), F.lit(str(d1)).cast("date"))).alias("reading_date"))
-    nulls = Q.null_profile(cleaned, by="reading_date")   # A4 on the cleaned rows
-    report = (days.join(Q.quality_report(raw, cleaned, by="reading_date"), "reading_date", "left")
-              .join(nulls, "reading_date", "left")
-              .fillna(0, subset=["raw_count", "clean_count", "null_kwh_consumed",
-                                 "null_voltage", "null_meter_id"])
-              .withColumn("dropped_pct", F.coalesce(F.col("dropped_pct"), F.lit(100.0)))
-              .withColumn("status", F.coalesce(F.col("status"), F.lit("FAIL")))
-              .checkpoint(eager=True))
-    if enforce:
-        Q.quality_gate(report)
-    # Three independent writes of the same checkpointed rows: submitted
-    # together, so small or skewed stages of one overlap with the others.
-    run_concurrently(
-        lambda: sinks.write_clean_readings(cleaned, f"{out_root}/readings"),
-        lambda: sinks.write_hourly(R.hourly_rollup(cleaned), f"{out_root}/hourly"),
-        lambda: sinks.write_daily(R.daily_rollup(cleaned), f"{out_root}/daily"))
+    staged = sinks.stage_days(with_day_parts(C.clean_readings(raw, as_of)), f"{out_root}/readings",
+                              sinks.CLEAN_PARTS, ymd_dirs)
+    try:
+        cleaned = scans.scan_processed_days(spark, staged.path, d0, d1, ts_type)
+        # Every day of the range gets a row: a day without raw rows counts as
+        # 100 % dropped (FAIL), as an empty single-day run does.
+        days = spark.range(1).select(F.explode(F.sequence(F.lit(d0), F.lit(d1))).alias("reading_date"))
+        nulls = ("kwh_consumed", "voltage", "meter_id")
+        report = (days.join(Q.quality_report(raw, cleaned, by="reading_date", null_cols=nulls), "reading_date", "left")
+                  .fillna(0, subset=["raw_count", "clean_count", *[f"null_{c}" for c in nulls]])
+                  .withColumn("dropped_pct", F.coalesce(F.col("dropped_pct"), F.lit(100.0)))
+                  .withColumn("status", F.coalesce(F.col("status"), F.lit("FAIL"))))
+        rows = report.collect()  # one row per processed day
+        report = spark.createDataFrame(rows, report.schema)
+        if enforce:
+            Q.quality_gate(report)
+        # Two independent rollups of the same staged rows: submitted
+        # together, so small or skewed stages of one overlap with the other.
+        run_concurrently(
+            lambda: sinks.write_hourly(R.hourly_rollup(cleaned), f"{out_root}/hourly", d0, d1),
+            lambda: sinks.write_daily(R.daily_rollup(cleaned), f"{out_root}/daily", d0, d1))
+        staged.publish(d0, d1)
+    except BaseException:
+        staged.drop()
+        raise
     return report.select(F.col("reading_date").alias("process_date"),
                          F.col("raw_count").alias("raw_rows"),
                          F.col("clean_count").alias("clean_rows"),
@@ -116,18 +122,22 @@ def train_model(spark: SparkSession, processed_root: str, model_root: str, proce
     -> training scores -> offset and metrics -> saved model.
 
     Returns the one-row metrics table (M5)."""
+    require_utc(spark, ts_type)
     d = _d(process_date)
     window = scans.scan_training_window(spark, f"{processed_root}/readings", d,
                                         lookback_days, ts_type)
-    counts = meter_counts_from_daily(spark, processed_root, d - dt.timedelta(days=lookback_days),
-                                     d - dt.timedelta(days=1))
+    counts = meter_counts(spark, processed_root, window, d - dt.timedelta(days=lookback_days),
+                          d - dt.timedelta(days=1)) if split_long_series else None
     feats = C.drop_null_features(FE.engineer_features(
         window, split_long_series=split_long_series, meter_counts=counts)).select(
-            "meter_id", "reading_timestamp", *FEATURE_COLS).checkpoint(eager=True)
+            "meter_id", "reading_timestamp", *FEATURE_COLS)
+    path = table_path(spark, "runs", f"features-{uuid.uuid4().hex}")
+    feats.write.parquet(path)
+    feats = spark.read.schema(feats.schema).parquet(path)
     nodes, psi, n = FO.train(spark, feats)
-    model = FO.load_model(nodes, psi)
-    # Reused by the stats and the quantile rounds only; the lineage is
-    # already cut at ``feats``, so a lost block is rescored, not rescanned.
+    model = FO.load_model(nodes, psi, FO.N_TREES)
+    # Reused by the stats and the quantile rounds only; a lost block is
+    # rescored from the written features, not rescanned.
     train_scores = FO.score_readings(spark, feats, model).select("anomaly_score") \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -141,7 +151,7 @@ def train_model(spark: SparkSession, processed_root: str, model_root: str, proce
         "anomaly_score_mean": st["score_mean"], "anomaly_score_std": st["score_std"],
         "anomaly_score_threshold": ANOMALY_THRESHOLD, "contamination": S.CONTAMINATION,
         "offset": offset, "max_samples": psi, "n_trees": FO.N_TREES,
-        "note": "Precision/Recall require a labeled holdout set; see evaluate_scores.",
+        "note": "trained without labels; the evaluate job measures precision and recall on labelled rows",
     }
     sinks.save_model(spark, nodes, metrics, model_root)
     return training_metrics_frame(spark, metrics)
@@ -169,15 +179,16 @@ def score_days(spark: SparkSession, processed_root: str, model_root: str, out_ro
     ``history_days=0``). ``reference_scoring`` selects the reference's
     scoring-path features (169-row frame, z floor).
     """
+    require_utc(spark, ts_type)
     d0 = _d(process_date)
     d1 = _d(last_day) if last_day else d0
     nodes, metrics = sinks.load_model_tables(spark, model_root)
-    model = FO.load_model(nodes, int(metrics["max_samples"]))
+    model = FO.load_model(nodes, int(metrics["max_samples"]), int(metrics["n_trees"]))
     days = scans.scan_processed_days(spark, f"{processed_root}/readings",
                                      d0 - dt.timedelta(days=history_days), d1, ts_type)
     kw = dict(frame_rows=169, scoring_variant=True) if reference_scoring else {}
-    counts = meter_counts_from_daily(spark, processed_root,
-                                     d0 - dt.timedelta(days=history_days), d1)
+    counts = meter_counts(spark, processed_root, days, d0 - dt.timedelta(days=history_days),
+                          d1) if split_long_series else None
     feats = FE.engineer_features(days, split_long_series=split_long_series,
                                  meter_counts=counts, **kw)
     feats = feats.filter(F.col("reading_date").between(F.lit(str(d0)).cast("date"),
@@ -189,12 +200,19 @@ def score_days(spark: SparkSession, processed_root: str, model_root: str, out_ro
     scored = scored.withColumn("scored_at", stamp).select(*SCORED_COLS)
     # The written table is the lineage cut: rows are scored once, during
     # the write, and the summary reads back only the days just written.
-    path = sinks.write_scored(scored, f"{out_root}/anomaly_scores",
-                              scoring_date=None if last_day else d0)
-    written = (spark.read.schema(scored_schema(ts_type)).parquet(path)
-               .filter(F.col("scoring_date").between(F.lit(str(d0)).cast("date"),
-                                                     F.lit(str(d1)).cast("date"))))
-    return S.scoring_summary(written)
+    path = sinks.write_scored(scored, f"{out_root}/anomaly_scores", d0, last_day)
+    written = read_days(spark, path, scored_schema(ts_type), d0, d1, date_dirs("scoring_date"))
+    return (S.scoring_summary(written).withColumn("process_date", F.lit(d0))
+            .withColumn("output_path", F.lit(path)))
+
+
+def evaluate_model(spark: SparkSession, model_root: str, labelled: DataFrame, mode: str = "offset") -> DataFrame:
+    """Saved model + labelled rows (the 13 features and ``is_true_anomaly``)
+    -> scores -> precision, recall, F1 (A11)."""
+    nodes, metrics = sinks.load_model_tables(spark, model_root)
+    model = FO.load_model(nodes, int(metrics["max_samples"]), int(metrics["n_trees"]))
+    scored = FO.score_readings(spark, FE.impute_features(labelled), model)
+    return S.evaluate_scores(S.flag_and_grade(scored, mode=mode, offset=metrics.get("offset")))
 
 
 def validate_days(spark: SparkSession, out_root: str, warehouse_root: str, first_day,
@@ -205,6 +223,7 @@ def validate_days(spark: SparkSession, out_root: str, warehouse_root: str, first
     ``out_root``) into the warehouse tables (K6, K7), then row count (A6),
     duplicate meter-hours (A7) and anomaly rate (A8) per day; with
     ``enforce`` the gates raise in that order."""
+    require_utc(spark, ts_type)
     d0 = _d(first_day)
     d1 = _d(last_day) if last_day else d0
     scores_root = scores_root or out_root
@@ -213,28 +232,15 @@ def validate_days(spark: SparkSession, out_root: str, warehouse_root: str, first
     scored = sinks.load_table(spark, f"{scores_root}/anomaly_scores",
                               f"{warehouse_root}/anomaly_scores", scored_schema(ts_type),
                               "scoring_date", d0, d1, mode)
-    in_range = F.col("reading_date").between(F.lit(str(d0)).cast("date"), F.lit(str(d1)).cast("date"))
-    h = hourly.filter(in_range)
-    counts = Q.load_row_count(h)
-    dups = Q.duplicate_keys(h)
-    rates = Q.with_rate_alert(Q.anomaly_rate(
-        scored.filter(F.col("scoring_date").between(F.lit(str(d0)).cast("date"),
-                                                    F.lit(str(d1)).cast("date")))))
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(str(d0)).cast("date"),
-                                                      F.lit(str(d1)).cast("date"))).alias("reading_date"))
-    out = (days.join(counts, "reading_date", "left").join(dups, "reading_date", "left")
-           .join(rates.withColumnRenamed("scoring_date", "reading_date"), "reading_date", "left")
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(d0), F.lit(d1))).alias("reading_date"))
+    rates = Q.with_rate_alert(Q.anomaly_rate(scored)).withColumnRenamed("scoring_date", "reading_date")
+    out = (days.join(Q.load_row_count(hourly), "reading_date", "left")
+           .join(Q.duplicate_keys(hourly), "reading_date", "left").join(rates, "reading_date", "left")
            .fillna(0, subset=["row_count", "duplicate_keys"])
            .withColumn("alert", F.coalesce(F.col("alert"), F.lit(False))))
     if enforce:
-        rows = out.collect()  # one row per validated day
-        for r in rows:
-            if r["row_count"] == 0:
-                raise Q.QualityError(f"DQ FAILED: 0 rows loaded for {r['reading_date']}")
-            if r["duplicate_keys"] > 0:
-                raise Q.QualityError(f"DQ FAILED: {r['duplicate_keys']} duplicate meter-hour "
-                                     f"combos on {r['reading_date']}")
-            if r["alert"]:
-                raise Q.QualityError(f"ALERT: Anomaly rate {r['anomaly_rate_pct']}% exceeds "
-                                     f"{Q.MAX_ANOMALY_RATE_PCT}% threshold on {r['reading_date']}")
+        out = spark.createDataFrame(out.collect(), out.schema)  # one row per validated day
+        Q.row_count_gate(out)
+        Q.duplicate_gate(out)
+        Q.anomaly_rate_gate(out)
     return out

@@ -11,6 +11,8 @@ not count as mismatches; time stamps of processing
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,7 @@ from gridlens.operators import features as FE
 from gridlens.operators import forest as FO
 from gridlens.operators import quality as Q
 from gridlens.operators import rolling as W
+from gridlens.operators import rolling_split as WS
 from gridlens.operators import rollup as R
 from gridlens.operators import scoring as S
 from gridlens.plans import jobs as J
@@ -323,12 +326,14 @@ def q_load_row_count(spark, sf_dir):
 _RELOADED_SQL = f"""
   SELECT * FROM ({HOURLY_SQL}) h1
   UNION ALL
-  SELECT * FROM ({HOURLY_SQL}) h2 WHERE reading_date <= DATE '2024-01-10'"""
+  SELECT * FROM ({HOURLY_SQL}) h2
+  WHERE reading_date <= (SELECT CAST(min(reading_timestamp) AS DATE) + 9 FROM raw)"""
 
 
 def _reloaded_hourly(spark, sf_dir):
     hourly = R.hourly_rollup(C.clean_readings(_raw(spark, sf_dir)))
-    return hourly.unionByName(hourly.filter(F.col("reading_date") <= F.lit("2024-01-10").cast("date")))
+    last = fixtures.fixture_days(spark, sf_dir)[0] + dt.timedelta(days=9)
+    return hourly.unionByName(hourly.filter(F.col("reading_date") <= F.lit(last)))
 
 
 @register("duplicate_keys", with_ctes(
@@ -390,6 +395,11 @@ def q_anomaly_rate_gate(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 
+#: Rows of a meter beyond which its series is split over tasks in W1-W3 and
+#: O1: small enough that meters of the test tables are split.
+ROWS_PER_TASK = 300
+
+
 def _frame(rows: int) -> str:
     return (f"OVER (PARTITION BY meter_id ORDER BY reading_timestamp "
             f"ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)")
@@ -401,7 +411,7 @@ def _frame(rows: int) -> str:
     ["kwh_consumed", "rolling_7d_mean_kwh"]))
 def q_rolling_mean(spark, sf_dir):
     c = C.clean_readings(_raw(spark, sf_dir)).select("meter_id", "reading_timestamp", "kwh_consumed")
-    return round_doubles(W.rolling_stats(c).drop(W.STD_COL))
+    return round_doubles(WS.rolling_stats_split(c, rows_per_task=ROWS_PER_TASK).drop(W.STD_COL))
 
 
 @register("rolling_std", r6(with_ctes(
@@ -410,7 +420,7 @@ def q_rolling_mean(spark, sf_dir):
         FROM clean"""), ["kwh_consumed", "rolling_7d_std_kwh"]))
 def q_rolling_std(spark, sf_dir):
     c = C.clean_readings(_raw(spark, sf_dir)).select("meter_id", "reading_timestamp", "kwh_consumed")
-    return round_doubles(W.rolling_stats(c).drop(W.MEAN_COL))
+    return round_doubles(WS.rolling_stats_split(c, rows_per_task=ROWS_PER_TASK).drop(W.MEAN_COL))
 
 
 @register("rolling_scoring_frame", r6(with_ctes(
@@ -420,7 +430,8 @@ def q_rolling_std(spark, sf_dir):
         FROM clean"""), ["kwh_consumed", "rolling_7d_mean_kwh", "rolling_7d_std_kwh"]))
 def q_rolling_scoring_frame(spark, sf_dir):
     c = C.clean_readings(_raw(spark, sf_dir)).select("meter_id", "reading_timestamp", "kwh_consumed")
-    return round_doubles(W.rolling_stats(c, frame_rows=W.SCORE_FRAME_ROWS, std_null_to_zero=False))
+    return round_doubles(WS.rolling_stats_split(c, frame_rows=W.SCORE_FRAME_ROWS, std_null_to_zero=False,
+                                                rows_per_task=ROWS_PER_TASK))
 
 
 @register("derive_weekday", with_ctes(
@@ -614,6 +625,9 @@ def q_contamination_offset(spark, sf_dir):
 
 
 TS = fixtures.FIXTURE_TS
+_days = fixtures.fixture_days
+_FIRST = "(SELECT CAST(min(reading_timestamp) AS DATE) FROM raw)"
+_LAST = "(SELECT CAST(max(reading_timestamp) AS DATE) FROM raw)"
 _DIR_DATE = ("CASE WHEN minute(reading_timestamp) % 20 = 0 THEN CAST(reading_timestamp AS DATE) - 1 "
              "ELSE CAST(reading_timestamp AS DATE) END")
 LAYOUT_CTE = f"""
@@ -627,28 +641,31 @@ _CLEAN_OUT = [f.name for f in clean_schema().fields if f.name != "_processed_at"
 
 
 @register("scan_day_partitions", r6(with_ctes(
-    f"SELECT {_LAYOUT_COLS} FROM layout WHERE dir BETWEEN DATE '2023-12-31' AND DATE '2024-01-30'",
+    f"SELECT {_LAYOUT_COLS} FROM layout WHERE dir BETWEEN {_FIRST} - 1 AND {_LAST}",
     LAYOUT_CTE), RAW_DOUBLES))
 def q_scan_day_partitions(spark, sf_dir):
     root = fixtures.raw_layout(spark, sf_dir)
-    return round_doubles(SC.scan_day_partitions(spark, root, "2024-01-30", 30, ts_type=TS))
+    first, last = _days(spark, sf_dir)
+    return round_doubles(SC.scan_day_partitions(spark, root, last, (last - first).days + 1, ts_type=TS))
 
 
 @register("scan_fixed_schema", r6(with_ctes("SELECT * FROM raw"), RAW_DOUBLES))
 def q_scan_fixed_schema(spark, sf_dir):
     root = fixtures.raw_layout(spark, sf_dir)
-    return round_doubles(SC.scan_day_partitions(spark, root, "2024-01-30", 30, ts_type=TS)
+    first, last = _days(spark, sf_dir)
+    return round_doubles(SC.scan_day_partitions(spark, root, last, (last - first).days + 1, ts_type=TS)
                          .select(*RAW_COLS))
 
 
 @register("filter_exact_date", r6(with_ctes(
     f"""SELECT {_RAW_LIST} FROM layout
-        WHERE dir BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
-          AND reading_timestamp >= TIMESTAMP '2024-01-02 00:00:00'
-          AND reading_timestamp < TIMESTAMP '2024-01-31 00:00:00'""", LAYOUT_CTE), RAW_DOUBLES))
+        WHERE dir BETWEEN {_FIRST} AND {_LAST}
+          AND reading_timestamp >= CAST({_FIRST} + 1 AS TIMESTAMP)
+          AND reading_timestamp < CAST({_LAST} + 1 AS TIMESTAMP)""", LAYOUT_CTE), RAW_DOUBLES))
 def q_filter_exact_date(spark, sf_dir):
     root = fixtures.raw_layout(spark, sf_dir)
-    return round_doubles(SC.read_raw(spark, root, "2024-01-02", 1, "2024-01-30", ts_type=TS))
+    first, last = _days(spark, sf_dir)
+    return round_doubles(SC.read_raw(spark, root, first + dt.timedelta(days=1), 1, last, ts_type=TS))
 
 
 def _clean_readback(df):
@@ -659,27 +676,50 @@ def _clean_readback(df):
     f"SELECT {', '.join(_CLEAN_OUT)} FROM clean"), CLEAN_DOUBLES))
 def q_scan_processed_day(spark, sf_dir):
     root = fixtures.processed_layout(spark, sf_dir)
-    return _clean_readback(SC.scan_processed_days(spark, f"{root}/readings", "2024-01-01",
-                                                  "2024-01-30", ts_type=TS))
+    return _clean_readback(SC.scan_processed_days(spark, f"{root}/readings", *_days(spark, sf_dir), ts_type=TS))
 
 
 @register("scan_training_window", r6(with_ctes(
     f"SELECT {', '.join(_CLEAN_OUT)} FROM clean"), CLEAN_DOUBLES))
 def q_scan_training_window(spark, sf_dir):
     root = fixtures.processed_layout(spark, sf_dir)
-    return _clean_readback(SC.scan_training_window(spark, f"{root}/readings", "2024-01-31",
-                                                   30, ts_type=TS))
+    return _clean_readback(SC.scan_training_window(spark, f"{root}/readings",
+                                                   *fixtures.training_window(spark, sf_dir), ts_type=TS))
 
 
-QUERIES["union_days"] = QUERIES["scan_training_window"]
-SQL["union_days"] = SQL["scan_training_window"]
+@register("union_days", r6(with_ctes(
+    f"""SELECT {_RAW_LIST}, CAST(NULL AS VARCHAR) AS firmware FROM raw WHERE day(reading_timestamp) % 3 = 0
+        UNION ALL SELECT {_RAW_LIST.replace('reactive_power_kvar', 'CAST(NULL AS DOUBLE) AS reactive_power_kvar')},
+                         meter_status AS firmware FROM raw WHERE day(reading_timestamp) % 3 = 1
+        UNION ALL SELECT {_RAW_LIST}, CAST(NULL AS VARCHAR) FROM raw WHERE day(reading_timestamp) % 3 = 2"""),
+    RAW_DOUBLES))
+def q_union_days(spark, sf_dir):
+    """Day frames of three layouts: as raw, one that lacks a column and has a
+    new one, and one with its columns in another order."""
+    r = _raw(spark, sf_dir)
+    third = F.dayofmonth("reading_timestamp") % 3
+    frames = [r.filter(third == 0),
+              r.filter(third == 1).drop("reactive_power_kvar").withColumn("firmware", F.col("meter_status")),
+              r.filter(third == 2).select(*reversed(RAW_COLS))]
+    return round_doubles(SC.union_days([f.select(*[c for c in f.columns if c in (*RAW_COLS, "firmware")])
+                                        for f in frames]))
 
 
 # --------------------------------------------------------------------------
 # K1-K8: writes, read back
 # --------------------------------------------------------------------------
 def _run_dir(spark, sf_dir, key):
-    return table_path(spark, "runs", fixtures._tag(sf_dir), key)
+    """A folder of its own for each call."""
+    return table_path(spark, "runs", f"{fixtures._tag(sf_dir)}-{uuid.uuid4().hex}", key)
+
+
+def _twice(write, rows, **kw):
+    """Write a wider version first (a zone, a type and rows that the real one
+    lacks), then the real one, which must be all that is left."""
+    def other(c):
+        return F.lit("GONE").alias(c) if c in ("utility_zone", "customer_type", "meter_id") else F.col(c)
+    write(rows.unionByName(rows.select(*[other(c) for c in rows.columns])), **kw)
+    return write(rows, **kw)
 
 
 @register("sink_clustered_parquet", r6(with_ctes(
@@ -687,7 +727,7 @@ def _run_dir(spark, sf_dir, key):
 def q_sink_clustered_parquet(spark, sf_dir):
     path = _run_dir(spark, sf_dir, "clustered")
     c = C.clean_readings(_raw(spark, sf_dir), fixtures.FIXTURE_AS_OF)
-    SK.write_clustered(c, path, ["utility_zone", "customer_type"])
+    _twice(lambda d: SK.write_clustered(d, path, ["utility_zone", "customer_type"]), c)
     s = clean_schema(TS)
     fields = [f for f in s.fields if f.name not in ("utility_zone", "customer_type")]
     back = spark.read.schema(T.StructType(fields + [s["utility_zone"], s["customer_type"]])).parquet(path)
@@ -698,13 +738,13 @@ def q_sink_clustered_parquet(spark, sf_dir):
     f"SELECT {', '.join(_CLEAN_OUT)} FROM clean"), CLEAN_DOUBLES))
 def q_sink_clean_readings(spark, sf_dir):
     path = _run_dir(spark, sf_dir, "readings")
-    SK.write_clean_readings(C.clean_readings(_raw(spark, sf_dir), fixtures.FIXTURE_AS_OF), path)
-    return _clean_readback(SC.scan_processed_days(spark, path, "2024-01-01", "2024-01-30", TS))
+    _twice(lambda d: SK.write_clean_readings(d, path), C.clean_readings(_raw(spark, sf_dir), fixtures.FIXTURE_AS_OF))
+    return _clean_readback(SC.scan_processed_days(spark, path, *_days(spark, sf_dir), TS))
 
 
 def _hourly_written(spark, sf_dir):
     path = _run_dir(spark, sf_dir, "hourly")
-    SK.write_hourly(R.hourly_rollup(C.clean_readings(_raw(spark, sf_dir))), path)
+    _twice(lambda d: SK.write_hourly(d, path), R.hourly_rollup(C.clean_readings(_raw(spark, sf_dir))))
     return path
 
 
@@ -717,14 +757,14 @@ def q_sink_hourly(spark, sf_dir):
 @register("sink_daily", r6(with_ctes(DAILY_SQL), DAILY_DOUBLES))
 def q_sink_daily(spark, sf_dir):
     path = _run_dir(spark, sf_dir, "daily")
-    SK.write_daily(R.daily_rollup(C.clean_readings(_raw(spark, sf_dir))), path)
+    _twice(lambda d: SK.write_daily(d, path), R.daily_rollup(C.clean_readings(_raw(spark, sf_dir))))
     return round_doubles(spark.read.schema(DAILY_SCHEMA).parquet(path).select(*DAILY_SCHEMA.names))
 
 
 def _scored_written(spark, sf_dir):
     path = _run_dir(spark, sf_dir, "anomaly_scores")
     g = _given_scored(spark, sf_dir).withColumn("scored_at", F.lit(fixtures.FIXTURE_AS_OF).cast("timestamp"))
-    SK.write_scored(g, path)
+    _twice(lambda d: SK.write_scored(d, path), g)
     return path
 
 
@@ -742,8 +782,11 @@ def q_sink_scored(spark, sf_dir):
 def q_load_hourly_table(spark, sf_dir):
     src = _hourly_written(spark, sf_dir)
     wh = _run_dir(spark, sf_dir, "warehouse/hourly_readings")
-    for _ in range(2):  # a re-run replaces the days, it does not add rows
-        t = SK.load_table(spark, src, wh, HOURLY_SCHEMA, "reading_date", "2024-01-01", "2024-01-30")
+    wide = _run_dir(spark, sf_dir, "hourly-wide")
+    h = spark.read.schema(HOURLY_SCHEMA).parquet(src)
+    SK.write_hourly(h.unionByName(h.withColumn("meter_id", F.lit("GONE"))), wide)
+    for root in (wide, src):  # a re-run replaces the days, it does not add rows
+        t = SK.load_table(spark, root, wh, HOURLY_SCHEMA, "reading_date", *_days(spark, sf_dir))
     return round_doubles(t.select(*HOURLY_SCHEMA.names))
 
 
@@ -752,13 +795,17 @@ def q_load_hourly_table(spark, sf_dir):
 def q_load_scored_table(spark, sf_dir):
     src = _scored_written(spark, sf_dir)
     wh = _run_dir(spark, sf_dir, "warehouse/anomaly_scores")
-    for _ in range(2):
-        t = SK.load_table(spark, src, wh, scored_schema(TS), "scoring_date", "2024-01-01", "2024-01-30")
+    wide = _run_dir(spark, sf_dir, "scores-wide")
+    g = spark.read.schema(scored_schema(TS)).parquet(src)
+    SK.write_scored(g.unionByName(g.withColumn("meter_id", F.lit("GONE"))), wide)
+    for root in (wide, src):
+        t = SK.load_table(spark, root, wh, scored_schema(TS), "scoring_date", *_days(spark, sf_dir))
     return round_doubles(t.select(*_SCORED_BACK))
 
 
 # --------------------------------------------------------------------------
-# The model (rows-only: no SQL engine grows these trees)
+# The sample's rows, the grown trees by what holds for any
+# isolation tree, and scores of a small forest given as a literal
 # --------------------------------------------------------------------------
 
 
@@ -766,53 +813,124 @@ def _train_features(spark, sf_dir):
     return spark.read.parquet(fixtures.train_features_layout(spark, sf_dir))
 
 
-@register("forest_sample")
+_SAMPLE_SQL = f"""
+k AS (SELECT meter_id, reading_timestamp, strftime(reading_timestamp, '%Y%m%d%H%M%S%f') AS st
+      FROM feats WHERE {_NOT_NULL_FEATS}),
+par AS (SELECT least({FO.MAX_SAMPLES}, count(*)) AS psi,
+               ln(1 - least({FO.DRAW_MARGIN} * least({FO.MAX_SAMPLES}, count(*)) / count(*), 1 - pow(2, -52))) AS log_miss FROM k),
+gaps AS (SELECT k.*, i, least(floor(ln((CAST('0x' || substr(md5(concat_ws('|', meter_id, st, '{FO.SEED}', 'gap', i)), 1, 13) AS BIGINT)
+                  + 0.5) / pow(2, 52)) / log_miss), {FO.N_TREES}) AS gap, psi
+         FROM k, par, range(0, {FO.N_TREES} + 1) r(i)),
+hits AS (SELECT *, CAST(sum(gap + 1) OVER (PARTITION BY meter_id, reading_timestamp ORDER BY i) - 1 AS INTEGER) AS tree_id FROM gaps),
+drawn AS (SELECT *, row_number() OVER (PARTITION BY tree_id ORDER BY md5(concat_ws('|', meter_id, st, '{FO.SEED}', 'rank', tree_id)),
+                 meter_id, reading_timestamp) AS pos FROM hits WHERE tree_id < {FO.N_TREES})
+"""
+
+
+@register("forest_sample", with_ctes(
+    "SELECT tree_id, meter_id, reading_timestamp FROM drawn WHERE pos <= psi", _TRAIN_STATS, _SAMPLE_SQL))
 def q_forest_sample(spark, sf_dir):
     sample, _ = FO.forest_sample(_train_features(spark, sf_dir))
     return sample.select("tree_id", "meter_id", "reading_timestamp")
 
 
-@register("forest_fit")
+@register("forest_fit", with_ctes(
+    f"""SELECT CAST(t AS INTEGER) AS tree_id, CAST(least({FO.MAX_SAMPLES}, (SELECT count(*) FROM feats WHERE {_NOT_NULL_FEATS}))
+                AS INTEGER) AS root_rows, CAST(1 AS BIGINT) AS leaves_beyond_inner, true AS children_add_up, true AS shallow
+        FROM range(0, {FO.N_TREES}) r(t)""", _TRAIN_STATS))
 def q_forest_fit(spark, sf_dir):
-    feats = _train_features(spark, sf_dir)
-    sample, psi = FO.forest_sample(feats)
-    return FO.forest_fit(sample, psi)
+    """The grown trees as per-tree facts: rows of the root, leaves less inner
+    nodes, children adding up to their parent, no split below the limit."""
+    sample, psi = FO.forest_sample(_train_features(spark, sf_dir))
+    nodes = FO.forest_fit(sample, psi)
+    inner = F.col("feature") >= 0
+    child = nodes.select("tree_id", F.col("node_id").alias("child"), F.col("n_rows").alias("child_rows"))
+    sums = (nodes.filter(inner).select("tree_id", "node_id", "n_rows", F.explode(F.array("left", "right")).alias("child"))
+            .join(child, ["tree_id", "child"]).groupBy("tree_id", "node_id", "n_rows").agg(F.sum("child_rows").alias("both"))
+            .groupBy("tree_id").agg(F.bool_and(F.col("both") == F.col("n_rows")).alias("children_add_up")))
+    return (nodes.groupBy("tree_id").agg(
+        F.max(F.when(F.col("node_id") == 0, F.col("n_rows"))).alias("root_rows"),
+        (F.count_if(~inner) - F.count_if(inner)).alias("leaves_beyond_inner"),
+        F.bool_and(~inner | (F.col("path_len") < 8)).alias("shallow")).join(sums, "tree_id")
+        .select("tree_id", "root_rows", "leaves_beyond_inner", "children_add_up", "shallow"))
 
 
 def _saved_model(spark, sf_dir):
-    root = fixtures.model_layout(spark, sf_dir)
-    nodes, metrics = SK.load_model_tables(spark, root)
-    return nodes, metrics
+    return SK.load_model_tables(spark, fixtures.model_layout(spark, sf_dir))
 
 
-@register("model_save_load")
+@register("model_save_load", f"SELECT CAST({FO.N_TREES} AS BIGINT) AS n_trees, CAST(0 AS BIGINT) AS changed_nodes, true AS same_metrics")
 def q_model_save_load(spark, sf_dir):
-    return _saved_model(spark, sf_dir)[0]
+    """A model saved over another one and read back: trees, nodes that are
+    not as saved, and whether the metrics are."""
+    nodes, metrics = _saved_model(spark, sf_dir)
+    root = _run_dir(spark, sf_dir, "model")
+    SK.save_model(spark, nodes.filter("tree_id < 3"), {"offset": 0.0}, root)
+    SK.save_model(spark, nodes, metrics, root)
+    back, again = SK.load_model_tables(spark, root)
+    changed = nodes.exceptAll(back).union(back.exceptAll(nodes)).agg(F.count(F.lit(1)).alias("changed_nodes"))
+    return (back.agg(F.countDistinct("tree_id").alias("n_trees")).crossJoin(F.broadcast(changed))
+            .withColumn("same_metrics", F.lit(again == metrics)))
+
+
+# Two trees over kWh, voltage and power factor; psi 8, so c(psi) is as below.
+_LITERAL_PSI = 8
+_LITERAL_NODES = [  # tree, node, feature, threshold, left, right, rows, path length
+    (0, 0, 0, 5.0, 1, 2, 8, 0.0), (0, 1, -1, 0.0, -1, -1, 3, 2.0), (0, 2, 1, 220.0, 3, 4, 5, 1.0),
+    (0, 3, -1, 0.0, -1, -1, 1, 2.0), (0, 4, -1, 0.0, -1, -1, 4, 3.5),
+    (1, 0, 3, 0.5, 1, 2, 8, 0.0), (1, 1, 4, 20.0, 3, 4, 6, 1.0), (1, 2, -1, 0.0, -1, -1, 2, 2.0),
+    (1, 3, -1, 0.0, -1, -1, 5, 4.25), (1, 4, -1, 0.0, -1, -1, 1, 2.0)]
+_LITERAL_OFFSET = -0.45
+_LITERAL_SQL = f"""
+scored AS (
+  SELECT meter_id, reading_timestamp, -pow(2, -((CASE WHEN kwh_consumed < 5 THEN 2 WHEN voltage < 220 THEN 2 ELSE 3.5 END)
+         + (CASE WHEN power_factor >= 0.5 THEN 2 WHEN reactive_power_kvar < 20 THEN 4.25 ELSE 2 END)) / 2
+         / {float(FO.average_path_length([_LITERAL_PSI])[0])!r}) AS anomaly_score
+  FROM feats WHERE {_NOT_NULL_FEATS})
+"""
 
 
-def _forest_scores(spark, sf_dir):
-    nodes, metrics = _saved_model(spark, sf_dir)
-    model = FO.load_model(nodes, int(metrics["max_samples"]))
+def _literal_scores(spark, sf_dir):
+    nodes = spark.createDataFrame(_LITERAL_NODES, FO.FOREST_NODE_SCHEMA)
     feats = FE.impute_features(_train_features(spark, sf_dir))
-    return FO.score_readings(spark, feats, model).select(
+    return FO.score_readings(spark, feats, FO.load_model(nodes, _LITERAL_PSI, 2)).select(
         "meter_id", "reading_timestamp", "anomaly_score")
 
 
-@register("score_readings")
+@register("score_readings", r6(with_ctes("SELECT * FROM scored", _TRAIN_STATS, _LITERAL_SQL), ["anomaly_score"]))
 def q_score_readings(spark, sf_dir):
-    return _forest_scores(spark, sf_dir)
+    return round_doubles(_literal_scores(spark, sf_dir))
 
 
-@register("forest_score")
+@register("forest_score", r6(with_ctes(
+    f"""SELECT *, anomaly_score - ({_LITERAL_OFFSET}) AS anomaly_decision, anomaly_score - ({_LITERAL_OFFSET}) < 0 AS is_anomaly,
+               CASE WHEN anomaly_score - ({_LITERAL_OFFSET}) < {D.OFFSET_SEVERITY_CUTS[0]} THEN 'HIGH'
+                    WHEN anomaly_score - ({_LITERAL_OFFSET}) < {D.OFFSET_SEVERITY_CUTS[1]} THEN 'MEDIUM'
+                    WHEN anomaly_score - ({_LITERAL_OFFSET}) < 0 THEN 'LOW' ELSE 'NORMAL' END AS anomaly_severity
+        FROM scored""", _TRAIN_STATS, _LITERAL_SQL), ["anomaly_score", "anomaly_decision"]))
 def q_forest_score(spark, sf_dir):
-    nodes, metrics = _saved_model(spark, sf_dir)
-    return S.flag_and_grade(_forest_scores(spark, sf_dir), mode="offset",
-                            offset=metrics["offset"])
+    return round_doubles(S.flag_and_grade(_literal_scores(spark, sf_dir), mode="offset", offset=_LITERAL_OFFSET))
+
+
+_METRICS_SQL = with_ctes(
+    f"""SELECT CAST({_LAST} + 1 AS VARCHAR) AS train_date, CAST({_LAST} - {_FIRST} + 1 AS INTEGER) AS lookback_days,
+               (SELECT count(*) FROM feats WHERE {_NOT_NULL_FEATS}) AS n_train_samples,
+               CAST({len(FEATURE_COLS)} AS INTEGER) AS feature_count, CAST({D.ANOMALY_THRESHOLD} AS DOUBLE) AS anomaly_score_threshold,
+               CAST({S.CONTAMINATION} AS DOUBLE) AS contamination, CAST(least({FO.MAX_SAMPLES},
+                 (SELECT count(*) FROM feats WHERE {_NOT_NULL_FEATS})) AS INTEGER) AS max_samples,
+               CAST({FO.N_TREES} AS INTEGER) AS n_trees""", _TRAIN_STATS)
+
+
+def _sql_metrics(metrics: DataFrame) -> DataFrame:
+    """The metrics that SQL can compute: what was trained on and with which
+    settings, not the scores."""
+    return metrics.select("train_date", "lookback_days", "n_train_samples", "feature_count",
+                          "anomaly_score_threshold", "contamination", "max_samples", "n_trees")
 
 
-@register("training_metrics")
+@register("training_metrics", _METRICS_SQL)
 def q_training_metrics(spark, sf_dir):
-    return J.training_metrics_frame(spark, _saved_model(spark, sf_dir)[1])
+    return _sql_metrics(J.training_metrics_frame(spark, _saved_model(spark, sf_dir)[1]))
 
 
 # --------------------------------------------------------------------------
@@ -832,24 +950,23 @@ def q_training_metrics(spark, sf_dir):
                    FROM clean GROUP BY reading_date) n ON n.reading_date = q.reading_date"""))
 def q_process_day(spark, sf_dir):
     out = _run_dir(spark, sf_dir, "p1")
-    return J.process_days(spark, fixtures.raw_layout(spark, sf_dir), out, "2024-01-01",
-                          "2024-01-30", lookback_days=1, enforce=False,
-                          as_of=fixtures.FIXTURE_AS_OF, ts_type=TS)
+    return J.process_days(spark, fixtures.raw_layout(spark, sf_dir), out, *_days(spark, sf_dir),
+                          lookback_days=1, enforce=False, as_of=fixtures.FIXTURE_AS_OF, ts_type=TS)
 
 
-@register("train_model")
+@register("train_model", _METRICS_SQL)
 def q_train_model(spark, sf_dir):
     out = _run_dir(spark, sf_dir, "p2")
-    return J.train_model(spark, fixtures.processed_layout(spark, sf_dir), out,
-                         "2024-01-31", 30, TS)
+    return _sql_metrics(J.train_model(spark, fixtures.processed_layout(spark, sf_dir), out,
+                                      *fixtures.training_window(spark, sf_dir), TS))
 
 
-@register("score_day")
+@register("score_day", with_ctes(f"SELECT {_FIRST} AS process_date, count(*) AS total_scored FROM clean"))
 def q_score_day(spark, sf_dir):
     out = _run_dir(spark, sf_dir, "p3")
     return J.score_days(spark, fixtures.processed_layout(spark, sf_dir),
-                        fixtures.model_layout(spark, sf_dir), out, "2024-01-01", "2024-01-30",
-                        history_days=0, as_of=fixtures.FIXTURE_AS_OF, ts_type=TS)
+                        fixtures.model_layout(spark, sf_dir), out, *_days(spark, sf_dir),
+                        history_days=0, as_of=fixtures.FIXTURE_AS_OF, ts_type=TS).select("process_date", "total_scored")
 
 
 @register("validate_day", r6(with_ctes(
@@ -865,8 +982,8 @@ def q_validate_day(spark, sf_dir):
     SK.write_hourly(R.hourly_rollup(C.clean_readings(_raw(spark, sf_dir))), f"{out}/hourly")
     g = _given_scored(spark, sf_dir).withColumn("scored_at", F.lit(fixtures.FIXTURE_AS_OF).cast("timestamp"))
     SK.write_scored(g, f"{out}/anomaly_scores")
-    return round_doubles(J.validate_days(spark, out, f"{out}/warehouse", "2024-01-01",
-                                         "2024-01-30", enforce=False, ts_type=TS))
+    return round_doubles(J.validate_days(spark, out, f"{out}/warehouse", *_days(spark, sf_dir),
+                                         enforce=False, ts_type=TS))
 
 
 # --------------------------------------------------------------------------
@@ -928,4 +1045,4 @@ def q_unpack_struct(spark, sf_dir):
        FROM clean"""), ["kwh_consumed"]))
 def q_sort_series(spark, sf_dir):
     c = C.clean_readings(_raw(spark, sf_dir)).select("meter_id", "reading_timestamp", "kwh_consumed")
-    return round_doubles(W.series_position(c))
+    return round_doubles(WS.series_position_split(c, rows_per_task=ROWS_PER_TASK))

@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 
 KEY_COLS = ["meter_id", "reading_timestamp"]
 
-# Measured columns of a raw reading, in file order after the two keys.
+# Measured columns of a raw reading, in file order after the two keys (fixed
+# values: the data contract).
 RAW_VALUE_COLS = [
     "kwh_consumed", "voltage", "current_amps", "power_factor",
     "reactive_power_kvar", "temperature_celsius", "meter_status",
@@ -14,8 +15,6 @@ RAW_VALUE_COLS = [
 ]
 RAW_COLS = KEY_COLS + RAW_VALUE_COLS
 
-CUSTOMER_TYPES = ["RESIDENTIAL", "COMMERCIAL", "INDUSTRIAL"]
-
 # The 13 model features, in model column order (fixed values: must equal
 # the reference's feature list and order).
 FEATURE_COLS = [
@@ -34,6 +33,7 @@ FEATURE_COLS = [
     "kwh_z_score",
 ]
 
+# The columns of the scored table, in order.
 SCORED_COLS = [
     "meter_id", "reading_timestamp", "kwh_consumed", "voltage",
     "power_factor", "utility_zone", "customer_type",

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 # Settings every job relies on. Timestamps are interpreted in UTC so
 # hour/date derivations agree with the values stored in the files.
@@ -15,7 +16,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
     # delete checkpoint files once their DataFrame is garbage collected
@@ -68,25 +68,19 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def require_utc(spark: SparkSession, ts_type: T.DataType | None) -> None:
+    """Days and hours of zoned time stamps follow the session's zone, so the
+    jobs run in UTC alone; time stamps without a zone do not care."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if not isinstance(ts_type, T.TimestampNTZType) and zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise RuntimeError(f"set spark.sql.session.timeZone to UTC, not {zone}")
+
+
 def table_path(spark: SparkSession, *parts: str) -> str:
     """Path of a named table below :func:`shared_dir`."""
     return "/".join([shared_dir(spark), "gridlens", *parts])
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or "://" not in path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's file system (works for any scheme)."""
-    if is_local_path(path):
-        return os.path.exists(path.replace("file:", "", 1))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 DONE_MARKER = "_GRIDLENS_DONE"
 
 
@@ -97,8 +91,8 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def mark_done(spark: SparkSession, root: str) -> None:
-    """Record that the table under ``root`` is complete (dynamic partition
-    overwrite leaves no ``_SUCCESS`` file at the table root)."""
+    """Record that the table under ``root`` is complete (a swap of days leaves
+    no ``_SUCCESS`` file at the table root)."""
     fs, p = _fs_path(spark, f"{root}/{DONE_MARKER}")
     fs.create(p, True).close()
 

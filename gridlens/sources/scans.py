@@ -1,10 +1,9 @@
 """Scans of the raw and processed layouts.
 
-Every reader scans the table root with an explicit schema and filters on
-the partition columns, so Spark prunes directories (``PartitionFilters``)
-and a missing day is an empty result rather than a failed read. The exact
-date filter is a timestamp range, which reaches the Parquet reader as
-``PushedFilters``.
+Every reader opens only the day directories it is asked for, with an explicit
+schema (``days.read_days``); a missing day is an empty result rather than a
+failed read. The exact date filter is a timestamp range, which reaches the
+Parquet reader as ``PushedFilters``.
 """
 
 from __future__ import annotations
@@ -17,26 +16,13 @@ from pyspark.sql import types as T
 
 from gridlens.functions.derive import day_range
 from gridlens.schemas import clean_schema, raw_schema
+from gridlens.sources.days import as_date as _as_date
+from gridlens.sources.days import read_days, ymd_dirs
 
 DAY_PARTS = [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()),
              T.StructField("day", T.IntegerType())]
 
 
-def _as_date(d) -> dt.date:
-    return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
-
-
-def _ts_type(schema: T.StructType) -> str:
-    return schema["reading_timestamp"].dataType.simpleString()
-
-
-def day_partition_filter(first_day, last_day) -> F.Column:
-    """Directory dates in [first_day, last_day] from ``year/month/day``."""
-    d = F.make_date("year", "month", "day")
-    return d.between(F.lit(str(_as_date(first_day))).cast("date"),
-                     F.lit(str(_as_date(last_day))).cast("date"))
-
-
 def scan_day_partitions(spark: SparkSession, root: str, process_date, lookback_days: int = 0,
                         end_date=None, ts_type: T.DataType | None = None) -> DataFrame:
     """S1 + S2: raw rows of directory days ``D - lookback .. D`` (or up to
@@ -45,8 +31,7 @@ def scan_day_partitions(spark: SparkSession, root: str, process_date, lookback_d
     d0 = _as_date(process_date)
     d1 = _as_date(end_date) if end_date else d0
     schema = T.StructType(raw_schema(ts_type).fields + DAY_PARTS)
-    df = spark.read.schema(schema).option("basePath", root).parquet(root)
-    return df.filter(day_partition_filter(d0 - dt.timedelta(days=lookback_days), d1))
+    return read_days(spark, root, schema, d0 - dt.timedelta(days=lookback_days), d1, ymd_dirs)
 
 
 def filter_exact_date(df: DataFrame, process_date, end_date=None,
@@ -79,8 +64,8 @@ def scan_processed_days(spark: SparkSession, root: str, first_day, last_day,
     """S4/S5 core: cleaned rows of directory days [first_day, last_day];
     ``utility_zone`` and ``customer_type`` come back from the directory
     names as strings (explicit schema: no partition-type inference)."""
-    df = spark.read.schema(_clean_read_schema(ts_type)).option("basePath", root).parquet(root)
-    return df.filter(day_partition_filter(first_day, last_day)).drop("year", "month", "day")
+    return read_days(spark, root, _clean_read_schema(ts_type), first_day, last_day, ymd_dirs).drop(
+        "year", "month", "day")
 
 
 def scan_processed_day(spark: SparkSession, root: str, process_date,
@@ -97,5 +82,17 @@ def scan_training_window(spark: SparkSession, root: str, process_date, lookback_
     df = scan_processed_days(spark, root, d - dt.timedelta(days=lookback_days),
                              d - dt.timedelta(days=1), ts_type)
     if df.isEmpty():
-        raise ValueError("No training data found in the specified window")
+        raise ValueError(f"no cleaned readings in the {lookback_days} days before {d}")
     return df
+
+
+def union_days(frames: list[DataFrame]) -> DataFrame:
+    """O2: rows of several day frames whose columns may differ (a field that
+    was added later, or dropped): matched by name, NULL where absent, in the
+    order of first appearance."""
+    if not frames:
+        raise ValueError("no day frames to unite")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out

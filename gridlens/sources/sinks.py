@@ -1,20 +1,21 @@
 """Writers (K1-K8): Hive-partitioned Parquet, idempotent per day.
 
-Writes use dynamic partition overwrite, so re-running a day replaces that
-day's directories and leaves other days alone (the reference's COPY
-appends and a re-run doubles the rows). ``mode="append"`` is kept to
-reproduce that.
+A re-run replaces whole days: rows, zones or types that the new run lacks are
+gone, a day that lost all rows ends empty, other days stay (``days``).
+``load_table(mode="append")`` adds rows like a bulk COPY.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlens.schemas import FOREST_NODE_SCHEMA, SCORED_COLS
+from gridlens.sources.days import DayDirs, StagedDays, as_date, date_dirs, read_days, with_day_parts, ymd_dirs
 
 
 def write_clustered(df: DataFrame, path: str, partition_cols, num_partitions: int | None = None,
@@ -26,47 +27,73 @@ def write_clustered(df: DataFrame, path: str, partition_cols, num_partitions: in
     one task (three customer types -> three writers, one of them huge).
     The ``rebalance`` hint clusters by the same columns but lets AQE split
     oversized partitions, so a hot value is written by several tasks.
+    "overwrite" replaces the whole of ``path``.
     """
     cols = list(partition_cols)
     args = ([num_partitions] if num_partitions else []) + cols
     (df.hint("rebalance", *args).write.mode(mode)
-       .option("partitionOverwriteMode", "dynamic")
+       .option("partitionOverwriteMode", "static")
        .option("compression", "snappy")
        .partitionBy(*cols).parquet(path))
     return path
 
 
-def with_day_parts(df: DataFrame, date_col: str = "reading_date") -> DataFrame:
-    d = F.col(date_col)
-    return (df.withColumn("year", F.year(d)).withColumn("month", F.month(d))
-              .withColumn("day", F.dayofmonth(d)))
+def stage_days(df: DataFrame, root: str, partition_cols, dirs: DayDirs,
+               num_partitions: int | None = None) -> StagedDays:
+    staged = StagedDays(df.sparkSession, root, dirs)
+    write_clustered(df, staged.path, partition_cols, num_partitions)
+    return staged
+
+
+def _replace_days(df: DataFrame, root: str, date_col: str, partition_cols, dirs: DayDirs, first_day, last_day,
+                  num_partitions: int | None) -> str:
+    """Write ``df`` in place of the days [first_day, last_day]; without them,
+    of the days from the first to the last that it holds. Rows of other days
+    are not written."""
+    if first_day is None:
+        span = df.agg(F.min(date_col).alias("a"), F.max(date_col).alias("b")).first()
+        if span["a"] is None:
+            return root
+        first_day, last_day = span["a"], span["b"]
+    first_day, last_day = as_date(first_day), as_date(last_day or first_day)
+    rows = df.filter(F.col(date_col).between(F.lit(first_day), F.lit(last_day)))
+    stage_days(rows, root, partition_cols, dirs, num_partitions).publish(first_day, last_day)
+    return root
+
 
+CLEAN_PARTS = ["year", "month", "day", "utility_zone", "customer_type"]
 
-def write_clean_readings(clean: DataFrame, root: str, num_partitions: int | None = None) -> str:
+
+def write_clean_readings(clean: DataFrame, root: str, first_day=None, last_day=None,
+                         num_partitions: int | None = None) -> str:
     """K2: cleaned rows under year/month/day, clustered by zone and type."""
-    return write_clustered(with_day_parts(clean), root,
-                           ["year", "month", "day", "utility_zone", "customer_type"],
-                           num_partitions)
+    return _replace_days(with_day_parts(clean), root, "reading_date", CLEAN_PARTS, ymd_dirs, first_day, last_day,
+                         num_partitions)
 
 
-def write_hourly(hourly: DataFrame, root: str, num_partitions: int | None = None) -> str:
+def write_hourly(hourly: DataFrame, root: str, first_day=None, last_day=None,
+                 num_partitions: int | None = None) -> str:
     """K3: hourly rollup by date and zone."""
-    return write_clustered(hourly, root, ["reading_date", "utility_zone"], num_partitions)
+    return _replace_days(hourly, root, "reading_date", ["reading_date", "utility_zone"], date_dirs("reading_date"),
+                         first_day, last_day, num_partitions)
 
 
-def write_daily(daily: DataFrame, root: str, num_partitions: int | None = None) -> str:
+def write_daily(daily: DataFrame, root: str, first_day=None, last_day=None,
+                num_partitions: int | None = None) -> str:
     """K4: daily rollup by date and customer type."""
-    return write_clustered(daily, root, ["reading_date", "customer_type"], num_partitions)
+    return _replace_days(daily, root, "reading_date", ["reading_date", "customer_type"], date_dirs("reading_date"),
+                         first_day, last_day, num_partitions)
 
 
-def write_scored(scored: DataFrame, root: str, scoring_date=None,
+def write_scored(scored: DataFrame, root: str, scoring_date=None, last_day=None,
                  num_partitions: int | None = None) -> str:
-    """K5: the 11 scored columns plus ``scoring_date`` (the process date,
-    or the reading date when scoring a range)."""
-    sd = (F.lit(str(scoring_date)).cast("date") if scoring_date is not None
-          else F.to_date("reading_timestamp"))
+    """K5: the 11 scored columns plus ``scoring_date``: the day given, or the
+    reading date when scoring a range (``last_day``) or when none is given."""
+    one_day = scoring_date is not None and last_day is None
+    sd = F.lit(as_date(scoring_date)) if one_day else F.to_date("reading_timestamp")
     out = scored.select(*SCORED_COLS).withColumn("scoring_date", sd)
-    return write_clustered(out, root, ["scoring_date"], num_partitions)
+    return _replace_days(out, root, "scoring_date", ["scoring_date"], date_dirs("scoring_date"), scoring_date,
+                         last_day, num_partitions)
 
 
 def align_to(df: DataFrame, target: T.StructType) -> DataFrame:
@@ -79,26 +106,33 @@ def align_to(df: DataFrame, target: T.StructType) -> DataFrame:
 def load_table(spark: SparkSession, src_root: str, table_root: str, target: T.StructType,
                date_col: str, first_day, last_day=None, mode: str = "overwrite") -> DataFrame:
     """K6/K7: load one day (or a range) of files into a date-partitioned
-    table. ``overwrite`` replaces only the loaded days (idempotent);
-    ``append`` adds rows like a bulk COPY."""
+    table; returns the table's rows of those days. ``overwrite`` replaces the
+    days, also by nothing; ``append`` adds rows like a bulk COPY. Files that
+    lack a column of ``target`` give NULL for it."""
     last_day = last_day or first_day
-    src = (spark.read.schema(target).option("basePath", src_root).parquet(src_root)
-           .filter(F.col(date_col).between(F.lit(str(first_day)).cast("date"),
-                                           F.lit(str(last_day)).cast("date"))))
-    (align_to(src, target).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        .partitionBy(date_col).parquet(table_root))
-    return spark.read.schema(target).parquet(table_root)
+    dirs = date_dirs(date_col)
+    rows = align_to(read_days(spark, src_root, target, first_day, last_day, dirs), target)
+    if mode == "append":
+        rows.write.mode("append").partitionBy(date_col).parquet(table_root)
+    else:
+        _replace_days(rows, table_root, date_col, [date_col], dirs, first_day, last_day, None)
+    return read_days(spark, table_root, target, first_day, last_day, dirs)
 
 
 def save_model(spark: SparkSession, nodes: DataFrame, metrics: dict, root: str) -> str:
-    """K8: node table as Parquet and the metrics row as JSON (no pickle)."""
-    nodes.coalesce(1).write.mode("overwrite").parquet(f"{root}/nodes")
+    """K8: node table as Parquet and the metrics row as JSON (no pickle), both
+    in a folder of their own; the file ``current`` names the folder to use and
+    is replaced last, so a crash never pairs new trees with old metrics."""
+    version = f"version-{uuid.uuid4().hex}"
+    nodes.coalesce(1).write.parquet(f"{root}/{version}/nodes")
     spark.createDataFrame([(json.dumps(metrics, default=str),)], "metrics string") \
-        .coalesce(1).write.mode("overwrite").text(f"{root}/metrics")
+        .coalesce(1).write.text(f"{root}/{version}/metrics")
+    spark.createDataFrame([(version,)], "name string").coalesce(1).write.mode("overwrite").text(f"{root}/current")
     return root
 
 
 def load_model_tables(spark: SparkSession, root: str) -> tuple[DataFrame, dict]:
-    nodes = spark.read.schema(FOREST_NODE_SCHEMA).parquet(f"{root}/nodes")
-    metrics = json.loads(spark.read.text(f"{root}/metrics").first()["value"])
+    at = f"{root}/{spark.read.text(f'{root}/current').first()['value']}"
+    nodes = spark.read.schema(FOREST_NODE_SCHEMA).parquet(f"{at}/nodes")
+    metrics = json.loads(spark.read.text(f"{at}/metrics").first()["value"])
     return nodes, metrics

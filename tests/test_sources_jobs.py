@@ -68,16 +68,18 @@ def test_load_is_idempotent_and_append_duplicates(spark):
                              "2024-01-20")
     one = sinks.load_table(spark, f"{root}/hourly", f"{wh}/h", HOURLY_SCHEMA, "reading_date",
                            "2024-01-21")
-    n20 = one.filter(F.col("reading_date") == F.lit("2024-01-20").cast("date")).count()
+    assert {r[0] for r in one.select("reading_date").distinct().collect()} == {dt.date(2024, 1, 21)}
+    table = spark.read.schema(HOURLY_SCHEMA).parquet(f"{wh}/h")
+    n20 = table.filter(F.col("reading_date") == F.lit("2024-01-20").cast("date")).count()
     src20 = spark.read.schema(HOURLY_SCHEMA).parquet(f"{root}/hourly") \
         .filter(F.col("reading_date") == F.lit("2024-01-20").cast("date")).count()
     assert n20 == src20                                       # other day untouched, no doubles
-    assert Q.duplicate_gate(one, "2024-01-20") == 0
+    Q.duplicate_gate(Q.duplicate_keys(table))
     sinks.load_table(spark, f"{root}/hourly", f"{wh}/h", HOURLY_SCHEMA, "reading_date",
                      "2024-01-20", mode="append")
     again = spark.read.schema(HOURLY_SCHEMA).parquet(f"{wh}/h")
     with pytest.raises(Q.QualityError):
-        Q.duplicate_gate(again, "2024-01-20")
+        Q.duplicate_gate(Q.duplicate_keys(again))
     del t
 
 
@@ -111,8 +113,8 @@ def test_write_clustered_with_partition_count(spark):
     back = spark.read.parquet(path)
     assert back.count() == 60
     assert back.groupBy("d", "zone").count().count() == 6
-    sinks.write_clustered(df.filter("d = 0"), path, ["d", "zone"])   # rewrite one day only
-    assert spark.read.parquet(path).count() == 60                    # dynamic overwrite
+    sinks.write_clustered(df.filter("d = 0"), path, ["d", "zone"])   # replaces all of it
+    assert spark.read.parquet(path).count() == 20
 
 
 def test_cli_process(spark, capsys):
@@ -171,3 +173,115 @@ def test_cli_train_score_validate(spark, capsys):
     printed = capsys.readouterr().out
     assert '"n_train_samples"' in printed and '"total_scored"' in printed
     assert '"alert": false' in printed
+
+
+def _cleaned(spark):
+    from gridlens.operators import clean
+    return clean.clean_readings(fixtures.readings(spark, SF))
+
+
+def test_rerun_replaces_whole_days_and_leaves_others(spark):
+    from gridlens.operators import rollup
+    h = rollup.hourly_rollup(_cleaned(spark))
+    root = table_path(spark, "test-rerun-hourly")
+    sinks.write_hourly(h, root, "2024-01-24", "2024-01-26")
+    other = sinks.read_days(spark, root, HOURLY_SCHEMA, "2024-01-26", "2024-01-26", sinks.date_dirs("reading_date")).count()
+    day = h.filter(F.col("reading_date") == F.lit("2024-01-25").cast("date"))
+    fewer = day.filter("utility_zone = 'Z1'")
+    sinks.write_hourly(fewer, root, "2024-01-25")                    # zones gone in the re-run
+    back = spark.read.schema(HOURLY_SCHEMA).parquet(root)
+    assert back.filter("reading_date = '2024-01-25'").count() == fewer.count() < day.count()
+    assert back.filter("reading_date = '2024-01-26'").count() == other > 0
+    sinks.write_hourly(day.limit(0), root, "2024-01-25")             # the day lost all rows
+    back = spark.read.schema(HOURLY_SCHEMA).parquet(root)
+    assert back.filter("reading_date = '2024-01-25'").count() == 0
+    assert back.filter("reading_date = '2024-01-26'").count() == other
+
+
+def test_rerun_over_unpadded_folders(spark):
+    clean = _cleaned(spark).filter(F.to_date("reading_timestamp") == F.lit("2024-01-05").cast("date"))
+    root = table_path(spark, "test-unpadded")
+    old = (clean.withColumn("year", F.lit(2024)).withColumn("month", F.lit(1)).withColumn("day", F.lit(5)))
+    sinks.write_clustered(old, root, sinks.CLEAN_PARTS)              # month=1/day=5
+    n = scans.scan_processed_day(spark, root, "2024-01-05", TS).count()
+    assert n == clean.count() > 0
+    sinks.write_clean_readings(clean, root)                          # month=01/day=05 takes its place
+    assert scans.scan_processed_day(spark, root, "2024-01-05", TS).count() == n
+    assert spark.read.parquet(root).count() == n
+
+
+def test_emptied_day_reaches_the_warehouse_gate(spark):
+    from gridlens.operators import rollup
+    h = rollup.hourly_rollup(_cleaned(spark))
+    src, wh = table_path(spark, "test-emptied"), table_path(spark, "test-emptied-wh")
+    sinks.write_hourly(h, f"{src}/hourly", "2024-01-25")
+    J.validate_days(spark, src, wh, "2024-01-25", ts_type=TS)
+    sinks.write_hourly(h.limit(0), f"{src}/hourly", "2024-01-25")
+    with pytest.raises(Q.QualityError):
+        J.validate_days(spark, src, wh, "2024-01-25", ts_type=TS)
+
+
+def test_one_day_read_lists_that_day_alone(spark):
+    root = fixtures.raw_layout(spark, SF)
+    files = scans.scan_day_partitions(spark, root, "2024-01-15", ts_type=TS).inputFiles()
+    assert files and all("/year=2024/month=01/day=15/" in f for f in files)
+    processed = fixtures.processed_layout(spark, SF)
+    files = scans.scan_processed_day(spark, f"{processed}/readings", "2024-01-25", TS).inputFiles()
+    assert files and all("/month=01/day=25/" in f for f in files)
+
+
+def test_failed_gate_changes_no_table(spark):
+    raw_root, out = fixtures.raw_layout(spark, "/root/testdata/sf0.01"), table_path(spark, "test-gate-first")
+    with pytest.raises(Q.QualityError):
+        J.process_days(spark, raw_root, out, "2024-01-15", lookback_days=1, ts_type=TS)
+    assert scans.scan_processed_day(spark, f"{out}/readings", "2024-01-15", TS).count() == 0
+
+
+def test_training_without_the_daily_rollup(spark):
+    processed = fixtures.processed_layout(spark, SF)
+    root = table_path(spark, "test-no-daily")
+    rows = scans.scan_processed_days(spark, f"{processed}/readings", "2024-01-21", "2024-01-30", TS)
+    sinks.write_clean_readings(rows, f"{root}/readings")
+    m = J.train_model(spark, root, f"{root}/model", "2024-01-31", 10, TS).first()
+    assert m["n_train_samples"] > 0
+
+
+def test_interrupted_save_keeps_the_old_model(spark):
+    processed = fixtures.model_layout(spark, SF)
+    nodes, metrics = sinks.load_model_tables(spark, processed)
+    root = table_path(spark, "test-save")
+    sinks.save_model(spark, nodes, metrics, root)
+    nodes.limit(1).write.parquet(f"{root}/version-broken/nodes")     # a save that never got to its end
+    back, again = sinks.load_model_tables(spark, root)
+    assert back.count() == nodes.count() and again == metrics
+
+
+def test_evaluate_job(spark):
+    from gridlens.schemas import FEATURE_COLS
+    model_root = fixtures.model_layout(spark, "/root/testdata/sf0.01")
+    labels = fixtures.readings(spark, "/root/testdata/sf0.01").select(
+        "meter_id", "reading_timestamp", "is_true_anomaly").dropDuplicates(["meter_id", "reading_timestamp"])
+    rows = spark.read.parquet(fixtures.train_features_layout(spark, "/root/testdata/sf0.01")).join(
+        labels, ["meter_id", "reading_timestamp"])
+    r = J.evaluate_model(spark, model_root, rows.select("is_true_anomaly", *FEATURE_COLS)).first()
+    assert r["n_val_samples"] == rows.count() and 0 < r["recall"] <= 1 and 0 < r["precision"] <= 1
+
+
+def test_union_of_differing_days(spark):
+    a = spark.createDataFrame([(1, "x")], "id int, old string")
+    b = spark.createDataFrame([("y", 2)], "new string, id int")
+    out = scans.union_days([a, b])
+    assert out.columns == ["id", "old", "new"]
+    assert sorted(map(tuple, out.collect())) == [(1, "x", None), (2, None, "y")]
+    with pytest.raises(ValueError):
+        scans.union_days([])
+
+
+def test_jobs_ask_for_utc(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        with pytest.raises(RuntimeError):
+            J.train_model(spark, "nowhere", "nowhere", "2024-01-31")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
