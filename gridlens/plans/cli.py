@@ -5,6 +5,7 @@
     ... train    --date 2024-01-15 --lookback-days 30 --out-root ... --model-root ...
     ... score    --date 2024-01-15 --out-root ... --model-root ... --scores-root ...
     ... validate --date 2024-01-15 --out-root ... --scores-root ... --warehouse-root ...
+    ... evaluate --model-root ... --labelled s3://.../holdout
 
 ``--date`` defaults to today; ``--lookback-days`` to 0 for ``process``
 and 30 for ``train``. Each command prints its one-row (or per-day)
@@ -57,6 +58,11 @@ def _parser() -> argparse.ArgumentParser:
     sp.add_argument("--scores-root", required=True, help="root written by 'score'")
     sp.add_argument("--warehouse-root", required=True)
     sp.add_argument("--append", action="store_true", help="append instead of overwrite")
+
+    sp = sub.add_parser("evaluate", help="precision, recall and F1 of a saved model on labelled rows")
+    sp.add_argument("--model-root", required=True)
+    sp.add_argument("--labelled", required=True, help="Parquet with the 13 features and is_true_anomaly")
+    sp.add_argument("--mode", choices=["offset", "raw"], default="offset")
     return p
 
 
@@ -71,6 +77,8 @@ def main(argv=None) -> None:
     elif a.cmd == "score":
         out = jobs.score_days(spark, a.out_root, a.model_root, a.scores_root, a.date,
                               a.end_date, a.history_days, a.mode, a.reference_scoring)
+    elif a.cmd == "evaluate":
+        out = jobs.evaluate_model(spark, a.model_root, spark.read.parquet(a.labelled), a.mode)
     else:
         out = jobs.validate_days(spark, a.out_root, a.warehouse_root, a.date, a.end_date,
                                  mode="append" if a.append else "overwrite",

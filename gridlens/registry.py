@@ -535,12 +535,24 @@ _STATS_SQL = " UNION ALL ".join(
     for i, c in enumerate(FEATURE_COLS))
 
 
+_SCALED_SQL = " UNION ALL ".join(
+    f"SELECT f.meter_id, f.reading_timestamp, s.feature, s.mean, s.std, "
+    f"(f.{c} - s.mean) / CASE WHEN s.std = 0 THEN 1 ELSE s.std END AS scaled FROM ok f JOIN stats s ON s.feature = '{c}'"
+    for c in ("kwh_consumed", "voltage", "kwh_z_score"))
+
+
 @register("feature_scaler", r6(with_ctes(
-    _STATS_SQL, _TRAIN_STATS, f"ok AS (SELECT * FROM feats WHERE {_NOT_NULL_FEATS})"),
-    ["mean", "std"]))
+    _SCALED_SQL, _TRAIN_STATS, f"ok AS (SELECT * FROM feats WHERE {_NOT_NULL_FEATS})", f"stats AS ({_STATS_SQL})"),
+    ["mean", "std", "scaled"]))
 def q_feature_scaler(spark, sf_dir):
-    f = FE.engineer_features(C.clean_readings(_raw(spark, sf_dir)))
-    return round_doubles(FE.feature_stats(C.drop_null_features(f)))
+    """The statistics of three features and the features scaled by them."""
+    f = C.drop_null_features(FE.engineer_features(C.clean_readings(_raw(spark, sf_dir))))
+    stats = FE.feature_stats(f)
+    some = ["kwh_consumed", "voltage", "kwh_z_score"]
+    scaled = FE.scale_features(f.select("meter_id", "reading_timestamp", *some), stats.collect(), some)
+    pairs = ", ".join(f"'{c}', {c}" for c in some)
+    long = scaled.selectExpr("meter_id", "reading_timestamp", f"stack({len(some)}, {pairs}) AS (feature, scaled)")
+    return round_doubles(long.join(stats.drop("ordinal"), "feature"))
 
 
 # --------------------------------------------------------------------------

@@ -83,6 +83,6 @@ def test_filters_reach_parquet(spark):
     raw = scans.read_raw(spark, root, "2024-01-15", 1, ts_type=fixtures.FIXTURE_TS)
     df = C.clean_readings(raw)
     plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
-    assert "PartitionFilters" in plan and "PushedFilters" in plan
+    assert "PushedFilters" in plan  # the days are chosen by their directories
     assert "GreaterThanOrEqual(voltage,90.0)" in plan
     assert "GreaterThanOrEqual(reading_timestamp" in plan

@@ -86,8 +86,8 @@ def test_train_and_score_paths_agree(spark):
 def test_split_path_mixed_hot_and_cold(spark):
     c = C.clean_readings(fixtures.readings(spark, "/root/testdata/sf0.01")) \
         .select("meter_id", "reading_timestamp", "kwh_consumed")
-    hot, _ = RS._hot_keys(c, "meter_id", 520)
-    assert 0 < len(hot) < c.select("meter_id").distinct().count()
+    hot = RS._hot_keys(c, "meter_id", 520)
+    assert 0 < hot.count() < c.select("meter_id").distinct().count()
     a = W.rolling_stats(c)
     b = RS.rolling_stats_split(c, rows_per_task=520)
     assert b.count() == a.count() and a.exceptAll(b.select(*a.columns)).count() == 0

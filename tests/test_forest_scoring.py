@@ -36,11 +36,41 @@ def test_sample_sizes(spark, feats):
     assert dup.count() == 0                                  # without replacement
 
 
-def test_large_n_draw_is_disjoint(spark, feats):
-    sample, psi = FO.forest_sample(feats, n_trees=10, max_samples=64)
-    assert psi == 64
-    assert sample.groupBy("meter_id", "reading_timestamp").count().filter("count > 1").count() == 0
-    assert {r[0] for r in sample.groupBy("tree_id").count().select("count").collect()} == {64}
+def test_a_row_can_be_in_several_trees_at_every_size(spark, feats):
+    """One rule: the same draw below and above trees * psi * margin rows."""
+    for n_trees, most in ((200, 256), (10, 64)):             # 8,411 rows: below 76,800, above 960
+        sample, psi = FO.forest_sample(feats, n_trees=n_trees, max_samples=most)
+        assert {r[0] for r in sample.groupBy("tree_id").count().select("count").collect()} == {psi}
+        shared = sample.groupBy("meter_id", "reading_timestamp").count().filter("count > 1").count()
+        assert shared > 0
+
+
+def test_large_table_draws_rows_for_several_trees(spark):
+    from pyspark.sql import types as T
+    base = spark.range(100_000).select(
+        F.concat(F.lit("M"), F.col("id") % 50).alias("meter_id"),
+        (F.timestamp_seconds(F.col("id") * 60)).alias("reading_timestamp"),
+        *[F.rand(i).alias(c) for i, c in enumerate(FEATURE_COLS)])
+    assert base.schema["reading_timestamp"].dataType == T.TimestampType()
+    sample, psi = FO.forest_sample(base, 100_000)
+    sizes = [r[0] for r in sample.groupBy("tree_id").count().select("count").collect()]
+    assert len(sizes) == 200 and set(sizes) == {256} == {psi}
+    rows = sample.groupBy("meter_id", "reading_timestamp").count()
+    # 51,200 draws from 100,000 rows: about a fifth of the drawn rows are in two trees or more
+    assert rows.filter("count > 1").count() > 0.15 * rows.count()
+
+
+def test_few_rows_are_in_every_tree(spark, feats):
+    sample, psi = FO.forest_sample(feats.limit(40), n_trees=7)
+    assert psi == 40 and sample.count() == 7 * 40
+
+
+def test_model_bound_follows_the_saved_parameters(spark, feats):
+    sample, psi = FO.forest_sample(feats, n_trees=3, max_samples=600)
+    nodes = FO.forest_fit(sample, psi, n_trees=3).checkpoint(eager=True)
+    assert FO.load_model(nodes, psi, 3).n_trees == 3          # 600 rows a tree, more than the default 256
+    with pytest.raises(ValueError):
+        FO.load_model(nodes, 20, 3)
 
 
 def test_tree_structure(trained):

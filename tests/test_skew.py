@@ -26,22 +26,32 @@ def test_rolling_with_one_meter_holding_a_third(spark):
     skewed = c.withColumn("meter_id", hot_id).checkpoint(eager=True)
     n_hot = skewed.filter(F.col("meter_id") == "MHOT").count()
     assert n_hot > skewed.count() / 4
-    hot, rows = RS._hot_keys(skewed, "meter_id", 1000)
-    assert hot == ["MHOT"] and rows == n_hot
+    assert [tuple(r) for r in RS._hot_keys(skewed, "meter_id", 1000).collect()] == [("MHOT", n_hot)]
     a = W.rolling_stats(skewed)
     b = RS.rolling_stats_split(skewed, rows_per_task=1000)
     assert b.count() == a.count()
     assert a.exceptAll(b.select(*a.columns)).count() == 0
 
 
+def test_positions_with_one_meter_holding_a_third(spark):
+    c = C.clean_readings(fixtures.readings(spark, "/root/testdata/sf0.01")).select("meter_id", "reading_timestamp")
+    hot_id = F.when(F.xxhash64("reading_timestamp") % 3 == 0, F.lit("MHOT")).otherwise(F.col("meter_id"))
+    skewed = c.withColumn("meter_id", hot_id).dropDuplicates().checkpoint(eager=True)
+    a = W.series_position(skewed)
+    b = RS.series_position_split(skewed, rows_per_task=500)
+    assert b.count() == a.count() and a.exceptAll(b.select(*a.columns)).count() == 0
+
+
 def test_meter_counts_from_daily_match_readings(spark):
     from gridlens.plans import jobs as J
     from gridlens.sources import scans
     root = fixtures.processed_layout(spark, "/root/testdata/sf0.01")
     got = {r["meter_id"]: r["_n"] for r in
-           J.meter_counts_from_daily(spark, root, "2024-01-03", "2024-01-12").collect()}
+           J.meter_counts(spark, root, None, "2024-01-03", "2024-01-12").collect()}
     rows = scans.scan_processed_days(spark, f"{root}/readings", "2024-01-03", "2024-01-12",
                                      fixtures.FIXTURE_TS)
+    counted = J.meter_counts(spark, f"{root}-none", rows, "2024-01-03", "2024-01-12").collect()
+    assert {r["meter_id"]: r["_n"] for r in counted} == got   # no daily rollup: the readings are counted
     want = {r["meter_id"]: r["count"] for r in rows.groupBy("meter_id").count().collect()}
     assert got == want
 

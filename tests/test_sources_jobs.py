@@ -158,6 +158,16 @@ def test_reference_scoring_flags_everything(spark):
                         ts_type=TS, scores_root=out)
 
 
+def test_cli_evaluate(spark, capsys):
+    from gridlens.plans import cli
+    from gridlens.schemas import FEATURE_COLS
+    rows = spark.read.parquet(fixtures.train_features_layout(spark, "/root/testdata/sf0.01"))
+    path = table_path(spark, "test-labelled")
+    rows.select((F.col("kwh_z_score") > 4).cast("int").alias("is_true_anomaly"), *FEATURE_COLS).write.parquet(path)
+    cli.main(["evaluate", "--model-root", fixtures.model_layout(spark, "/root/testdata/sf0.01"), "--labelled", path])
+    assert '"precision"' in capsys.readouterr().out
+
+
 def test_cli_train_score_validate(spark, capsys):
     from gridlens.plans import cli
     raw_root = fixtures.raw_layout(spark, "/root/testdata/sf0.01")
@@ -259,7 +269,7 @@ def test_interrupted_save_keeps_the_old_model(spark):
 def test_evaluate_job(spark):
     from gridlens.schemas import FEATURE_COLS
     model_root = fixtures.model_layout(spark, "/root/testdata/sf0.01")
-    labels = fixtures.readings(spark, "/root/testdata/sf0.01").select(
+    labels = fixtures.readings(spark, "/root/testdata/sf0.01", with_label=True).select(
         "meter_id", "reading_timestamp", "is_true_anomaly").dropDuplicates(["meter_id", "reading_timestamp"])
     rows = spark.read.parquet(fixtures.train_features_layout(spark, "/root/testdata/sf0.01")).join(
         labels, ["meter_id", "reading_timestamp"])
