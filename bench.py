@@ -90,15 +90,16 @@ def main():
 
     raw_root = timed("write_raw_layout", lambda: fixtures.raw_layout(spark, sf_dir))
     out = table_path(spark, "bench", re.sub(r"\W", "_", sf_dir))
+    days, window = fixtures.fixture_days(spark, sf_dir), fixtures.training_window(spark, sf_dir)
     timed("process_days", lambda: J.process_days(
-        spark, raw_root, out, "2024-01-01", "2024-01-30", lookback_days=1, enforce=False,
+        spark, raw_root, out, *days, lookback_days=1, enforce=False,
         ts_type=fixtures.FIXTURE_TS).count())
 
     model_root = f"{out}/model"
     timed("train_model", lambda: J.train_model(
-        spark, out, model_root, "2024-01-31", 30, fixtures.FIXTURE_TS).count())
+        spark, out, model_root, *window, fixtures.FIXTURE_TS).count())
     timed("score_days", lambda: J.score_days(
-        spark, out, model_root, out, "2024-01-01", "2024-01-30", history_days=0,
+        spark, out, model_root, out, *days, history_days=0,
         ts_type=fixtures.FIXTURE_TS).count())
 
     total = round(sum(v for k, v in times.items() if k != "write_raw_layout"), 3)

@@ -17,6 +17,9 @@ from gridlens.schemas import RAW_COLS
 # Fixed values of the adapter (FIXTURES.md): multipliers for kWh.
 KWH_NORMAL = 0.0971317340953
 KWH_OUTLIER = 2.0713173409531
+# Step of the power factor: no round decimal, so that no mean of steps is a
+# rounding tie of the comparison.
+POWER_FACTOR_STEP = 0.0499137158371
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +49,7 @@ def readings_from_events(events: DataFrame, with_label: bool = True) -> DataFram
         F.when(e % 13 == 0, F.lit(None).cast("double"))
          .otherwise(v / F.lit(2.0)).alias("current_amps"),
         F.when(e % 83 == 0, F.lit(1.2))
-         .otherwise((e % 21).cast("double") / F.lit(20.0)).alias("power_factor"),
+         .otherwise((e % 21).cast("double") * F.lit(POWER_FACTOR_STEP)).alias("power_factor"),
         (v / F.lit(30.0)).alias("reactive_power_kvar"),
         (F.lit(10) + e % 25).cast("double").alias("temperature_celsius"),
         F.col("event_type").alias("meter_status"),
@@ -97,7 +100,7 @@ SELECT concat('M', CAST(m AS VARCHAR(20))) AS meter_id,
             ELSE value * 0.0971317340953E0 END AS kwh_consumed,
        CASE WHEN event_id % 97 = 0 THEN 300.0E0 ELSE CAST(200 + event_id % 41 AS DOUBLE) END AS voltage,
        CASE WHEN event_id % 13 = 0 THEN NULL ELSE value / 2.0E0 END AS current_amps,
-       CASE WHEN event_id % 83 = 0 THEN 1.2E0 ELSE CAST(event_id % 21 AS DOUBLE) / 20.0E0 END AS power_factor,
+       CASE WHEN event_id % 83 = 0 THEN 1.2E0 ELSE CAST(event_id % 21 AS DOUBLE) * 0.0499137158371E0 END AS power_factor,
        value / 30.0E0 AS reactive_power_kvar,
        CAST(10 + event_id % 25 AS DOUBLE) AS temperature_celsius,
        event_type AS meter_status,

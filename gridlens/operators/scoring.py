@@ -86,8 +86,22 @@ def scoring_summary(scored: DataFrame, flag: str = "is_anomaly") -> DataFrame:
         F.col("total_anomalies") / F.greatest(F.col("total_scored"), F.lit(1)) * F.lit(100.0), 2))
 
 
+def _value_at(x: DataFrame, k: int) -> float:
+    """The value of 0-based rank ``k`` by halving the range of values, each
+    end moved to a value that occurs: always comes to an end."""
+    ends = x.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    lo, hi = ends["lo"], ends["hi"]
+    while lo < hi:
+        mid = lo / 2 + hi / 2
+        mid = lo if not lo <= mid < hi else mid
+        r = x.agg(F.count_if(F.col("x") <= mid).alias("n"), F.max(F.when(F.col("x") <= mid, F.col("x"))).alias("under"),
+                  F.min(F.when(F.col("x") > mid, F.col("x"))).alias("over")).first()
+        lo, hi = (lo, r["under"]) if r["n"] > k else (r["over"], hi)
+    return lo
+
+
 def exact_quantile(df: DataFrame, col: str, q: float, max_collect: int = 20000,
-                   accuracy: int = 10000) -> float | None:
+                   accuracy: int = 10000, persist: bool = True) -> float | None:
     """Exact linear-interpolation quantile (as ``percentile`` / DuckDB's
     ``quantile_cont``) without gathering the column in one place.
 
@@ -95,10 +109,14 @@ def exact_quantile(df: DataFrame, col: str, q: float, max_collect: int = 20000,
     mergeable ``percentile_approx`` sketch and counts what lies below it;
     once the bracket holds at most ``max_collect`` values they are
     fetched and the two neighbouring ranks interpolated. The driver never
-    sees more than ``max_collect`` values. NULL and NaN are ignored.
+    sees more than ``max_collect`` values. A bracket that will not narrow is
+    settled by halving the range of values. NULL and NaN are ignored.
+    ``persist=False`` if ``df`` is persisted already.
     """
     x = df.select(F.col(col).cast("double").alias("x")).filter(
-        F.col("x").isNotNull() & ~F.isnan("x")).persist(StorageLevel.MEMORY_AND_DISK)
+        F.col("x").isNotNull() & ~F.isnan("x"))
+    if persist:
+        x = x.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = x.count()
         if n == 0:
@@ -139,7 +157,7 @@ def exact_quantile(df: DataFrame, col: str, q: float, max_collect: int = 20000,
                     pairs = [(r["x"], int(r["count"])) for r in hist.collect()]
                     return _pick(pairs, [r - below for r in ranks], frac)
                 if accuracy >= MAX_ACCURACY:
-                    raise RuntimeError("quantile bracket did not narrow")
+                    break
                 accuracy = min(accuracy * 10, MAX_ACCURACY)
                 continue
             new_below = below + int(cnt["under"])
@@ -151,9 +169,11 @@ def exact_quantile(df: DataFrame, col: str, q: float, max_collect: int = 20000,
             below = new_below
             cand = cand.filter(cond)
             m = int(cnt["inside"])
-        raise RuntimeError("quantile bracket did not converge")
+        vals = [_value_at(x, r) for r in ranks]
+        return vals[0] if len(vals) == 1 else vals[0] + (vals[1] - vals[0]) * frac
     finally:
-        x.unpersist()
+        if persist:
+            x.unpersist()
 
 
 def _pick(hist, local_ranks, frac):
@@ -171,6 +191,6 @@ def _pick(hist, local_ranks, frac):
 
 
 def contamination_offset(train_scores: DataFrame, contamination: float = CONTAMINATION,
-                         score: str = "anomaly_score") -> float | None:
+                         score: str = "anomaly_score", persist: bool = True) -> float | None:
     """M4: the score below which ``contamination`` of training rows lie."""
-    return exact_quantile(train_scores, score, contamination)
+    return exact_quantile(train_scores, score, contamination, persist=persist)

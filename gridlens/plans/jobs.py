@@ -142,7 +142,7 @@ def train_model(spark: SparkSession, processed_root: str, model_root: str, proce
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         st = S.score_stats(train_scores).first().asDict()
-        offset = S.contamination_offset(train_scores)
+        offset = S.contamination_offset(train_scores, persist=False)
     finally:
         train_scores.unpersist()
     metrics = {

@@ -47,7 +47,7 @@ def compare(spark, con, sf_dir, key, fn, sql):
     stypes = [SPARK2DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
               for f in sdf.schema.fields]
     if sql is None:
-        return f"OK  {key}: rows={len(srows)} (rows-only, no oracle) spark={t1 - t0:.1f}s"
+        return f"ROWS {key}: rows={len(srows)} (not compared, no SQL) spark={t1 - t0:.1f}s"
     rel = con.sql(sql)
     dcols = rel.columns
     dtypes = [str(t) for t in rel.types]
@@ -95,15 +95,16 @@ def main():
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     qs, sqls = E.queries(), E.oracle_sql()
-    bad = 0
+    bad = compared = 0
     for k in (keys or list(qs)):
         try:
             line = compare(spark, con, sf_dir, k, qs[k], sqls.get(k))
         except Exception as exc:  # report and go on
             line = f"ERR {k}: {type(exc).__name__}: {str(exc)[:400]}"
-        bad += not line.startswith("OK")
+        bad += line.startswith(("BAD", "ERR"))
+        compared += line.startswith("OK")
         print(line, flush=True)
-    print(f"done, {bad} not OK of {len(keys or qs)}")
+    print(f"done: {compared} equal, {bad} not, of {len(keys or qs)}; the others have no SQL")
 
 
 if __name__ == "__main__":

@@ -207,3 +207,14 @@ def test_model_save_load_round_trip(spark, trained):
     assert m2 == metrics
     assert back.count() == nodes.count()
     assert nodes.exceptAll(back).count() == 0 and back.exceptAll(nodes).count() == 0
+
+
+def test_quantile_of_a_bracket_that_will_not_narrow(spark):
+    """Few collected values and a coarse sketch: settled by halving."""
+    df = spark.createDataFrame([(float(i % 7) + (0.5 if i % 11 else 0.25),) for i in range(900)], "s double")
+    v = sorted(r[0] for r in df.collect())
+    for q in (0.0, 0.02, 0.5, 0.93, 1.0):
+        pos = q * 899
+        k, f = int(pos), pos - int(pos)
+        want = v[k] if f == 0 else v[k] + (v[k + 1] - v[k]) * f
+        assert S.exact_quantile(df, "s", q, max_collect=2, accuracy=S.MAX_ACCURACY) == pytest.approx(want)
