@@ -99,6 +99,10 @@ _SPLITS = T.StructType([T.StructField(n, t) for n, t in (
 
 def _descend(df: DataFrame, splits: Sequence[Split], n_dims: int) -> DataFrame:
     """Move rows from the nodes split at one level to their children."""
+    if len(splits) == 1:  # the root: no table is needed
+        s = splits[0]
+        inside = F.when(F.col(f"_key{s.dim}") <= s.at, F.lit(s.left)).otherwise(F.lit(s.right))
+        return df.withColumn("_node", F.when(F.col("_node") == s.node, inside.cast("long")).otherwise(F.col("_node")))
     table = df.sparkSession.createDataFrame([(s.node, s.dim, s.at, s.left, s.right) for s in splits], _SPLITS)
     inside = F.when(_key_of(n_dims, F.col("_dim")) <= F.col("_at"), F.col("_left")).otherwise(F.col("_right"))
     return (df.join(F.broadcast(table), "_node", "left")
