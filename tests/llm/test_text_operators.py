@@ -220,6 +220,18 @@ def test_candidate_recall_against_brute_force(leaky):
     assert len(want) > 40 and len(want & got) >= 0.9 * len(want)
 
 
+def test_items_that_many_rows_hold_are_found(leaky, spark):
+    """Copies that are a third of the rows, and two rows of twelve."""
+    _, benchmark, _, rows = leaky
+    item = benchmark.where("item_id = 3").first()["text"]
+    clean = [t for d, t in rows if d is not None and d < 300 and d % 5]
+    for n, hold in ((90, 30), (12, 2)):
+        texts = [f"{clean[0]} {item} {clean[1]}"] * hold + clean[2:2 + n - hold]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, benchmark).collect()}
+        assert got == {(d, 3) for d in range(hold)}
+
+
 def test_lcs_matches_the_table():
     rng = random.Random(2)
     for _ in range(50):
