@@ -232,6 +232,20 @@ def test_items_that_many_rows_hold_are_found(leaky, spark):
         assert got == {(d, 3) for d in range(hold)}
 
 
+def test_weights_of_benchmark_words_are_exact(leaky, spark):
+    """The other words of a bucket say nothing about a word of the benchmark."""
+    _, benchmark, _, _ = leaky
+    p = decontamination.LsaParams(bits=4)
+    item = benchmark.where("item_id = 3").first()["text"]
+    docs = [(0, item), (1, None)] + [(i, " ".join(f"w{i}x{k}" for k in range(200))) for i in range(2, 40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    h, _ = decontamination.words(pa.array([item], pa.large_string()))
+    for n, (_, weights, _) in ((40, decontamination.fit(frame, benchmark.where("item_id = 3"), p)),
+                               (1, decontamination.fit(frame.limit(1), benchmark.where("item_id = 3"), decontamination.LsaParams()))):
+        row, weight = weights.of(h, int(np.log2(len(weights.norm))))
+        assert (row >= 0).all() and np.allclose(weight, math.log((1 + n) / 2) + 1)
+
+
 def test_lcs_matches_the_table():
     rng = random.Random(2)
     for _ in range(50):
