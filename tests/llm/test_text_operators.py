@@ -246,6 +246,46 @@ def test_weights_of_benchmark_words_are_exact(leaky, spark):
         assert (row >= 0).all() and np.allclose(weight, math.log((1 + n) / 2) + 1)
 
 
+def test_candidates_hold_what_the_lcs_accepts(leaky, spark):
+    """Short items, items cut to 8 or 10 words, LCS down to 0.6, an item in a
+    third of all documents: nine of ten pairs the check accepts are candidates."""
+    rng = random.Random(4)
+    filler = [w for d, t in leaky[3] if d is not None and d < 300 and d % 5 for w in t.split()]
+    sizes = [8, 10, 16, 20, 25, 40] * 10
+    items = [(i, " ".join(rng.choice(filler) for _ in range(n)) + ".") for i, n in enumerate(sizes)]
+    docs, kind = [], []
+    for d in range(1500):
+        i = 5 if d % 3 == 0 else rng.randrange(60)
+        put = items[i][1].rstrip(".").split()
+        if i != 5 and len(put) > 10:
+            lose = rng.sample(range(len(put) - 5), int(len(put) * rng.choice([0.2, 0.3, 0.4])))
+            put = [rng.choice(filler) if k in lose else w for k, w in enumerate(put)]
+        body = [f"q{rng.randrange(10 ** 6)}" if rng.random() < 0.3 else rng.choice(filler) for _ in range(rng.randrange(60, 200))]
+        at = rng.randrange(len(body))
+        docs.append((d, " ".join(body[:at] + put + body[at:])))
+        kind.append((i, "shared" if i == 5 else "short" if len(put) < 11 else "edited"))
+    p = decontamination.LsaParams()
+    table, weights, bench = decontamination.fit(spark.createDataFrame(docs, "doc_id long, text string"),
+                                                spark.createDataFrame(items, "item_id long, text string"), p)
+    h, off = decontamination.words(pa.array([t for _, t in docs], pa.large_string()))
+    got = {(int(t), int(i)) for t, i, _, _ in decontamination.candidates(h, off, table, weights, bench, p)}
+    every = np.array([(d, i, off[d] + k, 1.0) for d, (i, _) in enumerate(kind) for k in range(0, off[d + 1] - off[d], 16)])
+    accepted = [(d, int(bench.ids.tolist().index(i))) for d, i, *_ in decontamination.confirm(h, off, every, bench, p)]
+    recall = {k: np.mean([x in got for x in accepted if kind[x[0]][1] == k]) for k in ("short", "edited", "shared")}
+    assert len(accepted) > 1200 and min(recall.values()) >= 0.9, recall
+
+
+def test_signatures_drop_nothing_the_lcs_accepts(leaky, spark, monkeypatch):
+    docs, benchmark, _, rows = leaky
+    p = decontamination.LsaParams(cosine=0.05)
+    table, weights, bench = decontamination.fit(docs, benchmark, p)
+    h, off = decontamination.words(pa.array([t for _, t in rows], pa.large_string()))
+    found = decontamination.candidates(h, off, table, weights, bench, p)
+    some = decontamination.confirm(h, off, found, bench, p)
+    monkeypatch.setattr(decontamination, "_possible", lambda h, off, item, *_: np.ones(len(item), bool))
+    assert some == decontamination.confirm(h, off, found, bench, p) and len(some) >= 61
+
+
 def test_lcs_matches_the_table():
     rng = random.Random(2)
     for _ in range(50):
