@@ -286,6 +286,22 @@ def test_signatures_drop_nothing_the_lcs_accepts(leaky, spark, monkeypatch):
     assert some == decontamination.confirm(h, off, found, bench, p) and len(some) >= 61
 
 
+def test_items_of_repeated_words_and_short_items(spark):
+    """Words that repeat count as often as they do; short items match as a whole sequence, not across documents."""
+    rng = random.Random(6)
+    new = lambda n, c="w": [f"{c}{rng.randrange(10 ** 8)}" for _ in range(n)]
+    one, tail = new(14, "a"), new(5, "b")
+    item = ["go"] * 16 + one + tail  # 35 words, 20 distinct; 14 of them change below
+    docs = [(0, " ".join(new(40) + ["go"] * 16 + new(14) + tail + new(40))), (1, " ".join(new(40) + ["go"] * 3 + tail + new(60)))]
+    short = [(1, "Alpha, beta gamma!"), (2, "alpha beta gamma"), (3, "beta"), (4, "gamma delta epsilon zeta"), (5, "?!")]
+    docs += [(2, "we say ALPHA beta. Gamma again and Alpha beta gamma"), (3, "alpha beta x gamma"), (4, "gamma delta"),
+             (5, "epsilon zeta"), (6, "gamma delta epsilon zeta"), (7, None), (8, "")]
+    benchmark = spark.createDataFrame([(0, " ".join(item) + "."), *short], "item_id long, text string")
+    got = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), benchmark).collect()
+    want = [(0, 0), (2, 1), (2, 2), (2, 3), (3, 3), (6, 4)]
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == want
+
+
 def test_lcs_matches_the_table():
     rng = random.Random(2)
     for _ in range(50):
