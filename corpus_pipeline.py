@@ -28,12 +28,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage: one document of each component, the one with the smallest
-    doc_id (of rows repeating a doc_id, one). Rows without a doc_id stay."""
-    parts = ngram_join.join_components(docs.select("doc_id", "text"), SHINGLE, SIMILARITY)
-    first = parts.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(first, "doc_id", "left_semi")
-    return named.select(*docs.columns).union(docs.where("doc_id is null").select(*docs.columns))
+    """Stage: one row of each component, the one with the smallest doc_id,
+    then text hash; rows without a doc_id come last. Rows are named by doc_id
+    and text, so texts that share a doc_id are joined each for itself; rows
+    without a text or a word stay, one of each doc_id and text."""
+    named = docs.withColumn("_row_key", F.xxhash64(F.lit("row"), F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+    parts = ngram_join.join_components(named.select(F.col("_row_key").alias("doc_id"), "text"), SHINGLE, SIMILARITY)
+    parts = parts.select(F.col("doc_id").alias("_row_key"), "component_id").distinct()
+    first = (named.select("_row_key", "doc_id").join(parts, "_row_key").groupBy("component_id")
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row_key"))["_row_key"].alias("_row_key")).select("_row_key"))
+    return named.join(first, "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,6 +53,18 @@ def test_one_document_of_each_component_stays(stages):
     assert {r["doc_id"] for r in rows(after)} == {c for _, _, c in parts}
 
 
+def test_rows_of_one_doc_id_and_without_doc_id(spark):
+    """Rows are joined by what they are: other texts of a doc_id stay, copies without a doc_id go."""
+    text = lambda c, n=60: " ".join(f"{c}{k}" for k in range(n))
+    docs = [(7, text("a")), (7, text("b")), (3, text("b") + " end"), (7, text("c")), (None, text("a")), (None, text("d")), (None, text("d")),
+            (None, text("e")), (9, text("f")), (9, text("f"))]
+    frame = spark.createDataFrame([(*d, "en", "s", 1) for d in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, frame.repartition(3), SF)
+    want = [(3, text("b") + " end"), (7, text("a")), (7, text("c")), (9, text("f")), (None, text("d")), (None, text("e"))]
+    assert got.dtypes == frame.dtypes
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in got.collect()))) == sorted(map(str, want))
+
+
 def test_decontamination_stage_drops_the_documents_with_items(stages, spark):
     _, before, after = stages[2]
     plain = lambda t: re.sub(r"[^0-9a-z\u0080-\U0010ffff]+", " ", (t or "").translate({a: a + 32 for a in range(65, 91)}))
