@@ -21,6 +21,7 @@ from gridlens.llm import quality_rules as QR
 from gridlens.llm import sharding as SH
 from gridlens.llm import suffix_dedup as SD
 from gridlens.llm import token_output as TO
+from gridlens.llm import whitening as WH
 from gridlens.llm.common import documents, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +165,9 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary, path = vocabulary_file("word_bpe_49k.json"), scratch_path(spark, "token-files")
     TO.write_tokens(TO.token_table(documents(spark, sf_dir), vocabulary, END_ID), path, TO.id_width(vocabulary))
     return TO.ids_crc32(TO.read_tokens(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight leading components, with unit variance."""
+    return WH.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
