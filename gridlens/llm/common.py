@@ -118,13 +118,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(max(16, int(n).bit_length()))
 
 
-def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of each word, and the n+1 word offsets of the texts."""
+def word_spans(data: np.ndarray, off: np.ndarray, between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each word, and the n+1 word offsets of the texts;
+    ``between`` marks the bytes that are in no word."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(off), np.int64)
-    word = ~_IS_SPACE[data]
+    word = ~between[data]
     cut = np.zeros(n + 1, bool)
     cut[off] = True
     begin = word.copy()
@@ -144,6 +145,18 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return mix64((acc[ends] - acc[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
 
 
+def long_span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool, limit: int = BLOCK_BYTES) -> np.ndarray:
+    """``span_hashes`` of ascending spans, taken in stretches of about
+    ``limit`` bytes (one span at least): bounds the arrays of 8 bytes a byte."""
+    out, i = np.zeros(len(starts), np.uint64), 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + limit, "right")))
+        a = starts[i]
+        out[i:j] = span_hashes(data[a:ends[j - 1]], starts[i:j] - a, ends[i:j] - a, lower)
+        i = j
+    return out
+
+
 def hashed_words(col: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts of a column and the n+1 word offsets."""
     data, off = flat_text(col)

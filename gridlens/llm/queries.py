@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlens.llm import collocations as CO
 from gridlens.llm import decontamination as DC
 from gridlens.llm import language_id as LI
 from gridlens.llm import lm_scoring as LM
@@ -171,3 +172,41 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the eight leading components, with unit variance."""
     return WH.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 phrases of two to five words."""
+    return CO.collocations(documents(spark, sf_dir).select("lang", "text"))
+
+
+SQL["op12_collocations"] = r"""
+WITH docs AS (SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws
+      FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM docs)),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+x AS (SELECT lang, pid, unnest(ws) AS w1, unnest(range(len(ws))) AS i FROM (SELECT lang, ws, row_number() OVER () AS pid FROM w)),
+seq AS (SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3, lead(w1, 3) OVER p AS w4, lead(w1, 4) OVER p AS w5
+        FROM x WINDOW p AS (PARTITION BY pid ORDER BY i)),
+f AS (SELECT lang, [w1] AS g, 1 AS m, count(*) AS a FROM seq GROUP BY lang, w1 HAVING count(*) >= 100
+      UNION ALL SELECT lang, [w1, w2], 2, count(*) FROM seq WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING count(*) >= 100
+      UNION ALL SELECT lang, [w1, w2, w3], 3, count(*) FROM seq WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3 HAVING count(*) >= 100
+      UNION ALL SELECT lang, [w1, w2, w3, w4], 4, count(*) FROM seq WHERE w4 IS NOT NULL
+                GROUP BY lang, w1, w2, w3, w4 HAVING count(*) >= 100
+      UNION ALL SELECT lang, [w1, w2, w3, w4, w5], 5, count(*) FROM seq WHERE w5 IS NOT NULL
+                GROUP BY lang, w1, w2, w3, w4, w5 HAVING count(*) >= 100),
+held AS (SELECT lang, g[s:s + k - 1] AS g, max(a) AS a
+         FROM (SELECT lang, g, a, m, k, unnest(range(1, m - k + 2)) AS s FROM f, range(2, 5) AS r(k) WHERE k < m) GROUP BY ALL),
+cand AS (SELECT c.lang, c.g, c.a, k, c.g[1:k] AS head, c.g[k + 1:c.m] AS tail FROM f c
+         LEFT JOIN held h ON h.lang = c.lang AND h.g = c.g, range(1, 5) AS q(k)
+         WHERE c.m >= 2 AND k < c.m AND (h.a IS NULL OR 100 * h.a < 100 * c.a)),
+cuts AS (SELECT c.lang, c.g, c.a, t.n, x.a AS l, y.a AS r, c.k,
+           ((1000::HUGEINT * c.a * t.n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+         FROM cand c JOIN f x ON x.lang = c.lang AND x.g = c.head JOIN f y ON y.lang = c.lang AND y.g = c.tail
+         JOIN total t ON t.lang = c.lang),
+best AS (SELECT *, array_to_string(g, ' ') AS phrase FROM cuts
+         QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score, k AS cut
+FROM best QUALIFY rank <= 2000
+"""
