@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlens.llm import byte_bpe as BB
 from gridlens.llm import collocations as CO
 from gridlens.llm import decontamination as DC
 from gridlens.llm import language_id as LI
@@ -210,3 +211,9 @@ best AS (SELECT *, array_to_string(g, ' ') AS phrase FROM cuts
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score, k AS cut
 FROM best QUALIFY rank <= 2000
 """
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's byte-level BPE ids and of what they decode to."""
+    return BB.encode_decode(documents(spark, sf_dir), vocabulary_file("byte_bpe_50k.json"))
