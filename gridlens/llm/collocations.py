@@ -2,21 +2,21 @@
 
 Texts are lowered in A-Z and split at ``[.,;:!?\\x0A-\\x0D]`` into pieces and
 those into words ``[^\\x20\\x09]+``. Everything is counted per language (null:
-``und``). Relation R_k holds the occurrences of k-word phrases, sorted by
-position and written once; the positions of a chunk of texts run on over its
-words and skip one number at each piece boundary, so two occurrences at
-adjacent numbers lie in one piece.
-
-For k = 1, 2, ...: each chunk sums its groups (equal phrases), the sums are
-added over all chunks (group-count), groups of ``min_count`` or more are
-frequent; R_k keeps the occurrences of frequent groups (semi-join) and is
-merge-joined with itself at adjacent positions, which gives R_{k+1}. A chunk
-holds its distinct groups once, so a hot phrase is one row a chunk in the
-count. The frequent groups are broadcast only up to ``broadcast_most`` of them
-(24 bytes each); beyond, each chunk gets those of its own groups by a shuffle
-join. Groups are named by 64-bit hashes of language and words; one chunk per
-frequent group hands in its prefix, suffix and last word, from which Spark
-joins build the phrase and the counts of its cuts.
+``und``). Relation R_k holds the occurrences of frequent k-word phrases, sorted
+by position, written once per k and deleted when R_{k+1} is there; the positions
+of a chunk of texts run on over its words and skip one number at each piece
+boundary, so two occurrences at adjacent numbers lie in one piece.
+
+R_k is merge-joined with itself at adjacent positions: a pair of frequent
+groups (prefix, suffix) is a group of k + 1 words. Each chunk sums its
+groups, the sums are added over all chunks (group-count), groups of
+``min_count`` or more are frequent and numbered, and R_{k+1} keeps the
+occurrences of those (semi-join). A group is named by the numbers of its
+prefix and suffix, a word by a 64-bit hash of language and word. A hot phrase
+is one row a chunk in the count. Up to ``broadcast_most`` frequent groups of a
+length are broadcast (8 bytes each); beyond, each chunk gets those among its own
+groups by a shuffle join. Spark joins along prefix and suffix give the
+phrases and the counts of their cuts.
 
 Cutting a phrase of m words after k gives l = f(first k), r = f(rest) and
 floor(1000 * a * n / (l * r)), in decimals of 38 digits (1000 * a * n must stay below 10^38).
@@ -37,10 +37,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlens.llm.chunks import squeeze, unsqueeze
-from gridlens.llm.common import combine, flat_text, long_span_hashes, materialize, span_hashes, sub_batches, word_spans
+from gridlens.llm.common import combine, discard, flat_text, long_span_hashes, materialize, n_parts, span_hashes, sub_batches, word_spans
 
 #: Bytes of text in a chunk (one text at least).
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 MAX_WORDS, MIN_COUNT, TOP = 5, 100, 2000
 #: Most frequent groups of a length that are broadcast.
 BROADCAST_MOST = 1 << 20
@@ -52,31 +52,29 @@ _BETWEEN[list(b" \t")] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-#: A row is a chunk: ``pos`` (ascending) and ``code`` of each occurrence, and
-#: per distinct group ``key, prefix, suffix, last`` (hashes) and its count ``m``.
-_RELATION = "chunk long, pos binary, code binary, key binary, prefix binary, suffix binary, last binary, m binary"
-_WORDS = _RELATION + ", word array<string>, word_lang array<int>, langs array<string>, totals array<bigint>"
-_HASHES = ("key", "prefix", "suffix", "last")
+#: A row is a chunk: ``pos`` (ascending) and ``code`` of each occurrence, and the
+#: ascending numbers ``ids`` of its distinct groups (the codes are places in it).
+_RELATION = "chunk long, pos binary, code binary, ids binary"
+#: Occurrences of all words, with hash ``key`` and count ``m`` of each distinct one.
+_WORDS = ("chunk long, pos binary, code binary, key binary, m binary, word array<string>, word_lang array<int>, "
+          "langs array<string>, totals array<bigint>")
+_ASKED = "chunk long, one long, two long, m long"
 
 
-def _names(schema: str) -> list[str]:
-    return [c.split()[0] for c in schema.split(", ")]
-
-
-def _row(chunk: int, pos: np.ndarray, code: np.ndarray, hashes: tuple[np.ndarray, ...], m: np.ndarray) -> dict:
+def _occurrences(chunk: int, pos: np.ndarray, code: np.ndarray) -> dict:
     step = np.diff(pos, prepend=pos[:1]).astype(np.uint32)
     first = int(pos[0]) if len(pos) else 0
-    out = {"chunk": chunk, "pos": np.int64(first).tobytes() + squeeze(step), "code": squeeze(code.astype(np.uint32)),
-           "m": squeeze(m.astype(np.uint32))}
-    return out | {n: h.astype(np.uint64).tobytes() for n, h in zip(_HASHES, hashes)}
+    return {"chunk": chunk, "pos": np.int64(first).tobytes() + squeeze(step), "code": squeeze(code.astype(np.uint32))}
 
 
 def _positions(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw[:8], np.int64)[0] + np.cumsum(unsqueeze(raw[8:], np.uint32), dtype=np.int64)
 
 
-def _hash(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint64)
+def _rows(b: pa.RecordBatch) -> Iterator[dict]:
+    """Rows one by one: a row may be some MB."""
+    for i in range(b.num_rows):
+        yield b.slice(i, 1).to_pylist()[0]
 
 
 def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
@@ -95,8 +93,8 @@ def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, code, m
 
 
-def word_relation(docs: DataFrame) -> DataFrame:
-    """R_1 of ``docs`` (lang, text), with the words and each language's total."""
+def word_relation(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """All word occurrences of ``docs`` (lang, text), the words and each language's total."""
     schema = _schema(_WORDS)
 
     def chunk_row(b: pa.RecordBatch, chunk: int) -> dict:
@@ -107,173 +105,182 @@ def word_relation(docs: DataFrame) -> DataFrame:
         salt = np.array([span_hashes(x, np.zeros(1, np.int64), np.array([len(x)]), False)[0] if len(x) else np.uint64(1)
                          for x in (np.frombuffer(v.encode(), np.uint8) for v in langs)], np.uint64)
         keys = combine(salt[lang], long_span_hashes(data, starts, ends, lower=True))
-        seps = np.zeros(len(data) + 1, np.int32)
-        np.cumsum(_PIECE[data], out=seps[1:])
+        piece = np.searchsorted(np.flatnonzero(_PIECE[data]), starts)
         split = np.zeros(len(starts), bool)
-        if len(starts):
-            split[1:] = seps[starts[1:]] != seps[starts[:-1]]
-            split[woff[:-1][np.diff(woff) > 0]] = True
+        split[1:] = piece[1:] != piece[:-1]
+        split[woff[:-1][np.diff(woff) > 0]] = True
         pos = np.arange(len(starts)) + np.cumsum(split)
         first, code, m = _groups(keys)
-        own = keys[first]
         totals = np.bincount(lang, minlength=len(langs)) if len(lang) else np.zeros(len(langs), np.int64)
         lowered = [_LOWER[data[starts[i]:ends[i]]].tobytes().decode("utf-8") for i in first]
-        return _row(chunk, pos, code, (own, own, own, own), m) | {
-            "word": lowered, "word_lang": lang[first].tolist(), "langs": langs, "totals": totals.tolist()}
+        return _occurrences(chunk, pos, code) | {
+            "key": keys[first].tobytes(), "m": squeeze(m.astype(np.uint32)), "word": lowered, "word_lang": lang[first].tolist(),
+            "langs": langs, "totals": totals.tolist()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
         for whole in batches:
-            for b in sub_batches(whole, "text", CHUNK_BYTES):
+            for b in sub_batches(whole, "text", chunk_bytes):
                 yield _batch([chunk_row(b, (part << 32) | made)], schema)
                 made += 1
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    return materialize(rows.mapInArrow(run, _WORDS), "setm-1", codec="uncompressed")
+    return materialize(rows.mapInArrow(run, _WORDS), "setm-words", codec="uncompressed")
 
 
-def _asked(relation: DataFrame) -> DataFrame:
-    """(chunk, key, m): a row per chunk and distinct group."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                key = _hash(r["key"])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(key), r["chunk"], np.int64)), pa.array(key.view(np.int64)),
-                    pa.array(unsqueeze(r["m"], np.uint32).astype(np.int64))], ["chunk", "key", "m"])
+def _groups_of(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Position and code of a chunk's occurrences; count and name (one, two)
+    of its distinct groups. Rows of words give words, those of R_k the pairs
+    of occurrences at adjacent positions."""
+    pos, code = _positions(r["pos"]), unsqueeze(r["code"], np.uint32)
+    if "key" in r:
+        key = np.frombuffer(r["key"], np.int64)
+        return pos, code, unsqueeze(r["m"], np.uint32), key, np.zeros(len(key), np.int64)
+    ids = np.frombuffer(r["ids"], np.int64)
+    i = np.flatnonzero(pos[1:] == pos[:-1] + 1)
+    first, group, m = _groups((code[i].astype(np.uint64) << np.uint64(32)) | code[i + 1])
+    return pos[i], group, m, ids[code[i[first]]], ids[code[i[first] + 1]]
 
-    return relation.select("chunk", "key", "m").mapInArrow(run, "chunk long, key long, m long")
 
+def _inputs(relation: DataFrame) -> DataFrame:
+    return relation.select([c for c in ("chunk", "pos", "code", "key", "m", "ids") if c in relation.columns])
 
-def frequent_groups(relation: DataFrame, min_count: int) -> DataFrame:
-    """(key, a, owner): groups with ``a`` occurrences or more over all chunks;
-    ``owner`` is one chunk that holds the group."""
-    found = _asked(relation).groupBy("key").agg(F.sum("m").alias("a"), F.min("chunk").alias("owner"))
-    return materialize(found.where(F.col("a") >= min_count), "setm-frequent")
 
+def _asked(relation: DataFrame) -> DataFrame:
+    """(chunk, one, two, m): a row per chunk and distinct group."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in _rows(b):
+                _, _, m, one, two = _groups_of(r)
+                order = np.lexsort((two, one))  # like rows side by side: they compress
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(one), r["chunk"], np.int64)), pa.array(one[order]), pa.array(two[order]),
+                    pa.array(m[order].astype(np.int64))], ["chunk", "one", "two", "m"])
+
+    return _inputs(relation).mapInArrow(run, _ASKED)
+
+
+def frequent_groups(relation: DataFrame, min_count: int, most: int, owners: bool = False) -> tuple[DataFrame, bool]:
+    """(one, two, a, id): the groups with ``a >= min_count`` occurrences over
+    all chunks, numbered by (one, two); whether there are at most ``most``
+    (then the numbers run from 0). ``owners`` adds one chunk that holds the group."""
+    sums = [F.sum("m").alias("a")] + ([F.min("chunk").alias("owner")] if owners else [])
+    found = materialize(_asked(relation).groupBy("one", "two").agg(*sums).where(F.col("a") >= min_count), "setm-counts")
+    few = found.count() <= most
+    ordered = (found.coalesce(1) if few else found.repartitionByRange(n_parts(found.sparkSession), "one", "two"))
+    ordered = ordered.sortWithinPartitions("one", "two").withColumn("id", F.monotonically_increasing_id())
+    return materialize(ordered, "setm-frequent"), few
+
+
+def semi_join(relation: DataFrame, frequent: DataFrame, small: bool, packed: bool) -> DataFrame:
+    """R_{k+1}: the occurrences of frequent groups. ``small``: broadcast the
+    groups' names, ``packed`` into one long each; else join them by shuffle."""
+    schema = _schema(_RELATION)
+
+    def keep(r: dict, ids_of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> dict:
+        pos, code, _, one, two = _groups_of(r)
+        ids = ids_of(one, two)  # -1: not frequent
+        order = np.argsort(ids, kind="stable")[np.count_nonzero(ids < 0):]
+        place = np.full(len(ids), -1, np.int64)
+        place[order] = np.arange(len(order))
+        at = place[code]
+        return _occurrences(r["chunk"], pos[at >= 0], at[at >= 0]) | {"ids": ids[order].tobytes()}
+
+    def search(names: np.ndarray, ids: np.ndarray | None, asked: np.ndarray) -> np.ndarray:
+        if not len(names):
+            return np.full(len(asked), -1, np.int64)
+        at = np.minimum(np.searchsorted(names, asked), len(names) - 1)
+        return np.where(names[at] == asked, at if ids is None else ids[at], -1)
+
+    def name(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        return (one << 32) | two if packed else one
+
+    if small:
+        t = frequent.select("one", "two").orderBy("id").toArrow()  # at most ``most`` rows
+        shared = relation.sparkSession.sparkContext.broadcast(name(t["one"].to_numpy(), t["two"].to_numpy()))
 
-def _in_chunks(relation: DataFrame, frequent: DataFrame, columns: list[str], fn: Callable, schema: str, shared) -> DataFrame:
-    """``fn(row, hit, own)`` (a batch) for every chunk: which of its groups
-    are frequent, and which of those the chunk hands in. ``shared``: the
-    frequent groups as a broadcast, or None to join them by shuffle."""
-    rows = relation.select("chunk", "key", *columns)
-    if shared is not None:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys, owners = shared.value
             for b in batches:
-                for r in b.to_pylist():
-                    key = _hash(r["key"])
-                    at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
-                    hit = keys[at] == key if len(keys) else np.zeros(len(key), bool)
-                    yield fn(r, hit, hit & (owners[at] == r["chunk"]) if len(keys) else hit)
+                for r in _rows(b):
+                    yield _batch([keep(r, lambda one, two: search(shared.value, None, name(one, two)))], schema)
 
-        return rows.mapInArrow(run, schema)
+        return _inputs(relation).mapInArrow(run, _RELATION)
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        got = right["key"].to_numpy().view(np.uint64)
-        order = np.argsort(got)
-        got, own = got[order], right["own"].to_numpy(zero_copy_only=False)[order]
-        out = []
-        for r in left.to_pylist():
-            key = _hash(r["key"])
-            hit, mine = np.isin(key, got), np.isin(key, got[own])
-            out.append(fn(r, hit, mine))
-        return pa.Table.from_batches(out, _schema(schema))
-
-    answers = _asked(relation).join(frequent, "key").select("chunk", "key", (F.col("owner") == F.col("chunk")).alias("own"))
-    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(meet, schema)
-
+        one, two, ids = (right[c].to_numpy() for c in ("one", "two", "id"))
+        order = np.lexsort((two, one))
+        known = dict(zip(zip(one[order].tolist(), two[order].tolist()), ids[order].tolist()))
+        return pa.Table.from_batches([_batch([keep(r, lambda one, two: np.array(
+            [known.get(p, -1) for p in zip(one.tolist(), two.tolist())], np.int64))], schema) for r in left.to_pylist()])
 
-def _handed_in(r: dict, hit: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(_hash(r[n])[own].view(np.int64)) for n in _HASHES], list(_HASHES))
+    answers = _asked(relation).join(frequent, ["one", "two"]).select("chunk", "one", "two", "id")
+    return _inputs(relation).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(meet, _RELATION)
 
 
-def _handed_words(r: dict, hit: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
-    at = np.flatnonzero(own)
-    return pa.RecordBatch.from_arrays([
-        pa.array(_hash(r["key"])[at].view(np.int64)), pa.array([r["langs"][r["word_lang"][i]] for i in at], pa.string()),
-        pa.array([r["word"][i] for i in at], pa.string())], ["key", "lang", "word"])
-
-
-def _extended(r: dict, hit: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
-    """R_{k+1} of a chunk: occurrences of frequent groups at adjacent positions."""
-    pos, code = _positions(r["pos"]), unsqueeze(r["code"], np.uint32)
-    keep = hit[code]
-    pos, code = pos[keep], code[keep]
-    i = np.flatnonzero(pos[1:] == pos[:-1] + 1)
-    key, last = _hash(r["key"]), _hash(r["last"])
-    pair = (code[i].astype(np.uint64) << np.uint64(32)) | code[i + 1]
-    first, group, m = _groups(pair)
-    one, two = code[i[first]], code[i[first] + 1]
-    hashes = (combine(key[one], last[two]), key[one], key[two], last[two])
-    return _batch([_row(r["chunk"], pos[i], group, hashes, m)], _schema(_RELATION))
-
+def _frequent_words(relation: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(id, lang, word, a), each word handed in by one chunk that holds it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in _rows(b):
+                key = np.frombuffer(r["key"], np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(key), pa.array(np.full(len(key), r["chunk"], np.int64)),
+                    pa.array([r["langs"][i] for i in r["word_lang"]], pa.string()), pa.array(r["word"], pa.string())],
+                    ["one", "owner", "lang", "word"])
 
-def _broadcast(frequent: DataFrame, most: int):
-    """The frequent groups (sorted keys, owners), or None beyond ``most``."""
-    if frequent.count() > most:
-        return None
-    t = frequent.select("key", "owner").toArrow()
-    keys, owners = t["key"].to_numpy().view(np.uint64), t["owner"].to_numpy()
-    order = np.argsort(keys)
-    return frequent.sparkSession.sparkContext.broadcast((keys[order], owners[order]))
+    held = relation.select("chunk", "key", "word", "word_lang", "langs").mapInArrow(run, "one long, owner long, lang string, word string")
+    return held.join(frequent, ["one", "owner"]).select("id", "lang", "word", "a")
 
 
-def candidates(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, broadcast_most: int = BROADCAST_MOST) -> DataFrame:
+def candidates(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, broadcast_most: int = BROADCAST_MOST,
+               chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(lang, phrase, m, a, n, ls, rs, inside) of every phrase of 2 to
     ``max_words`` words with ``a >= min_count``. ``ls[k - 1]``, ``rs[k - 1]``:
     counts of the cut after k words. ``inside``: a candidate one word longer
     holds it just as often (then one of any longer length that does, does too)."""
-    relation = word_relation(docs)
+    relation = word_relation(docs, chunk_bytes)
     totals = (relation.select(F.explode(F.arrays_zip("langs", "totals")).alias("t")).groupBy(F.col("t.langs").alias("lang"))
               .agg(F.sum("t.totals").alias("n")))
-    frequent = frequent_groups(relation, min_count)
-    shared = _broadcast(frequent, broadcast_most)
-    words = _in_chunks(relation, frequent, ["word", "word_lang", "langs"], _handed_words, "key long, lang string, word string", shared)
-    words = materialize(words.join(frequent.select("key", "a"), "key"), "setm-words")
+    totals = materialize(totals, "setm-totals")
+    frequent, few = frequent_groups(relation, min_count, broadcast_most, owners=True)
     none = F.array().cast("array<bigint>")
-    phrases = words.select("key", "lang", F.col("word").alias("phrase"), "a", none.alias("ls"), none.alias("rs"))
-    table = []
+    phrases = materialize(_frequent_words(relation, frequent).select(
+        "id", "lang", F.col("word").alias("phrase"), F.col("word").alias("tail"), "a", none.alias("ls"), none.alias("rs")), "setm-phrases")
+    small, packed, found = few, False, None
     for m in range(2, max_words + 1):
-        joined = _in_chunks(relation, frequent, ["pos", "code", "last"], _extended, _RELATION, shared)
-        relation = materialize(joined, f"setm-{m}", codec="uncompressed")
-        frequent = frequent_groups(relation, min_count)
-        shared = _broadcast(frequent, broadcast_most)
-        groups = _in_chunks(relation, frequent, ["prefix", "suffix", "last"], _handed_in,
-                            "key long, prefix long, suffix long, last long", shared)
-        groups = materialize(groups.join(frequent.select("key", "a"), "key"), "setm-groups")
-        prefix = phrases.select(F.col("key").alias("prefix"), "lang", F.col("phrase").alias("_head"), F.col("a").alias("_l"), "ls")
-        suffix = phrases.select(F.col("key").alias("suffix"), F.col("a").alias("_r"), "rs")
-        last = words.select(F.col("key").alias("last"), "word")
-        longer = groups.join(prefix, "prefix").join(suffix, "suffix").join(last, "last")
-        longer = materialize(longer.select(
-            "key", "lang", F.concat_ws(" ", "_head", "word").alias("phrase"), "a", F.concat("ls", F.array("_l")).alias("ls"),
-            F.concat(F.array("_r"), "rs").alias("rs")), "setm-phrases")
+        before, relation = relation, materialize(semi_join(relation, frequent, small, packed), f"setm-{m - 1}", codec="uncompressed")
+        discard(before)  # all that is needed of it is written
+        dense, packed = few, True
+        frequent, few = frequent_groups(relation, min_count, broadcast_most)
+        small = few and dense  # names are packed from numbers below ``broadcast_most``
+        prefix = phrases.select(F.col("id").alias("one"), "lang", F.col("phrase").alias("_head"), F.col("a").alias("_l"), "ls")
+        suffix = phrases.select(F.col("id").alias("two"), F.col("a").alias("_r"), "rs", "tail")
+        longer = frequent.join(prefix, "one").join(suffix, "two").select(
+            "id", "lang", F.concat_ws(" ", "_head", "tail").alias("phrase"), "tail", "a",
+            F.concat("ls", F.array("_l")).alias("ls"), F.concat(F.array("_r"), "rs").alias("rs"))
         if m > 2:
-            table.append(_marked(phrases, groups, m - 1))
-        phrases = longer
-    table.append(phrases.withColumn("m", F.lit(max_words)).withColumn("inside", F.lit(False)))
-    found = table[0].select("lang", "phrase", "m", "a", "ls", "rs", "inside")
-    for t in table[1:]:
-        found = found.union(t.select(*found.columns))
-    return found.join(totals, "lang")
+            marked = _marked(phrases, frequent, m - 1)
+            found = marked if found is None else found.union(marked)
+        phrases = materialize(longer, "setm-phrases")
+    last = phrases.select("lang", "phrase", F.lit(max_words).alias("m"), "a", "ls", "rs", F.lit(False).alias("inside"))
+    return (last if found is None else found.union(last)).join(totals, "lang")
 
 
 def _marked(phrases: DataFrame, longer: DataFrame, m: int) -> DataFrame:
     """``phrases`` of m words; ``inside``: a longer group has the same count."""
-    holders = (longer.select(F.col("prefix").alias("key"), "a").union(longer.select(F.col("suffix").alias("key"), "a"))
-               .distinct().withColumn("inside", F.lit(True)))
-    out = phrases.join(holders, ["key", "a"], "left")
-    return out.withColumn("m", F.lit(m)).withColumn("inside", F.coalesce("inside", F.lit(False)))
+    holders = (longer.select(F.col("one").alias("id"), "a").union(longer.select(F.col("two").alias("id"), "a"))
+               .distinct().withColumn("_held", F.lit(True)))
+    return phrases.join(holders, ["id", "a"], "left").select(
+        "lang", "phrase", F.lit(m).alias("m"), "a", "ls", "rs", F.coalesce("_held", F.lit(False)).alias("inside"))
 
 
 def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, top: int = TOP,
-                 broadcast_most: int = BROADCAST_MOST) -> DataFrame:
+                 broadcast_most: int = BROADCAST_MOST, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score, cut): each language's first
     ``top`` candidates that no longer one holds as often, by score and ``a``
     descending, then phrase. The lowest-scoring cut counts, of equal ones the
     first."""
-    found = candidates(docs, max_words, min_count, broadcast_most).where(~F.col("inside"))
+    found = candidates(docs, max_words, min_count, broadcast_most, chunk_bytes).where(~F.col("inside"))
     score = ("(cast(1000 as decimal(4,0)) * cast(a as decimal(19,0)) * cast(n as decimal(19,0))) div "
              "(cast(ls[i - 1] as decimal(19,0)) * cast(rs[i - 1] as decimal(19,0)))")
     found = found.withColumn("best", F.expr(

@@ -55,11 +55,11 @@ def frame(spark, rows, parts):
     return spark.createDataFrame([(i, t, g, "s", "r", 1, "p", 2) for i, (t, g) in enumerate(rows)], SCHEMA).repartition(parts)
 
 
-@pytest.mark.parametrize("broadcast_most, chunk_bytes", [(1 << 20, 8 << 20), (0, 2000)])
-def test_collocations_match_brute_force(spark, monkeypatch, broadcast_most, chunk_bytes):
-    monkeypatch.setattr(CO, "CHUNK_BYTES", chunk_bytes)  # many chunks, and the frequent groups joined by shuffle
+# the second: many chunks, and the frequent groups joined by shuffle
+@pytest.mark.parametrize("broadcast_most, chunk_bytes", [(1 << 20, 4 << 20), (0, 2000)])
+def test_collocations_match_brute_force(spark, broadcast_most, chunk_bytes):
     rows = corpus()
-    got = CO.collocations(frame(spark, rows, 4), min_count=6, broadcast_most=broadcast_most)
+    got = CO.collocations(frame(spark, rows, 4), min_count=6, broadcast_most=broadcast_most, chunk_bytes=chunk_bytes)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score", "cut"]
     want = brute(rows, 6)
     assert len(want) > 150 and sorted(tuple(r) for r in got.collect()) == want
@@ -91,10 +91,9 @@ def test_empty_tables_and_odd_rows(spark, odd, odd_rows, none):
     assert got == brute([(r[1], r[2]) for r in odd_rows], 3)
 
 
-def test_a_hot_phrase_is_one_row_a_chunk(spark, monkeypatch):
-    monkeypatch.setattr(CO, "CHUNK_BYTES", 1 << 16)
+def test_a_hot_phrase_is_one_row_a_chunk(spark):
     docs = frame(spark, [("hot phrase here " * 4000, "en")] * 40, 4)
-    relation = CO.word_relation(docs)
+    relation = CO.word_relation(docs, 1 << 16)
     assert CO._asked(relation).count() == 3 * relation.count() == 3 * 40
     row = relation.first()
     assert len(CH.unsqueeze(row["code"], "uint32")) == 12000
