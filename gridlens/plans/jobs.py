@@ -30,7 +30,7 @@ from gridlens.schemas import (DAILY_SCHEMA, FEATURE_COLS, HOURLY_SCHEMA, SCORED_
 from gridlens.session import require_utc, table_path
 from gridlens.sources import scans, sinks
 from gridlens.sources.days import as_date as _d
-from gridlens.sources.days import date_dirs, read_days, with_day_parts, ymd_dirs
+from gridlens.sources.days import date_dirs, publish_together, read_days, with_day_parts, ymd_dirs
 
 
 def run_concurrently(*actions) -> list:
@@ -72,9 +72,11 @@ def process_days(spark: SparkSession, raw_root: str, out_root: str, first_day,
     """Raw -> clean -> quality gate -> hourly, daily -> three writes.
 
     Processes one day (the reference) or a range of days in one job. The
-    cleaned rows are written once, to a staging folder; report and rollups
-    read them back, and the folder's days replace the table's only after the
-    gate passed. Returns one summary row per day: process_date, raw_rows,
+    cleaned rows are written once, to a folder no reader opens; report and
+    rollups read them back. After the gate passed and the rollups are written
+    as well, one commit switches the days of all three tables; until then, and
+    if anything fails, readers see the old days of all three. Rows staged for
+    a switch that failed are kept. Returns one summary row per day: process_date, raw_rows,
     clean_rows, drop_pct, status (the quality status; with ``enforce`` a day
     above 10 % raises and no table changes) and the NULL counts of
     kwh_consumed, voltage and meter_id among the cleaned rows.
@@ -83,10 +85,10 @@ def process_days(spark: SparkSession, raw_root: str, out_root: str, first_day,
     d0 = _d(first_day)
     d1 = _d(last_day) if last_day else d0
     raw = scans.read_raw(spark, raw_root, d0, lookback_days, d1, ts_type)
-    staged = sinks.stage_days(with_day_parts(C.clean_readings(raw, as_of)), f"{out_root}/readings",
-                              sinks.CLEAN_PARTS, ymd_dirs)
+    staged = [sinks.stage_days(with_day_parts(C.clean_readings(raw, as_of)), f"{out_root}/readings",
+                               sinks.CLEAN_PARTS, ymd_dirs)]
     try:
-        cleaned = scans.scan_processed_days(spark, staged.path, d0, d1, ts_type)
+        cleaned = staged[0].rows(scans.clean_read_schema(ts_type), d0, d1).drop("year", "month", "day")
         # Every day of the range gets a row: a day without raw rows counts as
         # 100 % dropped (FAIL), as an empty single-day run does.
         days = spark.range(1).select(F.explode(F.sequence(F.lit(d0), F.lit(d1))).alias("reading_date"))
@@ -102,12 +104,13 @@ def process_days(spark: SparkSession, raw_root: str, out_root: str, first_day,
         # Two independent rollups of the same staged rows: submitted
         # together, so small or skewed stages of one overlap with the other.
         run_concurrently(
-            lambda: sinks.write_hourly(R.hourly_rollup(cleaned), f"{out_root}/hourly", d0, d1),
-            lambda: sinks.write_daily(R.daily_rollup(cleaned), f"{out_root}/daily", d0, d1))
-        staged.publish(d0, d1)
+            lambda: staged.append(sinks.stage_hourly(R.hourly_rollup(cleaned), f"{out_root}/hourly")),
+            lambda: staged.append(sinks.stage_daily(R.daily_rollup(cleaned), f"{out_root}/daily")))
     except BaseException:
-        staged.drop()
+        for s in staged:
+            s.drop()
         raise
+    publish_together(staged, d0, d1)
     return report.select(F.col("reading_date").alias("process_date"),
                          F.col("raw_count").alias("raw_rows"),
                          F.col("clean_count").alias("clean_rows"),
@@ -218,29 +221,48 @@ def evaluate_model(spark: SparkSession, model_root: str, labelled: DataFrame, mo
 def validate_days(spark: SparkSession, out_root: str, warehouse_root: str, first_day,
                   last_day=None, mode: str = "overwrite", enforce: bool = True,
                   ts_type: T.DataType | None = None, scores_root: str | None = None) -> DataFrame:
-    """Load hourly files (``out_root/hourly``, written by P1) and scored
-    files (``scores_root/anomaly_scores``, written by P3; defaults to
-    ``out_root``) into the warehouse tables (K6, K7), then row count (A6),
-    duplicate meter-hours (A7) and anomaly rate (A8) per day; with
-    ``enforce`` the gates raise in that order."""
+    """Write, audit, publish. Hourly files (``out_root/hourly``, written by
+    P1) and scored files (``scores_root/anomaly_scores``, written by P3;
+    defaults to ``out_root``) are staged for the warehouse tables (K6, K7);
+    row count (A6), duplicate meter-hours (A7) and anomaly rate (A8) per day
+    are taken from the rows the tables would have, and with ``enforce`` the
+    gates raise in that order. Both tables are switched by one commit after
+    the gates passed: a day that fails leaves the warehouse as it was."""
     require_utc(spark, ts_type)
     d0 = _d(first_day)
     d1 = _d(last_day) if last_day else d0
     scores_root = scores_root or out_root
-    hourly = sinks.load_table(spark, f"{out_root}/hourly", f"{warehouse_root}/hourly_readings",
-                              HOURLY_SCHEMA, "reading_date", d0, d1, mode)
-    scored = sinks.load_table(spark, f"{scores_root}/anomaly_scores",
-                              f"{warehouse_root}/anomaly_scores", scored_schema(ts_type),
-                              "scoring_date", d0, d1, mode)
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(d0), F.lit(d1))).alias("reading_date"))
-    rates = Q.with_rate_alert(Q.anomaly_rate(scored)).withColumnRenamed("scoring_date", "reading_date")
-    out = (days.join(Q.load_row_count(hourly), "reading_date", "left")
-           .join(Q.duplicate_keys(hourly), "reading_date", "left").join(rates, "reading_date", "left")
-           .fillna(0, subset=["row_count", "duplicate_keys"])
-           .withColumn("alert", F.coalesce(F.col("alert"), F.lit(False))))
-    if enforce:
+    append = mode == "append"
+    loads = [(f"{out_root}/hourly", "hourly_readings", HOURLY_SCHEMA, "reading_date"),
+             (f"{scores_root}/anomaly_scores", "anomaly_scores", scored_schema(ts_type), "scoring_date")]
+    staged, after = [], []
+    try:
+        for src, table, schema, date_col in loads:
+            new = sinks.stage_load(spark, src, f"{warehouse_root}/{table}", schema, date_col, d0, d1)
+            staged.append(new)
+            rows = new.rows(schema, d0, d1)
+            if append:
+                rows = read_days(spark, f"{warehouse_root}/{table}", schema, d0, d1, date_dirs(date_col)).unionByName(rows)
+            after.append(rows)
+        out = _audit(spark, *after, d0, d1)
         out = spark.createDataFrame(out.collect(), out.schema)  # one row per validated day
-        Q.row_count_gate(out)
-        Q.duplicate_gate(out)
-        Q.anomaly_rate_gate(out)
+        if enforce:
+            Q.row_count_gate(out)
+            Q.duplicate_gate(out)
+            Q.anomaly_rate_gate(out)
+    except BaseException:
+        for s in staged:
+            s.drop()
+        raise
+    publish_together(staged, d0, d1, append)
     return out
+
+
+def _audit(spark: SparkSession, hourly: DataFrame, scored: DataFrame, d0: dt.date, d1: dt.date) -> DataFrame:
+    """Per day: row count, duplicate meter-hours, anomaly rate and its alert."""
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(d0), F.lit(d1))).alias("reading_date"))
+    rates = Q.with_rate_alert(Q.anomaly_rate(scored)).withColumnRenamed("scoring_date", "reading_date")
+    return (days.join(Q.load_row_count(hourly), "reading_date", "left")
+            .join(Q.duplicate_keys(hourly), "reading_date", "left").join(rates, "reading_date", "left")
+            .fillna(0, subset=["row_count", "duplicate_keys"])
+            .withColumn("alert", F.coalesce(F.col("alert"), F.lit(False))))

@@ -763,14 +763,14 @@ def _hourly_written(spark, sf_dir):
 @register("sink_hourly", r6(with_ctes(HOURLY_SQL), HOURLY_DOUBLES))
 def q_sink_hourly(spark, sf_dir):
     path = _hourly_written(spark, sf_dir)
-    return round_doubles(spark.read.schema(HOURLY_SCHEMA).parquet(path).select(*HOURLY_SCHEMA.names))
+    return round_doubles(SK.table_of_days(spark, path, HOURLY_SCHEMA, "reading_date").select(*HOURLY_SCHEMA.names))
 
 
 @register("sink_daily", r6(with_ctes(DAILY_SQL), DAILY_DOUBLES))
 def q_sink_daily(spark, sf_dir):
     path = _run_dir(spark, sf_dir, "daily")
     _twice(lambda d: SK.write_daily(d, path), R.daily_rollup(C.clean_readings(_raw(spark, sf_dir))))
-    return round_doubles(spark.read.schema(DAILY_SCHEMA).parquet(path).select(*DAILY_SCHEMA.names))
+    return round_doubles(SK.table_of_days(spark, path, DAILY_SCHEMA, "reading_date").select(*DAILY_SCHEMA.names))
 
 
 def _scored_written(spark, sf_dir):
@@ -787,7 +787,7 @@ _SCORED_BACK = [f.name for f in scored_schema().fields if f.name != "scored_at"]
     f"SELECT {', '.join(_SCORED_BACK)} FROM given_scored", GIVEN_SCORED_CTE), _GIVEN_DOUBLES))
 def q_sink_scored(spark, sf_dir):
     path = _scored_written(spark, sf_dir)
-    return round_doubles(spark.read.schema(scored_schema(TS)).parquet(path).select(*_SCORED_BACK))
+    return round_doubles(SK.table_of_days(spark, path, scored_schema(TS), "scoring_date").select(*_SCORED_BACK))
 
 
 @register("load_hourly_table", r6(with_ctes(HOURLY_SQL), HOURLY_DOUBLES))
@@ -795,7 +795,7 @@ def q_load_hourly_table(spark, sf_dir):
     src = _hourly_written(spark, sf_dir)
     wh = _run_dir(spark, sf_dir, "warehouse/hourly_readings")
     wide = _run_dir(spark, sf_dir, "hourly-wide")
-    h = spark.read.schema(HOURLY_SCHEMA).parquet(src)
+    h = SK.table_of_days(spark, src, HOURLY_SCHEMA, "reading_date")
     SK.write_hourly(h.unionByName(h.withColumn("meter_id", F.lit("GONE"))), wide)
     for root in (wide, src):  # a re-run replaces the days, it does not add rows
         t = SK.load_table(spark, root, wh, HOURLY_SCHEMA, "reading_date", *_days(spark, sf_dir))
@@ -808,7 +808,7 @@ def q_load_scored_table(spark, sf_dir):
     src = _scored_written(spark, sf_dir)
     wh = _run_dir(spark, sf_dir, "warehouse/anomaly_scores")
     wide = _run_dir(spark, sf_dir, "scores-wide")
-    g = spark.read.schema(scored_schema(TS)).parquet(src)
+    g = SK.table_of_days(spark, src, scored_schema(TS), "scoring_date")
     SK.write_scored(g.unionByName(g.withColumn("meter_id", F.lit("GONE"))), wide)
     for root in (wide, src):
         t = SK.load_table(spark, root, wh, scored_schema(TS), "scoring_date", *_days(spark, sf_dir))

@@ -51,7 +51,8 @@ def read_raw(spark: SparkSession, root: str, process_date, lookback_days: int =
     return filter_exact_date(df, process_date, end_date).drop("year", "month", "day")
 
 
-def _clean_read_schema(ts_type) -> T.StructType:
+def clean_read_schema(ts_type) -> T.StructType:
+    """Cleaned rows as laid out: the directory columns come last."""
     fields = [f for f in clean_schema(ts_type).fields
               if f.name not in ("utility_zone", "customer_type")]
     return T.StructType(fields + DAY_PARTS + [
@@ -64,7 +65,7 @@ def scan_processed_days(spark: SparkSession, root: str, first_day, last_day,
     """S4/S5 core: cleaned rows of directory days [first_day, last_day];
     ``utility_zone`` and ``customer_type`` come back from the directory
     names as strings (explicit schema: no partition-type inference)."""
-    return read_days(spark, root, _clean_read_schema(ts_type), first_day, last_day, ymd_dirs).drop(
+    return read_days(spark, root, clean_read_schema(ts_type), first_day, last_day, ymd_dirs).drop(
         "year", "month", "day")
 
 

@@ -69,15 +69,15 @@ def test_load_is_idempotent_and_append_duplicates(spark):
     one = sinks.load_table(spark, f"{root}/hourly", f"{wh}/h", HOURLY_SCHEMA, "reading_date",
                            "2024-01-21")
     assert {r[0] for r in one.select("reading_date").distinct().collect()} == {dt.date(2024, 1, 21)}
-    table = spark.read.schema(HOURLY_SCHEMA).parquet(f"{wh}/h")
+    table = sinks.table_of_days(spark, f"{wh}/h", HOURLY_SCHEMA, "reading_date")
     n20 = table.filter(F.col("reading_date") == F.lit("2024-01-20").cast("date")).count()
-    src20 = spark.read.schema(HOURLY_SCHEMA).parquet(f"{root}/hourly") \
+    src20 = sinks.table_of_days(spark, f"{root}/hourly", HOURLY_SCHEMA, "reading_date") \
         .filter(F.col("reading_date") == F.lit("2024-01-20").cast("date")).count()
     assert n20 == src20                                       # other day untouched, no doubles
     Q.duplicate_gate(Q.duplicate_keys(table))
     sinks.load_table(spark, f"{root}/hourly", f"{wh}/h", HOURLY_SCHEMA, "reading_date",
                      "2024-01-20", mode="append")
-    again = spark.read.schema(HOURLY_SCHEMA).parquet(f"{wh}/h")
+    again = sinks.table_of_days(spark, f"{wh}/h", HOURLY_SCHEMA, "reading_date")
     with pytest.raises(Q.QualityError):
         Q.duplicate_gate(Q.duplicate_keys(again))
     del t
@@ -199,11 +199,11 @@ def test_rerun_replaces_whole_days_and_leaves_others(spark):
     day = h.filter(F.col("reading_date") == F.lit("2024-01-25").cast("date"))
     fewer = day.filter("utility_zone = 'Z1'")
     sinks.write_hourly(fewer, root, "2024-01-25")                    # zones gone in the re-run
-    back = spark.read.schema(HOURLY_SCHEMA).parquet(root)
+    back = sinks.table_of_days(spark, root, HOURLY_SCHEMA, "reading_date")
     assert back.filter("reading_date = '2024-01-25'").count() == fewer.count() < day.count()
     assert back.filter("reading_date = '2024-01-26'").count() == other > 0
     sinks.write_hourly(day.limit(0), root, "2024-01-25")             # the day lost all rows
-    back = spark.read.schema(HOURLY_SCHEMA).parquet(root)
+    back = sinks.table_of_days(spark, root, HOURLY_SCHEMA, "reading_date")
     assert back.filter("reading_date = '2024-01-25'").count() == 0
     assert back.filter("reading_date = '2024-01-26'").count() == other
 
@@ -217,7 +217,7 @@ def test_rerun_over_unpadded_folders(spark):
     assert n == clean.count() > 0
     sinks.write_clean_readings(clean, root)                          # month=01/day=05 takes its place
     assert scans.scan_processed_day(spark, root, "2024-01-05", TS).count() == n
-    assert spark.read.parquet(root).count() == n
+    assert sinks.table_of_days(spark, root, scans.clean_read_schema(TS)).count() == n
 
 
 def test_emptied_day_reaches_the_warehouse_gate(spark):
