@@ -16,7 +16,7 @@ and each set is put into the inverted lists of its first
 s - ceil(threshold * s) + 1 elements: linked sets meet in one of them. An
 element no second document holds has no list. Lists are scanned twice.
 
-1. Each member is compared to its list's smallest doc_id only.
+1. Each member is compared to its list's first class only.
 2. In lists that still hold several components, members outside the largest
    component are compared to all others, in blocks of ``BLOCK`` members, so a
    hot list becomes many tasks whose number grows with the outsiders, not
@@ -28,9 +28,12 @@ No pair inside a class or a component is ever formed.
 
 Defined cases: words are lowered in A-Z; a text with one or two words has its
 whole sequence as the only shingle; a null or empty text has none and links
-with nothing; a null doc_id shares the class of an equal set but never names
-a component; repeated rows each get a row; an empty table gives no rows;
-other columns are not returned. Shingles are 64-bit hashes, 48 bits of which
+with nothing; rows are told apart by a number of their own, so a null doc_id
+links like any other but never names a component (one of such rows alone has a
+null id), and different texts under one doc_id are joined each for itself;
+repeated rows each get a row; an empty table gives no rows; other columns are
+not returned. The number of a document's links is not given: pairs inside a
+component that need not be checked are not counted. Shingles are 64-bit hashes, 48 bits of which
 are kept for the comparison of two sets.
 """
 
@@ -53,6 +56,8 @@ from gridlens.llm.components import connected_components
 #: Sets of this size or more are never light (subsets grow too many).
 LIGHT_MOST = 40
 BLOCK = 1024
+#: Tasks that share the classes of one component when they are given its name.
+SALTS = 16
 PARITY_BITS = 1024
 #: Weight of one element compared against one enumerated subset.
 COMPARE_COST = 4.0
@@ -319,18 +324,17 @@ def _block_links(rows: DataFrame, threshold: int) -> DataFrame:
 
 
 def join_components(docs: DataFrame, shingle: int = 3, threshold: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) per row of ``docs``
-    (doc_id, text). ``n_links`` counts the links found for the row's class;
-    links inside a component that need not be checked are not."""
+    """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text)."""
     texts = CH.chunk_table(docs, F.col("doc_id"), F.lit(0), "jaccard-chunks")
     counts = CH.exchange_keys(texts, _counted(shingle), [4], _total, CH.n_buckets(texts), "jaccard-counts")
-    rows = materialize(CH.with_answers(texts, counts, _described(shingle, threshold), _SETS), "jaccard-rows", codec="uncompressed")
+    described = CH.with_answers(texts, counts, _described(shingle, threshold), _SETS).withColumn("row", F.monotonically_increasing_id())
+    rows = materialize(described, "jaccard-rows", codec="uncompressed")
     classes = materialize(
         rows.where("n > 0").groupBy("f1", "f2", "n").agg(
-            F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity"),
-            F.first(F.when(F.col("n") < LIGHT_MOST, F.col("elements"))).alias("elements")).where("rep is not null"),
+            F.min("row").alias("rep"), F.min("doc_id").alias("smallest"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity"),
+            F.first(F.when(F.col("n") < LIGHT_MOST, F.col("elements"))).alias("elements")),
         "jaccard-classes")
-    whole = rows.where("elements is not null").select(F.col("doc_id").alias("rep"), "elements")
+    whole = rows.where("elements is not null").select(F.col("row").alias("rep"), "elements")
     sizes = {r["n"]: r["m"] for r in classes.where(F.col("n") < 2 * LIGHT_MOST).groupBy("n").agg(F.count("*").alias("m")).collect()}
     boundary = choose_boundary(sizes, threshold)
     light = _light_links(classes, boundary, threshold)
@@ -342,7 +346,7 @@ def join_components(docs: DataFrame, shingle: int = 3, threshold: int = 90) -> D
     members = entries.join(lists, "e").select(F.col("e").alias("list"), "rep")
     members = materialize(members.join(classes.select("rep", "n", "parity"), "rep"), "jaccard-lists")
 
-    # 1: every member against its list's smallest
+    # 1: every member against its list's first class
     first = members.groupBy("list").agg(F.min("rep").alias("a"))
     centre = first.join(classes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("parity").alias("parity_a")), "a")
 
@@ -359,7 +363,7 @@ def join_components(docs: DataFrame, shingle: int = 3, threshold: int = 90) -> D
             .mapInArrow(near, "a long, b long").distinct())
     star = materialize(star, "jaccard-star")
     ends = star.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    needed = materialize(whole.join(ends, "rep", "left_semi").dropDuplicates(["rep"]), "jaccard-sets", codec="uncompressed")
+    needed = materialize(whole.join(ends, "rep", "left_semi"), "jaccard-sets", codec="uncompressed")
     links = materialize(light.union(_verified(star, needed, threshold)).distinct(), "jaccard-links")
     parts = connected_components(links)
 
@@ -367,17 +371,23 @@ def join_components(docs: DataFrame, shingle: int = 3, threshold: int = 90) -> D
     labelled = (members.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
                 .withColumn("component", F.coalesce("component", "rep")))
     left = materialize(_survivors(_outsider_blocks(labelled), threshold), "jaccard-left")
-    needed = materialize(whole.join(left.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"]),
+    needed = materialize(whole.join(left.select("rep").distinct(), "rep", "left_semi"),
                          "jaccard-sets", codec="uncompressed")
     more = _block_links(left.join(needed, "rep").select(*_GROUP, "rep", "component", "inside", "elements"), threshold)
     links = materialize(links.union(more).distinct(), "jaccard-links")
     parts = connected_components(links)
 
-    degree = (links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("_links")))
-    named = (classes.select("f1", "f2", "n", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-             .join(degree, "rep", "left")
-             .select("f1", "f2", "n", F.coalesce("component", "rep").alias("_component"), F.coalesce("_links", F.lit(0)).alias("_links")))
+    named = _named(classes.select("f1", "f2", "n", "rep", "smallest"), parts)
     return (rows.select("doc_id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                    F.coalesce("_component", "doc_id").alias("component_id"),
-                    F.coalesce("_links", F.lit(0)).cast("long").alias("n_links")))
+            .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("_component", "doc_id").alias("component_id")))
+
+
+def _named(classes: DataFrame, parts: DataFrame) -> DataFrame:
+    """(f1, f2, n, _component): the smallest doc_id of each class's component.
+    A component may hold most classes: its name is joined by a salted key."""
+    member = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    names = member.where("component is not null").groupBy("component").agg(F.min("smallest").alias("_name"))
+    names = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    member = member.withColumn("_salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
+    return member.join(names, ["component", "_salt"], "left").select(
+        "f1", "f2", "n", F.when(F.col("component").isNull(), F.col("smallest")).otherwise(F.col("_name")).alias("_component"))

@@ -125,15 +125,32 @@ def test_ngram_join_matches_brute_force(spark, odd_rows, monkeypatch, n, thresho
         texts += near_copies(rng, 14, size, 3)
     rows = [(i * 3 % 1009, t) for i, t in enumerate(texts)]
     got = ngram_join.join_components(spark.createDataFrame(rows, "doc_id long, text string"), n, threshold)
-    assert sorted(tuple(r)[:3] for r in got.collect()) == sorted(brute_components(rows, n, threshold))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(brute_components(rows, n, threshold))
 
 
 def test_ngram_join_of_odd_rows(odd, odd_rows, none):
-    got = [tuple(r)[:3] for r in ngram_join.join_components(odd).collect()]
+    got = [tuple(r) for r in ngram_join.join_components(odd).collect()]
     assert sorted(got, key=str) == sorted(brute_components([(r[0], r[1]) for r in odd_rows], 3, 90), key=str)
     assert ngram_join.join_components(none).count() == 0
 
 
+def test_ngram_join_links_through_null_and_repeated_ids(spark):
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    edit = lambda *at: " ".join("x%d" % i if i in at else w for i, w in enumerate(base))
+    rows = [(1, edit(10, 110)), (None, edit()), (3, edit(50, 70)),        # 1 and 3 meet in a row without a doc_id only
+            (None, edit(*range(0, 120, 9))), (None, "alone here today"), (None, None),
+            (8, "one text under a repeated id " * 9), (8, "quite another text of the same id " * 9), (8, None),
+            (9, "quite another text of the same id " * 9), (10, " ".join(f"q{i}" for i in range(200))), (4, "one text under a repeated id " * 9)]
+    for k, size in enumerate((12, 40, 150)):                                # groups whose rows share few ids
+        rows += [(20 + k + i % 3, t) for i, t in enumerate(near_copies(rng, 12, size, 3))]
+        rows += [(None, t) for t in near_copies(rng, 6, size, 2)]
+    want = brute_components(rows, 3, 90)
+    assert [w[2] for w in want[:3]] == [1, 1, 1] and brute_components([rows[0], rows[2]], 3, 90)[1][2] == 3
+    got = ngram_join.join_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 90)
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want))
+
+
 def test_light_subsets_reach_every_linkable_pair():
     for s in range(1, 30):
         for t in range(s, 30):
