@@ -40,7 +40,7 @@ from gridlens.llm.chunks import squeeze, unsqueeze
 from gridlens.llm.common import combine, discard, flat_text, long_span_hashes, materialize, n_parts, span_hashes, sub_batches, word_spans
 
 #: Bytes of text in a chunk (one text at least).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 MAX_WORDS, MIN_COUNT, TOP = 5, 100, 2000
 #: Most frequent groups of a length that are broadcast.
 BROADCAST_MOST = 1 << 20
@@ -55,8 +55,9 @@ _LOWER[65:91] += 32
 #: A row is a chunk: ``pos`` (ascending) and ``code`` of each occurrence, and the
 #: ascending numbers ``ids`` of its distinct groups (the codes are places in it).
 _RELATION = "chunk long, pos binary, code binary, ids binary"
-#: Occurrences of all words, with hash ``key`` and count ``m`` of each distinct one.
-_WORDS = ("chunk long, pos binary, code binary, key binary, m binary, word array<string>, word_lang array<int>, "
+#: Occurrences of all words, with hash ``key`` and count ``m`` of each distinct one;
+#: ``words`` has their bytes between blanks, ``word_lang`` places in ``langs``.
+_WORDS = ("chunk long, pos binary, code binary, key binary, m binary, words binary, word_lang binary, "
           "langs array<string>, totals array<bigint>")
 _ASKED = "chunk long, one long, two long, m long"
 
@@ -104,7 +105,7 @@ def word_relation(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         langs, lang = codes.dictionary.to_pylist(), np.repeat(codes.indices.to_numpy(), np.diff(woff))
         salt = np.array([span_hashes(x, np.zeros(1, np.int64), np.array([len(x)]), False)[0] if len(x) else np.uint64(1)
                          for x in (np.frombuffer(v.encode(), np.uint8) for v in langs)], np.uint64)
-        keys = combine(salt[lang], long_span_hashes(data, starts, ends, lower=True))
+        keys = combine(salt[lang], long_span_hashes(data, starts, ends, lower=True, limit=1 << 18))
         piece = np.searchsorted(np.flatnonzero(_PIECE[data]), starts)
         split = np.zeros(len(starts), bool)
         split[1:] = piece[1:] != piece[:-1]
@@ -112,10 +113,11 @@ def word_relation(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         pos = np.arange(len(starts)) + np.cumsum(split)
         first, code, m = _groups(keys)
         totals = np.bincount(lang, minlength=len(langs)) if len(lang) else np.zeros(len(langs), np.int64)
-        lowered = [_LOWER[data[starts[i]:ends[i]]].tobytes().decode("utf-8") for i in first]
+        low = _LOWER[data].tobytes()
+        words = np.frombuffer(b" ".join([low[a:z] for a, z in zip(starts[first].tolist(), ends[first].tolist())]), np.uint8)
         return _occurrences(chunk, pos, code) | {
-            "key": keys[first].tobytes(), "m": squeeze(m.astype(np.uint32)), "word": lowered, "word_lang": lang[first].tolist(),
-            "langs": langs, "totals": totals.tolist()}
+            "key": keys[first].tobytes(), "m": squeeze(m.astype(np.uint32)), "words": squeeze(words),
+            "word_lang": squeeze(lang[first].astype(np.uint32)), "langs": langs, "totals": totals.tolist()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
@@ -217,18 +219,30 @@ def semi_join(relation: DataFrame, frequent: DataFrame, small: bool, packed: boo
     return _inputs(relation).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(meet, _RELATION)
 
 
-def _frequent_words(relation: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(id, lang, word, a), each word handed in by one chunk that holds it."""
+def _frequent_words(relation: DataFrame, frequent: DataFrame, small: bool) -> DataFrame:
+    """(id, lang, word, a), each word handed in by one chunk that holds it.
+    ``small``: a chunk looks its words up in a broadcast first."""
+    shared = None
+    if small:
+        t = frequent.select("one", "owner").orderBy("id").toArrow()  # at most ``broadcast_most`` rows, by ascending hash
+        shared = relation.sparkSession.sparkContext.broadcast((t["one"].to_numpy(), t["owner"].to_numpy()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in _rows(b):
                 key = np.frombuffer(r["key"], np.int64)
+                at = np.arange(len(key))
+                if shared is not None:
+                    names, owners = shared.value
+                    place = np.minimum(np.searchsorted(names, key), max(0, len(names) - 1))
+                    at = np.flatnonzero((names[place] == key) & (owners[place] == r["chunk"])) if len(names) else at[:0]
+                words, langs = unsqueeze(r["words"], np.uint8).tobytes().split(b" "), unsqueeze(r["word_lang"], np.uint32)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(key), pa.array(np.full(len(key), r["chunk"], np.int64)),
-                    pa.array([r["langs"][i] for i in r["word_lang"]], pa.string()), pa.array(r["word"], pa.string())],
-                    ["one", "owner", "lang", "word"])
+                    pa.array(key[at]), pa.array(np.full(len(at), r["chunk"], np.int64)),
+                    pa.array([r["langs"][langs[i]] for i in at], pa.string()),
+                    pa.array([words[i].decode("utf-8") for i in at], pa.string())], ["one", "owner", "lang", "word"])
 
-    held = relation.select("chunk", "key", "word", "word_lang", "langs").mapInArrow(run, "one long, owner long, lang string, word string")
+    held = relation.select("chunk", "key", "words", "word_lang", "langs").mapInArrow(run, "one long, owner long, lang string, word string")
     return held.join(frequent, ["one", "owner"]).select("id", "lang", "word", "a")
 
 
@@ -244,7 +258,7 @@ def candidates(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN
     totals = materialize(totals, "setm-totals")
     frequent, few = frequent_groups(relation, min_count, broadcast_most, owners=True)
     none = F.array().cast("array<bigint>")
-    phrases = materialize(_frequent_words(relation, frequent).select(
+    phrases = materialize(_frequent_words(relation, frequent, few).select(
         "id", "lang", F.col("word").alias("phrase"), F.col("word").alias("tail"), "a", none.alias("ls"), none.alias("rs")), "setm-phrases")
     small, packed, found = few, False, None
     for m in range(2, max_words + 1):
