@@ -10,7 +10,8 @@ replacement, all 13 features, seed 42, height limit ceil(log2(psi)).
   with md5 draws the same rows. One rule holds at every size: each (row, tree)
   pair is drawn on its own, by geometric skipping.
 * Fit (M2): ``groupBy(tree_id).applyInPandas`` grows one tree per group
-  of at most 256 rows. The model is an ordinary table with at most
+  of at most 256 rows; feature and threshold of a node come from ``md5`` of
+  seed, tree and node. The model is an ordinary table with at most
   ``trees * (2 * 256 - 1)`` rows.
 * Score (U1/M3): the node table (size bounded by the model parameters,
   not by the data) is broadcast; an iterator pandas UDF walks all trees
@@ -19,6 +20,7 @@ replacement, all 13 features, seed 42, height limit ceil(log2(psi)).
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -35,6 +37,10 @@ MAX_SAMPLES = 256
 SEED = 42
 EULER_GAMMA = 0.5772156649015329
 
+# A feature whose values in a node lie within this range is taken as constant
+# there: what is left is rounding (the sine of pi, a mean of equal values).
+MIN_RANGE = 1e-9
+
 # Rows scored at a time: SCORE_ROWS x trees index arrays.
 SCORE_ROWS = 2_048
 
@@ -111,35 +117,40 @@ def _next_tree(state: F.Column, gap: F.Column, n_trees: int) -> F.Column:
     return F.struct(hits.alias("hits"), at.alias("at"))
 
 
-def _grow_tree(X: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
+def split_draw(seed: int, tree_id: int, node_id: int) -> tuple[float, float]:
+    """Two uniforms inside (0, 1) for a node: the first and the next 52 bits of
+    the md5 of ``seed|tree|node``."""
+    digest = hashlib.md5(f"{seed}|{tree_id}|{node_id}".encode()).hexdigest()
+    return tuple((int(digest[a:a + 13], 16) + 0.5) / 2.0 ** 52 for a in (0, 13))
+
+
+def _grow_tree(X: np.ndarray, seed: int, tree_id: int, limit: int, min_range: float = MIN_RANGE) -> list[tuple]:
     """Grow one isolation tree; returns node tuples
-    (node_id, feature, threshold, left, right, n_rows, path_len)."""
-    nodes: list[list] = []
-    todo = [(np.arange(len(X)), 0, 0)]
-    nodes.append(None)
+    (node_id, feature, threshold, left, right, n_rows, path_len).
+
+    Node ids are heap positions (root 0, children 2i + 1 and 2i + 2). The
+    feature is drawn among those whose values span more than ``min_range``,
+    the threshold uniformly between their ends, both from ``split_draw``."""
+    nodes: list[tuple] = []
+    todo = [(X, 0, 0)]
     while todo:
-        idx, depth, nid = todo.pop()
-        m = len(idx)
-        if depth >= limit or m <= 1:
-            nodes[nid] = [nid, -1, 0.0, -1, -1, m, depth + float(average_path_length([m])[0])]
-            continue
-        sub = X[idx]
+        sub, depth, nid = todo.pop()
+        m = len(sub)
         lo, hi = sub.min(axis=0), sub.max(axis=0)
-        free = np.flatnonzero(hi > lo)
-        if free.size == 0:  # all rows equal: cannot split
-            nodes[nid] = [nid, -1, 0.0, -1, -1, m, depth + float(average_path_length([m])[0])]
+        free = np.flatnonzero(hi - lo > min_range)
+        if depth >= limit or free.size == 0:  # one row or equal rows: nothing to split
+            nodes.append((nid, -1, 0.0, -1, -1, m, depth + float(average_path_length([m])[0])))
             continue
-        q = int(free[rng.integers(free.size)])
-        thr = float(lo[q] + (hi[q] - lo[q]) * rng.random())
+        pick, place = split_draw(seed, tree_id, nid)
+        q = int(free[int(pick * free.size)])
+        thr = float(lo[q] + (hi[q] - lo[q]) * place)
         if thr <= lo[q]:
             thr = float(np.nextafter(lo[q], hi[q]))
         go_left = sub[:, q] < thr
-        lid, rid = len(nodes), len(nodes) + 1
-        nodes += [None, None]
-        nodes[nid] = [nid, q, thr, lid, rid, m, float(depth)]
-        todo.append((idx[~go_left], depth + 1, rid))
-        todo.append((idx[go_left], depth + 1, lid))
-    return [tuple(x) for x in nodes]
+        left, right = 2 * nid + 1, 2 * nid + 2
+        nodes.append((nid, q, thr, left, right, m, float(depth)))
+        todo += [(sub[~go_left], depth + 1, right), (sub[go_left], depth + 1, left)]
+    return nodes
 
 
 def forest_fit(sample: DataFrame, psi: int, seed: int = SEED,
@@ -147,19 +158,16 @@ def forest_fit(sample: DataFrame, psi: int, seed: int = SEED,
                tree_tasks: int | None = None) -> DataFrame:
     """M2: one tree per ``tree_id`` group, grown in pandas on <= 256 rows.
 
-    Rows are ordered by their rank hash before growing and the generator
-    is seeded by (seed, tree_id), so the node table is the same for any
-    partitioning of the input.
+    A node's draws depend on (seed, tree, node) alone and its split on the
+    ends of its values, so the node table is the same for any order and
+    partitioning of the input, and any engine with md5 grows the same one.
     """
     limit = int(math.ceil(math.log2(max(psi, 2))))
     feats = list(feature_cols)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree_id = int(pdf["tree_id"].iloc[0])
-        pdf = pdf.sort_values(["_rank", *KEY_COLS], kind="mergesort")
-        X = pdf[feats].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree_id])
-        rows = _grow_tree(X, rng, limit)
+        rows = _grow_tree(pdf[feats].to_numpy(dtype=float), seed, tree_id, limit)
         out = pd.DataFrame(rows, columns=["node_id", "feature", "threshold", "left",
                                           "right", "n_rows", "path_len"])
         out.insert(0, "tree_id", tree_id)

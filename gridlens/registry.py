@@ -12,6 +12,7 @@ not count as mismatches; time stamps of processing
 from __future__ import annotations
 
 import datetime as dt
+import math
 import uuid
 from collections.abc import Callable
 
@@ -816,8 +817,8 @@ def q_load_scored_table(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------
-# The sample's rows, the grown trees by what holds for any
-# isolation tree, and scores of a small forest given as a literal
+# The sample's rows, the trees and scores of a forest that SQL
+# grows by the same draws, and scores of a small forest given as a literal
 # --------------------------------------------------------------------------
 
 
@@ -846,25 +847,86 @@ def q_forest_sample(spark, sf_dir):
     return sample.select("tree_id", "meter_id", "reading_timestamp")
 
 
-@register("forest_fit", with_ctes(
-    f"""SELECT CAST(t AS INTEGER) AS tree_id, CAST(least({FO.MAX_SAMPLES}, (SELECT count(*) FROM feats WHERE {_NOT_NULL_FEATS}))
-                AS INTEGER) AS root_rows, CAST(1 AS BIGINT) AS leaves_beyond_inner, true AS children_add_up, true AS shallow
-        FROM range(0, {FO.N_TREES}) r(t)""", _TRAIN_STATS))
+def recursive_ctes(body: str, *extra: str) -> str:
+    return with_ctes(body, *extra).replace("WITH", "WITH RECURSIVE", 1)
+
+
+_PSI = "(SELECT psi FROM par)"
+_WIDTH = len(FEATURE_COLS)
+
+
+def _node_draw(start: int) -> str:
+    """``forest.split_draw`` in SQL: 13 hex digits of the node's md5 from ``start``."""
+    return (f"((CAST('0x' || substr(md5(concat_ws('|', '{FO.SEED}', tree_id, node_id)), {start}, 13) AS BIGINT)"
+            " + CAST(0.5 AS DOUBLE)) / pow(2, 52))")
+
+
+def _with_split(rows: str) -> str:
+    """Rows of nodes with their node's size, feature (-1: a leaf) and threshold."""
+    ends = {f: ", ".join(f"{f}(xs[{i}]) OVER node" for i in range(1, _WIDTH + 1)) for f in ("min", "max")}
+    return f"""
+  SELECT tree_id, node_id, depth, xs, m, feature,
+         CASE WHEN feature >= 0 THEN lo[feature + 1] + (hi[feature + 1] - lo[feature + 1]) * {_node_draw(14)} ELSE 0 END AS threshold
+  FROM (SELECT *, CAST(CASE WHEN depth < ceil(log2(greatest({_PSI}, 2))) AND len(free) > 0
+                            THEN free[1 + CAST(floor({_node_draw(1)} * len(free)) AS INTEGER)] ELSE -1 END AS INTEGER) AS feature
+        FROM (SELECT *, list_filter(range(0, {_WIDTH}), lambda i: hi[i + 1] - lo[i + 1] > {FO.MIN_RANGE!r}) AS free
+              FROM (SELECT *, count(*) OVER node AS m, [{ends["min"]}] AS lo, [{ends["max"]}] AS hi
+                    FROM ({rows}) r WINDOW node AS (PARTITION BY tree_id, node_id)) e) f) g"""
+
+
+def _c(m: str) -> str:
+    """``forest.average_path_length`` in SQL."""
+    return (f"CASE WHEN {m} <= 1 THEN 0 WHEN {m} = 2 THEN 1 "
+            f"ELSE 2 * (ln({m} - 1) + {FO.EULER_GAMMA!r}) - 2 * ({m} - 1) / {m} END")
+
+
+def _below(rows: str, x: str) -> str:
+    """One level down: the child where the split of ``rows`` sends ``x``."""
+    return f"2 * {rows}.node_id + CASE WHEN {x} < {rows}.threshold THEN 1 ELSE 2 END"
+
+
+# The forest grown by recursion over levels: rows move to the child their
+# value chooses until no node splits.
+_FOREST_SQL = f"""
+grown AS ({_with_split(f"SELECT tree_id, 0 AS node_id, 0 AS depth, [{', '.join(FEATURE_COLS)}] AS xs "
+                       "FROM drawn JOIN feats USING (meter_id, reading_timestamp) WHERE pos <= psi")}
+  UNION ALL {_with_split(f"SELECT tree_id, {_below('grown', 'xs[feature + 1]')} AS node_id, depth + 1 AS depth, xs "
+                         "FROM grown WHERE feature >= 0")}),
+nodes AS MATERIALIZED (
+  SELECT DISTINCT tree_id, node_id, feature, threshold,
+         CASE WHEN feature >= 0 THEN 2 * node_id + 1 ELSE -1 END AS "left",
+         CASE WHEN feature >= 0 THEN 2 * node_id + 2 ELSE -1 END AS "right",
+         CAST(m AS INTEGER) AS n_rows,
+         CAST(depth + CASE WHEN feature >= 0 THEN 0 ELSE {_c("m")} END AS DOUBLE) AS path_len
+  FROM grown)
+"""
+
+
+def _forest_scores(name: str, rows: str) -> str:
+    """Mean path of each row through all trees, as CTE ``name``; ``rows`` gives
+    the features, NULL ones count as 0. A leaf keeps its rows at every level."""
+    walk = f"""SELECT meter_id, reading_timestamp, xs, n.* FROM
+        (SELECT meter_id, reading_timestamp, [{', '.join(f'coalesce({c}, 0)' for c in FEATURE_COLS)}] AS xs FROM ({rows}) q) x
+        JOIN nodes n ON n.node_id = 0"""
+    for _ in range(math.ceil(math.log2(FO.MAX_SAMPLES))):
+        walk = f"""SELECT w.meter_id, w.reading_timestamp, w.xs, n.* FROM (
+        SELECT *, CASE WHEN feature < 0 THEN v.node_id ELSE {_below('v', 'xs[feature + 1]')} END AS go FROM ({walk}) v) w
+        JOIN nodes n ON n.tree_id = w.tree_id AND n.node_id = w.go"""
+    return f"""
+{name} AS MATERIALIZED (
+  SELECT meter_id, reading_timestamp, -pow(2, -avg(path_len) / ({_c(_PSI)})) AS anomaly_score
+  FROM ({walk}) w GROUP BY meter_id, reading_timestamp)"""
+
+
+_TRAIN_SCORES = _forest_scores("train_scores", f"SELECT * FROM feats WHERE {_NOT_NULL_FEATS}")
+
+
+@register("forest_fit", r6(recursive_ctes("SELECT * FROM nodes", _TRAIN_STATS, _SAMPLE_SQL, _FOREST_SQL),
+                           ["threshold", "path_len"]))
 def q_forest_fit(spark, sf_dir):
-    """The grown trees as per-tree facts: rows of the root, leaves less inner
-    nodes, children adding up to their parent, no split below the limit."""
+    """The node table of all trees."""
     sample, psi = FO.forest_sample(_train_features(spark, sf_dir))
-    nodes = FO.forest_fit(sample, psi)
-    inner = F.col("feature") >= 0
-    child = nodes.select("tree_id", F.col("node_id").alias("child"), F.col("n_rows").alias("child_rows"))
-    sums = (nodes.filter(inner).select("tree_id", "node_id", "n_rows", F.explode(F.array("left", "right")).alias("child"))
-            .join(child, ["tree_id", "child"]).groupBy("tree_id", "node_id", "n_rows").agg(F.sum("child_rows").alias("both"))
-            .groupBy("tree_id").agg(F.bool_and(F.col("both") == F.col("n_rows")).alias("children_add_up")))
-    return (nodes.groupBy("tree_id").agg(
-        F.max(F.when(F.col("node_id") == 0, F.col("n_rows"))).alias("root_rows"),
-        (F.count_if(~inner) - F.count_if(inner)).alias("leaves_beyond_inner"),
-        F.bool_and(~inner | (F.col("path_len") < 8)).alias("shallow")).join(sums, "tree_id")
-        .select("tree_id", "root_rows", "leaves_beyond_inner", "children_add_up", "shallow"))
+    return round_doubles(FO.forest_fit(sample, psi))
 
 
 def _saved_model(spark, sf_dir):
@@ -914,30 +976,36 @@ def q_score_readings(spark, sf_dir):
     return round_doubles(_literal_scores(spark, sf_dir))
 
 
-@register("forest_score", r6(with_ctes(
+@register("forest_score", r6(recursive_ctes(
     f"""SELECT *, anomaly_score - ({_LITERAL_OFFSET}) AS anomaly_decision, anomaly_score - ({_LITERAL_OFFSET}) < 0 AS is_anomaly,
                CASE WHEN anomaly_score - ({_LITERAL_OFFSET}) < {D.OFFSET_SEVERITY_CUTS[0]} THEN 'HIGH'
                     WHEN anomaly_score - ({_LITERAL_OFFSET}) < {D.OFFSET_SEVERITY_CUTS[1]} THEN 'MEDIUM'
                     WHEN anomaly_score - ({_LITERAL_OFFSET}) < 0 THEN 'LOW' ELSE 'NORMAL' END AS anomaly_severity
-        FROM scored""", _TRAIN_STATS, _LITERAL_SQL), ["anomaly_score", "anomaly_decision"]))
+        FROM train_scores""", _TRAIN_STATS, _SAMPLE_SQL, _FOREST_SQL, _TRAIN_SCORES), ["anomaly_score", "anomaly_decision"]))
 def q_forest_score(spark, sf_dir):
-    return round_doubles(S.flag_and_grade(_literal_scores(spark, sf_dir), mode="offset", offset=_LITERAL_OFFSET))
+    """Every training row by the trained forest, flagged at a fixed offset."""
+    nodes, metrics = _saved_model(spark, sf_dir)
+    model = FO.load_model(nodes, int(metrics["max_samples"]), int(metrics["n_trees"]))
+    scored = FO.score_readings(spark, FE.impute_features(_train_features(spark, sf_dir)), model)
+    return round_doubles(S.flag_and_grade(scored.select("meter_id", "reading_timestamp", "anomaly_score"),
+                                          mode="offset", offset=_LITERAL_OFFSET))
 
 
-_METRICS_SQL = with_ctes(
+_METRICS_SQL = r6(recursive_ctes(
     f"""SELECT CAST({_LAST} + 1 AS VARCHAR) AS train_date, CAST({_LAST} - {_FIRST} + 1 AS INTEGER) AS lookback_days,
-               (SELECT count(*) FROM feats WHERE {_NOT_NULL_FEATS}) AS n_train_samples,
-               CAST({len(FEATURE_COLS)} AS INTEGER) AS feature_count, CAST({D.ANOMALY_THRESHOLD} AS DOUBLE) AS anomaly_score_threshold,
-               CAST({S.CONTAMINATION} AS DOUBLE) AS contamination, CAST(least({FO.MAX_SAMPLES},
-                 (SELECT count(*) FROM feats WHERE {_NOT_NULL_FEATS})) AS INTEGER) AS max_samples,
-               CAST({FO.N_TREES} AS INTEGER) AS n_trees""", _TRAIN_STATS)
+               count(*) AS n_train_samples, CAST({_WIDTH} AS INTEGER) AS feature_count,
+               avg(anomaly_score) AS anomaly_score_mean, stddev_pop(anomaly_score) AS anomaly_score_std,
+               CAST({D.ANOMALY_THRESHOLD} AS DOUBLE) AS anomaly_score_threshold,
+               CAST({S.CONTAMINATION} AS DOUBLE) AS contamination,
+               quantile_cont(anomaly_score, {S.CONTAMINATION}) AS "offset", CAST({_PSI} AS INTEGER) AS max_samples,
+               CAST({FO.N_TREES} AS INTEGER) AS n_trees
+        FROM train_scores""", _TRAIN_STATS, _SAMPLE_SQL, _FOREST_SQL, _TRAIN_SCORES),
+    ["anomaly_score_mean", "anomaly_score_std", "anomaly_score_threshold", "contamination", '"offset"'])
 
 
 def _sql_metrics(metrics: DataFrame) -> DataFrame:
-    """The metrics that SQL can compute: what was trained on and with which
-    settings, not the scores."""
-    return metrics.select("train_date", "lookback_days", "n_train_samples", "feature_count",
-                          "anomaly_score_threshold", "contamination", "max_samples", "n_trees")
+    """The metrics without the free-text note."""
+    return round_doubles(metrics.drop("note"))
 
 
 @register("training_metrics", _METRICS_SQL)
@@ -973,12 +1041,18 @@ def q_train_model(spark, sf_dir):
                                       *fixtures.training_window(spark, sf_dir), TS))
 
 
-@register("score_day", with_ctes(f"SELECT {_FIRST} AS process_date, count(*) AS total_scored FROM clean"))
+@register("score_day", recursive_ctes(
+    f"""SELECT {_FIRST} AS process_date, count(*) AS total_scored,
+               count(*) FILTER (WHERE anomaly_score < (SELECT quantile_cont(anomaly_score, {S.CONTAMINATION}) FROM train_scores))
+                 AS total_anomalies
+        FROM day_scores""", _TRAIN_STATS, _SAMPLE_SQL, _FOREST_SQL, _TRAIN_SCORES,
+    _forest_scores("day_scores", "SELECT * FROM feats")))
 def q_score_day(spark, sf_dir):
     out = _run_dir(spark, sf_dir, "p3")
     return J.score_days(spark, fixtures.processed_layout(spark, sf_dir),
                         fixtures.model_layout(spark, sf_dir), out, *_days(spark, sf_dir),
-                        history_days=0, as_of=fixtures.FIXTURE_AS_OF, ts_type=TS).select("process_date", "total_scored")
+                        history_days=0, as_of=fixtures.FIXTURE_AS_OF, ts_type=TS).select(
+                            "process_date", "total_scored", "total_anomalies")
 
 
 @register("validate_day", r6(with_ctes(

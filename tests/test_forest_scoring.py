@@ -96,6 +96,25 @@ def test_fit_independent_of_partitioning(spark, feats):
     assert a.equals(b)
 
 
+def test_growth_depends_on_values_alone():
+    """Rows in another order grow the same tree; values apart by rounding only do
+    not split; each child holds the rows its parent's split sends there."""
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(size=64), np.full(64, 0.1) + rng.integers(0, 2, 64) * 1e-16, rng.integers(0, 3, 64)])
+    a = sorted(FO._grow_tree(x, 42, 5, 6))
+    assert a == sorted(FO._grow_tree(x[rng.permutation(64)], 42, 5, 6)) != sorted(FO._grow_tree(x, 42, 6, 6))
+    assert 1 not in {n[1] for n in a}
+    by_id = {n[0]: n for n in a}
+    for i, feature, threshold, left, right, n, _ in a:
+        if feature >= 0:
+            assert (left, right) == (2 * i + 1, 2 * i + 2) and by_id[left][5] + by_id[right][5] == n
+    root = by_id[0]
+    assert by_id[1][5] == (x[:, root[1]] < root[2]).sum()
+    assert FO._grow_tree(np.zeros((4, 2)), 42, 0, 2) == [(0, -1, 0.0, -1, -1, 4, FO.average_path_length([4])[0])]
+    u = [v for i in range(500) for v in FO.split_draw(42, 0, i)]
+    assert 0 < min(u) and max(u) < 1 and abs(np.mean(u) - 0.5) < 0.03
+
+
 def test_scores_and_outliers(spark, feats, trained):
     nodes, psi, _ = trained
     model = FO.load_model(nodes, psi)
