@@ -148,26 +148,42 @@ def _inputs(relation: DataFrame) -> DataFrame:
     return relation.select([c for c in ("chunk", "pos", "code", "key", "m", "ids") if c in relation.columns])
 
 
-def _asked(relation: DataFrame) -> DataFrame:
-    """(chunk, one, two, m): a row per chunk and distinct group."""
+def _asked(relation: DataFrame, bits: int | None = None) -> DataFrame:
+    """(chunk, one, two, m): a row per chunk and distinct group. With ``bits``,
+    for numbers below 2^bits: (name, m), both numbers in one long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in _rows(b):
                 _, _, m, one, two = _groups_of(r)
+                m = m.astype(np.int64)
+                if bits is not None:
+                    name = (one << bits) | two
+                    order = np.argsort(name)
+                    yield pa.RecordBatch.from_arrays([pa.array(name[order]), pa.array(m[order])], ["name", "m"])
+                    continue
                 order = np.lexsort((two, one))  # like rows side by side: they compress
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(one), r["chunk"], np.int64)), pa.array(one[order]), pa.array(two[order]),
-                    pa.array(m[order].astype(np.int64))], ["chunk", "one", "two", "m"])
+                    pa.array(m[order])], ["chunk", "one", "two", "m"])
 
-    return _inputs(relation).mapInArrow(run, _ASKED)
+    return _inputs(relation).mapInArrow(run, _ASKED if bits is None else "name long, m long")
 
 
-def frequent_groups(relation: DataFrame, min_count: int, most: int, owners: bool = False) -> tuple[DataFrame, bool]:
+def frequent_groups(relation: DataFrame, min_count: int, most: int, owners: bool = False,
+                    dense: bool = False) -> tuple[DataFrame, bool]:
     """(one, two, a, id): the groups with ``a >= min_count`` occurrences over
     all chunks, numbered by (one, two); whether there are at most ``most``
-    (then the numbers run from 0). ``owners`` adds one chunk that holds the group."""
+    (then the numbers run from 0). ``owners`` adds one chunk that holds the group.
+    ``dense``: the numbers in ``relation`` are below ``most``, so that a name of
+    one long is shuffled in place of two."""
     sums = [F.sum("m").alias("a")] + ([F.min("chunk").alias("owner")] if owners else [])
-    found = materialize(_asked(relation).groupBy("one", "two").agg(*sums).where(F.col("a") >= min_count), "setm-counts")
+    bits = most.bit_length() if dense and most.bit_length() <= 31 else None
+    if bits is None:
+        counts = _asked(relation).groupBy("one", "two").agg(*sums)
+    else:
+        counts = _asked(relation, bits).groupBy("name").agg(*sums).select(
+            F.shiftright("name", bits).alias("one"), F.col("name").bitwiseAND(F.lit((1 << bits) - 1)).alias("two"), "a")
+    found = materialize(counts.where(F.col("a") >= min_count), "setm-counts")
     few = found.count() <= most
     ordered = (found.coalesce(1) if few else found.repartitionByRange(n_parts(found.sparkSession), "one", "two"))
     ordered = ordered.sortWithinPartitions("one", "two").withColumn("id", F.monotonically_increasing_id())
@@ -265,7 +281,7 @@ def candidates(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN
         before, relation = relation, materialize(semi_join(relation, frequent, small, packed), f"setm-{m - 1}", codec="uncompressed")
         discard(before)  # all that is needed of it is written
         dense, packed = few, True
-        frequent, few = frequent_groups(relation, min_count, broadcast_most)
+        frequent, few = frequent_groups(relation, min_count, broadcast_most, dense=dense)
         small = few and dense  # names are packed from numbers below ``broadcast_most``
         prefix = phrases.select(F.col("id").alias("one"), "lang", F.col("phrase").alias("_head"), F.col("a").alias("_l"), "ls")
         suffix = phrases.select(F.col("id").alias("two"), F.col("a").alias("_r"), "rs", "tail")
