@@ -6,14 +6,17 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlens.functions import derive as D
 
 CONTAMINATION = 0.02  # fixed value: expected share of anomalies
-MAX_ACCURACY = 10_000_000
+_MAGNITUDE = np.int64(0x7FFFFFFFFFFFFFFF)
 
 
 def flag_and_grade(df: DataFrame, mode: str = "offset", offset: float | None = None,
@@ -86,108 +89,65 @@ def scoring_summary(scored: DataFrame, flag: str = "is_anomaly") -> DataFrame:
         F.col("total_anomalies") / F.greatest(F.col("total_scored"), F.lit(1)) * F.lit(100.0), 2))
 
 
-def _value_at(x: DataFrame, k: int) -> float:
-    """The value of 0-based rank ``k`` by halving the range of values, each
-    end moved to a value that occurs: always comes to an end."""
-    ends = x.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    lo, hi = ends["lo"], ends["hi"]
-    while lo < hi:
-        mid = lo / 2 + hi / 2
-        mid = lo if not lo <= mid < hi else mid
-        r = x.agg(F.count_if(F.col("x") <= mid).alias("n"), F.max(F.when(F.col("x") <= mid, F.col("x"))).alias("under"),
-                  F.min(F.when(F.col("x") > mid, F.col("x"))).alias("over")).first()
-        lo, hi = (lo, r["under"]) if r["n"] > k else (r["over"], hi)
-    return lo
+@F.pandas_udf(T.LongType())
+def _order_key(x: pd.Series) -> pd.Series:
+    """The bits of a double as a long of the same order; -0.0 counts as 0.0."""
+    bits = (x.to_numpy(dtype=np.float64) + 0.0).view(np.int64)
+    return pd.Series(np.where(bits < 0, bits ^ _MAGNITUDE, bits))
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, max_collect: int = 20000,
-                   accuracy: int = 10000, persist: bool = True) -> float | None:
+def _value_of(key: int) -> float:
+    bits = np.int64(key)
+    return float((bits ^ _MAGNITUDE if bits < 0 else bits).view(np.float64))
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, persist: bool = True) -> float | None:
     """Exact linear-interpolation quantile (as ``percentile`` / DuckDB's
     ``quantile_cont``) without gathering the column in one place.
 
-    Each round narrows a value bracket around the wanted ranks with a
-    mergeable ``percentile_approx`` sketch and counts what lies below it;
-    once the bracket holds at most ``max_collect`` values they are
-    fetched and the two neighbouring ranks interpolated. The driver never
-    sees more than ``max_collect`` values. A bracket that will not narrow is
-    settled by halving the range of values. NULL and NaN are ignored.
-    ``persist=False`` if ``df`` is persisted already.
+    Four rounds, whatever the values: each counts, by the next 16 bits of the
+    doubles' order-preserving keys, the rows that share the bits found so far
+    with a wanted rank (the two neighbouring ranks, so at most 2 * 65,536
+    counts reach the driver). NULL and NaN are ignored; ties, infinities and
+    denormals are values like any other. ``persist=False`` if ``df`` is
+    persisted already.
     """
     x = df.select(F.col(col).cast("double").alias("x")).filter(
         F.col("x").isNotNull() & ~F.isnan("x"))
+    keys = x.select(_order_key("x").alias("key"))
     if persist:
-        x = x.persist(StorageLevel.MEMORY_AND_DISK)
+        keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = x.count()
-        if n == 0:
-            return None
-        pos = q * (n - 1)
-        k = int(math.floor(pos))
-        frac = pos - k
-        ranks = [k] if frac == 0 or k + 1 >= n else [k, k + 1]
-        lo, hi, below = None, None, 0
-        cand = x
-        m = n
-        margin = 2.0
-        for _ in range(32):
-            if m <= max_collect:
-                hist = [(r["x"], 1) for r in cand.collect()]
-                return _pick(hist, [r - below for r in ranks], frac)
-            # local ranks of the targets inside the current candidates
-            t_lo = (ranks[0] - below) / m
-            t_hi = (ranks[-1] - below) / m
-            eps = margin / accuracy
-            qs = [max(0.0, t_lo - eps), min(1.0, t_hi + eps)]
-            b = cand.agg(F.percentile_approx("x", qs, accuracy).alias("b")).first()["b"]
-            new_lo = lo if t_lo - eps <= 0 else b[0]
-            new_hi = hi if t_hi + eps >= 1 else b[1]
-            cond = F.lit(True)
-            if new_lo is not None:
-                cond = cond & (F.col("x") >= F.lit(new_lo))
-            if new_hi is not None:
-                cond = cond & (F.col("x") <= F.lit(new_hi))
-            under = (F.count_if(F.col("x") < F.lit(new_lo)) if new_lo is not None
-                     else F.lit(0))
-            cnt = cand.agg(F.count_if(cond).alias("inside"), under.alias("under")).first()
-            if cnt["inside"] >= m:
-                # No progress: the bracket is held by repeated values. A
-                # histogram of the distinct values settles it when small.
-                hist = cand.groupBy("x").count()
-                if hist.limit(max_collect + 1).count() <= max_collect:
-                    pairs = [(r["x"], int(r["count"])) for r in hist.collect()]
-                    return _pick(pairs, [r - below for r in ranks], frac)
-                if accuracy >= MAX_ACCURACY:
-                    break
-                accuracy = min(accuracy * 10, MAX_ACCURACY)
-                continue
-            new_below = below + int(cnt["under"])
-            if not (new_below <= ranks[0] and ranks[-1] < new_below + int(cnt["inside"])):
-                # the sketch missed its error bound: widen the margin
-                margin *= 4
-                continue
-            lo, hi = new_lo, new_hi
-            below = new_below
-            cand = cand.filter(cond)
-            m = int(cnt["inside"])
-        vals = [_value_at(x, r) for r in ranks]
-        return vals[0] if len(vals) == 1 else vals[0] + (vals[1] - vals[0]) * frac
+        ranks, frac, found = [], 0.0, []  # found: per rank, the leading bits and the rank among rows that share them
+        for shift in (48, 32, 16, 0):
+            rows = keys.select(F.shiftright("key", shift).alias("lead"))
+            if ranks:
+                rows = rows.filter(F.shiftright("lead", 16).isin([lead for lead, _ in found]))
+            counts = sorted((r["lead"], r["count"]) for r in rows.groupBy("lead").count().collect())
+            if not ranks:
+                n = sum(c for _, c in counts)
+                if n == 0:
+                    return None
+                k = math.floor(q * (n - 1))
+                frac = q * (n - 1) - k
+                ranks = [k, min(k + 1, n - 1)]
+                found = [_lead_at(counts, r) for r in ranks]
+            else:
+                found = [_lead_at([c for c in counts if c[0] >> 16 == lead], r) for lead, r in found]
+        lo, hi = (_value_of(key) for key, _ in found)
+        return lo if frac == 0 or lo == hi else lo + (hi - lo) * frac
     finally:
         if persist:
-            x.unpersist()
-
-
-def _pick(hist, local_ranks, frac):
-    """Values at 0-based ranks of a (value, count) histogram, interpolated."""
-    hist = sorted(hist)
-    vals = []
-    for r in local_ranks:
-        seen = 0
-        for v, c in hist:
-            seen += c
-            if r < seen:
-                vals.append(v)
-                break
-    return vals[0] if len(vals) == 1 else vals[0] + (vals[1] - vals[0]) * frac
+            keys.unpersist()
+
+
+def _lead_at(counts: list[tuple[int, int]], rank: int) -> tuple[int, int]:
+    """The lead that holds 0-based ``rank`` in ascending counts, and the rank inside it."""
+    for lead, n in counts:
+        if rank < n:
+            return lead, rank
+        rank -= n
+    raise ValueError("the rows changed between two rounds")
 
 
 def contamination_offset(train_scores: DataFrame, contamination: float = CONTAMINATION,

@@ -162,20 +162,40 @@ def test_evaluate_zero_division(spark):
     assert (r["precision"], r["recall"], r["f1_score"]) == (0.5, 0.5, 0.5)
 
 
+def test_quantile_takes_the_same_jobs_whatever_the_values(spark):
+    tiny = [5e-324 * i for i in range(-40, 41)]
+    sets = [[0.5] * 300 + [1.0], tiny, [-float("inf")] * 3 + tiny + [float("inf")] * 3, [-0.0, 0.0, -1e308, 1e308],
+            np.random.default_rng(2).normal(size=3000).tolist()]
+    jobs = set()
+    for i, vals in enumerate(sets):
+        df = spark.createDataFrame([(v,) for v in vals] + [(None,), (float("nan"),)], "x double")
+        for q in (0.02, 0.25, 0.5):
+            group = f"quantile-{i}-{q}"
+            spark.sparkContext.setJobGroup(group, group)
+            got = S.exact_quantile(df, "x", q, persist=False)
+            jobs.add(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+            at = q * (len(vals) - 1)
+            lo, hi = sorted(vals)[int(at)], sorted(vals)[min(int(at) + 1, len(vals) - 1)]
+            assert got == (lo if lo == hi or at == int(at) else lo + (hi - lo) * (at - int(at)))
+    spark.sparkContext.setJobGroup("", "")
+    assert len(jobs) == 1
+    assert S.exact_quantile(spark.createDataFrame([(None,)], "x double"), "x", 0.5) is None
+
+
 @pytest.mark.parametrize("q", [0.0, 0.02, 0.5, 0.999, 1.0])
 def test_exact_quantile_brackets(spark, q):
     vals = np.random.default_rng(7).normal(size=5000).round(3)  # with ties
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    got = S.exact_quantile(df, "x", q, max_collect=100, accuracy=100)
+    got = S.exact_quantile(df, "x", q)
     assert got == pytest.approx(float(np.quantile(vals, q)))
 
 
 def test_exact_quantile_constant_and_empty(spark):
     df = spark.createDataFrame([(2.5,)] * 3000 + [(None,)], "x double")
-    assert S.exact_quantile(df, "x", 0.02, max_collect=100) == 2.5
+    assert S.exact_quantile(df, "x", 0.02) == 2.5
     assert S.exact_quantile(df.filter("x < 0"), "x", 0.5) is None
     two = spark.createDataFrame([(1.0,)] * 1500 + [(2.0,)] * 1500, "x double")
-    assert S.exact_quantile(two, "x", 0.5, max_collect=100) == pytest.approx(1.5)
+    assert S.exact_quantile(two, "x", 0.5) == pytest.approx(1.5)
 
 
 def test_short_draw_is_redrawn(spark, feats):
@@ -228,12 +248,11 @@ def test_model_save_load_round_trip(spark, trained):
     assert nodes.exceptAll(back).count() == 0 and back.exceptAll(nodes).count() == 0
 
 
-def test_quantile_of_a_bracket_that_will_not_narrow(spark):
-    """Few collected values and a coarse sketch: settled by halving."""
+def test_quantile_of_few_values_many_times(spark):
     df = spark.createDataFrame([(float(i % 7) + (0.5 if i % 11 else 0.25),) for i in range(900)], "s double")
     v = sorted(r[0] for r in df.collect())
     for q in (0.0, 0.02, 0.5, 0.93, 1.0):
         pos = q * 899
         k, f = int(pos), pos - int(pos)
         want = v[k] if f == 0 else v[k] + (v[k + 1] - v[k]) * f
-        assert S.exact_quantile(df, "s", q, max_collect=2, accuracy=S.MAX_ACCURACY) == pytest.approx(want)
+        assert S.exact_quantile(df, "s", q) == pytest.approx(want)
