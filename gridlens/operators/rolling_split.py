@@ -15,11 +15,11 @@ path:
    when that ended with the same meter (or, if that partition is shorter
    than the frame and holds only that meter, the tails of up to
    ``frame_rows - 1`` partitions back, trimmed to the newest rows);
-4. the ordinary window runs per (partition, meter) over own rows plus
+4. the ordinary frames run per (partition, meter) over own rows plus
    halo; halo rows are dropped.
 
-Step 4 uses the same aggregate over the same rows in the same order as
-the one-task window, so results are identical. Everything except the
+Step 4 covers the same rows in the same order as the one-task frames, with
+blocks counted from the series' first row, so results are identical. Everything except the
 hot rows goes through the plain window. Metadata (tails, per-partition
 summaries) grows with the number of partitions, never with a meter's
 length.
@@ -112,6 +112,13 @@ def _hot_and_cold(df: DataFrame, key: str, hot_keys: DataFrame) -> tuple[DataFra
     return df.join(hot_keys.select(key), key, "left_semi"), df.join(hot_keys.select(key), key, "left_anti")
 
 
+def _rows_before(ranged: DataFrame, key: str) -> DataFrame:
+    """Per (key, partition): the key's rows in all partitions before."""
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_n")).select(
+        key, "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before_rows"))
+
+
 def _hot_path(hot: DataFrame, n_hot: int, frame_rows: int, std_null_to_zero: bool,
               value: str, key: str, order: str, rows_per_task: int) -> DataFrame:
     L = frame_rows - 1
@@ -154,15 +161,12 @@ def _hot_path(hot: DataFrame, n_hot: int, frame_rows: int, std_null_to_zero: boo
             .select(F.col("_target").alias("_pid"), key, order, value,
                     F.lit(True).alias("_halo")))
     own = ranged.withColumn("_halo", F.lit(False))
-    both = own.unionByName(halo, allowMissingColumns=True)
-    w = (Window.partitionBy("_pid", key).orderBy(order)
-         .rowsBetween(-(frame_rows - 1), Window.currentRow))
-    std = F.stddev_samp(value).over(w)
+    both = own.unionByName(halo, allowMissingColumns=True).join(_rows_before(ranged, key), [key, "_pid"])
+    out = rolling.frame_stats(both, frame_rows, value, ["_pid", key], order, rolling.MEAN_COL, rolling.STD_COL,
+                              start=F.greatest(F.col("_before_rows") - L, F.lit(0)))
     if std_null_to_zero:
-        std = F.coalesce(std, F.lit(0.0))
-    out = (both.withColumn(rolling.MEAN_COL, F.avg(value).over(w))
-               .withColumn(rolling.STD_COL, std)
-               .filter(~F.col("_halo")).drop("_halo", "_pid"))
+        out = out.withColumn(rolling.STD_COL, F.coalesce(rolling.STD_COL, F.lit(0.0)))
+    out = out.filter(~F.col("_halo")).drop("_halo", "_pid", "_before_rows")
     return out
 
 
@@ -199,11 +203,9 @@ def series_position_split(df: DataFrame, key: str = "meter_id", order: str = "re
         return rolling.series_position(df, key, order, out_col)
     hot, cold = _hot_and_cold(df, key, hot_keys)
     ranged = _ranged(hot, n_hot, key, order, rows_per_task)
-    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    first = ranged.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_n")).select(
-        key, "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    first = _rows_before(ranged, key)
     here = F.row_number().over(Window.partitionBy("_pid", key).orderBy(order))
     hot_out = ranged.withColumn("_here", here).join(first, [key, "_pid"]).withColumn(
-        out_col, (F.col("_here") + F.col("_before")).cast("int"))
+        out_col, (F.col("_here") + F.col("_before_rows")).cast("int"))
     plain = rolling.series_position(cold, key, order, out_col)
     return plain.unionByName(hot_out.select(*plain.columns))

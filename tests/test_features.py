@@ -91,3 +91,46 @@ def test_split_path_mixed_hot_and_cold(spark):
     a = W.rolling_stats(c)
     b = RS.rolling_stats_split(c, rows_per_task=520)
     assert b.count() == a.count() and a.exceptAll(b.select(*a.columns)).count() == 0
+
+
+@pytest.mark.parametrize("frame", [1, 2, 7, 168])
+def test_frames_at_a_large_level_equal_sql(spark, frame):
+    """kWh of 1e9 plus small noise, runs of equal values, NULL, NaN and
+    infinity in the series: mean and std at 6 places as DuckDB has them."""
+    import duckdb
+    import numpy as np
+    rng = np.random.default_rng(3)
+    kwhs = [1e9 + float(k) / 1024 for k in rng.integers(0, 2048, 400)]
+    kwhs[100:300] = [1e9 + 0.5] * 200
+    odd = [0.1] * 40 + [None] * 9 + [0.1] * 9 + [None, 3.0]
+    df = _series(spark, kwhs).unionByName(_series(spark, odd, "M2"))
+    con = duckdb.connect()
+    con.register("t", df.select("meter_id", "reading_timestamp", "kwh_consumed").toArrow())
+    over = (f"OVER (PARTITION BY meter_id ORDER BY reading_timestamp "
+            f"ROWS BETWEEN {frame - 1} PRECEDING AND CURRENT ROW)")
+    want = con.sql(f"SELECT meter_id, reading_timestamp::timestamp ts, avg(kwh_consumed) {over} m, "
+                   f"stddev_samp(kwh_consumed) {over} s FROM t ORDER BY 1, 2").fetchall()
+    got = W.rolling_stats(df, frame, False).orderBy("meter_id", "reading_timestamp").collect()
+    assert len(got) == len(want) == 400 + len(odd)
+    for g, (_, _, m, s) in zip(got, want):
+        assert (g[W.MEAN_COL] is None) == (m is None) and (g[W.STD_COL] is None) == (s is None)
+        assert m is None or g[W.MEAN_COL] == pytest.approx(m, abs=1e-6, rel=1e-15)
+        assert s is None or g[W.STD_COL] == pytest.approx(s, abs=1e-6)
+    if 1 < frame <= 168:
+        flat = [g[W.STD_COL] for g in got[100 + frame - 1:300]]
+        assert set(flat) == {0.0}
+
+
+def test_frames_with_nan_and_infinity(spark):
+    df = _series(spark, [1.0, 2.0, float("nan"), 3.0, 4.0, 5.0, float("inf"), float("inf"), 1.0, 2.0, 3.0])
+    got = [(r[W.MEAN_COL], r[W.STD_COL]) for r in W.rolling_stats(df, 3, False).orderBy("reading_timestamp").collect()]
+    assert all(math.isnan(m) and math.isnan(s) for m, s in got[2:5])
+    assert got[5] == (4.0, 1.0)
+    assert all(m == math.inf and math.isnan(s) for m, s in got[6:10])
+    assert got[10] == (2.0, 1.0)
+
+
+def test_frames_take_one_shuffle_and_no_sliding_sum(spark):
+    plan = W.rolling_stats(_series(spark, [1.0, 2.0]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "RowFrame, -167, currentrow" not in plan
