@@ -68,7 +68,8 @@ def meter_counts(spark: SparkSession, processed_root: str, readings: DataFrame,
 
 def process_days(spark: SparkSession, raw_root: str, out_root: str, first_day,
                  last_day=None, lookback_days: int = 0, enforce: bool = True,
-                 as_of: dt.datetime | None = None, ts_type: T.DataType | None = None) -> DataFrame:
+                 as_of: dt.datetime | None = None, ts_type: T.DataType | None = None,
+                 quarantine: bool = False) -> DataFrame:
     """Raw -> clean -> quality gate -> hourly, daily -> three writes.
 
     Processes one day (the reference) or a range of days in one job. The
@@ -80,14 +81,25 @@ def process_days(spark: SparkSession, raw_root: str, out_root: str, first_day,
     clean_rows, drop_pct, status (the quality status; with ``enforce`` a day
     above 10 % raises and no table changes) and the NULL counts of
     kwh_consumed, voltage and meter_id among the cleaned rows.
+
+    With ``quarantine``, files whose column types drifted do not stop the job:
+    those that convert are read, the others are listed in the table
+    ``quarantine`` (``path, reason`` by process_date), which is switched with
+    the other three (see ``sources.drift``).
     """
     require_utc(spark, ts_type)
     d0 = _d(first_day)
     d1 = _d(last_day) if last_day else d0
-    raw = scans.read_raw(spark, raw_root, d0, lookback_days, d1, ts_type)
+    misfits = None
+    if quarantine:
+        raw, misfits = scans.read_raw_drifted(spark, raw_root, d0, lookback_days, d1, ts_type)
+    else:
+        raw = scans.read_raw(spark, raw_root, d0, lookback_days, d1, ts_type)
     staged = [sinks.stage_days(with_day_parts(C.clean_readings(raw, as_of)), f"{out_root}/readings",
                                sinks.CLEAN_PARTS, ymd_dirs)]
     try:
+        if misfits is not None:
+            staged.append(sinks.stage_days(misfits, f"{out_root}/quarantine", ["process_date"], date_dirs("process_date")))
         cleaned = staged[0].rows(scans.clean_read_schema(ts_type), d0, d1).drop("year", "month", "day")
         # Every day of the range gets a row: a day without raw rows counts as
         # 100 % dropped (FAIL), as an empty single-day run does.

@@ -86,6 +86,15 @@ class Folders:
         depth = pattern.count("/") + 1
         return ["/".join(f.getPath().toString().split("/")[-depth:]) for f in found]
 
+    def files(self, path: str) -> list[str]:
+        """Data files at any depth below a folder (full path)."""
+        listing, found = self._fs.listFiles(self._path(path), True), []
+        while listing.hasNext():
+            at = listing.next().getPath()
+            if not at.getName().startswith(("_", ".")):
+                found.append(at.toString())
+        return found
+
     def read(self, rel: str) -> str:
         stream = self._fs.open(self._at(rel))
         try:
@@ -163,21 +172,35 @@ def _split(root: str) -> tuple[str, str]:
     return database, table
 
 
-def _scan(spark: SparkSession, root: str, schema: T.StructType, days: list[dt.date], dirs: DayDirs,
-          versions: dict[str, list[str]]) -> DataFrame:
+def _folders(spark: SparkSession, root: str, days: list[dt.date], dirs: DayDirs,
+             versions: dict[str, list[str]]) -> list[tuple[str, list[str]]]:
+    """Day directories that exist, below the base path Spark takes their
+    directory columns from: plain ones and those of versions."""
     folders = Folders(spark, root)
     plain, versioned = [], []
     for day in days:
         for v in versions.get(day.isoformat(), [""]):
             at = [f"_days/version={v}/{dirs(day)[0]}"] if v else dirs(day)
             (versioned if v else plain).extend(f"{folders.root}/{d}" for d in at if folders.exists(d))
+    return [(base, paths) for base, paths in ((folders.root, plain), (f"{folders.root}/_days", versioned)) if paths]
+
+
+def _scan(spark: SparkSession, root: str, schema: T.StructType, days: list[dt.date], dirs: DayDirs,
+          versions: dict[str, list[str]]) -> DataFrame:
     found = [spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.names)
-             for base, paths in ((folders.root, plain), (f"{folders.root}/_days", versioned)) if paths]
+             for base, paths in _folders(spark, root, days, dirs, versions)]
     if not found:
         return spark.createDataFrame([], schema)
     return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
+def day_folders(spark: SparkSession, root: str, first_day, last_day, dirs: DayDirs) -> list[tuple[str, list[str]]]:
+    """(base path, day directories) of the days in [first_day, last_day]."""
+    database, table = _split(root)
+    versions = CommitLog(spark, database).latest()[1].get(table, {})
+    return _folders(spark, root, days_between(first_day, last_day), dirs, versions)
+
+
 def read_days(spark: SparkSession, root: str, schema: T.StructType, first_day, last_day, dirs: DayDirs) -> DataFrame:
     """Rows of the days in [first_day, last_day]; no such day: no rows."""
     database, table = _split(root)

@@ -18,6 +18,7 @@ from gridlens.functions.derive import day_range
 from gridlens.schemas import clean_schema, raw_schema
 from gridlens.sources.days import as_date as _as_date
 from gridlens.sources.days import read_days, ymd_dirs
+from gridlens.sources.drift import scan_drifted
 
 DAY_PARTS = [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()),
              T.StructField("day", T.IntegerType())]
@@ -51,6 +52,22 @@ def read_raw(spark: SparkSession, root: str, process_date, lookback_days: int =
     return filter_exact_date(df, process_date, end_date).drop("year", "month", "day")
 
 
+def read_raw_drifted(spark: SparkSession, root: str, process_date, lookback_days: int = 0,
+                     end_date=None, ts_type: T.DataType | None = None) -> tuple[DataFrame, DataFrame]:
+    """S1-S3 over files whose column types may differ from the declared ones:
+    the raw rows, and the files that were not read (``process_date, path,
+    reason``; a file of a lookback directory counts to the first day). See
+    ``drift``."""
+    d0 = _as_date(process_date)
+    d1 = _as_date(end_date) if end_date else d0
+    schema = T.StructType(raw_schema(ts_type).fields + DAY_PARTS)
+    rows, misfits = scan_drifted(spark, root, schema, d0 - dt.timedelta(days=lookback_days), d1, ymd_dirs)
+    part = lambda name: F.regexp_extract("path", f"/{name}=([0-9]+)/", 1).cast("int")
+    day = F.greatest(F.make_date(part("year"), part("month"), part("day")), F.lit(d0))
+    return (filter_exact_date(rows, process_date, end_date).drop("year", "month", "day"),
+            misfits.select(day.alias("process_date"), "path", "reason"))
+
+
 def clean_read_schema(ts_type) -> T.StructType:
     """Cleaned rows as laid out: the directory columns come last."""
     fields = [f for f in clean_schema(ts_type).fields
