@@ -7,7 +7,10 @@ path:
 
 1. hot rows are range-partitioned on (meter, time) and sorted, so a hot
    series spans many partitions of bounded size (materialised with
-   ``checkpoint()`` so partition ids stay fixed);
+   ``checkpoint()`` so partition ids stay fixed). Partitions hold
+   ``rows_per_task`` rows, or more where that would make more partitions
+   than the session shuffles to: every partition costs the driver a task
+   and its samples, so their number must not follow the rows;
 2. one narrow ``mapInPandas`` pass emits, per partition, the last
    ``frame_rows - 1`` rows of its last meter (the "tail") with the
    partition's first meter and that meter's row count;
@@ -101,7 +104,8 @@ def _ranged(hot: DataFrame, n_hot: int, key: str, order: str, rows_per_task: int
     """Hot rows on range partitions of (key, order), with the partition's id."""
     from gridlens.session import shared_dir
     shared_dir(hot.sparkSession)
-    parts = max(1, math.ceil(n_hot / rows_per_task))
+    most = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(math.ceil(n_hot / rows_per_task), max(most, math.ceil(n_hot / DEFAULT_ROWS_PER_TASK))))
     return (hot.repartitionByRange(parts, key, order).sortWithinPartitions(key, order)
                .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
 

@@ -67,6 +67,26 @@ def test_split_path_equals_one_task_window(spark, rows_per_task):
         assert a.exceptAll(b.select(*a.columns)).count() == 0
 
 
+@pytest.mark.parametrize("most", [4, 64])
+def test_split_path_makes_no_more_partitions_than_the_session(spark, monkeypatch, most):
+    """The number of range partitions does not follow the rows; with many of
+    them allowed, pieces are far shorter than a frame."""
+    c = C.clean_readings(fixtures.readings(spark, "/root/testdata/sf0.001")) \
+        .select("meter_id", "reading_timestamp", "kwh_consumed")
+    made, ranged = [], RS._ranged
+    monkeypatch.setattr(RS, "_ranged", lambda *args: made.append(ranged(*args)) or made[-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(most))
+    try:
+        b = RS.rolling_stats_split(c, 169, False, rows_per_task=10)
+        assert W.rolling_stats(c, 169, False).exceptAll(b).count() == 0 and b.count() == c.count()
+        p = RS.series_position_split(c, rows_per_task=10)
+        assert W.series_position(c).exceptAll(p).count() == 0 and p.count() == c.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(made) == 2 and all(most / 2 < m.rdd.getNumPartitions() <= most for m in made)
+
+
 def test_feature_stats_population_std(spark):
     df = spark.createDataFrame([(1.0,), (3.0,)], "kwh_consumed double")
     st = FE.feature_stats(df, ["kwh_consumed"]).first()
