@@ -4,10 +4,12 @@ Texts are cut into passages of two neighbouring ``BLOCK``-word blocks, every
 block starting one. A passage is its TF-IDF vector over the benchmark's words and 2^bits
 buckets of all other words; document frequencies are counted over all
 documents, for the benchmark's words exactly (by 64-bit hash), and the smooth
-IDF never is 0: an item that many rows hold is searched like any other. A randomised SVD (Gaussian range finder
-with power iterations, run as Spark jobs) of benchmark passages and, at
-weight ``corpus_weight``, of the passages of a bounded, documented sample of
-documents gives the latent basis, over the words of the benchmark. Every
+IDF never is 0: an item that many rows hold is searched like any other. A randomised SVD of the
+benchmark's passages and the passages of all documents, run as Spark jobs, gives the latent basis, over the words of
+the benchmark: Gaussian range finder with power iterations over the benchmark,
+then one pass over both and the eigenvectors of the Nystroem form. A document
+weighs ``corpus_weight``, or less where there are more than ``corpus_docs``: all of
+them together as much as so many. Every
 passage x of every document is projected and compared to the projection of
 all benchmark passages b: it is a candidate when its cosine, the norm of x
 taken over all its words but as that of b at most, is ``cosine`` of what b
@@ -42,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import _IS_SPACE, combine, flat_text, materialize, span_hashes, sub_batches
+from gridlens.llm.common import _IS_SPACE, combine, flat_text, span_hashes, sub_batches
 
 BLOCK = 16
 #: Most benchmark items: their vectors and words are held by each task.
@@ -50,9 +52,9 @@ MAX_ITEMS = 200_000
 #: Bits of the signature of a set of words.
 SIGN_BITS = 1024
 #: Rows of tables summed by counts, not word by word: those of the most frequent words.
-FREQUENT = 192
+FREQUENT = 64
 #: Text bytes whose word vectors a task holds at a time.
-STEP_BYTES = 1 << 19
+STEP_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -61,7 +63,7 @@ class LsaParams:
     rank: int = 128
     oversample: int = 10
     power: int = 2
-    sample_docs: int = 6_000
+    corpus_docs: int = 6_000
     corpus_weight: float = 0.01
     cosine: float = 0.4
     near: float = 0.8
@@ -154,22 +156,38 @@ def find_keys(h: np.ndarray, keys: np.ndarray, start: np.ndarray, bits: int) ->
     return out
 
 
+def _frequent_counts(w, of, n_blocks, few) -> np.ndarray:
+    """How often each block has each of the first ``few`` rows."""
+    often = np.flatnonzero((w >= 0) & (w < few))
+    return np.bincount(of[often] * few + w[often], minlength=n_blocks * few).reshape(n_blocks, few).astype(np.float32)
+
+
 def _block_sums(w, block, table) -> np.ndarray:
     """Sum of the table's rows ``w`` over the words of each block that have one."""
-    out = np.zeros((len(block), table.shape[1]), table.dtype)
     of = np.repeat(np.arange(len(block)), np.diff(block, append=len(w)))
-    at = np.flatnonzero(w >= FREQUENT)
-    if len(at):
-        first = np.flatnonzero(np.diff(of[at], prepend=-1))
-        out[of[at[first]]] = np.add.reduceat(table[w[at]], first, axis=0)
     few = min(FREQUENT, len(table))
-    often = np.flatnonzero((w >= 0) & (w < FREQUENT))
-    if len(often):
-        counts = np.bincount(of[often] * few + w[often], minlength=len(block) * few).reshape(-1, few)
-        out += counts.astype(table.dtype) @ table[:few]
+    out = _frequent_counts(w, of, len(block), few) @ table[:few]
+    at = np.flatnonzero(w >= FREQUENT)
+    first = np.flatnonzero(np.diff(of[at], prepend=-1))
+    left = np.diff(first, append=len(at))
+    while len(first):  # the blocks' first such words, then their second ones, ...: faster than reduceat
+        out[of[at[first]]] += table[w[at[first]]]
+        first, left = first[left > 1] + 1, left[left > 1] - 1
     return out
 
 
+def _add_to_rows(total, w, block, values) -> None:
+    """Adds each block's values to the row ``w`` of each of its words that has one."""
+    of = np.repeat(np.arange(len(block)), np.diff(block, append=len(w)))
+    few = min(FREQUENT, len(total))
+    total[:few] += _frequent_counts(w, of, len(block), few).T @ values
+    at = np.flatnonzero(w >= FREQUENT)
+    if len(at):
+        at = at[np.argsort(w[at], kind="stable")]
+        first = np.flatnonzero(np.diff(w[at], prepend=-1))
+        total[w[at[first]]] += np.add.reduceat(values[of[at]], first, axis=0)
+
+
 def _paired(v: np.ndarray, a: np.ndarray, z: np.ndarray) -> np.ndarray:
     """Block sums to passage sums."""
     out = v[a]
@@ -227,62 +245,64 @@ def tf_idf(frequency: np.ndarray, keys: np.ndarray, start: np.ndarray, p: LsaPar
     return Weights((np.log((1 + total) / (1 + n)) + 1).astype(np.float32), keys, start, place[row], used[order])
 
 
-def latent_basis(texts: DataFrame, weights: Weights, p: LsaParams) -> np.ndarray:
+def gram_product(texts: DataFrame, weights: Weights, q: np.ndarray, p: LsaParams) -> np.ndarray:
+    """A'A q, A the weighted passages of all ``texts`` (text, row_weight): each
+    task sums its passages, then slabs of rows are summed over the tasks. The
+    sums of a task are as large as q, so there are no more tasks than the
+    session runs in a few rounds."""
+    spark, (size, width), used = texts.sparkSession, q.shape, weights.used[:, None]
+    shared = spark.sparkContext.broadcast((np.ascontiguousarray(q * used, np.float32), weights))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, weights = shared.value
+        total = np.zeros((size, width))
+        for whole in batches:
+            for b in sub_batches(whole, "text", STEP_BYTES):
+                h, off = words(b.column("text"))
+                block, a, z, text = passages(off)
+                if not len(block):
+                    continue
+                row = weights.of(h, p.bits)[0]
+                y = _paired(_block_sums(row, block, table), a, z)
+                y *= (b.column("row_weight").to_numpy()[text][:, None] ** 2).astype(np.float32)
+                per_block, two = np.zeros((len(block), width), np.float32), z - a > 1
+                per_block[a] = y
+                per_block[a[two] + 1] += y[two]
+                _add_to_rows(total, row, block, per_block)
+        parts = np.array_split(total * weights.used[:, None], min(16, size))
+        yield pa.RecordBatch.from_arrays([
+            pa.array(range(len(parts)), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], ["slab", "sums"])
+
+    def add(t: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.float64) for x in t["sums"].to_pylist())
+        return pa.table({"slab": t["slab"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    got = (texts.select("text", "row_weight").coalesce(4 * spark.sparkContext.defaultParallelism)
+           .mapInArrow(run, "slab int, sums binary").groupBy("slab")
+           .applyInArrow(add, "slab int, sums binary").collect())  # rows of the benchmark's words: bounded with it
+    shared.unpersist()
+    if not got:
+        return np.zeros((size, width))
+    return np.concatenate([np.frombuffer(r["sums"], np.float64).reshape(-1, width) for r in sorted(got)])
+
+
+def latent_basis(benchmark: DataFrame, docs: DataFrame, weights: Weights, p: LsaParams) -> np.ndarray:
     """A row per used bucket: TF-IDF weight times right singular vectors, from
-    a randomised SVD of the passages of ``texts`` (text, row_weight)."""
-    spark, size, used = texts.sparkSession, len(weights.used), weights.used[:, None]
-    width = min(p.rank + p.oversample, size)
+    a randomised SVD of the passages of both (text, row_weight): power
+    iterations over the benchmark find where its passages lie, one pass over
+    the benchmark and all documents weighs them."""
+    size = len(weights.used)
     if not size:
         return np.zeros((0, 1), np.float32)
-
-    def product(q: np.ndarray, gram: bool) -> np.ndarray:
-        """A'A q (or q'A'A q): tasks sum their passages, then slabs of rows
-        are summed over the tasks."""
-        shared = spark.sparkContext.broadcast(np.ascontiguousarray(q * used, np.float32))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((width, width) if gram else (size, width))
-            for whole in batches:
-                for b in sub_batches(whole, "text", STEP_BYTES):
-                    h, off = words(b.column("text"))
-                    y, _, a, z, text, block = passage_vectors(h, off, shared.value, weights, p.bits)
-                    if not len(y):
-                        continue
-                    y = y.astype(np.float64) * b.column("row_weight").to_numpy()[text][:, None]
-                    if gram:
-                        total += y.T @ y
-                        continue
-                    y *= b.column("row_weight").to_numpy()[text][:, None]
-                    per_block = np.zeros((len(block), width))
-                    np.add.at(per_block, a, y)
-                    two = z - a > 1
-                    np.add.at(per_block, a[two] + 1, y[two])
-                    w = weights.of(h, p.bits)[0]
-                    at = np.flatnonzero(w >= 0)
-                    at = at[np.argsort(w[at], kind="stable")]
-                    first = np.flatnonzero(np.diff(w[at], prepend=-1))
-                    if len(at):
-                        of = np.searchsorted(block, at, "right") - 1
-                        total[w[at][first]] += np.add.reduceat(per_block[of], first, axis=0)
-            parts = [total] if gram else np.array_split(total * used, min(16, size))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(range(len(parts)), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], ["slab", "sums"])
-
-        def add(t: pa.Table) -> pa.Table:
-            total = sum(np.frombuffer(x, np.float64) for x in t["sums"].to_pylist())
-            return pa.table({"slab": t["slab"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
-
-        got = (texts.select("text", "row_weight").mapInArrow(run, "slab int, sums binary").groupBy("slab")
-               .applyInArrow(add, "slab int, sums binary").collect())  # rows of the benchmark's words: bounded with it
-        shared.unpersist()
-        return np.concatenate([np.frombuffer(r["sums"], np.float64).reshape(-1, width) for r in sorted(got)])
-
-    q = np.random.default_rng(5).normal(size=(size, width))
+    q = np.random.default_rng(5).normal(size=(size, min(p.rank + p.oversample, size)))
     for _ in range(p.power):
-        q, _ = np.linalg.qr(product(q, gram=False))
-    values, vectors = np.linalg.eigh(product(q, gram=True))
-    best = q @ vectors[:, np.argsort(-values)[:p.rank]]
-    return (best * used).astype(np.float32)
+        q, _ = np.linalg.qr(gram_product(benchmark, weights, q, p))
+    y = gram_product(docs.union(benchmark), weights, q, p)
+    inner = q.T @ y
+    values, vectors = np.linalg.eigh((inner + inner.T) / 2)
+    held = values > 1e-9 * max(values.max(), 1e-300)  # A'A is about y inner^-1 y'
+    best = np.linalg.svd(y @ (vectors[:, held] / np.sqrt(values[held])), full_matrices=False)[0][:, :p.rank]
+    return (best * weights.used[:, None]).astype(np.float32)
 
 
 def lcs(a: np.ndarray, b: np.ndarray) -> int:
@@ -445,11 +465,9 @@ def fit(docs: DataFrame, benchmark: DataFrame, p: LsaParams = LsaParams()) -> tu
     keys, start = word_keys([r["text"] for r in items], p.bits)
     frequency = document_frequency(docs, keys, start, p)
     weights = tf_idf(frequency, keys, start, p)
-    part = int(1_000_000 * min(1.0, p.sample_docs / max(1, frequency[-1])))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < part).where("text is not null")
-    sample = materialize(sample.select("text", F.lit(p.corpus_weight).alias("row_weight")).union(
-        benchmark.where("text is not null").select("text", F.lit(1.0).alias("row_weight"))), "lsa-sample")
-    table = latent_basis(sample, weights, p)
+    each = p.corpus_weight * min(1.0, p.corpus_docs / max(1.0, frequency[-1])) ** 0.5  # passages count by its square
+    table = latent_basis(benchmark.where("text is not null").select("text", F.lit(1.0).alias("row_weight")),
+                         docs.where("text is not null").select("text", F.lit(each).alias("row_weight")), weights, p)
     return table, weights, Benchmark(sorted((r["item_id"], r["text"]) for r in items), table, weights, p)
 
 

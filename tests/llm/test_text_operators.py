@@ -263,6 +263,31 @@ def test_weights_of_benchmark_words_are_exact(leaky, spark):
         assert (row >= 0).all() and np.allclose(weight, math.log((1 + n) / 2) + 1)
 
 
+def test_basis_is_learned_from_all_documents(leaky, monkeypatch):
+    """More documents than ``corpus_docs`` are all taken, each at a smaller
+    weight; the summed products are those of the dense passage matrix."""
+    docs, benchmark, _, rows = leaky
+    p, learn, seen = decontamination.LsaParams(corpus_docs=7), decontamination.latent_basis, {}
+    monkeypatch.setattr(decontamination, "latent_basis", lambda b, d, w, p: seen.update(docs=d, table=learn(b, d, w, p)) or seen["table"])
+    _, weights, _ = decontamination.fit(docs, benchmark, p)
+    texts = [t for _, t in rows if t is not None]
+    each = p.corpus_weight * math.sqrt(7 / len(rows))
+    taken = seen["docs"].collect()
+    assert sorted(r["text"] for r in taken) == sorted(texts) and np.allclose([r["row_weight"] for r in taken], each)
+    assert seen["table"].shape == (len(weights.used), min(p.rank, len(weights.used))) and np.isfinite(seen["table"]).all()
+    h, off = decontamination.words(pa.array(texts, pa.large_string()))
+    block, a, z, _ = decontamination.passages(off)
+    row, end = weights.of(h, p.bits)[0], np.append(block[1:], len(h))
+    m = np.zeros((len(a), len(weights.used)))
+    for k in range(len(a)):
+        w = row[block[a[k]]:end[z[k] - 1]]
+        np.add.at(m[k], w[w >= 0], each)
+    m *= weights.used
+    q = np.random.default_rng(1).normal(size=(len(weights.used), 5))
+    got, want = decontamination.gram_product(seen["docs"], weights, q, p), m.T @ (m @ q)
+    assert np.allclose(got, want, rtol=1e-3, atol=1e-5 * np.abs(want).max())
+
+
 def test_candidates_hold_what_the_lcs_accepts(leaky, spark):
     """Short items, items cut to 8 or 10 words, LCS down to 0.6, an item in a
     third of all documents: nine of ten pairs the check accepts are candidates."""
