@@ -41,8 +41,8 @@ EULER_GAMMA = 0.5772156649015329
 # there: what is left is rounding (the sine of pi, a mean of equal values).
 MIN_RANGE = 1e-9
 
-# Rows scored at a time: SCORE_ROWS x trees index arrays.
-SCORE_ROWS = 2_048
+# Rows scored at a time: SCORE_ROWS x trees arrays, small enough for the cache.
+SCORE_ROWS = 256
 
 # Oversampling margin of the hash draw: each tree gets about
 # margin * psi candidates, of which the psi lowest-ranked are kept.
@@ -183,7 +183,10 @@ def forest_fit(sample: DataFrame, psi: int, seed: int = SEED,
 
 
 class ForestModel:
-    """Node table as dense arrays (trees x nodes) for vectorised descent."""
+    """Node table as one array per level (trees x 2^level) for vectorised descent.
+
+    The children of place q of a level are 2q and 2q + 1 of the next; a leaf
+    above the last level passes its rows on to the right, whatever their values."""
 
     def __init__(self, nodes: pd.DataFrame, psi: int, n_features: int = len(FEATURE_COLS)):
         nodes = nodes.sort_values(["tree_id", "node_id"])
@@ -207,37 +210,39 @@ class ForestModel:
         self.psi = int(psi)
         self.depth = int(math.ceil(math.log2(max(self.psi, 2))))
         self.n_features = n_features
-        # flat (tree * width + node) indices, built once
-        self._first = np.arange(self.n_trees, dtype=np.int32) * width
-        self._left = self.left.ravel() + np.repeat(self._first, width)
-        self._right = self.right.ravel() + np.repeat(self._first, width)
+        self._levels, at, tree = [], np.zeros((self.n_trees, 1), np.intp), np.arange(self.n_trees)[:, None]
+        for _ in range(self.depth):
+            inner = self.feature[tree, at] >= 0
+            self._levels.append((np.where(inner, self.feature[tree, at], 0).ravel().astype(np.intp),
+                                 np.where(inner, self.threshold[tree, at], -np.inf).ravel()))
+            at = np.stack([np.where(inner, self.left[tree, at], at),
+                           np.where(inner, self.right[tree, at], at)], axis=2).reshape(self.n_trees, -1)
+        self._path = self.path_len[tree, at].ravel()
 
     def score(self, X: np.ndarray) -> np.ndarray:
         """Negated anomaly score of each row: -2^(-E[h(x)] / c(psi));
         lower = more anomalous, range [-1, 0).
 
-        All trees descend together, one level per step, on flat
-        (tree * width + node) indices into the raveled node arrays;
-        ``SCORE_ROWS`` rows at a time, which bounds the rows x trees arrays.
+        All trees descend together, one level per step, ``SCORE_ROWS`` rows at
+        a time, which keeps the rows x trees arrays in the processor's cache.
         """
         parts = [self._score(X[a:a + SCORE_ROWS]) for a in range(0, len(X), SCORE_ROWS)]
         return np.concatenate(parts) if parts else np.zeros(0)
 
     def _score(self, X: np.ndarray) -> np.ndarray:
-        n = len(X)
-        feat, thr = self.feature.ravel(), self.threshold.ravel()
-        Xf = np.ascontiguousarray(X, dtype=float).ravel()
-        row_off = (np.arange(n, dtype=np.int64) * X.shape[1])[:, None]
-        cur = np.repeat(self._first[None, :], n, axis=0)
-        for _ in range(self.depth):
-            f = feat[cur]
-            inner = f >= 0
-            if not inner.any():
-                break
-            xv = Xf[row_off + np.maximum(f, 0)]
-            nxt = np.where(xv < thr[cur], self._left[cur], self._right[cur])
-            cur = np.where(inner, nxt, cur)
-        mean_path = self.path_len.ravel()[cur].mean(axis=1)
+        flat = np.ascontiguousarray(X, dtype=float).ravel()
+        row = (np.arange(len(X), dtype=np.intp) * X.shape[1])[:, None]
+        cur = np.repeat(np.arange(self.n_trees, dtype=np.intp)[None, :], len(X), axis=0)
+        at, value, threshold, right = np.empty_like(cur), np.empty(cur.shape), np.empty(cur.shape), np.empty(cur.shape, bool)
+        for feature, thresholds in self._levels:
+            np.take(feature, cur, out=at, mode="clip")  # with clip, take writes to ``out`` directly
+            at += row
+            np.take(flat, at, out=value, mode="clip")
+            np.take(thresholds, cur, out=threshold, mode="clip")
+            np.logical_not(np.less(value, threshold, out=right), out=right)  # NaN goes right
+            cur += cur
+            cur += right
+        mean_path = self._path[cur].mean(axis=1)
         return -np.power(2.0, -mean_path / float(average_path_length([self.psi])[0]))
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +116,34 @@ def test_growth_depends_on_values_alone():
     assert 0 < min(u) and max(u) < 1 and abs(np.mean(u) - 0.5) < 0.03
 
 
+def test_scores_equal_a_walk_node_by_node():
+    """Leaves at every depth, ids that are no heap places, NaN and infinities;
+    the rows x trees arrays of a step fit the cache."""
+    rng = np.random.default_rng(7)
+    nodes = []
+    for t in range(9):
+        x = rng.integers(0, 5, (64, 13)).astype(float) if t % 2 else rng.normal(size=(64, 13))
+        grown = FO._grow_tree(x[:64 if t else 1], 42, t, 6)
+        name = dict(zip([n[0] for n in grown], [0, *rng.permutation(len(grown) - 1) + 1]))
+        nodes += [(t, int(name[i]), f, thr, int(name.get(a, -1)), int(name.get(b, -1)), m, path) for i, f, thr, a, b, m, path in grown]
+    table = pd.DataFrame(nodes, columns=["tree_id", "node_id", "feature", "threshold", "left", "right", "n_rows", "path_len"])
+    X = np.concatenate([rng.normal(size=(600, 13)), rng.integers(0, 5, (60, 13))])
+    X[:40][rng.random((40, 13)) < 0.3] = np.nan
+    X[40:60][rng.random((20, 13)) < 0.3] = np.inf
+    X[60:80][rng.random((20, 13)) < 0.3] = -np.inf
+    by_id = {(t, n): rest for t, n, *rest in nodes}
+
+    def path(t, x):
+        at = by_id[t, 0]
+        while at[0] >= 0:
+            at = by_id[t, at[2] if x[at[0]] < at[1] else at[3]]
+        return at[5]
+    mean = np.array([[path(t, x) for t in range(9)] for x in X]).mean(axis=1)
+    want = -np.power(2.0, -mean / float(FO.average_path_length([64])[0]))
+    assert np.array_equal(FO.ForestModel(table, 64).score(X), want)
+    assert FO.SCORE_ROWS * FO.N_TREES * 8 <= 1 << 19
+
+
 def test_scores_and_outliers(spark, feats, trained):
     nodes, psi, _ = trained
     model = FO.load_model(nodes, psi)
